@@ -225,3 +225,74 @@ CANDLE_INTS = (
     "candle_bearish_engulfing", "candle_morning_star", "candle_evening_star",
     "candle_bullish_signal_count", "candle_bearish_signal_count", "candle_net_signal",
 )
+
+
+HIST = """
+hist0 AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY quarter_end DESC) AS qr FROM quarterly_raw)
+  WHERE qr <= 8
+),
+hist1 AS (
+  SELECT *,
+    last_value(revenue IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY quarter_end ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS rev_f,
+    last_value(net_income IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY quarter_end ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ni_f
+  FROM hist0
+),
+hist2 AS (
+  SELECT ticker, quarter_end, CAST(quarter_end + INTERVAL 45 DAY AS DATE) AS available_date, revenue, net_income,
+    rev_f / NULLIF(lag(rev_f, 1) OVER w, 0) - 1 AS revenue_qoq_growth,
+    ni_f / NULLIF(lag(ni_f, 1) OVER w, 0) - 1 AS net_income_qoq_growth,
+    rev_f / NULLIF(lag(rev_f, 4) OVER w, 0) - 1 AS revenue_yoy_growth,
+    ni_f / NULLIF(lag(ni_f, 4) OVER w, 0) - 1 AS net_income_yoy_growth
+  FROM hist1 WINDOW w AS (PARTITION BY ticker ORDER BY quarter_end)
+),
+hist3 AS (
+  SELECT *, CASE WHEN net_income_yoy_growth IS NULL THEN 0 WHEN net_income_yoy_growth > 0 THEN 1 ELSE -1 END AS cls
+  FROM hist2
+),
+hist4 AS (
+  SELECT *, CASE WHEN lag(cls) OVER (PARTITION BY ticker ORDER BY quarter_end) IS NOT DISTINCT FROM cls THEN 0 ELSE 1 END AS chg
+  FROM hist3
+),
+hist5 AS (
+  SELECT *, sum(chg) OVER (PARTITION BY ticker ORDER BY quarter_end ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island
+  FROM hist4
+),
+hist AS (
+  SELECT ticker, quarter_end, available_date, revenue, net_income,
+    revenue_qoq_growth, net_income_qoq_growth, revenue_yoy_growth, net_income_yoy_growth,
+    CAST(cls * row_number() OVER (PARTITION BY ticker, island ORDER BY quarter_end) AS INTEGER) AS earnings_growth_streak
+  FROM hist5
+)"""
+
+HIST_COLS = ("revenue", "net_income", "revenue_qoq_growth", "net_income_qoq_growth",
+             "revenue_yoy_growth", "net_income_yoy_growth")
+
+# merged input of preprocessing: bars + index levels (ingest) + snapshot + quarterly as of each bar
+MERGED = """
+with_idx AS (SELECT b.*, i.vix, i.nifty FROM bars b LEFT JOIN idx i ON b.bar_date = i.bar_date),
+with_fund AS (
+  SELECT w.*, f.pe_ratio, f.eps, f.market_cap, f.debt_to_equity, f.current_ratio
+  FROM with_idx w LEFT JOIN fund f ON w.ticker = f.ticker
+),
+merged AS (
+  SELECT w.*, h.revenue, h.net_income, h.revenue_yoy_growth, h.net_income_yoy_growth,
+         h.revenue_qoq_growth, h.net_income_qoq_growth, h.earnings_growth_streak
+  FROM with_fund w ASOF LEFT JOIN hist h ON w.ticker = h.ticker AND w.bar_date >= h.available_date
+)"""
+
+MERGED_NUMERIC = ("open", "high", "low", "close", "volume", "vix", "nifty", "pe_ratio", "eps", "market_cap",
+                  "debt_to_equity", "current_ratio", "revenue", "net_income", "revenue_yoy_growth",
+                  "net_income_yoy_growth", "revenue_qoq_growth", "net_income_qoq_growth", "earnings_growth_streak")
+
+
+def ffill_cte(name: str, src: str, cols) -> str:
+    sel = ", ".join(
+        f"last_value({c} IGNORE NULLS) OVER (PARTITION BY ticker ORDER BY bar_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}"
+        for c in cols)
+    return f"{name} AS (SELECT * EXCLUDE ({', '.join(cols)}), {sel} FROM {src})"
+
+
+def median_fill_cte(name: str, src: str, cols) -> str:
+    sel = ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM {src})) AS {c}" for c in cols)
+    return f"{name} AS (SELECT * EXCLUDE ({', '.join(cols)}), {sel} FROM {src})"
