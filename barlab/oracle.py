@@ -296,3 +296,39 @@ def ffill_cte(name: str, src: str, cols) -> str:
 def median_fill_cte(name: str, src: str, cols) -> str:
     sel = ", ".join(f"coalesce(CAST({c} AS DOUBLE), (SELECT median(CAST({c} AS DOUBLE)) FROM {src})) AS {c}" for c in cols)
     return f"{name} AS (SELECT * EXCLUDE ({', '.join(cols)}), {sel} FROM {src})"
+
+
+STATEMENTS = """
+statements AS (
+  SELECT ticker, 'Total Revenue' AS item, quarter_end AS period, revenue AS value FROM quarterly_raw
+  UNION ALL SELECT ticker, 'Net Income', quarter_end, net_income FROM quarterly_raw
+  UNION ALL SELECT * FROM (
+    WITH y AS (
+      SELECT p_brand AS ticker, make_date(year(l_shipdate), 12, 31) AS period,
+             sum(l_extendedprice * (1 - l_discount)) AS ocf, sum(l_extendedprice * (0.03 - l_discount)) AS fcf,
+             sum(l_extendedprice) AS ca, sum(l_extendedprice * l_discount) AS cl
+      FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2)
+    SELECT ticker, 'Operating Cash Flow', period, ocf FROM y
+    UNION ALL SELECT ticker, 'Free Cash Flow', period, fcf FROM y
+    UNION ALL SELECT ticker, 'Current Assets', period, ca FROM y
+    UNION ALL SELECT ticker, 'Current Liabilities', period, cl FROM y)
+)"""
+
+
+def latest_item_sql(item: str) -> str:
+    return f"arg_max(value, period) FILTER (WHERE item = '{item}')"
+
+
+SNAPSHOT = """
+snapshot AS (
+  SELECT coalesce(f.ticker, s.ticker) AS ticker, f.pe_ratio, f.eps, f.market_cap, f.debt_to_equity,
+         s.latest_revenue, s.latest_net_income, s.operating_cash_flow, s.free_cash_flow, s.current_ratio
+  FROM fund f FULL JOIN (
+    SELECT ticker,
+      """ + latest_item_sql("Total Revenue") + """ AS latest_revenue,
+      """ + latest_item_sql("Net Income") + """ AS latest_net_income,
+      """ + latest_item_sql("Operating Cash Flow") + """ AS operating_cash_flow,
+      """ + latest_item_sql("Free Cash Flow") + """ AS free_cash_flow,
+      """ + latest_item_sql("Current Assets") + """ / NULLIF(""" + latest_item_sql("Current Liabilities") + """, 0) AS current_ratio
+    FROM statements GROUP BY ticker) s ON f.ticker = s.ticker
+)"""

@@ -88,3 +88,27 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("model_name"),
         F.col("props"),
     )
+
+
+def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long-form statement lines (ticker, item, period, value): quarterly revenue and
+    net income, yearly cash flows and current assets / liabilities per brand."""
+    q = quarterly_raw(spark, sf_dir)
+    quarterly = q.select("ticker", F.lit("Total Revenue").alias("item"), F.col("quarter_end").alias("period"),
+                         F.col("revenue").alias("value")).unionByName(
+        q.select("ticker", F.lit("Net Income").alias("item"), F.col("quarter_end").alias("period"),
+                 F.col("net_income").alias("value")))
+    li = priced_lines(spark, sf_dir)
+    yearly = li.groupBy(F.col("p_brand").alias("ticker"),
+                        F.make_date(F.year("l_shipdate"), F.lit(12), F.lit(31)).alias("period")).agg(
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("ocf"),
+        F.sum(F.col("l_extendedprice") * (F.lit(0.03) - F.col("l_discount"))).alias("fcf"),
+        F.sum("l_extendedprice").alias("ca"),
+        F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("cl"),
+    )
+    items = F.array(*[F.struct(F.lit(n).alias("item"), F.col(c).alias("value")) for n, c in
+                      (("Operating Cash Flow", "ocf"), ("Free Cash Flow", "fcf"),
+                       ("Current Assets", "ca"), ("Current Liabilities", "cl"))])
+    long_yearly = yearly.select("ticker", "period", F.explode(items).alias("s")).select(
+        "ticker", "s.item", "period", "s.value")
+    return quarterly.unionByName(long_yearly)
