@@ -139,3 +139,18 @@ def ewm_series_pandas(values, alpha: float):
     import pandas as pd
 
     return pd.Series(values, dtype="float64").ewm(alpha=alpha, adjust=False).mean().to_numpy()
+
+
+def ewm_column(df: DataFrame, x: str, out: str, alpha: float | None = None, span: float | None = None,
+               key=("ticker",), order: str = "bar_date", block_rows: int = 16384, leading_nulls: bool = True,
+               segment: str = "year") -> DataFrame:
+    """D6 as a stand-alone operator: smooth one column per key in row order."""
+    from barlab.operators.series import blocked, finish
+
+    if alpha is None:
+        if span is None:
+            raise ValueError("give alpha or span")
+        alpha = 2.0 / (span + 1.0)
+    s = sub_rows_for([alpha])
+    b = blocked(df, list(key), order, block_rows, back=depth(alpha, s), ahead=0, segment=segment, sub_rows=s)
+    return finish(add_ewm(b, list(key), [EwmSpec(out, x, alpha, leading_nulls)], s))

@@ -68,9 +68,13 @@ def compute_features(
     fp: FeatureParams = FeatureParams(),
     layout: SeriesLayout = SeriesLayout(),
     labels: LabelParams | None = None,
+    drop_unlabelled: bool = True,
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
     """D29 (+ E candles, + F1-F3 when ``labels`` is given). Never drops rows
-    unless labels are requested (then: tail rows and neutral rows go, F3)."""
+    unless labels are requested (then: tail rows and neutral rows go, F3,
+    unless ``drop_unlabelled`` is False). ``extra`` keeps intermediate columns
+    (true range ``_tr``, directional moves ``_pdm``/``_mdm``, ``_pdi``/``_mdi``, ``DX``)."""
     key = _as_list(layout.key)
     back, s = halo_back(fp)
     if layout.back is not None:
@@ -153,10 +157,11 @@ def compute_features(
             "forward_return": fr,
             "label": F.when(fr > z, F.lit(1)).when(fr < -z, F.lit(0)).cast("int"),
         })
-        b = b.filter((F.col(RN) < F.col(NTOT) - labels.horizon) & F.col("label").isNotNull())
+        if drop_unlabelled:
+            b = b.filter((F.col(RN) < F.col(NTOT) - labels.horizon) & F.col("label").isNotNull())
 
     passthrough = [x for x in bars.columns if x not in key and x != "bar_date"]
-    out_cols = key + ["bar_date"] + passthrough + list(INDICATOR_COLS) + list(candles.CANDLE_COLS)
+    out_cols = key + ["bar_date"] + passthrough + list(INDICATOR_COLS) + list(candles.CANDLE_COLS) + list(extra)
     if labels is not None:
         out_cols += list(LABEL_COLS)
     return finish(b).select(*out_cols)

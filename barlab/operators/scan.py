@@ -34,3 +34,21 @@ def prefix_last(df: DataFrame, key, order, cols: list[str], block_rows: int = 16
     out = joined.withColumns({c: F.coalesce(F.col(f"_loc_{c}"), F.col(f"_carry_{c}")) for c in cols})
     drop = [f"_loc_{c}" for c in cols] + [f"_carry_{c}" for c in cols] + [f"_ck_{k}" for k in key] + ["_ck_blk"]
     return finish(out.drop(*drop), keep_helpers=keep_helpers)
+
+
+def prefix_sum(df: DataFrame, key, order, col: str, out: str, block_rows: int = 16384,
+               segment: str = "year") -> DataFrame:
+    """Running sum of ``col`` per key in order (NULL counts as 0), in blocks:
+    local running sum + the sum of all earlier blocks' totals (small table)."""
+    key = _as_list(key)
+    b = blocked(df, key, order, block_rows, back=0, ahead=0, segment=segment)
+    x = F.coalesce(F.col(col).cast("double"), F.lit(0.0))
+    w = Window.partitionBy(*key, BLK).orderBy(RN).rowsBetween(Window.unboundedPreceding, 0)
+    b = b.withColumn("_loc", F.sum(x).over(w))
+    totals = b.groupBy(*key, BLK).agg(F.sum(x).alias("_tot"))
+    wb = Window.partitionBy(*key).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*[F.col(k).alias(f"_ck_{k}") for k in key], F.col(BLK).alias("_ck_blk"),
+                          F.coalesce(F.sum("_tot").over(wb), F.lit(0.0)).alias("_carry"))
+    cond = [b[k].eqNullSafe(carry[f"_ck_{k}"]) for k in key] + [b[BLK] == carry["_ck_blk"]]
+    j = b.join(carry, cond, "left").withColumn(out, F.col("_loc") + F.coalesce(F.col("_carry"), F.lit(0.0)))
+    return finish(j.drop("_loc", "_carry", "_ck_blk", *[f"_ck_{k}" for k in key]))

@@ -441,3 +441,100 @@ def _n06b(spark, sf):
 @register("n07_newest_run_id", W(O.RUNS) + "SELECT arg_max(run_id, (start_time, run_id)) AS latest_run_id FROM runs")
 def _n07(spark, sf):
     return N.newest_run_id(T.runs(spark, sf))
+
+
+# ---------------------------------------------------------------- D / F rows not covered above
+from barlab.operators.ewm import ewm_column  # noqa: E402
+from barlab.operators.indicators import WARMUP_COLS, compute_features  # noqa: E402
+from barlab.operators.labels import fold_summary, split_summary, time_ordered_split, walk_forward_folds  # noqa: E402
+from barlab.operators.scan import prefix_sum  # noqa: E402
+
+
+@register("d06_ewm_span10", W(O.BARS) + "SELECT ticker, bar_date, " + O.rnd(
+    "list_reduce(list(close) OVER (PARTITION BY ticker ORDER BY bar_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+    "lambda acc, v: acc * (1 - (2.0 / 11)) + v * (2.0 / 11))") + " AS ewm FROM bars")
+def _d06(spark, sf):
+    return ewm_column(T.bars(spark, sf).select("ticker", "bar_date", "close"), "close", "ewm", span=10).drop("close")
+
+
+def _extra_query(name, sql_cols, spark_cols):
+    def fn(spark, sf):
+        f = compute_features(T.bars(spark, sf), extra=tuple(spark_cols))
+        return f.select("ticker", "bar_date", *[F.col(s).alias(o) for s, o in zip(spark_cols, sql_cols)])
+    sel = ", ".join(f"{O.rnd(c)} AS {o}" for c, o in zip(sql_cols, sql_cols))
+    register(name, W(*FEAT) + f"SELECT ticker, bar_date, {sel} FROM feat")(fn)
+
+
+_extra_query("d16_true_range", ["tr"], ["_tr"])
+_extra_query("d18_directional_movement", ["pdm", "mdm"], ["_pdm", "_mdm"])
+_extra_query("d19_directional_index", ["pdi", "mdi"], ["_pdi", "_mdi"])
+_extra_query("d20_dx", ["DX"], ["DX"])
+
+
+@register("d22_obv_level", W(*FEAT) + "SELECT ticker, bar_date, " + O.rnd(
+    "sum(dir * volume) OVER (PARTITION BY ticker ORDER BY bar_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+          + " AS OBV FROM feat")
+def _d22(spark, sf):
+    f = compute_features(T.bars(spark, sf), extra=("_dir",)).select(
+        "ticker", "bar_date", (F.col("_dir") * F.col("volume")).alias("_dv"))
+    return prefix_sum(f, "ticker", "bar_date", "_dv", "OBV", block_rows=64).drop("_dv")
+
+
+@register("d28_warmup_drop", W(*FEAT) + "SELECT ticker, bar_date FROM labelled WHERE " +
+          " OR ".join(f"{c} IS NULL" for c in WARMUP_COLS))
+def _d28(spark, sf):
+    lab = compute_features(T.bars(spark, sf), labels=FIXTURE_LABELS)
+    cond = None
+    for c in WARMUP_COLS:
+        cond = F.col(c).isNull() if cond is None else cond | F.col(c).isNull()
+    return lab.filter(cond).select("ticker", "bar_date")
+
+
+@register("f01_forward_return", W(*FEAT) + "SELECT ticker, bar_date, " + O.r6("forward_close", "forward_return") + " FROM feat")
+def _f01(spark, sf):
+    return compute_features(T.bars(spark, sf), labels=FIXTURE_LABELS, drop_unlabelled=False).select(
+        "ticker", "bar_date", "forward_close", "forward_return")
+
+
+@register("f02_label", W(*FEAT) + "SELECT ticker, bar_date, label FROM feat")
+def _f02(spark, sf):
+    return compute_features(T.bars(spark, sf), labels=FIXTURE_LABELS, drop_unlabelled=False).select(
+        "ticker", "bar_date", "label")
+
+
+_CUT = ("cut AS (SELECT bar_date AS cutoff FROM featured ORDER BY bar_date "
+        "LIMIT 1 OFFSET (SELECT CAST(floor(count(*) * CAST(0.7 AS DOUBLE)) AS BIGINT) FROM featured))")
+
+
+@register("f06_time_split", W(*FEAT, _CUT) +
+          "SELECT any_value(cutoff) AS cutoff, count(*) FILTER (WHERE bar_date < cutoff) AS train_rows, "
+          "count(*) FILTER (WHERE bar_date >= cutoff) AS test_rows FROM featured, cut")
+def _f06(spark, sf):
+    return split_summary(_featured(spark, sf), 0.70)
+
+
+_FOLDS = (
+    "tr AS (SELECT f.* FROM featured f, cut WHERE f.bar_date < cut.cutoff)",
+    "dc AS (SELECT bar_date, CAST(sum(count(*)) OVER (ORDER BY bar_date) - count(*) AS BIGINT) AS before, "
+    "CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM tr GROUP BY bar_date)",
+    "rp AS (SELECT tr.ticker, tr.bar_date, dc.before, dc.total, "
+    "dc.before + row_number() OVER (PARTITION BY tr.bar_date ORDER BY tr.ticker) - 1 AS pos FROM tr JOIN dc ON tr.bar_date = dc.bar_date)",
+    "fz AS (SELECT *, floor(total / 6) AS size, total - 5 * floor(total / 6) AS fs FROM rp)",
+    "fd AS (SELECT *, CASE WHEN before >= fs THEN least(floor((before - fs) / size), 4) END AS fold FROM fz)",
+)
+
+
+@register("f07_walk_forward_folds", W(*FEAT, _CUT, *_FOLDS) +
+          "SELECT CAST(fold AS INTEGER) AS fold, CAST(min(pos) AS BIGINT) AS train_rows, count(*) AS test_rows, "
+          "min(bar_date) AS test_first_date, max(bar_date) AS test_last_date FROM fd WHERE fold IS NOT NULL GROUP BY fold")
+def _f07(spark, sf):
+    train, _ = time_ordered_split(_featured(spark, sf), 0.70)
+    return fold_summary(walk_forward_folds(train, 5))
+
+
+@register("f08_purged_split", W(*FEAT, _CUT) +
+          "SELECT count(*) FILTER (WHERE bar_date < cutoff - INTERVAL 35 DAY) AS train_rows, "
+          "count(*) FILTER (WHERE bar_date >= cutoff) AS test_rows FROM featured, cut")
+def _f08(spark, sf):
+    train, test = time_ordered_split(_featured(spark, sf), 0.70, purge_days=35)
+    return train.agg(F.count(F.lit(1)).alias("train_rows")).crossJoin(test.agg(F.count(F.lit(1)).alias("test_rows")))
