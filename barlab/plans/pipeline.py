@@ -16,6 +16,7 @@ from barlab.operators import clean
 from barlab.operators.asof import attach_quarterly
 from barlab.operators.indicators import run_feature_engineering
 from barlab.params import PipelineParams
+from barlab.session import cut_lineage
 
 
 @dataclass
@@ -36,13 +37,23 @@ def merge_inputs(prices: DataFrame, fund: DataFrame, history: DataFrame | None,
 
 def run_preprocessing(prices: DataFrame, fund: DataFrame, history: DataFrame | None,
                       params: PipelineParams = PipelineParams(), median_method: str = "exact",
-                      asof_strategy: str = "auto") -> Preprocessed:
-    """Merge -> describe / missing -> impute -> min-max prices -> standardise ratios -> ticker slot."""
+                      asof_strategy: str = "auto", materialize: bool = True) -> Preprocessed:
+    """Merge -> describe / missing -> impute -> min-max prices -> standardise ratios -> ticker slot.
+
+    The merged and the imputed tables are each read by several aggregations
+    (summary, medians, scaler fits) and by the transform; with ``materialize``
+    they are written once as reliable checkpoints in the shared folder, so
+    every reader starts from stored rows instead of re-running the lineage.
+    """
     merged = merge_inputs(prices, fund, history, asof_strategy)
+    if materialize:
+        merged = cut_lineage(merged)
     numeric = clean.numeric_columns(merged)
     summary = clean.describe(merged, numeric)
     missing = clean.missing_counts(merged)
     imputed = clean.impute(merged, numeric, method=median_method, block_rows=params.layout.block_rows)
+    if materialize:
+        imputed = cut_lineage(imputed)
     price_params = clean.minmax_fit(imputed)
     ratio_params = clean.standard_fit(imputed)
     scaled = clean.standard_transform(clean.minmax_transform(imputed, price_params), ratio_params)

@@ -53,7 +53,7 @@ def _load():
     if _loaded:
         return
     _loaded = True
-    from barlab.plans import registry_more, registry_stats  # noqa: F401  (register the remaining groups)
+    from barlab.plans import registry_models, registry_more, registry_stats  # noqa: F401  (register the remaining groups)
 
 
 # ---------------------------------------------------------------- A: bars
