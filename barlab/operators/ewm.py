@@ -91,30 +91,33 @@ def add_ewm(df: DataFrame, key, specs: list[EwmSpec], sub_rows: int) -> DataFram
     S = sub_rows
     r = F.col(POS) - F.col(SUB) * F.lit(S)
 
-    # stage 1: effective input and weights
-    stage = df
+    # stage 1: effective input (leading NULLs take the first value of the block)
+    firsts, inputs = {}, {}
     for i, sp in enumerate(specs):
         x = _c(sp.x)
         if sp.leading_nulls:
-            first_pos = F.min(F.when(x.isNotNull(), F.col(POS))).over(whole_block)
-            first_val = F.min_by(x, F.when(x.isNotNull(), F.col(POS))).over(whole_block)
-            stage = stage.withColumn(f"_e{i}_fp", first_pos).withColumn(f"_e{i}_fv", first_val)
-            xe = F.when(F.col(POS) < F.col(f"_e{i}_fp"), F.col(f"_e{i}_fv")).otherwise(x)
+            firsts[f"_e{i}_fp"] = F.min(F.when(x.isNotNull(), F.col(POS))).over(whole_block)
+            firsts[f"_e{i}_fv"] = F.min_by(x, F.when(x.isNotNull(), F.col(POS))).over(whole_block)
+            inputs[f"_e{i}_x"] = F.when(F.col(POS) < F.col(f"_e{i}_fp"), F.col(f"_e{i}_fv")).otherwise(x).cast("double")
         else:
-            xe = x
-        stage = stage.withColumn(f"_e{i}_x", xe.cast("double"))
+            inputs[f"_e{i}_x"] = x.cast("double")
+    stage = df.withColumns(firsts) if firsts else df
+    stage = stage.withColumns(inputs)
 
     # stage 2: in-sub-block running sums and sub-block totals
+    sums = {}
     for i, sp in enumerate(specs):
         if sp.alpha >= 1.0:
             continue
         a, q = sp.alpha, 1.0 - sp.alpha
         c = F.when(F.col(POS) == 0, F.col(f"_e{i}_x")).otherwise(F.lit(a) * F.col(f"_e{i}_x"))
-        stage = stage.withColumn(
-            f"_e{i}_L", F.sum(c * F.pow(F.lit(q), -r)).over(ws.rowsBetween(Window.unboundedPreceding, 0))
-        ).withColumn(f"_e{i}_E", F.sum(c * F.pow(F.lit(q), F.lit(S - 1) - r)).over(whole_sub))
+        sums[f"_e{i}_L"] = F.sum(c * F.pow(F.lit(q), -r)).over(ws.rowsBetween(Window.unboundedPreceding, 0))
+        sums[f"_e{i}_E"] = F.sum(c * F.pow(F.lit(q), F.lit(S - 1) - r)).over(whole_sub)
+    if sums:
+        stage = stage.withColumns(sums)
 
     # stage 3: carry from the previous sub-blocks and the result
+    outs = {}
     for i, sp in enumerate(specs):
         if sp.alpha >= 1.0:
             y = F.col(f"_e{i}_x")
@@ -128,7 +131,8 @@ def add_ewm(df: DataFrame, key, specs: list[EwmSpec], sub_rows: int) -> DataFram
             y = F.pow(F.lit(q), r) * (F.col(f"_e{i}_L") + F.lit(q) * prev)
         if sp.leading_nulls:
             y = F.when(F.col(POS) >= F.col(f"_e{i}_fp"), y)
-        stage = stage.withColumn(sp.out, y)
+        outs[sp.out] = y
+    stage = stage.withColumns(outs)
 
     tmp = [c for c in stage.columns if c.startswith("_e") and c.split("_")[1][1:].isdigit()]
     return stage.drop(*tmp)

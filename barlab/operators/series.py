@@ -66,13 +66,11 @@ def to_blocks(numbered: DataFrame, block_rows: int, back: int, ahead: int, sub_r
     rn = F.col(RN)
     kmin = F.greatest(F.lit(0).cast("long"), F.floor((rn - F.lit(ahead)) / F.lit(block_rows)))
     kmax = F.floor((rn + F.lit(back)) / F.lit(block_rows))
-    vis_start = F.greatest(F.lit(0).cast("long"), F.col(BLK) * F.lit(block_rows) - F.lit(back))
-    return (
-        numbered.withColumn(BLK, F.explode(F.sequence(kmin, kmax)))
-        .withColumn(NATIVE, F.floor(rn / F.lit(block_rows)) == F.col(BLK))
-        .withColumn(POS, rn - vis_start)
-        .withColumn(SUB, F.floor(F.col(POS) / F.lit(sub_rows)))
-    )
+    blk = F.col(BLK)
+    pos = rn - F.greatest(F.lit(0).cast("long"), blk * F.lit(block_rows) - F.lit(back))
+    exploded = numbered.select("*", F.explode(F.sequence(kmin, kmax)).alias(BLK))
+    return exploded.select("*", (F.floor(rn / F.lit(block_rows)) == blk).alias(NATIVE), pos.alias(POS),
+                           F.floor(pos / F.lit(sub_rows)).alias(SUB))
 
 
 def block_window(key) -> Window:
