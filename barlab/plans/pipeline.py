@@ -79,3 +79,25 @@ def run_pipeline(prices: DataFrame, fund: DataFrame, history: DataFrame | None,
     featured = run_feature_engineering(processed, params.features, params.labels, params.layout)
     featured.write.mode("overwrite").parquet(paths["featured"])
     return paths
+
+
+def run_eda(ctx: DataFrame, corr_cols: list[str] | None = None, label: str = "label") -> dict[str, DataFrame]:
+    """Every exploratory table (I1-I10) of a featured table that carries
+    ``vix`` and ``pe_ratio``; each value is a lazy DataFrame (write or show)."""
+    from barlab.operators import eda
+
+    zoned = ctx.withColumn("RSI_zone", eda.rsi_zone())
+    out = {
+        "correlation_matrix": eda.correlation_long(ctx, corr_cols),
+        "label_correlations": eda.label_correlations(ctx, label, [c for c in (corr_cols or eda.numeric_feature_columns(ctx)) if c != label]),
+        "rsi_zone_counts": eda.value_counts(zoned.filter(F.col("RSI_zone").isNotNull()), "RSI_zone"),
+        "return_histogram": eda.histogram(ctx, "daily_return", 50, by="ticker"),
+        "rsi_histogram": eda.histogram(ctx, "RSI_14", 40),
+        "macd_box_stats": eda.box_stats(ctx, "MACD_hist", label),
+        "pe_return_points": eda.scatter_points(ctx),
+    }
+    if "pe_ratio" in ctx.columns:
+        out["pe_zones"] = eda.pe_terciles(ctx.select("ticker", "bar_date", "pe_ratio"))
+    if "vix" in ctx.columns:
+        out["sell_rate_by_vix"] = eda.sell_rate_by_quantile(ctx, "vix", 5, label)
+    return out

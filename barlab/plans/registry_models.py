@@ -239,3 +239,51 @@ def _k07(spark, sf):
     table = K.explanation_table(ex, latest, cols, top_n=5)
     signals = J.recommend(_model(spark, sf, "rf"), latest, "rf").join(latest.select("ticker", "bar_date"), "ticker")
     return K.narrative(table, signals)
+
+
+# ---------------------------------------------------------------- K2-K5 as their own rows
+_TEXT_FEATURES = ("RSI_14", "RSI_14_lag1", "RSI_14_lag2", "MACD_hist", "MA_crossover", "Stoch_K", "Stoch_D",
+                  "ADX_14", "daily_return_lag1", "candle_doji", "candle_hammer", "candle_net_signal",
+                  "candle_bullish_signal_count")
+
+
+def _text_sql() -> str:
+    names = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.DISPLAY_NAMES.items())
+    h = K.HINT_TEXT
+    flags = ", ".join(f"'{c}'" for c in K.CANDLE_FLAG_NAMES)
+    hint = (f"CASE WHEN b = 'RSI_14' THEN CASE WHEN value > 70 THEN '{h['rsi_high']}' WHEN value < 30 THEN '{h['rsi_low']}' END "
+            f"WHEN b = 'Stoch_K' THEN CASE WHEN value > 80 THEN '{h['stoch_high']}' WHEN value < 20 THEN '{h['stoch_low']}' END "
+            f"WHEN b = 'ADX_14' THEN CASE WHEN value > 25 THEN '{h['adx_strong']}' ELSE '{h['adx_weak']}' END "
+            f"WHEN b = 'MACD_hist' THEN CASE WHEN value > 0 THEN '{h['macd_up']}' ELSE '{h['macd_down']}' END "
+            f"WHEN b = 'MA_crossover' THEN CASE WHEN value >= 1 THEN '{h['ma_up']}' ELSE '{h['ma_down']}' END "
+            f"WHEN b IN ({flags}) THEN CASE WHEN value >= 1 THEN '{h['flag']}' END "
+            f"WHEN b = 'candle_net_signal' THEN CASE WHEN value > 0 THEN '{h['net_up']}' WHEN value < 0 THEN '{h['net_down']}' END END")
+    cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _TEXT_FEATURES)
+    return (W(*FEAT, f"lt AS (SELECT ticker, {cols} FROM featured QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY bar_date DESC) = 1)",
+              f"lg AS (UNPIVOT lt ON {', '.join(_TEXT_FEATURES)} INTO NAME feature VALUE value)",
+              "lb AS (SELECT *, regexp_replace(feature, '_lag[123]$', '') AS b, regexp_extract(feature, '_lag([123])$', 1) AS lag FROM lg)",
+              f"ln AS (SELECT *, coalesce(CASE b {names} END, replace(feature, '_', ' ')) AS nm FROM lb)")
+            + f"SELECT ticker, feature, {O.rnd('value')} AS value, CASE WHEN lag <> '' THEN nm || ' (' || lag || 'd ago)' ELSE nm END AS display_name, "
+            f"{hint} AS hint FROM ln")
+
+
+@register("k04_k05_display_and_hint", _text_sql())
+def _k0405(spark, sf):
+    f = run_feature_engineering(T.bars(spark, sf), labels=FIXTURE_LABELS)
+    latest = J.latest_rows(f.select("ticker", "bar_date", *_TEXT_FEATURES))
+    long = latest.select("ticker", *[F.col(c).cast("double").alias(c) for c in _TEXT_FEATURES]).unpivot(
+        ["ticker"], list(_TEXT_FEATURES), "feature", "value")
+    fcol, v = F.col("feature"), F.col("value")
+    return long.select("ticker", "feature", "value", K.display_name(fcol).alias("display_name"), K.hint(fcol, v).alias("hint"))
+
+
+@register("k02_top_factors", None)
+def _k02(spark, sf):
+    ex, latest, cols = _explained(spark, sf)
+    return K.explanation_table(ex, latest, cols, top_n=5).select("ticker", "bar_date", "rank", "feature", "shap_value")
+
+
+@register("k03_direction", None)
+def _k03(spark, sf):
+    ex, latest, cols = _explained(spark, sf)
+    return K.explanation_table(ex, latest, cols, top_n=5).select("ticker", "bar_date", "feature", "pushes_toward")

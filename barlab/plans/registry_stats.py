@@ -538,3 +538,38 @@ def _f07(spark, sf):
 def _f08(spark, sf):
     train, test = time_ordered_split(_featured(spark, sf), 0.70, purge_days=35)
     return train.agg(F.count(F.lit(1)).alias("train_rows")).crossJoin(test.agg(F.count(F.lit(1)).alias("test_rows")))
+
+
+# ---------------------------------------------------------------- A9-A12, I11
+from barlab.session import ensure_checkpoint_dir  # noqa: E402
+from barlab.sources import sinks as S  # noqa: E402
+from barlab.sources.bars import BAR_SCHEMA  # noqa: E402
+
+_BAR_SQL = W(O.BARS) + "SELECT ticker, bar_date, " + O.r6("open", "high", "low", "close", "volume") + " FROM bars"
+
+
+@register("a09_csv_source", _BAR_SQL)
+def _a09(spark, sf):
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-csv/raw_prices"
+    S.write_stage(T.bars(spark, sf).select(*BAR_SCHEMA.fieldNames()), path, fmt="csv")
+    return S.read_stage_csv(spark, path)
+
+
+@register("a10_stage_sink", _BAR_SQL)
+def _a10(spark, sf):
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-parquet/raw_prices"
+    S.write_stage(T.bars(spark, sf), path, partition_by=["ticker"])
+    return spark.read.parquet(path).select("ticker", "bar_date", "open", "high", "low", "close", "volume")
+
+
+@register("a12_relational_source", W(O.BARS) + "SELECT DISTINCT ticker FROM bars")
+def _a12(spark, sf):
+    return S.sql_source(spark, "SELECT DISTINCT ticker FROM raw_prices ORDER BY ticker", {"raw_prices": T.bars(spark, sf)})
+
+
+@register("i11_run_eda", None)
+def _i11(spark, sf):
+    from barlab.plans.pipeline import run_eda
+    tables = run_eda(_ctx(spark, sf), list(CORR_COLS))
+    rows = [(name, df.count()) for name, df in tables.items()]
+    return spark.createDataFrame(rows, "table string, rows long")

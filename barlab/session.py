@@ -8,11 +8,14 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def get_spark(app: str = "barlab", master: str | None = None, shuffle_partitions: int = 8) -> SparkSession:
+def get_spark(app: str = "barlab", master: str | None = None, shuffle_partitions: int = 8,
+              warehouse_dir: str | None = None) -> SparkSession:
     """Session for tests and local runs; on a cluster the launcher's settings win."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if warehouse_dir:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
     builder = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -14,7 +14,10 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from barlab.session import get_spark
 
-    s = get_spark(app="barlab-tests", master="local[4]", shuffle_partitions=8)
+    import tempfile
+
+    s = get_spark(app="barlab-tests", master="local[4]", shuffle_partitions=8,
+                  warehouse_dir=tempfile.mkdtemp(prefix="barlab-wh-"))
     yield s
     s.stop()
 

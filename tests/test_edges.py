@@ -184,3 +184,15 @@ def test_synthetic_generators(spark):
     assert b.filter((F.col("high") < F.greatest("open", "close")) | (F.col("low") > F.least("open", "close"))).count() == 0
     assert synthetic_index(spark, "vix", n=50).filter(F.col("vix") < 8).count() == 0
     assert synthetic_fundamentals(spark, ["A", "B"]).count() == 2
+
+
+def test_relational_sink_skips_empty_quarterly(spark):
+    from barlab.sources import sinks
+
+    prices = _bars(spark, [1.0, 2.0])
+    fund = spark.createDataFrame([("T", 10.0)], "ticker string, pe_ratio double")
+    empty = spark.createDataFrame([], "ticker string, revenue double")
+    written = sinks.write_raw_tables(prices, fund, empty, prefix="t_")
+    assert written == ["t_raw_prices", "t_raw_fundamentals"]
+    assert sinks.read_table(spark, "t_raw_prices").count() == 2
+    assert sinks.sql_source(spark, "SELECT count(*) AS n FROM t_raw_fundamentals").first()["n"] == 1
