@@ -176,3 +176,43 @@ def run_feature_engineering(
     """features -> labels -> drop tail/neutral rows -> drop warm-up rows."""
     df = compute_features(bars, fp, layout, labels)
     return df.na.drop(subset=list(WARMUP_COLS))
+
+
+def rolling_stats(bars: DataFrame, col: str, n: int, layout: SeriesLayout = SeriesLayout()) -> DataFrame:
+    """Rolling mean / sample std / min / max / sum over ``n`` rows, NULL until
+    ``n`` non-null values are in the frame (blocked layout, halo ``n``)."""
+    key = _as_list(layout.key)
+    b = blocked(bars, key, layout.order, layout.block_rows, n, 0, layout.segment)
+    w = block_window(key)
+    x = F.col(col)
+    b = b.withColumns({f"{col}_mean{n}": full(F.avg, x, w, n), f"{col}_std{n}": full(F.stddev_samp, x, w, n),
+                       f"{col}_min{n}": full(F.min, x, w, n), f"{col}_max{n}": full(F.max, x, w, n),
+                       f"{col}_sum{n}": full(F.sum, x, w, n)})
+    return finish(b)
+
+
+def pct_change(bars: DataFrame, col: str, n: int = 1, pad: bool = True, out: str | None = None,
+               layout: SeriesLayout = SeriesLayout()) -> DataFrame:
+    """``x / x(n rows back) - 1``; with ``pad`` missing values are forward
+    filled first (pandas 2.x default). The fill is a blocked prefix scan."""
+    from barlab.operators.scan import prefix_last
+
+    key = _as_list(layout.key)
+    src = bars
+    if pad:
+        src = prefix_last(bars.withColumn("_pc_src", F.col(col)), key, layout.order, ["_pc_src"], layout.block_rows)
+    else:
+        src = bars.withColumn("_pc_src", F.col(col))
+    b = blocked(src, key, layout.order, layout.block_rows, n, 0, layout.segment)
+    w = block_window(key)
+    b = b.withColumn(out or f"{col}_pct{n}", tdiv(F.col("_pc_src"), F.lag("_pc_src", n).over(w)) - 1)
+    return finish(b).drop("_pc_src")
+
+
+def candle_geometry(bars: DataFrame, fp: FeatureParams = FeatureParams(), layout: SeriesLayout = SeriesLayout()) -> DataFrame:
+    """Body, range (flat -> NULL), upper / lower shadow, prior trend."""
+    key = _as_list(layout.key)
+    b = blocked(bars, key, layout.order, layout.block_rows, fp.trend_window, 0, layout.segment)
+    b = b.withColumns(candles.geometry(block_window(key), fp.trend_window))
+    b = b.select("*", *[F.col(c).alias(c[1:]) for c in ("_body", "_range", "_upper", "_lower", "_trend")])
+    return finish(b).drop(*candles.GEOMETRY_TMP)

@@ -287,3 +287,10 @@ def _k02(spark, sf):
 def _k03(spark, sf):
     ex, latest, cols = _explained(spark, sf)
     return K.explanation_table(ex, latest, cols, top_n=5).select("ticker", "bar_date", "feature", "pushes_toward")
+
+
+@register("g13_second_boosted_family", None)
+def _g13(spark, sf):
+    train, test = _split(spark, sf)
+    m = G.fit(train, "gbt", **dict(GBT_CHECK, subsamplingRate=0.8))
+    return G.predict(m, test)

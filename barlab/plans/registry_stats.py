@@ -573,3 +573,87 @@ def _i11(spark, sf):
     tables = run_eda(_ctx(spark, sf), list(CORR_COLS))
     rows = [(name, df.count()) for name, df in tables.items()]
     return spark.createDataFrame(rows, "table string, rows long")
+
+
+# ---------------------------------------------------------------- rows with their own entry
+from barlab.operators import clean as CL  # noqa: E402
+from barlab.operators.indicators import candle_geometry, pct_change, rolling_stats  # noqa: E402
+
+
+@register("d26_rolling_stats", W(O.BARS) + "SELECT ticker, bar_date, " + ", ".join(
+    f"{O.rnd(O._full(agg, 'close', 10))} AS close_{nm}10" for agg, nm in
+    (("avg", "mean"), ("stddev_samp", "std"), ("min", "min"), ("max", "max"), ("sum", "sum"))) + " FROM bars")
+def _d26(spark, sf):
+    return rolling_stats(T.bars(spark, sf).select("ticker", "bar_date", "close"), "close", 10).drop("close")
+
+
+@register("d27_pct_change", W(O.BARS) + "SELECT ticker, bar_date, " +
+          O.rnd("close / NULLIF(lag(close, 3) OVER (PARTITION BY ticker ORDER BY bar_date), 0) - 1") + " AS close_pct3 FROM bars")
+def _d27(spark, sf):
+    return pct_change(T.bars(spark, sf).select("ticker", "bar_date", "close"), "close", 3).drop("close")
+
+
+@register("e00_candle_geometry", W(*FEAT) + "SELECT ticker, bar_date, " + ", ".join(
+    f"{O.rnd(a)} AS {b}" for a, b in (("body", "body"), ("rng", "range"), ("upper_sh", "upper"), ("lower_sh", "lower"),
+                                      ("trend", "trend"))) + " FROM feat")
+def _e00(spark, sf):
+    return candle_geometry(T.bars(spark, sf)).select("ticker", "bar_date", "body", "range", "upper", "lower", "trend")
+
+
+@register("c07_all_ticker_history", W(O.QUARTERLY_RAW, O.HIST) + "SELECT ticker, count(*) AS quarters, "
+          "min(quarter_end) AS first_quarter, max(quarter_end) AS last_quarter FROM hist GROUP BY ticker")
+def _c07(spark, sf):
+    h = quarterly_history(T.quarterly_raw(spark, sf))
+    return h.groupBy("ticker").agg(F.count(F.lit(1)).alias("quarters"), F.min("quarter_end").alias("first_quarter"),
+                                   F.max("quarter_end").alias("last_quarter"))
+
+
+def _params_sql() -> str:
+    parts = []
+    for c in CL.PRICE_COLS:
+        parts.append(f"SELECT '{c}' AS column, 'minmax' AS kind, {O.rnd(f'min({c})')} AS a, "
+                     + O.rnd(f"CASE WHEN max({c}) - min({c}) = 0 THEN 1.0 ELSE max({c}) - min({c}) END") + " AS b FROM imputed")
+    for c in CL.RATIO_COLS:
+        x = f"coalesce(CAST({c} AS DOUBLE), 0)"
+        parts.append(f"SELECT '{c}' AS column, 'standard' AS kind, {O.rnd(f'avg({x})')} AS a, "
+                     + O.rnd(f"CASE WHEN stddev_pop({x}) = 0 THEN 1.0 ELSE stddev_pop({x}) END") + " AS b FROM imputed")
+    from barlab.plans.registry_more import _IMPUTED_CTES
+    return W(*_IMPUTED_CTES) + " UNION ALL ".join(parts)
+
+
+@register("b13_scaler_persist_load", _params_sql())
+def _b13(spark, sf):
+    from barlab.plans.registry_more import _merged
+    imp = CL.impute(_merged(spark, sf), list(O.MERGED_NUMERIC))
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    CL.save_scaler(CL.minmax_fit(imp).unionByName(CL.standard_fit(imp)), f"{root}/scalers")
+    return CL.load_scaler(spark, f"{root}/scalers")
+
+
+@register("l02_annual_volatility", W(*__import__("barlab.plans.registry_stats", fromlist=["_GROWTH_CTES"])._GROWTH_CTES)
+          + "SELECT ticker, " + O.rnd("annual_vol") + " AS annual_vol FROM g")
+def _l02(spark, sf):
+    return growth_stats(T.bars(spark, sf)).select("ticker", "annual_vol")
+
+
+@register("l03_projection_paths", W(*_GROWTH_CTES) + "SELECT ticker, CAST(t AS INTEGER) AS t, "
+          + O.rnd("last_close * pow(1 + cagr, t)") + " AS base, "
+          + O.rnd("last_close * pow(1 + greatest(cagr - annual_vol, -0.95), t)") + " AS pessimistic FROM g, range(1, 6) r(t)")
+def _l03(spark, sf):
+    return project_price(T.bars(spark, sf)).select("ticker", "t", "base", "pessimistic")
+
+
+@register("l04_future_dates", W(*_GROWTH_CTES) + "SELECT ticker, CAST(t AS INTEGER) AS t, "
+          "make_date(CAST(year(last_date) + t AS BIGINT), 12, 31) AS future_date FROM g, range(1, 6) r(t)")
+def _l04(spark, sf):
+    return project_price(T.bars(spark, sf)).select("ticker", "t", "future_date")
+
+
+@register("n01_append_run", None)
+def _n01(spark, sf):
+    import uuid
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/runlog-{uuid.uuid4().hex}"
+    first = T.runs(spark, sf).agg(F.max("accuracy").alias("acc")).first()["acc"]
+    N.append_run(spark, path, "r1", "random_forest", {"n_estimators": 100}, {"accuracy": first}, "stock_rf_classifier")
+    N.append_run(spark, path, "r2", "xgboost", {"n_estimators": 200}, {"accuracy": first / 2}, "stock_xgb_classifier")
+    return N.recent_runs(spark.read.parquet(path), 20)
