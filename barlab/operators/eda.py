@@ -8,8 +8,6 @@ sort with per-partition offsets, never a single-partition window.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +15,6 @@ from pyspark.sql import types as T
 from barlab.functions.columns import tdiv
 from barlab.session import cut_lineage
 
-MAX_AGGS_PER_JOB = 200
 
 
 def numeric_feature_columns(df: DataFrame, exclude=()) -> list[str]:
@@ -36,23 +33,59 @@ def _pair_aggs(a: str, b: str):
 
 
 def correlation_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Pearson r for every column pair (a before b in column order), pairwise
-    complete rows; a constant column gives NULL. Pairs are computed in chunks of
-    at most ``MAX_AGGS_PER_JOB`` aggregates, each chunk one pass over ``df``
-    (persist ``df`` first when it is expensive)."""
+    """Pearson r for every column pair (a before b in column order) over the
+    rows where both are present; a constant column gives NULL.
+
+    One aggregation gives the column means. Then every partition computes the
+    pairwise-complete moment matrices of the mean-centred values with numpy
+    (``Xz' M``, ``Xz'^2 M``, ``Xz' Xz``, ``M' M`` with ``Xz`` the centred values,
+    0 where missing, ``M`` the presence mask): O(rows x k^2) vectorised work,
+    emitted as k^2 rows per partition and summed by ``groupBy(i, j)``. The
+    output is bounded by k^2, not by the data.
+    """
     cols = cols if cols is not None else numeric_feature_columns(df)
-    pairs = list(combinations(cols, 2))
-    parts = []
-    for i in range(0, len(pairs), MAX_AGGS_PER_JOB):
-        chunk = pairs[i:i + MAX_AGGS_PER_JOB]
-        wide = df.agg(*[_pair_aggs(a, b).alias(f"_r{j}") for j, (a, b) in enumerate(chunk)])
-        rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"_r{j}").alias("r"))
-                         for j, (a, b) in enumerate(chunk)])
-        parts.append(wide.select(F.explode(rows).alias("s")).select("s.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    k = len(cols)
+    x = df.select(*[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(cols)])
+    stats = x.agg(*[F.avg(f"_c{i}").alias(f"_m{i}") for i in range(k)],
+                  *[(F.min(f"_c{i}") == F.max(f"_c{i}")).alias(f"_k{i}") for i in range(k)])
+    means = stats.select(*[f"_m{i}" for i in range(k)])
+    constant = stats.select(F.array(*[F.coalesce(F.col(f"_k{i}"), F.lit(True)) for i in range(k)]).alias("_const"))
+    centred = x.crossJoin(F.broadcast(means)).select(
+        *[(F.col(f"_c{i}") - F.coalesce(F.col(f"_m{i}"), F.lit(0.0))).alias(f"_c{i}") for i in range(k)])
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+    def moments(batches):
+        import numpy as np
+        import pandas as pd
+
+        acc = None
+        for pdf in batches:
+            v = pdf.to_numpy(dtype=float)
+            m = ~np.isnan(v)
+            z = np.where(m, v, 0.0)
+            mf = m.astype(float)
+            part = (mf.T @ mf, z.T @ mf, (z * z).T @ mf, z.T @ z)
+            acc = part if acc is None else tuple(a + b for a, b in zip(acc, part))
+        if acc is None:
+            return
+        n, sx, sxx, sxy = acc
+        ii, jj = np.triu_indices(k, 1)
+        yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "n": n[ii, jj], "sx": sx[ii, jj],
+                            "sy": sx[jj, ii], "sxx": sxx[ii, jj], "syy": sxx[jj, ii], "sxy": sxy[ii, jj]})
+
+    parts = centred.mapInPandas(moments, schema)
+    tot = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n, sx, sy, sxx, syy, sxy = (F.col(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy"))
+    cov = sxy - sx * sy / n
+    vx = sxx - sx * sx / n
+    vy = syy - sy * sy / n
+    # a column with one distinct value has no correlation (centring may leave a residue)
+    tot = tot.crossJoin(F.broadcast(constant))
+    flat = F.element_at("_const", F.col("i") + 1) | F.element_at("_const", F.col("j") + 1)
+    r = F.when((n > 1) & (vx > 0) & (vy > 0) & ~flat, cov / F.sqrt(vx * vy))
+    names = F.array(*[F.lit(c) for c in cols])
+    return tot.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"),
+                      r.alias("r"))
 
 
 def label_correlations(df: DataFrame, label: str = "label", cols: list[str] | None = None, top_n: int = 15) -> DataFrame:

@@ -196,3 +196,13 @@ def test_relational_sink_skips_empty_quarterly(spark):
     assert written == ["t_raw_prices", "t_raw_fundamentals"]
     assert sinks.read_table(spark, "t_raw_prices").count() == 2
     assert sinks.sql_source(spark, "SELECT count(*) AS n FROM t_raw_fundamentals").first()["n"] == 1
+
+
+def test_correlation_pairwise_and_constant(spark):
+    rows = [(float(i), 2.0 * i + 1 if i % 3 else None, 0.1, float((i * 7) % 5)) for i in range(30)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    r = {(x["a"], x["b"]): x["r"] for x in eda.correlation_long(df, ["a", "b", "c", "d"]).collect()}
+    assert r[("a", "b")] == pytest.approx(1.0)          # pairwise complete rows only
+    assert r[("a", "c")] is None and r[("b", "c")] is None  # constant column
+    pdf = df.toPandas()
+    assert r[("a", "d")] == pytest.approx(pdf["a"].corr(pdf["d"]))
