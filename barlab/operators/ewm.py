@@ -34,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlab.operators.series import BLK, POS, SUB, _as_list, block_window, sub_window
+from barlab.operators.series import POS, SUB, _as_list, block_window, sub_window, whole_block as _whole_block, whole_sub as _whole_sub
 
 DIGITS = 17.0          # truncated history weighs < 10^-DIGITS
 MAX_EXP_DIGITS = 150.0  # largest power of ten an in-block factor may reach
@@ -86,8 +86,8 @@ def add_ewm(df: DataFrame, key, specs: list[EwmSpec], sub_rows: int) -> DataFram
     key = _as_list(key)
     wb = block_window(key)
     ws = sub_window(key)
-    whole_block = Window.partitionBy(*key, BLK)
-    whole_sub = Window.partitionBy(*key, BLK, SUB)
+    whole_block = _whole_block()
+    whole_sub = _whole_sub()
     S = sub_rows
     r = F.col(POS) - F.col(SUB) * F.lit(S)
 

@@ -18,7 +18,7 @@ from barlab.operators import clean
 from barlab.operators.asof import attach_quarterly
 from barlab.operators.indicators import compute_features
 from barlab.operators.models import FEATURE_COLS, assemble
-from barlab.operators.series import NTOT, RN, number_rows
+from barlab.operators.series import NTOT, RN, SKEY, number_rows
 from barlab.params import MIN_HISTORY_BARS, SCORING_LOOKBACK_BARS, FeatureParams, SeriesLayout
 
 log = logging.getLogger("barlab.score")
@@ -95,7 +95,7 @@ def warmup_check(latest: DataFrame, cols=WARMUP_CHECK) -> DataFrame:
 def last_n_bars(bars: DataFrame, n: int = SCORING_LOOKBACK_BARS, key: str = "ticker", order: str = "bar_date") -> DataFrame:
     """The newest ``n`` bars of each ticker (row numbers from per-segment counts)."""
     nb = number_rows(bars, [key], order)
-    return nb.filter(F.col(RN) >= F.col(NTOT) - n).drop(RN, NTOT)
+    return nb.filter(F.col(RN) >= F.col(NTOT) - n).drop(RN, NTOT, SKEY)
 
 
 def score_tickers(bars: DataFrame, fund: DataFrame, history: DataFrame | None, ratio_params: DataFrame,

@@ -14,18 +14,21 @@ that small table, so numbering needs no key-wide sort either.
 Columns added: ``_rn`` row number in the series (0-based), ``_n`` series
 length, ``_blk`` block id, ``_native`` (row belongs to this block, not halo),
 ``_u`` position inside the block's visible range, ``_sub`` sub-block of ``_u``
-(used by the exponential smoother).
+(used by the exponential smoother), ``_skey`` the key as one struct column.
+
+All partitioning and joins use ``_skey``: a struct is never NULL and compares
+NULL fields as equal, so plain equi-joins keep rows with a NULL key and the
+hash partitioning of one step is reused by the next (no null-safe join
+rewrite that would force an extra shuffle).
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RN, NTOT, BLK, NATIVE, POS, SUB = "_rn", "_n", "_blk", "_native", "_u", "_sub"
-HELPERS = (RN, NTOT, BLK, NATIVE, POS, SUB)
+RN, NTOT, BLK, NATIVE, POS, SUB, SKEY = "_rn", "_n", "_blk", "_native", "_u", "_sub", "_skey"
+HELPERS = (RN, NTOT, BLK, NATIVE, POS, SUB, SKEY)
 DEFAULT_SUB_ROWS = 256
 
 
@@ -34,28 +37,25 @@ def _as_list(x) -> list:
 
 
 def number_rows(df: DataFrame, key, order, segment: str = "year") -> DataFrame:
-    """Add ``_rn`` (0-based position in ``order`` within ``key``) and ``_n``.
+    """Add ``_rn`` (0-based position in ``order`` within ``key``), ``_n`` and ``_skey``.
 
     ``order`` may be several columns; the first one must be a date or
     timestamp and is truncated to ``segment`` to form numbering segments.
     Rows per (key, segment) are bounded by the calendar, not by data volume.
+    The join with the small offsets table and the row_number window share
+    one hash partitioning on (``_skey``, segment).
     """
     key, order = _as_list(key), _as_list(order)
-    base = df.withColumn("_seg", F.date_trunc(segment, F.col(order[0])))
-    counts = base.groupBy(*key, "_seg").agg(F.count(F.lit(1)).alias("_cnt"))
-    wk = Window.partitionBy(*key).orderBy("_seg")
+    base = df.withColumns({SKEY: F.struct(*key), "_seg": F.date_trunc(segment, F.col(order[0]))})
+    counts = base.groupBy(SKEY, "_seg").agg(F.count(F.lit(1)).alias("_cnt"))
+    wk = Window.partitionBy(SKEY).orderBy("_seg")
     offsets = counts.select(
-        *[F.col(k).alias("_o_" + k) for k in key],
-        F.col("_seg").alias("_o_seg"),
+        SKEY, "_seg",
         F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy(*key)).alias(NTOT),
+        F.sum("_cnt").over(Window.partitionBy(SKEY)).alias(NTOT),
     )
-    cond = reduce(
-        lambda a, b: a & b,
-        [base[k].eqNullSafe(offsets["_o_" + k]) for k in key] + [base["_seg"] == offsets["_o_seg"]],
-    )
-    joined = base.join(offsets, cond, "inner").drop(*["_o_" + k for k in key], "_o_seg")
-    ws = Window.partitionBy(*key, "_seg").orderBy(*order)
+    joined = base.join(offsets, [SKEY, "_seg"], "inner")
+    ws = Window.partitionBy(SKEY, "_seg").orderBy(*order)
     return joined.withColumn(RN, F.col("_off") + F.row_number().over(ws) - 1).drop("_seg", "_off")
 
 
@@ -73,14 +73,22 @@ def to_blocks(numbered: DataFrame, block_rows: int, back: int, ahead: int, sub_r
                            F.floor(pos / F.lit(sub_rows)).alias(SUB))
 
 
-def block_window(key) -> Window:
+def block_window(key=None) -> Window:
     """Ordered window over one block (own rows + halo) of one key."""
-    return Window.partitionBy(*_as_list(key), BLK).orderBy(SUB, RN)
+    return Window.partitionBy(SKEY, BLK).orderBy(SUB, RN)
 
 
-def sub_window(key) -> Window:
+def sub_window(key=None) -> Window:
     """Ordered window over one sub-block; shares the sort of ``block_window``."""
-    return Window.partitionBy(*_as_list(key), BLK, SUB).orderBy(RN)
+    return Window.partitionBy(SKEY, BLK, SUB).orderBy(RN)
+
+
+def whole_block() -> Window:
+    return Window.partitionBy(SKEY, BLK)
+
+
+def whole_sub() -> Window:
+    return Window.partitionBy(SKEY, BLK, SUB)
 
 
 def rows(w: Window, n: int) -> Window:
@@ -99,7 +107,7 @@ def finish(blocked: DataFrame, keep_helpers: bool = False) -> DataFrame:
     """Keep each row once (its own block) and drop layout columns."""
     out = blocked.filter(F.col(NATIVE))
     if keep_helpers:
-        return out.drop(BLK, NATIVE, POS, SUB)
+        return out.drop(BLK, NATIVE, POS, SUB, SKEY)
     return out.drop(*HELPERS)
 
 
