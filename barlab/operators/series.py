@@ -65,7 +65,8 @@ def to_blocks(numbered: DataFrame, block_rows: int, back: int, ahead: int, sub_r
         raise ValueError("block_rows >= 1, back >= 0, ahead >= 0")
     rn = F.col(RN)
     kmin = F.greatest(F.lit(0).cast("long"), F.floor((rn - F.lit(ahead)) / F.lit(block_rows)))
-    kmax = F.floor((rn + F.lit(back)) / F.lit(block_rows))
+    # no copies into a block past the series' last row (it would hold only halo)
+    kmax = F.least(F.floor((rn + F.lit(back)) / F.lit(block_rows)), F.floor((F.col(NTOT) - 1) / F.lit(block_rows)))
     blk = F.col(BLK)
     pos = rn - F.greatest(F.lit(0).cast("long"), blk * F.lit(block_rows) - F.lit(back))
     exploded = numbered.select("*", F.explode(F.sequence(kmin, kmax)).alias(BLK))

@@ -55,3 +55,22 @@ def test_carries_cover_precision():
         s = sub_rows_for([a])
         m = carries(a, s)
         assert (1 - a) ** (m * s) / a < 1e-16
+
+
+def test_hot_key_spreads_over_blocks(spark):
+    """One ticker with most of the rows: its rows go to many (key, block)
+    partitions, and the features equal the single-block computation."""
+    import datetime as dt
+
+    rows = []
+    for t, n in (("HOT", 2400), ("A", 300), ("B", 300)):
+        for i in range(n):
+            c = 100 + ((i * 37) % 23) - ((i * 11) % 7) + (0 if t == "HOT" else 5)
+            rows.append((t, dt.date(2000, 1, 3) + dt.timedelta(days=i), c - 0.5, c + 1.0, c - 1.5, float(c), 1000.0 + i))
+    bars = spark.createDataFrame(rows, "ticker string, bar_date date, open double, high double, low double, close double, volume double")
+    blocked_df = blocked(bars, ["ticker"], "bar_date", block_rows=400, back=64, ahead=0, segment="year")
+    per_key = blocked_df.groupBy("ticker").agg(F.countDistinct("_blk").alias("blocks")).collect()
+    assert {r.ticker: r.blocks for r in per_key}["HOT"] == 6
+    small = compute_features(bars, layout=SeriesLayout(block_rows=400)).toPandas()
+    one = compute_features(bars).toPandas()
+    approx_equal_frames(one, small, ["ticker", "bar_date"], rel=1e-9, abs_=1e-7)
