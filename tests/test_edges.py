@@ -206,3 +206,24 @@ def test_correlation_pairwise_and_constant(spark):
     assert r[("a", "c")] is None and r[("b", "c")] is None  # constant column
     pdf = df.toPandas()
     assert r[("a", "d")] == pytest.approx(pdf["a"].corr(pdf["d"]))
+
+
+def test_run_pipeline_writes_stage_tables(spark):
+    import os
+    import tempfile
+
+    from barlab.operators.quarterly import quarterly_history
+    from barlab.plans.pipeline import run_pipeline
+    from barlab.sources import bars as B
+    from barlab.sources import tables as T
+    from conftest import SF_SMALL
+
+    out = tempfile.mkdtemp(prefix="barlab-pipe-")
+    prices = B.join_index(T.bars(spark, SF_SMALL), T.index_levels(spark, SF_SMALL))
+    paths = run_pipeline(prices, T.fundamentals(spark, SF_SMALL), quarterly_history(T.quarterly_raw(spark, SF_SMALL)), out)
+    for k in ("processed", "featured", "price_params", "ratio_params"):
+        assert os.path.isdir(paths[k])
+    featured = spark.read.parquet(paths["featured"])
+    assert featured.count() > 0
+    assert featured.filter(F.col("label").isNull()).count() == 0
+    assert "pe_ratio" in featured.columns and "earnings_growth_streak" in featured.columns
