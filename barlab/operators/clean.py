@@ -52,14 +52,22 @@ def ffill(df: DataFrame, cols: list[str], key="ticker", order="bar_date", block_
     return prefix_last(df, key, order, cols, block_rows=block_rows)
 
 
-def column_medians(df: DataFrame, cols: list[str], method: str = "exact", accuracy: int = 100000) -> DataFrame:
+def column_medians(df: DataFrame, cols: list[str], method: str = "distributed", accuracy: int = 100000) -> DataFrame:
     """One row with the median of each column (NULLs ignored; all-NULL -> NULL).
 
-    ``exact`` is the interpolated median (Spark ``percentile``; its buffer
-    holds one count per distinct value). ``approx`` uses ``percentile_approx``
-    with rank error 1/``accuracy``: the choice for very large tables, never
-    taken silently.
+    ``distributed`` (default): exact interpolated median from a distributed
+    rank (``eda.exact_quantiles``), no unbounded aggregation buffer.
+    ``exact``: Spark ``percentile`` (its single final buffer holds one count
+    per distinct value: only for tables of bounded distinct values).
+    ``approx``: ``percentile_approx`` with rank error 1/``accuracy``; never
+    chosen silently.
     """
+    if method == "distributed":
+        from barlab.operators.eda import exact_quantiles
+
+        q = exact_quantiles(df, cols, [0.5])
+        wide = q.groupBy().agg(*[F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(c) for c in cols])
+        return wide
     if method == "exact":
         aggs = [F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in cols]
     elif method == "approx":
@@ -69,7 +77,7 @@ def column_medians(df: DataFrame, cols: list[str], method: str = "exact", accura
     return df.agg(*aggs)
 
 
-def fill_median(df: DataFrame, cols: list[str], method: str = "exact") -> DataFrame:
+def fill_median(df: DataFrame, cols: list[str], method: str = "distributed") -> DataFrame:
     """Remaining NULLs -> global median of the column."""
     med = F.broadcast(column_medians(df, cols, method).select(*[F.col(c).alias(f"_med_{c}") for c in cols]))
     out = df.crossJoin(med)
@@ -79,28 +87,35 @@ def fill_median(df: DataFrame, cols: list[str], method: str = "exact") -> DataFr
 
 
 def impute(df: DataFrame, cols: list[str] | None = None, key="ticker", order="bar_date",
-           method: str = "exact", block_rows: int = 16384) -> DataFrame:
+           method: str = "distributed", block_rows: int = 16384) -> DataFrame:
     """Forward fill per key, then the global median of what is left."""
     cols = cols if cols is not None else numeric_columns(df)
     return fill_median(ffill(df, cols, key, order, block_rows), cols, method)
 
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Count, mean, std (ddof 1), min, quartiles, max per numeric column, long form."""
+    """Count, mean, std (ddof 1), min, quartiles, max per numeric column, long form.
+
+    Moments are one aggregation; quartiles come from the distributed exact
+    quantiles (no per-column buffer of all distinct values)."""
+    from barlab.operators.eda import exact_quantiles
+
     cols = cols if cols is not None else numeric_columns(df)
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, [0.25, 0.5, 0.75]).alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"),
                      F.col(f"{c}__count").alias("count"), F.col(f"{c}__mean").alias("mean"),
                      F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"),
-                     F.col(f"{c}__q")[0].alias("q25"), F.col(f"{c}__q")[1].alias("q50"),
-                     F.col(f"{c}__q")[2].alias("q75"), F.col(f"{c}__max").alias("max")) for c in cols]
-    return wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+                     F.col(f"{c}__max").alias("max")) for c in cols]
+    moments = wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    out = moments.join(F.broadcast(q), "column", "left")  # one row per column
+    return out.select("column", "count", "mean", "std", "min", F.col("q")[0].alias("q25"),
+                      F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
 
 def missing_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

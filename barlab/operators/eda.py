@@ -165,8 +165,8 @@ def histogram(df: DataFrame, col: str, bins: int, by: str | None = None) -> Data
 def box_stats(df: DataFrame, value: str = "MACD_hist", by: str = "label") -> DataFrame:
     """I8: quartiles, 1.5 IQR whiskers at data points, outlier count per group."""
     v = F.col(value)
-    q = df.groupBy(by).agg(F.percentile(v, [0.25, 0.5, 0.75]).alias("_q"))
-    q = q.select(by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    q = exact_quantiles(df.select(by, value), [value], [0.25, 0.5, 0.75], by=by)  # one row per group
+    q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     j = df.select(by, value).filter(v.isNotNull()).join(F.broadcast(q), by)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
@@ -193,8 +193,8 @@ def sell_rate_by_quantile(df: DataFrame, col: str = "vix", q: int = 5, label: st
     """Interpolated quantile edges, right-closed bins (first includes its low
     edge), share of label 0 per bin. Duplicate edges raise, as the reference does."""
     probs = [i / q for i in range(q + 1)]
-    edges = df.agg(F.percentile(F.col(col), probs).alias("_e"))
-    e = edges.first()["_e"]
+    found = exact_quantiles(df, [col], probs).collect()  # q + 1 numbers
+    e = found[0]["q"] if found else None
     if e is None:
         raise ValueError(f"no values in {col}")
     if len(set(e)) < len(e):
@@ -209,3 +209,47 @@ def sell_rate_by_quantile(df: DataFrame, col: str = "vix", q: int = 5, label: st
     hi = F.element_at(F.array(*[F.lit(float(v)) for v in e[1:]]), F.col("bin") + 1)
     return d.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col(label) == 0).cast("double")).alias("sell_rate")) \
         .select("bin", lo.alias("lo"), hi.alias("hi"), "n", "sell_rate")
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: str | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles (numpy / Spark ``percentile``
+    semantics) without any unbounded aggregation buffer.
+
+    The columns are unpivoted to (column, value) rows and ranked with
+    ``global_rank`` (range-partitioned, distributed). Per (group, column) row
+    counts (a small table) give each value's rank inside its column; only the
+    two ranks around ``p * (n - 1)`` per probability are read back. Output: one
+    row per (group, column) with ``q`` = array of quantiles in ``probs`` order
+    (NULL for a column with no values).
+    """
+    spark = df.sparkSession
+    grp = [by] if by else []
+    items = F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in cols])
+    long = df.select(*grp, F.explode(items).alias("_s")).select(*grp, "_s._col", "_s._v").filter(F.col("_v").isNotNull())
+    ranked = global_rank(long, [*grp, "_col", "_v"])
+    counts = ranked.groupBy(*grp, "_col").agg(F.count(F.lit(1)).alias("_n"), F.min("_rank").alias("_first"))
+    rows = counts.collect()  # one row per (group, column): bounded by groups x columns
+    need, plan = set(), []
+    for r in rows:
+        n, first = r["_n"], r["_first"]
+        pos = []
+        for p in probs:
+            h = p * (n - 1)
+            lo, hi = int(h // 1), int(-(-h // 1))
+            need.update((first + lo, first + hi))
+            pos.append((first + lo, first + hi, h - lo))
+        plan.append(([r[g] for g in grp], r["_col"], pos))
+    picked = {}
+    if need:
+        want = spark.createDataFrame([(int(x),) for x in sorted(need)], "_rank long")
+        for r in ranked.join(F.broadcast(want), "_rank").select("_rank", "_v").collect():  # 2 rows per quantile
+            picked[r["_rank"]] = r["_v"]
+    out = []
+    for gvals, col, pos in plan:
+        qs = [picked[lo] + frac * (picked[hi] - picked[lo]) for lo, hi, frac in pos]
+        out.append((*gvals, col, qs))
+    for c in cols:  # columns without values
+        if not any(pc == c for _, pc, _ in plan) and not grp:
+            out.append((c, None))
+    schema = ", ".join([f"{g} {df.schema[g].dataType.simpleString()}" for g in grp] + ["column string", "q array<double>"])
+    return spark.createDataFrame(out, schema)

@@ -36,7 +36,7 @@ def merge_inputs(prices: DataFrame, fund: DataFrame, history: DataFrame | None,
 
 
 def run_preprocessing(prices: DataFrame, fund: DataFrame, history: DataFrame | None,
-                      params: PipelineParams = PipelineParams(), median_method: str = "exact",
+                      params: PipelineParams = PipelineParams(), median_method: str = "distributed",
                       asof_strategy: str = "auto", materialize: bool = True) -> Preprocessed:
     """Merge -> describe / missing -> impute -> min-max prices -> standardise ratios -> ticker slot.
 
