@@ -227,3 +227,18 @@ def test_run_pipeline_writes_stage_tables(spark):
     assert featured.count() > 0
     assert featured.filter(F.col("label").isNull()).count() == 0
     assert "pe_ratio" in featured.columns and "earnings_growth_streak" in featured.columns
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+
+    rows = [(i % 3, float((i * 7919) % 101) if i % 5 else None, float(i % 4)) for i in range(500)]
+    df = spark.createDataFrame(rows, "g int, x double, y double")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = {r["column"]: r["q"] for r in eda.exact_quantiles(df, ["x", "y"], probs).collect()}
+    pdf = df.toPandas()
+    for c in ("x", "y"):
+        np.testing.assert_allclose(got[c], np.nanpercentile(pdf[c].to_numpy(dtype=float), [p * 100 for p in probs]))
+    by = {(r["g"], r["column"]): r["q"] for r in eda.exact_quantiles(df, ["x"], [0.5], by="g").collect()}
+    for g in range(3):
+        assert by[(g, "x")][0] == pytest.approx(float(np.nanmedian(pdf[pdf.g == g]["x"].to_numpy(dtype=float))))
