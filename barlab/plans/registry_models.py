@@ -128,8 +128,9 @@ def _g16(spark, sf):
 @register("g17_model_persist", None)
 def _g17(spark, sf):
     from barlab.session import ensure_checkpoint_dir
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    paths = {"rf": f"{root}/models/rf", "gbt": f"{root}/models/gbt", "missing": f"{root}/models/none"}
+    import uuid
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
+    paths = {"rf": f"{root}/rf", "gbt": f"{root}/gbt", "missing": f"{root}/none"}
     G.save_model(_model(spark, sf, "rf"), paths["rf"])
     G.save_model(_model(spark, sf, "gbt"), paths["gbt"])
     loaded = G.load_models(paths)

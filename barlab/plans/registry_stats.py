@@ -541,6 +541,8 @@ def _f08(spark, sf):
 
 
 # ---------------------------------------------------------------- A9-A12, I11
+import uuid  # noqa: E402
+
 from barlab.session import ensure_checkpoint_dir  # noqa: E402
 from barlab.sources import sinks as S  # noqa: E402
 from barlab.sources.bars import BAR_SCHEMA  # noqa: E402
@@ -550,14 +552,14 @@ _BAR_SQL = W(O.BARS) + "SELECT ticker, bar_date, " + O.r6("open", "high", "low",
 
 @register("a09_csv_source", _BAR_SQL)
 def _a09(spark, sf):
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-csv/raw_prices"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-csv-{uuid.uuid4().hex}/raw_prices"
     S.write_stage(T.bars(spark, sf).select(*BAR_SCHEMA.fieldNames()), path, fmt="csv")
     return S.read_stage_csv(spark, path)
 
 
 @register("a10_stage_sink", _BAR_SQL)
 def _a10(spark, sf):
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-parquet/raw_prices"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-parquet-{uuid.uuid4().hex}/raw_prices"
     S.write_stage(T.bars(spark, sf), path, partition_by=["ticker"])
     return spark.read.parquet(path).select("ticker", "bar_date", "open", "high", "low", "close", "volume")
 
@@ -625,9 +627,9 @@ def _params_sql() -> str:
 def _b13(spark, sf):
     from barlab.plans.registry_more import _merged
     imp = CL.impute(_merged(spark, sf), list(O.MERGED_NUMERIC))
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    CL.save_scaler(CL.minmax_fit(imp).unionByName(CL.standard_fit(imp)), f"{root}/scalers")
-    return CL.load_scaler(spark, f"{root}/scalers")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scalers-{uuid.uuid4().hex}"
+    CL.save_scaler(CL.minmax_fit(imp).unionByName(CL.standard_fit(imp)), path)
+    return CL.load_scaler(spark, path)
 
 
 @register("l02_annual_volatility", W(*__import__("barlab.plans.registry_stats", fromlist=["_GROWTH_CTES"])._GROWTH_CTES)
