@@ -34,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlab.operators.series import POS, SUB, _as_list, block_window, sub_window, whole_block as _whole_block, whole_sub as _whole_sub
+from barlab.operators.series import _as_list
 
 DIGITS = 17.0          # truncated history weighs < 10^-DIGITS
 MAX_EXP_DIGITS = 150.0  # largest power of ten an in-block factor may reach
@@ -83,26 +83,38 @@ def _c(x) -> Column:
 
 def add_ewm(df: DataFrame, key, specs: list[EwmSpec], sub_rows: int) -> DataFrame:
     """Add one smoothed column per spec to a blocked frame (see ``series.to_blocks``)."""
-    key = _as_list(key)
-    wb = block_window(key)
-    ws = sub_window(key)
-    whole_block = _whole_block()
-    whole_sub = _whole_sub()
     S = sub_rows
-    r = F.col(POS) - F.col(SUB) * F.lit(S)
+    wb = "(PARTITION BY _skey, _blk ORDER BY _sub, _rn)"
+    ws_run = "(PARTITION BY _skey, _blk, _sub ORDER BY _rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    whole_block = "(PARTITION BY _skey, _blk)"
+    whole_sub = "(PARTITION BY _skey, _blk, _sub)"
+    r = f"(_u - _sub * {S})"
+
+    def D(v: float) -> str:  # exact double literal
+        return f"{float(v)!r}D"
+
+    stage = df
+    names = {}
+    for i, sp in enumerate(specs):
+        if isinstance(sp.x, str):
+            names[i] = sp.x
+        else:  # a Column: give it a name first
+            names[i] = f"_e{i}_in"
+            stage = stage.withColumn(names[i], sp.x)
 
     # stage 1: effective input (leading NULLs take the first value of the block)
     firsts, inputs = {}, {}
     for i, sp in enumerate(specs):
-        x = _c(sp.x)
+        x = names[i]
         if sp.leading_nulls:
-            firsts[f"_e{i}_fp"] = F.min(F.when(x.isNotNull(), F.col(POS))).over(whole_block)
-            firsts[f"_e{i}_fv"] = F.min_by(x, F.when(x.isNotNull(), F.col(POS))).over(whole_block)
-            inputs[f"_e{i}_x"] = F.when(F.col(POS) < F.col(f"_e{i}_fp"), F.col(f"_e{i}_fv")).otherwise(x).cast("double")
+            firsts[f"_e{i}_fp"] = f"min(CASE WHEN {x} IS NOT NULL THEN _u END) OVER {whole_block}"
+            firsts[f"_e{i}_fv"] = f"min_by({x}, CASE WHEN {x} IS NOT NULL THEN _u END) OVER {whole_block}"
+            inputs[f"_e{i}_x"] = f"CAST(CASE WHEN _u < _e{i}_fp THEN _e{i}_fv ELSE {x} END AS DOUBLE)"
         else:
-            inputs[f"_e{i}_x"] = x.cast("double")
-    stage = df.withColumns(firsts) if firsts else df
-    stage = stage.withColumns(inputs)
+            inputs[f"_e{i}_x"] = f"CAST({x} AS DOUBLE)"
+    if firsts:
+        stage = stage.withColumns({k: F.expr(v) for k, v in firsts.items()})
+    stage = stage.withColumns({k: F.expr(v) for k, v in inputs.items()})
 
     # stage 2: in-sub-block running sums and sub-block totals
     sums = {}
@@ -110,29 +122,27 @@ def add_ewm(df: DataFrame, key, specs: list[EwmSpec], sub_rows: int) -> DataFram
         if sp.alpha >= 1.0:
             continue
         a, q = sp.alpha, 1.0 - sp.alpha
-        c = F.when(F.col(POS) == 0, F.col(f"_e{i}_x")).otherwise(F.lit(a) * F.col(f"_e{i}_x"))
-        sums[f"_e{i}_L"] = F.sum(c * F.pow(F.lit(q), -r)).over(ws.rowsBetween(Window.unboundedPreceding, 0))
-        sums[f"_e{i}_E"] = F.sum(c * F.pow(F.lit(q), F.lit(S - 1) - r)).over(whole_sub)
+        c = f"(CASE WHEN _u = 0 THEN _e{i}_x ELSE {D(a)} * _e{i}_x END)"
+        sums[f"_e{i}_L"] = f"sum({c} * pow({D(q)}, -{r})) OVER {ws_run}"
+        sums[f"_e{i}_E"] = f"sum({c} * pow({D(q)}, {S - 1} - {r})) OVER {whole_sub}"
     if sums:
-        stage = stage.withColumns(sums)
+        stage = stage.withColumns({k: F.expr(v) for k, v in sums.items()})
 
     # stage 3: carry from the previous sub-blocks and the result
     outs = {}
     for i, sp in enumerate(specs):
         if sp.alpha >= 1.0:
-            y = F.col(f"_e{i}_x")
+            y = f"_e{i}_x"
         else:
             q = 1.0 - sp.alpha
             m = carries(sp.alpha, S)
-            prev = None
-            for j in range(1, m + 1):
-                term = F.lit(q ** (S * (j - 1))) * F.coalesce(F.lag(f"_e{i}_E", j * S).over(wb), F.lit(0.0))
-                prev = term if prev is None else prev + term
-            y = F.pow(F.lit(q), r) * (F.col(f"_e{i}_L") + F.lit(q) * prev)
+            prev = " + ".join(f"{D(q ** (S * (j - 1)))} * coalesce(lag(_e{i}_E, {j * S}) OVER {wb}, 0.0D)"
+                              for j in range(1, m + 1))
+            y = f"pow({D(q)}, {r}) * (_e{i}_L + {D(q)} * ({prev}))"
         if sp.leading_nulls:
-            y = F.when(F.col(POS) >= F.col(f"_e{i}_fp"), y)
+            y = f"CASE WHEN _u >= _e{i}_fp THEN {y} END"
         outs[sp.out] = y
-    stage = stage.withColumns(outs)
+    stage = stage.withColumns({k: F.expr(v) for k, v in outs.items()})
 
     tmp = [c for c in stage.columns if c.startswith("_e") and c.split("_")[1][1:].isdigit()]
     return stage.drop(*tmp)

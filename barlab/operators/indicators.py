@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.functions.columns import flag, tdiv
+from barlab.functions.columns import tdiv
 from barlab.operators import candles
 from barlab.operators.ewm import EwmSpec, add_ewm, depth, sub_rows_for
 from barlab.operators.series import NTOT, RN, _as_list, blocked, block_window, finish, full, rows
@@ -85,78 +85,80 @@ def compute_features(
     if layout.order != "bar_date":
         bars = bars.withColumnRenamed(layout.order, "bar_date")
     b = blocked(bars, key, "bar_date", layout.block_rows, back, ahead, layout.segment, s)
-    w = block_window(key)
-    c, h, l, o, v = (F.col(n) for n in ("close", "high", "low", "open", "volume"))
+    # Expressions are SQL text: one call per expression instead of one per
+    # function node, which keeps building this plan cheap. W is the block
+    # window (own rows + halo, row order); R(n) its frame of n rows.
+    W = "(PARTITION BY _skey, _blk ORDER BY _sub, _rn)"
+
+    def R(n: int) -> str:
+        return f"(PARTITION BY _skey, _blk ORDER BY _sub, _rn ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+    def full(agg: str, x: str, n: int) -> str:
+        return f"CASE WHEN count({x}) OVER {R(n)} = {n} THEN {agg}({x}) OVER {R(n)} END"
+
+    def add(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+        return df.withColumns({k: F.expr(v) for k, v in exprs.items()})
 
     # stage A: raw differences and bounded windows over OHLCV
-    pc = F.lag(c, 1).over(w)
-    b = b.withColumns({"_pc": pc, "_ph": F.lag(h, 1).over(w), "_pl": F.lag(l, 1).over(w),
-                       "_pv": F.lag(v, 1).over(w)})
-    delta = c - F.col("_pc")
-    b = b.withColumns({
-        "daily_return": tdiv(c, F.col("_pc")) - 1,
-        "MA7": full(F.avg, c, w, fp.ma_short),
-        "MA21": full(F.avg, c, w, fp.ma_long),
-        "_gain": F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0))),
-        "_loss": F.when(delta.isNotNull(), F.greatest(-delta, F.lit(0.0))),
-        "_bb_mid": full(F.avg, c, w, fp.bb_window),
-        "_bb_std": full(F.stddev_samp, c, w, fp.bb_window),
-        "volume_change": tdiv(v, F.col("_pv")) - 1,
-        "price_range": tdiv(h - l, l),
-        "_ll": full(F.min, l, w, fp.stoch_window),
-        "_hh": full(F.max, h, w, fp.stoch_window),
-        "_tr": F.greatest(h - l, F.abs(h - F.col("_pc")), F.abs(l - F.col("_pc"))),
-        "_up": h - F.col("_ph"),
-        "_down": F.col("_pl") - l,
-        "_dir": F.coalesce(F.signum(delta), F.lit(0.0)),
-        **candles.geometry(w, fp.trend_window),
+    b = add(b, {"_pc": f"lag(close, 1) OVER {W}", "_ph": f"lag(high, 1) OVER {W}",
+                "_pl": f"lag(low, 1) OVER {W}", "_pv": f"lag(volume, 1) OVER {W}"})
+    b = add(b, {
+        "daily_return": "try_divide(close, _pc) - 1",
+        "MA7": full("avg", "close", fp.ma_short),
+        "MA21": full("avg", "close", fp.ma_long),
+        "_gain": "CASE WHEN close - _pc IS NOT NULL THEN greatest(close - _pc, 0.0D) END",
+        "_loss": "CASE WHEN close - _pc IS NOT NULL THEN greatest(-(close - _pc), 0.0D) END",
+        "_bb_mid": full("avg", "close", fp.bb_window),
+        "_bb_std": full("stddev_samp", "close", fp.bb_window),
+        "volume_change": "try_divide(volume, _pv) - 1",
+        "price_range": "try_divide(high - low, low)",
+        "_ll": full("min", "low", fp.stoch_window),
+        "_hh": full("max", "high", fp.stoch_window),
+        "_tr": "greatest(high - low, abs(high - _pc), abs(low - _pc))",
+        "_up": "high - _ph",
+        "_down": "_pl - low",
+        "_dir": "coalesce(signum(close - _pc), 0.0D)",
+        **candles.geometry_sql(W, fp.trend_window),
     })
 
     # stage B: indicators over stage-A columns
-    up, down = F.col("_up"), F.col("_down")
-    obv_num = F.sum(F.col("_dir") * v).over(rows(w, fp.obv_window))
-    obv_ok = F.count(F.lit(1)).over(rows(w, fp.obv_window + 1)) == fp.obv_window + 1
-    b = b.withColumns({
-        "MA_crossover": flag(F.col("MA7") > F.col("MA21")),
-        "RSI_14": F.lit(100.0) - tdiv(F.lit(100.0), 1 + tdiv(full(F.avg, F.col("_gain"), w, fp.rsi),
-                                                             full(F.avg, F.col("_loss"), w, fp.rsi))),
-        "BB_upper": F.col("_bb_mid") + fp.bb_std * F.col("_bb_std"),
-        "BB_lower": F.col("_bb_mid") - fp.bb_std * F.col("_bb_std"),
-        "Stoch_K": tdiv(100 * (c - F.col("_ll")), F.col("_hh") - F.col("_ll")),
-        "ATR_14": full(F.avg, F.col("_tr"), w, fp.atr),
-        "_pdm": F.when((up > down) & (up > 0), up).otherwise(F.lit(0.0)),
-        "_mdm": F.when((down > up) & (down > 0), down).otherwise(F.lit(0.0)),
-        "OBV_roc_5": F.when(obv_ok, tdiv(obv_num, full(F.sum, v, w, fp.obv_window))),
-        **{f"daily_return_lag{k}": F.lag("daily_return", k).over(w) for k in fp.lags},
-        **candles.flags(),
+    ow = fp.obv_window
+    b = add(b, {
+        "MA_crossover": "CAST(coalesce(MA7 > MA21, false) AS INT)",
+        "RSI_14": f"100.0D - try_divide(100.0D, 1 + try_divide({full('avg', '_gain', fp.rsi)}, {full('avg', '_loss', fp.rsi)}))",
+        "BB_upper": f"_bb_mid + {fp.bb_std!r}D * _bb_std",
+        "BB_lower": f"_bb_mid - {fp.bb_std!r}D * _bb_std",
+        "Stoch_K": "try_divide(100 * (close - _ll), _hh - _ll)",
+        "ATR_14": full("avg", "_tr", fp.atr),
+        "_pdm": "CASE WHEN _up > _down AND _up > 0 THEN _up ELSE 0.0D END",
+        "_mdm": "CASE WHEN _down > _up AND _down > 0 THEN _down ELSE 0.0D END",
+        "OBV_roc_5": (f"CASE WHEN count(1) OVER {R(ow + 1)} = {ow + 1} THEN "
+                      f"try_divide(sum(_dir * volume) OVER {R(ow)}, {full('sum', 'volume', ow)}) END"),
+        **{f"daily_return_lag{k}": f"lag(daily_return, {k}) OVER {W}" for k in fp.lags},
+        **candles.flags_sql(),
     })
 
     # stage C: second-order bounded windows, candle counts, first smoothing round
-    b = b.withColumns({
-        "BB_width": tdiv(F.col("BB_upper") - F.col("BB_lower"), F.col("_bb_mid")),
-        "Stoch_D": full(F.avg, F.col("Stoch_K"), w, fp.stoch_smooth),
-        **{f"RSI_14_lag{k}": F.lag("RSI_14", k).over(w) for k in fp.lags},
-        **candles.counts(),
+    b = add(b, {
+        "BB_width": "try_divide(BB_upper - BB_lower, _bb_mid)",
+        "Stoch_D": full("avg", "Stoch_K", fp.stoch_smooth),
+        **{f"RSI_14_lag{k}": f"lag(RSI_14, {k}) OVER {W}" for k in fp.lags},
+        **candles.counts_sql(),
     })
     b = add_ewm(b, key, _round1_specs(fp), s)
-    pdi = tdiv(100 * F.col("_pdm_w"), F.col("_atr_w"))
-    mdi = tdiv(100 * F.col("_mdm_w"), F.col("_atr_w"))
-    b = b.withColumns({"MACD": F.col("_ema_fast") - F.col("_ema_slow"), "_pdi": pdi, "_mdi": mdi})
-    b = b.withColumn("DX", tdiv(100 * F.abs(F.col("_pdi") - F.col("_mdi")), F.col("_pdi") + F.col("_mdi")))
+    b = add(b, {"MACD": "_ema_fast - _ema_slow", "_pdi": "try_divide(100 * _pdm_w, _atr_w)",
+                "_mdi": "try_divide(100 * _mdm_w, _atr_w)"})
+    b = add(b, {"DX": "try_divide(100 * abs(_pdi - _mdi), _pdi + _mdi)"})
 
     # stage D: second smoothing round
     b = add_ewm(b, key, _round2_specs(fp), s)
-    b = b.withColumn("MACD_hist", F.col("MACD") - F.col("MACD_signal"))
+    b = add(b, {"MACD_hist": "MACD - MACD_signal"})
 
     if labels is not None:
-        fc = F.lead(c, labels.horizon).over(w)
-        b = b.withColumn("forward_close", fc)
-        fr = tdiv(F.col("forward_close") - c, c)
         z = labels.neutral_zone_pct
-        b = b.withColumns({
-            "forward_return": fr,
-            "label": F.when(fr > z, F.lit(1)).when(fr < -z, F.lit(0)).cast("int"),
-        })
+        b = add(b, {"forward_close": f"lead(close, {labels.horizon}) OVER {W}"})
+        b = add(b, {"forward_return": "try_divide(forward_close - close, close)"})
+        b = add(b, {"label": f"CAST(CASE WHEN forward_return > {z!r}D THEN 1 WHEN forward_return < -{z!r}D THEN 0 END AS INT)"})
         if drop_unlabelled:
             b = b.filter((F.col(RN) < F.col(NTOT) - labels.horizon) & F.col("label").isNotNull())
 
@@ -213,6 +215,7 @@ def candle_geometry(bars: DataFrame, fp: FeatureParams = FeatureParams(), layout
     """Body, range (flat -> NULL), upper / lower shadow, prior trend."""
     key = _as_list(layout.key)
     b = blocked(bars, key, layout.order, layout.block_rows, fp.trend_window, 0, layout.segment)
-    b = b.withColumns(candles.geometry(block_window(key), fp.trend_window))
+    b = b.withColumns({k: F.expr(v) for k, v in candles.geometry_sql("(PARTITION BY _skey, _blk ORDER BY _sub, _rn)",
+                                                                       fp.trend_window).items()})
     b = b.select("*", *[F.col(c).alias(c[1:]) for c in ("_body", "_range", "_upper", "_lower", "_trend")])
     return finish(b).drop(*candles.GEOMETRY_TMP)
