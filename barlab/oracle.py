@@ -1,9 +1,11 @@
 """DuckDB SQL for the correctness gate: the same fixtures and operators written
 as plain ANSI-style SQL over the driver's parquet views.
 
-Conventions (shared with the Spark side): computed doubles are rounded to 6
-decimals; every division that Spark writes as ``try_divide`` is written with
-``NULLIF(den, 0)``; windows order by ``bar_date`` within ``ticker``.
+Conventions (shared with the Spark side): computed doubles go through ``rnd``,
+the twin of ``functions.columns.round_compare`` (the coarser of 6 decimals and 8
+significant digits, exact power-of-ten literals); every division that Spark
+writes as ``try_divide`` is written with ``NULLIF(den, 0)``; windows order by
+``bar_date`` within ``ticker``.
 """
 
 from __future__ import annotations

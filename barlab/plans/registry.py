@@ -9,13 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from barlab import oracle as O
 from barlab.functions.columns import round_doubles
 from barlab.operators import candles as C
 from barlab.operators.indicators import compute_features, run_feature_engineering
-from barlab.params import FeatureParams, LabelParams, SeriesLayout
+from barlab.params import LabelParams
 from barlab.sources import tables as T
 
 # Weekly fixture returns are large; the label queries use a 10 % zone.
