@@ -242,3 +242,20 @@ def test_exact_quantiles_match_numpy(spark):
     by = {(r["g"], r["column"]): r["q"] for r in eda.exact_quantiles(df, ["x"], [0.5], by="g").collect()}
     for g in range(3):
         assert by[(g, "x")][0] == pytest.approx(float(np.nanmedian(pdf[pdf.g == g]["x"].to_numpy(dtype=float))))
+
+
+def test_duplicate_quintile_edges_raise(spark):
+    df = spark.createDataFrame([(15.0, 0)] * 10 + [(16.0, 1)], "vix double, label int")
+    with pytest.raises(ValueError):
+        eda.sell_rate_by_quantile(df, "vix", 5)
+
+
+def test_row_counts_isolate_errors(spark):
+    from barlab.operators import lookup
+
+    def broken():
+        return spark.read.parquet("/nonexistent/barlab/table")
+
+    out = {r["table"]: r for r in lookup.row_counts(spark, {"ok": lambda: _bars(spark, [1.0, 2.0]), "bad": broken}).collect()}
+    assert out["ok"]["rows"] == 2 and out["ok"]["error"] is None
+    assert out["bad"]["rows"] is None and out["bad"]["error"].startswith("error:")
