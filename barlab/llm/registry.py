@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barlab.llm import fair_queue, rule_cascade, snapshots, url_lm
+from barlab.llm import fair_queue, rule_cascade, snapshots, substring_dedup, url_lm
 from barlab.llm.workspace import Workspace
 
 
@@ -18,6 +19,11 @@ def op1_url_language_ratio(spark, sf_dir):
     return url_lm.judge_urls(Workspace(spark, "op1"), _table(spark, sf_dir, "pages"))
 
 
+def op3_substring_doubling(spark, sf_dir):
+    out = substring_dedup.remove_repeats(Workspace(spark, "op3"), _table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_fair_queue(spark, sf_dir):
     return fair_queue.mix(Workspace(spark, "op7"), _table(spark, sf_dir, "documents")).drop("source")
 
@@ -31,7 +37,7 @@ def op10_rule_cascade(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_language_ratio, op7_fair_queue, op9_snapshot_collapse, op10_rule_cascade)
+    f.__name__: f for f in (op1_url_language_ratio, op3_substring_doubling, op7_fair_queue, op9_snapshot_collapse, op10_rule_cascade)
 }
 
 

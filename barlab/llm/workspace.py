@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,17 +25,31 @@ class Workspace:
         self.spark = spark
         self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/barlab-{name}-{uuid.uuid4().hex}"
         self._n = 0
+        self._at: dict[int, str] = {}
 
     def stage(self, df: DataFrame, name: str = "t") -> DataFrame:
         """Write ``df`` and return it as read back."""
         self._n += 1
         path = f"{self.path}/{self._n:02d}-{name}"
+        schema = df.schema
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(schema).parquet(path)
+        self._at[id(out)] = path
+        return out
+
+    def release(self, *tables: DataFrame) -> None:
+        """Delete stage tables that nothing will read again, and let the context
+        cleaner remove the shuffle files of the jobs behind them."""
+        for t in tables:
+            self._delete(self._at.pop(id(t)))
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
     def clear(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        self._delete(self.path)
+
+    def _delete(self, path: str) -> None:
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
