@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import fair_queue, rule_cascade, snapshots, substring_dedup, url_lm
+from barlab.llm import fair_queue, jaccard_join, rule_cascade, snapshots, substring_dedup, url_lm
 from barlab.llm.workspace import Workspace
 
 
@@ -28,6 +28,10 @@ def op7_fair_queue(spark, sf_dir):
     return fair_queue.mix(Workspace(spark, "op7"), _table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard_join.near_duplicates(Workspace(spark, "op8"), _table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op9_snapshot_collapse(spark, sf_dir):
     return snapshots.collapse_and_format(Workspace(spark, "op9"), _table(spark, sf_dir, "conversations"))
 
@@ -37,7 +41,7 @@ def op10_rule_cascade(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_language_ratio, op3_substring_doubling, op7_fair_queue, op9_snapshot_collapse, op10_rule_cascade)
+    f.__name__: f for f in (op1_url_language_ratio, op3_substring_doubling, op7_fair_queue, op8_jaccard_join, op9_snapshot_collapse, op10_rule_cascade)
 }
 
 
