@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import fair_queue, jaccard_join, rule_cascade, snapshots, substring_dedup, url_lm
+from barlab.llm import (fair_queue, jaccard_join, projection_forest, rule_cascade, site_templates, snapshots, substring_dedup,
+                        suffix_levels, url_lm, vector_packing)
 from barlab.llm.workspace import Workspace
 
 
@@ -19,11 +20,28 @@ def op1_url_language_ratio(spark, sf_dir):
     return url_lm.judge_urls(Workspace(spark, "op1"), _table(spark, sf_dir, "pages"))
 
 
+def op2_projection_forest(spark, sf_dir):
+    return projection_forest.neighbours(Workspace(spark, "op2"), _table(spark, sf_dir, "embeddings"))
+
+
 def op3_substring_doubling(spark, sf_dir):
     out = substring_dedup.remove_repeats(Workspace(spark, "op3"), _table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_site_templates(spark, sf_dir):
+    return site_templates.extract(Workspace(spark, "op4"), _table(spark, sf_dir, "pages"))
+
+
+def op5_suffix_levels(spark, sf_dir):
+    out = suffix_levels.remove_repeats(Workspace(spark, "op5"), _table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_vector_best_fit(spark, sf_dir):
+    return vector_packing.pack(Workspace(spark, "op6"), _table(spark, sf_dir, "documents"))
+
+
 def op7_fair_queue(spark, sf_dir):
     return fair_queue.mix(Workspace(spark, "op7"), _table(spark, sf_dir, "documents")).drop("source")
 
@@ -41,7 +59,9 @@ def op10_rule_cascade(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_language_ratio, op3_substring_doubling, op7_fair_queue, op8_jaccard_join, op9_snapshot_collapse, op10_rule_cascade)
+    f.__name__: f for f in (
+        op1_url_language_ratio, op2_projection_forest, op3_substring_doubling, op4_site_templates, op5_suffix_levels, op6_vector_best_fit, op7_fair_queue,
+        op8_jaccard_join, op9_snapshot_collapse, op10_rule_cascade)
 }
 
 
