@@ -43,7 +43,7 @@ def op6_vector_best_fit(spark, sf_dir):
 
 
 def op7_fair_queue(spark, sf_dir):
-    return fair_queue.mix(Workspace(spark, "op7"), _table(spark, sf_dir, "documents")).drop("source")
+    return fair_queue.mix(Workspace(spark, "op7"), _table(spark, sf_dir, "documents")).drop("source", "text_hash")
 
 
 def op8_jaccard_join(spark, sf_dir):

@@ -101,8 +101,8 @@ def long_windows(min_words: int):
     return run
 
 
-def removed(text_col: str, schema: T.StructType):
-    """Task: words outside the spans, joined by one space."""
+def removed(text_col: str, schema: T.StructType, keep_layout: bool):
+    """Task: words outside the spans, joined by one space; with ``keep_layout``, texts without spans as they are."""
     arrow = _arrow(schema)
 
     def run(batches):
@@ -127,6 +127,12 @@ def removed(text_col: str, schema: T.StructType):
                 out[np.repeat(np.cumsum(lens + gap) - lens, lens) + off] = buf[pos]
                 size = np.bincount(kd, weights=lens + gap, minlength=j - i).astype(np.int64)
                 ends_at = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
+                if keep_layout:
+                    same = gone[-1] == 0
+                    out = np.concatenate([buf[offs[d]: offs[d + 1]] if same[d] else out[ends_at[d]: ends_at[d + 1]]
+                                          for d in range(j - i)])
+                    size = np.where(same, np.diff(offs), size)
+                    ends_at = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
                 texts.append(pa.Array.from_buffers(pa.large_string(), j - i, [None, pa.py_buffer(ends_at), pa.py_buffer(out)]))
             if texts:
                 cols = {c: b.column(c) for c in b.schema.names}
@@ -162,12 +168,16 @@ def repeat_spans(ws: Workspace, keyed: DataFrame, min_words: int = MIN_WORDS) ->
     return out
 
 
-def remove_repeats(ws: Workspace, docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with ``text`` less its repeats, and ``n_words`` and ``n_removed``."""
+def remove_repeats(ws: Workspace, docs: DataFrame, min_words: int = MIN_WORDS, keep_layout: bool = False) -> DataFrame:
+    """``docs`` with ``text`` less its repeats, and ``n_words`` and ``n_removed``.
+
+    Kept words are joined by one space; ``keep_layout`` leaves texts without
+    repeats as they are (null becomes empty).
+    """
     docs = docs.drop("n_words", "n_removed", KEY, TEXT_HASH)
     base = docs.withColumn(KEY, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn(
         TEXT_HASH, F.hash(F.coalesce("text", F.lit(""))))
     spans = repeat_spans(ws, base.select(KEY, TEXT_HASH, "text"), min_words)
     joined = base.join(spans.withColumnsRenamed({"doc": KEY, "th": TEXT_HASH}), [KEY, TEXT_HASH], "left").select(*docs.columns, "__spans")
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    return joined.mapInArrow(removed("text", schema), schema)
+    return joined.mapInArrow(removed("text", schema, keep_layout), schema)
