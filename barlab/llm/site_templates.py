@@ -27,9 +27,9 @@ from __future__ import annotations
 import html as entities
 import re
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from xxhash import xxh64_intdigest
 
 from barlab.llm import vectors as V
@@ -232,30 +232,34 @@ def main_text(root: Element, templates: frozenset[int]) -> str:
     return "\n".join(blocks)
 
 
-def page_subtrees(pdfs):
-    for pdf in pdfs:
+def page_subtrees(batches):
+    schema = to_arrow_schema(HOST_SUBTREES)
+    for b in batches:
         hosts, hashes = [], []
-        for host, source in zip(pdf["host"], pdf["html"]):
+        for host, source in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
             found = subtrees(parse(source)) if source else ()
             hosts += [host] * len(found)
             hashes += found
-        yield pd.DataFrame({"host": hosts, "subtree": pd.array(hashes, "int64")})
+        yield V.record_batch(schema, host=hosts, subtree=hashes)
 
 
-def page_texts(pdfs):
-    for pdf in pdfs:
-        texts = [main_text(parse(s), frozenset() if t is None else frozenset(t.tolist())) if s else ""
-                 for s, t in zip(pdf["html"], pdf["templates"])]
-        yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+def page_texts(batches):
+    schema = to_arrow_schema(TEXTS)
+    for b in batches:
+        for k in range(0, b.num_rows, 500):
+            part = b.slice(k, 500)
+            texts = [main_text(parse(s), frozenset(t or ())) if s else ""
+                     for s, t in zip(part.column("html").to_pylist(), part.column("templates").to_pylist())]
+            yield V.record_batch(schema, page_id=part.column("page_id"), url=part.column("url"), text=texts, n_chars=[len(t) for t in texts])
 
 
 def extract(ws: Workspace, pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     host, _ = host_path(F.col("url"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    found = rows.select("host", "html").mapInPandas(page_subtrees, HOST_SUBTREES).groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    found = rows.select("host", "html").mapInArrow(page_subtrees, HOST_SUBTREES).groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
     found = ws.stage(found.filter(F.col("n") >= min_pages), "subtrees")
     of_host = ws.stage(rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "hosts")
     common = found.join(of_host, "host").filter(F.col("n") >= min_share * F.col("pages"))
     lists = ws.stage(common.groupBy("host").agg(F.collect_list("subtree").alias("templates")), "templates")
-    return rows.join(lists, "host", "left").select("page_id", "url", "html", "templates").mapInPandas(page_texts, TEXTS)
+    return rows.join(lists, "host", "left").select("page_id", "url", "html", "templates").mapInArrow(page_texts, TEXTS)

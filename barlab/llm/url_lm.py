@@ -100,8 +100,10 @@ def calibrate(scored: DataFrame) -> float:
     na, nb = F.sum("a").over(every), F.sum("b").over(every)
     miss_a, hit_b = F.coalesce(F.sum("a").over(below), F.lit(0)), F.coalesce(F.sum("b").over(below), F.lit(0))
     acc = F.coalesce(F.try_divide(na - miss_a, na), F.lit(0.0)) + F.coalesce(F.try_divide(hit_b, nb), F.lit(0.0))
-    best = h.select("bin", acc.alias("acc")).orderBy(F.desc("acc"), F.abs("bin"), "bin").first()
-    return best["bin"] / BIN if best else 0.0
+    # halfway to the next bin below, the widest margin on either side
+    at = (F.col("bin") + F.coalesce(F.lag("bin").over(Window.orderBy("bin")) + 1, F.col("bin"))) / 2
+    best = h.select(at.alias("at"), acc.alias("acc")).orderBy(F.desc("acc"), F.abs("at"), "at").first()
+    return best["at"] / BIN if best else 0.0
 
 
 def judge_urls(ws: Workspace, pages: DataFrame, rules=RULES) -> DataFrame:
