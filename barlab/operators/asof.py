@@ -17,23 +17,30 @@ Two plans:
 
 The carried value is a struct, so a matched right row with NULL fields
 stays matched (its fields stay NULL) rather than falling back further.
+
+Both plans give the same rows: every left row stays; a NULL key or time on
+either side matches nothing; a date and a timestamp are compared as timestamps;
+the tie-break keeps its own type, and a NULL one loses.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlab.operators.quarterly import QUARTERLY_FEATURE_COLS
 from barlab.operators.scan import prefix_last
 
-FAR_FUTURE = "9999-12-31"
+
+def _matchable(right: DataFrame, by: list[str], right_on: str) -> DataFrame:
+    return right.dropna(subset=[*by, right_on])
 
 
 def _dedupe_right(right: DataFrame, by: list[str], right_on: str, tiebreak: str | None) -> DataFrame:
     if tiebreak is None:
         return right.dropDuplicates([*by, right_on])
-    w = Window.partitionBy(*by, right_on).orderBy(F.col(tiebreak).desc())
+    w = Window.partitionBy(*by, right_on).orderBy(F.col(tiebreak).desc_nulls_last())
     return right.withColumn("_dup", F.row_number().over(w)).filter("_dup = 1").drop("_dup")
 
 
@@ -41,8 +48,11 @@ def asof_backward(left: DataFrame, right: DataFrame, by, left_on: str, right_on:
                   right_cols: list[str], right_tiebreak: str | None = None, strategy: str = "auto",
                   max_broadcast_rows: int = 2_000_000, block_rows: int = 16384) -> DataFrame:
     by = [by] if isinstance(by, str) else list(by)
-    if strategy == "auto":
-        strategy = "range" if right.count() <= max_broadcast_rows else "scan"
+    if strategy in ("auto", "range") and right.count() > max_broadcast_rows:
+        strategy = "scan"  # too many rows to broadcast
+    elif strategy == "auto":
+        strategy = "range"
+    right = _matchable(right, by, right_on)
     if strategy == "range":
         return _asof_range(left, right, by, left_on, right_on, right_cols, right_tiebreak)
     if strategy == "scan":
@@ -54,21 +64,24 @@ def _asof_range(left, right, by, left_on, right_on, right_cols, tiebreak):
     r = _dedupe_right(right.select(*by, right_on, *right_cols, *([tiebreak] if tiebreak and tiebreak not in right_cols else [])),
                       by, right_on, tiebreak)
     w = Window.partitionBy(*by).orderBy(right_on)
-    r = r.withColumn("_t_next", F.coalesce(F.lead(right_on, 1).over(w), F.lit(FAR_FUTURE).cast(r.schema[right_on].dataType)))
+    r = r.withColumn("_t_next", F.lead(right_on, 1).over(w))
     r = r.select(*[F.col(k).alias(f"_r_{k}") for k in by], F.col(right_on).alias("_t_from"), "_t_next",
                  F.struct(*right_cols).alias("_match"))
-    cond = [left[k] == r[f"_r_{k}"] for k in by] + [left[left_on] >= r["_t_from"], left[left_on] < r["_t_next"]]
+    cond = [left[k] == r[f"_r_{k}"] for k in by] + [
+        left[left_on] >= r["_t_from"], r["_t_next"].isNull() | (left[left_on] < r["_t_next"])]
     j = left.join(F.broadcast(r), cond, "left")
     return j.select(*left.columns, *[F.col("_match")[c].alias(c) for c in right_cols])
 
 
 def _asof_scan(left, right, by, left_on, right_on, right_cols, tiebreak, block_rows):
     lcols = left.columns
-    ltime = left.schema[left_on].dataType
-    lft = left.select(*by, F.col(left_on).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast("string").alias("_tb"),
+    kinds = {left.schema[left_on].dataType, right.schema[right_on].dataType}
+    time = kinds.pop() if len(kinds) == 1 else T.TimestampType()  # the wider of date and timestamp
+    tb = right.schema[tiebreak].dataType if tiebreak else T.StringType()
+    lft = left.select(*by, F.col(left_on).cast(time).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(tb).alias("_tb"),
                       F.struct(*lcols).alias("_lrow"))
-    rt = right.select(*by, F.col(right_on).cast(ltime).alias("_t"), F.lit(0).alias("_side"),
-                      (F.col(tiebreak).cast("string") if tiebreak else F.lit(None).cast("string")).alias("_tb"),
+    rt = right.select(*by, F.col(right_on).cast(time).alias("_t"), F.lit(0).alias("_side"),
+                      (F.col(tiebreak) if tiebreak else F.lit(None).cast(tb)).alias("_tb"),
                       F.struct(*right_cols).alias("_rrow"))
     u = lft.unionByName(rt, allowMissingColumns=True)
     scanned = prefix_last(u, by, ["_t", "_side", "_tb"], ["_rrow"], block_rows=block_rows)

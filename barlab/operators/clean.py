@@ -190,14 +190,15 @@ def load_scaler(spark: SparkSession, path: str) -> DataFrame:
             f"No saved scaler parameters at {path}; run preprocessing once first.") from e
 
 
-def apply_saved_scaler(df: DataFrame, params: DataFrame, cols: list[str] = RATIO_COLS) -> DataFrame:
-    """Transform-only with saved ratio params; skipped (with a warning)
-    when any of the fitted columns is absent."""
-    present = [c for c in cols if c in df.columns]
-    if present != list(cols):
-        log.warning("Ratio columns mismatch (expected %s, got %s) - skipping ratio scaling", list(cols), present)
+def apply_saved_scaler(df: DataFrame, params: DataFrame) -> DataFrame:
+    """Transform-only with saved ratio params, for the columns they were
+    fitted on; left alone (with a warning) when the frame lacks one of them."""
+    fitted = [r["column"] for r in params.filter(F.col("kind") == "standard").select("column").orderBy("column").collect()]
+    absent = [c for c in fitted if c not in df.columns]
+    if absent:
+        log.warning("ratios stay unscaled: the saved scaler also covers %s", absent)
         return df
-    return standard_transform(df, params, cols)
+    return standard_transform(df, params, fitted)
 
 
 def one_hot_index(df: DataFrame, col: str = "ticker") -> DataFrame:

@@ -88,13 +88,13 @@ def correlation_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                       r.alias("r"))
 
 
-def label_correlations(df: DataFrame, label: str = "label", cols: list[str] | None = None, top_n: int = 15) -> DataFrame:
-    """Correlation of each numeric column with the label, largest |r| first, top n."""
+def label_correlations(df: DataFrame, label: str = "label", cols: list[str] | None = None) -> DataFrame:
+    """Correlation of each numeric column with the label, largest |r| first."""
     cols = cols if cols is not None else [c for c in numeric_feature_columns(df) if c != label]
     wide = df.agg(*[_pair_aggs(c, label).alias(f"_r{j}") for j, c in enumerate(cols)])
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_r{j}").alias("r")) for j, c in enumerate(cols)])
     long = wide.select(F.explode(rows).alias("s")).select("s.*")
-    return long.orderBy(F.abs("r").desc_nulls_last(), "feature").limit(top_n)
+    return long.orderBy(F.abs("r").desc_nulls_last(), "feature")
 
 
 def rsi_zone(col: str = "RSI_14"):
@@ -177,16 +177,9 @@ def box_stats(df: DataFrame, value: str = "MACD_hist", by: str = "label") -> Dat
 
 
 def scatter_points(df: DataFrame, x: str = "pe_ratio", y: str = "daily_return", hue: str = "label",
-                   cap: int | None = None, seed: int = 42) -> DataFrame:
-    """Scatter source; with ``cap`` a deterministic hash sample of about ``cap`` rows."""
-    pts = df.select("ticker", "bar_date", x, y, hue).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    if cap is None:
-        return pts
-    n = pts.count()
-    if n <= cap:
-        return pts
-    h = F.abs(F.xxhash64("ticker", "bar_date", F.lit(seed))) % 1_000_000
-    return pts.filter(h < F.lit(int(1_000_000 * cap / n)))
+                   ) -> DataFrame:
+    """Scatter source, every row with both values."""
+    return df.select("ticker", "bar_date", x, y, hue).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
 
 
 def sell_rate_by_quantile(df: DataFrame, col: str = "vix", q: int = 5, label: str = "label") -> DataFrame:

@@ -79,7 +79,7 @@ def walk_forward_folds(train: DataFrame, n_folds: int = 5, date: str = "bar_date
     the date it falls in, so one date is never split between train and test.
     """
     dc = _date_counts(train, date).select(date, (F.col("_cum") - F.col("_cnt")).alias("_before"), "_total")
-    rows = train.join(F.broadcast(dc) if False else dc, date)
+    rows = train.join(dc, date)
     pos = F.col("_before") + F.row_number().over(Window.partitionBy(date).orderBy(tiebreak)) - 1
     rows = rows.withColumn("_pos", pos)
     size = F.floor(F.col("_total") / F.lit(n_folds + 1))

@@ -61,7 +61,7 @@ def row_counts(spark: SparkSession, tables: dict[str, object]) -> DataFrame:
             df = t() if callable(t) else t
             rows.append((name, int(df.count()), None))
         except Exception as e:  # reported per table, as the service does
-            rows.append((name, None, f"error: {e}".splitlines()[0][:200]))
+            rows.append((name, None, f"error: {e}".splitlines()[0]))
     return spark.createDataFrame(rows, "table string, rows long, error string")
 
 

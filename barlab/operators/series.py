@@ -40,13 +40,15 @@ def number_rows(df: DataFrame, key, order, segment: str = "year") -> DataFrame:
     """Add ``_rn`` (0-based position in ``order`` within ``key``), ``_n`` and ``_skey``.
 
     ``order`` may be several columns; the first one must be a date or
-    timestamp and is truncated to ``segment`` to form numbering segments.
+    timestamp and is truncated to ``segment`` to form numbering segments; rows
+    where it is NULL come first. No row is lost.
     Rows per (key, segment) are bounded by the calendar, not by data volume.
     The join with the small offsets table and the row_number window share
     one hash partitioning on (``_skey``, segment).
     """
     key, order = _as_list(key), _as_list(order)
-    base = df.withColumns({SKEY: F.struct(*key), "_seg": F.date_trunc(segment, F.col(order[0]))})
+    # a struct, so rows without a date form a segment of their own, before all others
+    base = df.withColumns({SKEY: F.struct(*key), "_seg": F.struct(F.date_trunc(segment, F.col(order[0])))})
     counts = base.groupBy(SKEY, "_seg").agg(F.count(F.lit(1)).alias("_cnt"))
     wk = Window.partitionBy(SKEY).orderBy("_seg")
     offsets = counts.select(

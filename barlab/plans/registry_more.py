@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from barlab import oracle as O
 from barlab.operators import clean
 from barlab.operators.asof import asof_backward, attach_quarterly, match_coverage
-from barlab.operators.quarterly import HISTORY_COLS, quarterly_history
+from barlab.operators.indicators import compute_features
+from barlab.operators.models import FEATURE_COLS
+from barlab.operators.quarterly import quarterly_history
 from barlab.plans.pipeline import merge_inputs, run_preprocessing
 from barlab.plans.registry import register
+from barlab.session import cut_lineage, ensure_checkpoint_dir
 from barlab.sources import bars as B
 from barlab.sources import tables as T
 
@@ -147,26 +152,24 @@ def _b02(spark, sf):
     return clean.fix_dtypes(raw)
 
 
-_IDX_COLS = ("vix", "nifty")
-_J = "j AS (SELECT b.ticker, b.bar_date, i.vix, i.nifty FROM bars b LEFT JOIN idx i ON b.bar_date = i.bar_date)"
+_FFILL_SQL = W(*MERGED_CTES, O.ffill_cte("ff", "merged", O.MERGED_NUMERIC)) + "SELECT ticker, bar_date, " + O.r6(*O.MERGED_NUMERIC) + " FROM ff"
 
 
-@register("b06_ffill", W(O.BARS, O.INDEX, _J, O.ffill_cte("ff", "j", _IDX_COLS)) + "SELECT ticker, bar_date, " + O.r6(*_IDX_COLS) + " FROM ff")
+@register("b06_ffill", _FFILL_SQL)
 def _b06(spark, sf):
-    return clean.ffill(_with_index(spark, sf).select("ticker", "bar_date", "vix", "nifty"), list(_IDX_COLS))
+    return clean.ffill(_merged(spark, sf), list(O.MERGED_NUMERIC)).select("ticker", "bar_date", *O.MERGED_NUMERIC)
 
 
-@register("b06_ffill_blocked", W(O.BARS, O.INDEX, _J, O.ffill_cte("ff", "j", _IDX_COLS)) + "SELECT ticker, bar_date, " + O.r6(*_IDX_COLS) + " FROM ff")
+@register("b06_ffill_blocked", _FFILL_SQL)
 def _b06b(spark, sf):
     # tiny blocks: the fill must cross block boundaries through the carry table
-    return clean.ffill(_with_index(spark, sf).select("ticker", "bar_date", "vix", "nifty"), list(_IDX_COLS), block_rows=16)
+    return clean.ffill(_merged(spark, sf), list(O.MERGED_NUMERIC), block_rows=16).select("ticker", "bar_date", *O.MERGED_NUMERIC)
 
 
-@register("b07_fill_median", W(O.BARS, O.INDEX, _J, O.ffill_cte("ff", "j", _IDX_COLS), O.median_fill_cte("mf", "ff", _IDX_COLS))
-          + "SELECT ticker, bar_date, " + O.r6(*_IDX_COLS) + " FROM mf")
+@register("b07_fill_median", W(*MERGED_CTES, O.median_fill_cte("mf", "merged", O.MERGED_NUMERIC))
+          + "SELECT ticker, bar_date, " + O.r6(*O.MERGED_NUMERIC) + " FROM mf")
 def _b07(spark, sf):
-    ff = clean.ffill(_with_index(spark, sf).select("ticker", "bar_date", "vix", "nifty"), list(_IDX_COLS))
-    return clean.fill_median(ff, list(_IDX_COLS))
+    return clean.fill_median(_merged(spark, sf), list(O.MERGED_NUMERIC)).select("ticker", "bar_date", *O.MERGED_NUMERIC)
 
 
 _IMPUTED_CTES = MERGED_CTES + (O.ffill_cte("ffm", "merged", O.MERGED_NUMERIC),
@@ -236,11 +239,19 @@ def _b12(spark, sf):
     return clean.standard_transform(imp, clean.standard_fit(imp)).select("ticker", "bar_date", *clean.RATIO_COLS)
 
 
-@register("b14_apply_saved_scaler", W(*_IMPUTED_CTES) + _standard_sql())
+def _saved_sql() -> str:
+    stats = ", ".join(f"avg(coalesce({c}, 0)) AS {c}_m, stddev_pop(coalesce({c}, 0)) AS {c}_s" for c in clean.RATIO_COLS)
+    sel = ", ".join(O.rnd(f"(coalesce({c}, 0) - {c}_m) / CASE WHEN {c}_s = 0 THEN 1 ELSE {c}_s END") + f" AS {c}" for c in clean.RATIO_COLS)
+    return f"SELECT ticker, bar_date, {sel} FROM imputed, (SELECT {stats} FROM imputed WHERE ticker < 'Brand#5')"
+
+
+@register("b14_apply_saved_scaler", W(*_IMPUTED_CTES) + _saved_sql())
 def _b14(spark, sf):
-    imp = clean.impute(_merged(spark, sf), list(O.MERGED_NUMERIC))
-    params = clean.standard_fit(imp)
-    return clean.apply_saved_scaler(imp, params).select("ticker", "bar_date", *clean.RATIO_COLS)
+    imp = cut_lineage(clean.impute(_merged(spark, sf), list(O.MERGED_NUMERIC)))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scaler-{uuid.uuid4().hex}"
+    # fitted without the last tickers, which are unseen when it is applied
+    clean.save_scaler(clean.standard_fit(imp.filter(F.col("ticker") < "Brand#5")), path)
+    return clean.apply_saved_scaler(imp, clean.load_scaler(spark, path)).select("ticker", "bar_date", *clean.RATIO_COLS)
 
 
 @register("b15_one_hot", W(O.BARS) + "SELECT ticker, bar_date, CAST(dense_rank() OVER (ORDER BY ticker) - 1 AS INTEGER) AS ticker_index FROM bars")
@@ -261,13 +272,12 @@ def _b16(spark, sf):
     return clean.sanitise(b.select("ticker", "bar_date", x.alias("x")), ["x"])
 
 
-@register("b17_fill_zero", W(O.BARS, O.features_ctes()) + "SELECT ticker, bar_date, " +
-          ", ".join(f"{O.rnd(f'coalesce({c}, 0)')} AS {c}" for c in ("RSI_14", "MACD_signal", "ADX_14", "OBV_roc_5")) +
-          " FROM feat")
+@register("b17_fill_zero", W(*MERGED_CTES, O.features_ctes("merged")) + "SELECT ticker, bar_date, " +
+          ", ".join(f"{O.rnd(f'coalesce(CAST({c} AS DOUBLE), 0)')} AS {c}" for c in FEATURE_COLS) + " FROM feat")
 def _b17(spark, sf):
-    from barlab.operators.indicators import compute_features
-    f = compute_features(T.bars(spark, sf)).select("ticker", "bar_date", "RSI_14", "MACD_signal", "ADX_14", "OBV_roc_5")
-    return clean.fill_zero(f, ["RSI_14", "MACD_signal", "ADX_14", "OBV_roc_5"])
+    f = compute_features(_merged(spark, sf))
+    f = f.select("ticker", "bar_date", *[F.col(c).cast("double").alias(c) for c in FEATURE_COLS])
+    return clean.fill_zero(f, list(FEATURE_COLS))
 
 
 _PROCESSED_OUT = ["ticker", "bar_date", *O.MERGED_NUMERIC, *_NORM]

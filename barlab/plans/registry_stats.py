@@ -183,15 +183,34 @@ def _h03(spark, sf):
     return H.threshold_sweep(T.scored(spark, sf))
 
 
-@register("h04_model_report_overall", W(O.SCORED) +
-          "SELECT 'pseudo' AS model, " + O.rnd("avg(CAST(CAST(p >= 0.5 AS INTEGER) = label AS INTEGER))") + " AS accuracy FROM scored")
+def _report_parts_sql() -> str:
+    """The three tables of the report under one heading."""
+    null = "CAST(NULL AS {})".format
+    return (f"SELECT 'overall' AS part, 'all' AS item, {null('BIGINT')} AS n, {null('DOUBLE')} AS coverage_pct, "
+            f"(SELECT accuracy FROM ({_overall_sql()})) AS accuracy "
+            f"UNION ALL SELECT 'buckets', confidence_range, n_predictions, coverage_pct, accuracy FROM ({_buckets_sql()}) "
+            f"UNION ALL SELECT 'thresholds', printf('%.2f', threshold), n_acted, coverage_pct, accuracy_on_acted FROM ({_sweep_sql()})")
+
+
+def _overall_sql() -> str:
+    return W(O.SCORED) + "SELECT " + O.rnd("avg(CAST(CAST(p >= 0.5 AS INTEGER) = label AS INTEGER))") + " AS accuracy FROM scored"
+
+
+@register("h04_model_report", _report_parts_sql())
 def _h04(spark, sf):
-    return H.model_report(T.scored(spark, sf), "pseudo")["overall"]
+    r = H.model_report(T.scored(spark, sf), "pseudo")
+    null = lambda t: F.lit(None).cast(t)
+    return r["overall"].select(
+        F.lit("overall").alias("part"), F.lit("all").alias("item"), null("long").alias("n"), null("double").alias("coverage_pct"), "accuracy"
+    ).union(r["buckets"].select(F.lit("buckets"), "confidence_range", "n_predictions", "coverage_pct", "accuracy")).union(
+        r["thresholds"].select(F.lit("thresholds"), F.format_string("%.2f", "threshold"), "n_acted", "coverage_pct", "accuracy_on_acted"))
 
 
 # ---------------------------------------------------------------- I EDA
-CORR_COLS = ("daily_return", "MA7", "RSI_14", "MACD_hist", "BB_width", "volume_change", "Stoch_K", "ATR_14",
-             "ADX_14", "OBV_roc_5", "vix", "pe_ratio", "forward_return", "label")
+# every numeric column of the featured table with its index and snapshot columns
+CORR_COLS = ("open", "high", "low", "close", "volume", *O.INDICATOR_DOUBLES, "MA_crossover", *O.CANDLE_INTS,
+             "forward_close", "forward_return", "label", "vix", "nifty", "pe_ratio", "eps", "market_cap", "debt_to_equity",
+             "current_ratio")
 
 
 def _r_sql(a: str, b: str) -> str:
@@ -214,7 +233,7 @@ def _label_corr_sql() -> str:
     cols = [c for c in CORR_COLS if c != "label"]
     items = ", ".join(f"{{'feature': '{c}', 'r': {_r_sql(c, 'label')}}}" for c in cols)
     return (W(*CTX) + f"SELECT feature, {O.rnd('r')} AS r FROM (SELECT unnest([{items}], recursive := true) FROM ctx) "
-            "ORDER BY abs(r) DESC NULLS LAST, feature LIMIT 15")
+            "ORDER BY abs(r) DESC NULLS LAST, feature")
 
 
 @register("i02_label_correlations", _label_corr_sql())
@@ -632,7 +651,7 @@ def _b13(spark, sf):
     return CL.load_scaler(spark, path)
 
 
-@register("l02_annual_volatility", W(*__import__("barlab.plans.registry_stats", fromlist=["_GROWTH_CTES"])._GROWTH_CTES)
+@register("l02_annual_volatility", W(*_GROWTH_CTES)
           + "SELECT ticker, " + O.rnd("annual_vol") + " AS annual_vol FROM g")
 def _l02(spark, sf):
     return growth_stats(T.bars(spark, sf)).select("ticker", "annual_vol")
@@ -640,9 +659,10 @@ def _l02(spark, sf):
 
 @register("l03_projection_paths", W(*_GROWTH_CTES) + "SELECT ticker, CAST(t AS INTEGER) AS t, "
           + O.rnd("last_close * pow(1 + cagr, t)") + " AS base, "
+          + O.rnd("last_close * pow(1 + cagr + annual_vol, t)") + " AS optimistic, "
           + O.rnd("last_close * pow(1 + greatest(cagr - annual_vol, -0.95), t)") + " AS pessimistic FROM g, range(1, 6) r(t)")
 def _l03(spark, sf):
-    return project_price(T.bars(spark, sf)).select("ticker", "t", "base", "pessimistic")
+    return project_price(T.bars(spark, sf)).select("ticker", "t", "base", "optimistic", "pessimistic")
 
 
 @register("l04_future_dates", W(*_GROWTH_CTES) + "SELECT ticker, CAST(t AS INTEGER) AS t, "

@@ -5,28 +5,31 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
 def get_spark(app: str = "barlab", master: str | None = None, shuffle_partitions: int = 8,
               warehouse_dir: str | None = None) -> SparkSession:
-    """Session for tests and local runs; on a cluster the launcher's settings win."""
+    """Session for tests and local runs. What the launcher sets (spark-submit,
+    spark-defaults) stays; only settings that are absent get the defaults here."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    defaults = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": os.environ.get("BARLAB_DRIVER_MEMORY", "16g"),
+    }
     if warehouse_dir:
-        builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
-    builder = (
-        builder.config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("BARLAB_DRIVER_MEMORY", "16g"))
-    )
+        defaults["spark.sql.warehouse.dir"] = warehouse_dir
+    given = SparkConf()  # reads the launcher's properties
+    for name, value in defaults.items():
+        if not given.contains(name):
+            builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -36,12 +39,14 @@ def get_spark(app: str = "barlab", master: str | None = None, shuffle_partitions
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a fresh scratch folder is
-    created and registered.
+    When the setting is absent, a local session gets a fresh scratch folder; on a
+    cluster a folder of one machine would lose rows, so that is an error.
     """
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith(("local[", "local-")) and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="barlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -72,11 +72,11 @@ def build_bars(trades: DataFrame, key: str, ts: str, price: Column | str, qty: s
 
 
 def union_series(frames: list[DataFrame]) -> DataFrame:
-    """A3: concatenate series; inputs of None are skipped, all-empty is an error.
+    """A3: concatenate series; None and empty frames are skipped, nothing left is an error.
 
-    Emptiness is decided by the caller's list (no per-frame count job).
+    ``isEmpty`` reads at most one row of a frame.
     """
-    frames = [f for f in frames if f is not None]
+    frames = [f for f in frames if f is not None and not f.isEmpty()]
     if not frames:
         raise RuntimeError("No price data for any ticker.")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
