@@ -4,8 +4,9 @@ A document's set holds its distinct 5-word shingles. Equal sets form a class and
 go on as one. In each set shingles are ordered rare first; two sets of Jaccard
 at least t share a shingle among their first n - ceil(t n) + 1, so classes are
 joined on those alone, then thinned by set length, by the positions of the
-shared shingle, and, with both texts at hand, by a suffix filter (shingle counts
-per hash cell bound the overlap) before the one exact intersection.
+shared shingle (what precedes it counts only where another prefix has it too), and,
+with both texts at hand, by a suffix filter (shingle counts per hash cell bound the
+overlap) before the one exact intersection.
 
 Rarity comes from a counting sketch of all shingles (``CELLS`` counters however
 large the input, broadcast as one byte each). Any order common to all documents
@@ -180,10 +181,16 @@ def verify(size: int, percent: int):
     return run
 
 
-def _may_link(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> Column:
-    """Length and positional filters for a shingle shared at positions p1 and p2."""
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Length and positional filters for a shingle shared by rows a and b.
+
+    A shingle of both sets that precedes it is in both prefixes, so it counts in
+    ``before`` of either; behind it, the shorter rest bounds the overlap.
+    """
+    n1, n2 = F.col(f"{a}n"), F.col(f"{b}n")
     need = F.ceil(percent * (n1 + n2) / F.lit(100 + percent))
-    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (F.least(p1, p2) + F.least(n1 - p1, n2 - p2) >= need)
+    most = F.least(F.col(f"{a}before"), F.col(f"{b}before")) + 1 + F.least(n1 - F.col(f"{a}pos"), n2 - F.col(f"{b}pos"))
+    return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & (most >= need)
 
 
 def _ordered_pairs(df: DataFrame) -> DataFrame:
@@ -191,13 +198,13 @@ def _ordered_pairs(df: DataFrame) -> DataFrame:
 
 
 def star_pairs(shared: DataFrame, order: list[Column], percent: int) -> DataFrame:
-    """Each member with its group's first one and with the one before it; shared has g, id, n, pos, root."""
+    """Each member with its group's first one and with the one before it; shared has g, id, n, pos, before, root."""
     w = Window.partitionBy("g").orderBy(*order)
-    at = F.struct("id", "n", "pos", "root")
+    at = F.struct("id", "n", "pos", "before", "root")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     near = shared.withColumns({"pivot": F.first(at).over(upto), "last": F.lag(at).over(w)})
     near = near.withColumn("o", F.explode(F.array("pivot", "last")))
-    near = near.filter((F.col("o.root") != F.col("root")) & _may_link(F.col("n"), F.col("pos"), F.col("o.n"), F.col("o.pos"), percent))
+    near = near.filter((F.col("o.root") != F.col("root")) & _may_link("", "o.", percent))
     return _ordered_pairs(near.select("id", F.col("o.id").alias("other")))
 
 
@@ -205,7 +212,7 @@ def cross_pairs(shared: DataFrame, percent: int) -> DataFrame:
     """All pairs of a group that lie in different components."""
     a, b = shared.alias("a"), shared.alias("b")
     hit = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.root") < F.col("b.root"))
-                 & _may_link(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"), percent))
+                 & _may_link("a.", "b.", percent))
     return _ordered_pairs(hit.select(F.col("a.id").alias("id"), F.col("b.id").alias("other")))
 
 
@@ -221,14 +228,22 @@ class _Texts:
         want = self.ws.stage(self.rep.join(ids, "id").select("id", "at.doc", "at.th"), "text-ids")
         if want.count() <= BROADCAST_IDS:
             want = F.broadcast(want)
-        return self.ws.stage(self.docs.join(want, ["doc", "th"]).select("id", "text"), "texts").dropDuplicates(["id"])
+        # equal rows come once
+        return self.ws.stage(self.docs.join(want, ["doc", "th"]).select("id", "text").dropDuplicates(["id"]), "texts")
 
 
 def link(ws: Workspace, keyed: DataFrame, sets: DataFrame, grams: DataFrame, size: int, percent: int) -> DataFrame:
     """id, root of every class that links with another."""
     w = Window.partitionBy("g")
     shared = grams.repartition("g").withColumns({"lo": F.min("id").over(w), "hi": F.max("id").over(w)})
-    shared = ws.stage(shared.filter("lo < hi").select("g", "id", "n", "pos").distinct(), "shared")
+    shared = ws.stage(shared.filter("lo < hi").select("g", "id", "n", "pos").distinct(), "prefix-shared")
+    # shared shingles of the set before this one; a set that can't reach the threshold with any other goes
+    before = F.row_number().over(Window.partitionBy("id").orderBy("pos")) - 1
+    counted = shared.withColumn("before", before).filter(
+        100 * (F.col("before") + 1 + F.col("n") - F.col("pos")) >= percent * F.col("n"))
+    counted = ws.stage(counted, "shared")
+    ws.release(shared)
+    shared = counted
     texts = _Texts(ws, keyed, sets)
     rounds = [lambda s: star_pairs(s, [F.col("n"), F.col("id")], percent),
               lambda s: star_pairs(s, [F.xxhash64("id"), F.col("id")], percent),
@@ -246,12 +261,13 @@ def link(ws: Workspace, keyed: DataFrame, sets: DataFrame, grams: DataFrame, siz
             pairs = pairs.join(tested.select("u", "v"), ["u", "v"], "left_anti")
         pairs = ws.stage(pairs, "pairs")
         text = texts.of(pairs)
+        ws.release()
         both = pairs.join(text.withColumnsRenamed({"id": "v", "text": "text_v"}), "v").join(
             text.withColumnsRenamed({"id": "u", "text": "text_u"}), "u").select("u", "v", "text_u", "text_v")
         done = ws.stage(both.mapInArrow(verify(size, percent), TESTED), "tested")
         tested = done if tested is None else ws.stage(tested.union(done), "all-tested")
-        roots = components(ws, tested.filter("linked").select("u", "v"))
         ws.release(pairs)
+        roots = components(ws, tested.filter("linked").select("u", "v"))
     return roots
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import types as T
 
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 U = np.uint64
 _MULT = 0x9E3779B97F4A7C15 | 1
 _TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=U) * U(2) + U(1)
