@@ -1,7 +1,8 @@
 """Per-row explanations of tree-model predictions (K1-K7).
 
 K1 is path-dependent TreeSHAP (Lundberg, Erion, Lee, "Consistent
-individualized feature attribution for tree ensembles", 2018, Algorithm 2)
+individualized feature attribution for tree ensembles", 2018), computed for a
+whole batch of rows from per-leaf path tables,
 over the trees of a Spark model. The node tables are read from the model's
 saved form (size bound: the model, not the data), broadcast, and each
 partition of rows is explained in ``mapInPandas``. Forests are explained in
@@ -90,62 +91,42 @@ def ensemble_of(model, spark: SparkSession | None = None) -> Ensemble:
 
 
 # ------------------------------------------------------------------ TreeSHAP
-def _extend(path, depth, zero_fraction, one_fraction, feature):
-    path[depth] = [feature, zero_fraction, one_fraction, 1.0 if depth == 0 else 0.0]
-    for i in range(depth - 1, -1, -1):
-        path[i + 1][3] += one_fraction * path[i][3] * (i + 1) / (depth + 1)
-        path[i][3] = zero_fraction * path[i][3] * (depth - i) / (depth + 1)
-
-
-def _unwind(path, depth, index):
-    one_fraction, zero_fraction = path[index][2], path[index][1]
-    next_one = path[depth][3]
-    for i in range(depth - 1, -1, -1):
-        if one_fraction != 0:
-            tmp = path[i][3]
-            path[i][3] = next_one * (depth + 1) / ((i + 1) * one_fraction)
-            next_one = tmp - path[i][3] * zero_fraction * (depth - i) / (depth + 1)
-        else:
-            path[i][3] = path[i][3] * (depth + 1) / (zero_fraction * (depth - i))
-    for i in range(index, depth):
-        path[i][0], path[i][1], path[i][2] = path[i + 1][0], path[i + 1][1], path[i + 1][2]
-
-
-def _unwound_sum(path, depth, index):
-    one_fraction, zero_fraction = path[index][2], path[index][1]
-    next_one = path[depth][3]
-    total = 0.0
-    for i in range(depth - 1, -1, -1):
-        if one_fraction != 0:
-            tmp = next_one * (depth + 1) / ((i + 1) * one_fraction)
-            total += tmp
-            next_one = path[i][3] - tmp * zero_fraction * ((depth - i) / (depth + 1))
-        else:
-            total += (path[i][3] / zero_fraction) / ((depth - i) / (depth + 1))
-    return total
-
-
-def _recurse(t: TreeArrays, x, phi, node, parent_path, depth, zero_fraction, one_fraction, feature, scale):
-    path = [list(p) for p in parent_path[:depth]] + [[0, 0.0, 0.0, 0.0]]
-    _extend(path, depth, zero_fraction, one_fraction, feature)
-    if t.left[node] < 0:
-        for i in range(1, depth + 1):
-            w = _unwound_sum(path, depth, i)
-            phi[path[i][0]] += w * (path[i][2] - path[i][1]) * t.value[node] * scale
-        return
-    f = t.feature[node]
-    hot, cold = (t.left[node], t.right[node]) if x[f] <= t.threshold[node] else (t.right[node], t.left[node])
-    cover = t.cover[node]
-    hot_zero = t.cover[hot] / cover if cover > 0 else 0.0
-    cold_zero = t.cover[cold] / cover if cover > 0 else 0.0
-    in_zero, in_one = 1.0, 1.0
-    k = next((i for i in range(1, depth + 1) if path[i][0] == f), None)
-    if k is not None:
-        in_zero, in_one = path[k][1], path[k][2]
-        _unwind(path, depth, k)
-        depth -= 1
-    _recurse(t, x, phi, hot, path, depth + 1, hot_zero * in_zero, in_one, f, scale)
-    _recurse(t, x, phi, cold, path, depth + 1, cold_zero * in_zero, 0.0, f, scale)
+@dataclass
+class LeafPaths:
+    """Leaves of one tree; a row per leaf, a column per distinct feature on its path.
+
+    A row reaches the leaf if ``lo < x <= hi`` for all its features; ``share`` is the
+    product of the cover ratios of the splits on a feature. Unused places hold
+    share 1 and an open interval, which contribute nothing.
+    """
+
+    feature: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+    share: np.ndarray
+    value: np.ndarray
+
+
+def leaf_paths(t: TreeArrays) -> LeafPaths:
+    rows, todo = [], [(0, {})]
+    while todo:
+        node, path = todo.pop()
+        if t.left[node] < 0:
+            rows.append((path, t.value[node]))
+            continue
+        f, cut = int(t.feature[node]), t.threshold[node]
+        lo, hi, share = path.get(f, (-np.inf, np.inf, 1.0))
+        for child, bounds in ((t.left[node], (lo, min(hi, cut))), (t.right[node], (max(lo, cut), hi))):
+            ratio = t.cover[child] / t.cover[node] if t.cover[node] > 0 else 0.0
+            todo.append((child, path | {f: (*bounds, share * ratio)}))
+    width = max(1, max(len(p) for p, _ in rows))
+    shape = (len(rows), width)
+    out = LeafPaths(np.zeros(shape, np.int64), np.full(shape, -np.inf), np.full(shape, np.inf), np.ones(shape),
+                    np.array([v for _, v in rows]))
+    for i, (path, _) in enumerate(rows):
+        for j, (f, (lo, hi, share)) in enumerate(path.items()):
+            out.feature[i, j], out.lo[i, j], out.hi[i, j], out.share[i, j] = f, lo, hi, share
+    return out
 
 
 def _expected(t: TreeArrays) -> float:
@@ -153,14 +134,40 @@ def _expected(t: TreeArrays) -> float:
     return float((t.value[leaves] * t.cover[leaves]).sum() / t.cover[0]) if t.cover[0] > 0 else 0.0
 
 
+def shap_batch(ens: Ensemble, xs: np.ndarray, max_cells: int = 2_000_000) -> tuple[np.ndarray, float]:
+    """Contributions (rows x features) and the base value.
+
+    A leaf pays its value if all its features hold; a feature outside the
+    coalition holds with its share. The Shapley sum of such a product game is the
+    integral over t in [0, 1] of the other features' ``share (1 - t) + holds t``,
+    a polynomial of degree below the path length, so Gauss-Legendre nodes give it
+    exactly, for all rows and leaves of a tree at once.
+    """
+    phi = np.zeros((len(xs), ens.n_features))
+    base = sum(w * _expected(t) for t, w in zip(ens.trees, ens.weights))
+    for t, w in zip(ens.trees, ens.weights):
+        p = leaf_paths(t)
+        node, weight = np.polynomial.legendre.leggauss(p.feature.shape[1] // 2 + 1)
+        node, weight = (node + 1) / 2, weight / 2
+        step = max(1, max_cells // p.feature.size)
+        for k in range(0, len(xs), step):
+            x = xs[k:k + step][:, p.feature]
+            holds = ((x > p.lo) & (x <= p.hi)).astype(float)
+            integral = np.zeros_like(holds)
+            for at, q in zip(node, weight):
+                term = p.share * (1 - at) + holds * at
+                integral += q * term.prod(axis=2, keepdims=True) / np.where(term == 0, 1, term)
+            gain = (w * p.value[:, None]) * (holds - p.share) * integral
+            flat = p.feature.ravel()
+            for r in range(len(gain)):
+                phi[k + r] += np.bincount(flat, weights=gain[r].ravel(), minlength=ens.n_features)
+    return phi, float(base)
+
+
 def shap_values(ens: Ensemble, x: np.ndarray) -> tuple[np.ndarray, float]:
     """Contributions for one input row and the base value."""
-    phi = np.zeros(ens.n_features)
-    base = 0.0
-    for t, w in zip(ens.trees, ens.weights):
-        _recurse(t, x, phi, 0, [], 0, 1.0, 1.0, -1, w)
-        base += w * _expected(t)
-    return phi, base
+    phi, base = shap_batch(ens, np.asarray(x, dtype=float)[None, :])
+    return phi[0], base
 
 
 def model_output(ens: Ensemble, x: np.ndarray) -> float:
@@ -175,8 +182,8 @@ def model_output(ens: Ensemble, x: np.ndarray) -> float:
 
 
 def explain_rows(df: DataFrame, model, cols: list[str], keep=("ticker", "bar_date")) -> DataFrame:
-    """K1: one row per input row with ``base_value`` and ``contributions``
-    (array aligned with ``cols``); missing inputs are 0 as in scoring."""
+    """K1: one row per input row with ``base_value``, ``contributions`` and ``inputs``
+    (arrays aligned with ``cols``); missing inputs are 0 as in scoring."""
     spark = df.sparkSession
     ens = ensemble_of(model, spark)
     bc = spark.sparkContext.broadcast(ens)
@@ -184,21 +191,15 @@ def explain_rows(df: DataFrame, model, cols: list[str], keep=("ticker", "bar_dat
     inp = df.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x{i}") for i, c in enumerate(cols)])
     xcols = [f"_x{i}" for i in range(len(cols))]
     out_schema = T.StructType([inp.schema[c] for c in keep] + [
-        T.StructField("base_value", T.DoubleType()), T.StructField("contributions", T.ArrayType(T.DoubleType()))])
+        T.StructField("base_value", T.DoubleType()), T.StructField("contributions", T.ArrayType(T.DoubleType())),
+        T.StructField("inputs", T.ArrayType(T.DoubleType()))])
 
     def explain(batches):
         e = bc.value
         for pdf in batches:
             xs = pdf[xcols].to_numpy(dtype=float)
-            bases, contribs = [], []
-            for x in xs:
-                phi, base = shap_values(e, x)
-                bases.append(base)
-                contribs.append(phi.tolist())
-            out = pdf[keep].copy()
-            out["base_value"] = bases
-            out["contributions"] = contribs
-            yield out
+            phi, base = shap_batch(e, xs)
+            yield pdf[keep].assign(base_value=base, contributions=phi.tolist(), inputs=xs.tolist())
 
     return inp.mapInPandas(explain, out_schema)
 
@@ -240,6 +241,14 @@ HINT_TEXT = {
     "net_up": "more bullish than bearish patterns detected recently",
     "net_down": "more bearish than bullish patterns detected recently",
 }
+NARRATIVE_TEXT = {
+    "head": "**Top factors behind this {} signal:**",
+    "for": "- ✅ ",
+    "against": "- ⚠️ ",
+    "push": " → pushed toward ",
+    "contrary": "\n\n**Working against this call:**\n",
+    "none": "No explanation available.",
+}
 CANDLE_FLAG_NAMES = tuple(k for k in DISPLAY_NAMES if k.startswith("candle_") and not k.endswith(("count", "net_signal")))
 
 
@@ -286,18 +295,17 @@ def format_value(feature: Column, value: Column) -> Column:
             .when(a < 10, F.format_string("%.3f", value)).otherwise(F.format_string("%.2f", value)))
 
 
-def explanation_table(explained: DataFrame, inputs: DataFrame, cols: list[str], top_n: int = 5,
-                      keys=("ticker", "bar_date")) -> DataFrame:
+def explanation_table(explained: DataFrame, cols: list[str], top_n: int = 5, keys=("ticker", "bar_date")) -> DataFrame:
     """K2-K6: the top ``top_n`` inputs by |contribution| per row (input order
     breaks ties), with value, display name, formatted value, direction and hint."""
     keys = list(keys)
     names = F.array(*[F.lit(c) for c in cols])
-    long = explained.select(*keys, F.posexplode("contributions").alias("pos", "shap_value"))
-    long = long.withColumn("feature", F.element_at(names, F.col("pos") + 1))
-    vals = inputs.select(*keys, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols]).alias("_v"))
-    long = long.join(vals, keys).withColumn("value", F.element_at("_v", F.col("pos") + 1)).drop("_v")
-    w = Window.partitionBy(*keys).orderBy(F.abs("shap_value").desc(), "pos")
-    top = long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
+    each = F.transform("contributions", lambda c, i: F.struct(
+        (-F.abs(c)).alias("order"), i.alias("pos"), c.alias("shap_value"), F.get("inputs", i).alias("value"),
+        F.get(names, i).alias("feature")))
+    # a row's own arrays are ranked in place: no shuffle
+    best = explained.select(*keys, F.posexplode(F.slice(F.sort_array(each), 1, top_n)).alias("at", "e"))
+    top = best.select(*keys, (F.col("at") + 1).alias("rank"), "e.shap_value", "e.value", "e.feature")
     f, v = F.col("feature"), F.col("value")
     return top.select(*keys, "rank", "feature", display_name(f).alias("display_name"), "value",
                       format_value(f, v).alias("value_display"), "shap_value",
@@ -312,16 +320,17 @@ def narrative(table: DataFrame, signals: DataFrame, keys=("ticker", "bar_date"))
     hint_txt = F.when(F.col("hint").isNotNull(), F.concat(F.lit(" ("), F.col("hint"), F.lit(")"))).otherwise(F.lit(""))
     other = F.when(F.col("signal") == "BUY", "SELL").otherwise("BUY")
     line = F.concat(F.lit("**"), F.col("display_name"), F.lit("** = "), F.col("value_display"), hint_txt,
-                    F.lit(" → pushed toward "))
+                    F.lit(NARRATIVE_TEXT["push"]))
     t = t.withColumn("_sup", F.col("pushes_toward") == F.col("signal")).withColumn(
-        "_line", F.when(F.col("_sup"), F.concat(F.lit("- ✅ "), line, F.col("signal")))
-        .otherwise(F.concat(F.lit("- ⚠️ "), line, other)))
+        "_line", F.when(F.col("_sup"), F.concat(F.lit(NARRATIVE_TEXT["for"]), line, F.col("signal")))
+        .otherwise(F.concat(F.lit(NARRATIVE_TEXT["against"]), line, other)))
     g = t.groupBy(*keys, "signal").agg(F.array_sort(F.collect_list(F.struct("rank", "_sup", "_line"))).alias("_l"))
     sup = F.slice(F.transform(F.filter("_l", lambda e: e["_sup"]), lambda e: e["_line"]), 1, 3)
     opp = F.slice(F.transform(F.filter("_l", lambda e: ~e["_sup"]), lambda e: e["_line"]), 1, 2)
-    head = F.concat(F.lit("**Top factors behind this "), F.col("signal"), F.lit(" signal:**"))
+    before, after = NARRATIVE_TEXT["head"].split("{}")
+    head = F.concat(F.lit(before), F.col("signal"), F.lit(after))
     body = F.concat_ws("\n", F.concat(F.array(head), sup))
-    against = F.when(F.size(opp) > 0, F.concat(F.lit("\n\n**Working against this call:**\n"), F.concat_ws("\n", opp))) \
+    against = F.when(F.size(opp) > 0, F.concat(F.lit(NARRATIVE_TEXT["contrary"]), F.concat_ws("\n", opp))) \
         .otherwise(F.lit(""))
-    text = F.when(F.size("_l") == 0, F.lit("No explanation available.")).otherwise(F.concat(body, against))
+    text = F.when(F.size("_l") == 0, F.lit(NARRATIVE_TEXT["none"])).otherwise(F.concat(body, against))
     return g.select(*keys, "signal", text.alias("narrative"))

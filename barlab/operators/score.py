@@ -19,6 +19,7 @@ from barlab.operators.asof import attach_quarterly
 from barlab.operators.indicators import compute_features
 from barlab.operators.models import FEATURE_COLS, assemble
 from barlab.operators.series import NTOT, RN, SKEY, number_rows
+from barlab.session import cut_lineage
 from barlab.params import MIN_HISTORY_BARS, SCORING_LOOKBACK_BARS, FeatureParams, SeriesLayout
 
 log = logging.getLogger("barlab.score")
@@ -44,21 +45,23 @@ def recommend(model, latest: DataFrame, model_name: str, cols=FEATURE_COLS) -> D
 
 
 def recommend_all(models: dict, latest: DataFrame, cols=FEATURE_COLS) -> DataFrame:
-    """J2 + J7: one row per (ticker, model); a model that fails yields ERROR rows
-    with confidence 0.0 and the others stand."""
+    """J2 + J7: one row per (ticker, model); a model that fails on any row yields
+    ERROR rows with confidence 0.0 and its error text, and the others stand.
+
+    Each model's result is stored before the union, so a failure shows where it
+    can be told from the others."""
     spark = latest.sparkSession
     parts = []
     for name, model in models.items():
         try:
-            part = recommend(model, latest, name, cols)
-            part.limit(1).collect()  # surface a failing model here, not in the union
+            part = cut_lineage(recommend(model, latest, name, cols).withColumn("error", F.lit(None).cast("string")))
         except Exception as e:
-            log.warning("model %s failed: %s", name, e)
+            log.warning("no signals from %s: %s", name, e)
             part = latest.select("ticker", F.lit(name).alias("model"), F.lit("ERROR").alias("signal"),
-                                 F.lit(0.0).alias("confidence"))
+                                 F.lit(0.0).alias("confidence"), F.lit((str(e).splitlines() or [""])[0]).alias("error"))
         parts.append(part)
     if not parts:
-        return spark.createDataFrame([], "ticker string, model string, signal string, confidence double")
+        return spark.createDataFrame([], "ticker string, model string, signal string, confidence double, error string")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -80,7 +83,7 @@ def history_check(bars: DataFrame, min_bars: int = MIN_HISTORY_BARS, key: str =
     """(ticker, history_days, reason); reason is set when there are too few bars."""
     counts = bars.groupBy(key).agg(F.count(F.lit(1)).alias("history_days"))
     reason = F.when(F.col("history_days") < min_bars, F.format_string(
-        "only %d trading days of history available; need at least %d", F.col("history_days"), F.lit(min_bars)))
+        "history of %d bars is below the minimum of %d", F.col("history_days"), F.lit(min_bars)))
     return counts.withColumn("reason", reason)
 
 
@@ -89,7 +92,7 @@ def warmup_check(latest: DataFrame, cols=WARMUP_CHECK) -> DataFrame:
     bad = None
     for c in cols:
         bad = F.col(c).isNull() if bad is None else bad | F.col(c).isNull()
-    return latest.withColumn("reason", F.when(bad, F.lit("Not enough warm-up history to compute all indicators reliably.")))
+    return latest.withColumn("reason", F.when(bad, F.lit("an indicator has no value yet on the latest bar")))
 
 
 def last_n_bars(bars: DataFrame, n: int = SCORING_LOOKBACK_BARS, key: str = "ticker", order: str = "bar_date") -> DataFrame:
@@ -106,8 +109,9 @@ def score_tickers(bars: DataFrame, fund: DataFrame, history: DataFrame | None, r
     Newest ``lookback`` bars -> snapshot join -> quarterly as of each bar ->
     saved ratio scaling (transform only) -> indicators -> latest row ->
     checks -> predict with every model. Rejected tickers get a reason and no
-    prediction. Output: ticker, history_days, as_of_date, model, signal,
-    confidence, reason.
+    prediction; a failed model gets its error; tree models get a narrative.
+    Output: ticker, history_days, as_of_date, model, signal, confidence, reason,
+    error, narrative.
     """
     recent = last_n_bars(bars, lookback)
     hist = history_check(recent, min_bars)
@@ -117,12 +121,32 @@ def score_tickers(bars: DataFrame, fund: DataFrame, history: DataFrame | None, r
     feats = compute_features(df, fp, layout)
     latest = warmup_check(latest_rows(feats))
     latest = latest.join(hist.select("ticker", "history_days", F.col("reason").alias("_hreason")), "ticker", "left")
-    latest = latest.withColumn("reason", F.coalesce("_hreason", "reason")).drop("_hreason")
+    latest = cut_lineage(latest.withColumn("reason", F.coalesce("_hreason", "reason")).drop("_hreason"))
     ok = latest.filter(F.col("reason").isNull())
     rejected = latest.filter(F.col("reason").isNotNull()).select(
         "ticker", "history_days", F.col("bar_date").alias("as_of_date"), F.lit(None).cast("string").alias("model"),
-        F.lit(None).cast("string").alias("signal"), F.lit(None).cast("double").alias("confidence"), "reason")
+        F.lit(None).cast("string").alias("signal"), F.lit(None).cast("double").alias("confidence"), "reason",
+        F.lit(None).cast("string").alias("error"), F.lit(None).cast("string").alias("narrative"))
     recs = recommend_all(models, ok)
-    scored = recs.join(ok.select("ticker", "history_days", F.col("bar_date").alias("as_of_date")), "ticker").select(
-        "ticker", "history_days", "as_of_date", "model", "signal", "confidence", F.lit(None).cast("string").alias("reason"))
+    scored = recs.join(ok.select("ticker", "history_days", F.col("bar_date").alias("as_of_date")), "ticker")
+    scored = scored.join(narratives(models, ok, recs), ["ticker", "model"], "left").select(
+        "ticker", "history_days", "as_of_date", "model", "signal", "confidence", F.lit(None).cast("string").alias("reason"),
+        "error", "narrative")
     return scored.unionByName(rejected)
+
+
+def narratives(models: dict, latest: DataFrame, recs: DataFrame, cols=FEATURE_COLS, top_n: int = 5) -> DataFrame:
+    """ticker, model, narrative of the models that trees explain."""
+    from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
+
+    from barlab.operators import explain
+
+    out = latest.sparkSession.createDataFrame([], "ticker string, model string, narrative string")
+    cols = [c for c in cols if c in latest.columns]
+    for name, model in models.items():
+        if isinstance(model, (GBTClassificationModel, RandomForestClassificationModel)):
+            table = explain.explanation_table(explain.explain_rows(latest, model, cols), cols, top_n)
+            signals = recs.filter(F.col("model") == name).join(latest.select("ticker", "bar_date"), "ticker")
+            told = explain.narrative(table, signals.filter(F.col("signal") != "ERROR"))
+            out = out.unionByName(told.select("ticker", F.lit(name).alias("model"), "narrative"))
+    return out

@@ -9,7 +9,9 @@ Fitted models are kept per (sf_dir, family) for the life of the process.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+import uuid
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from barlab import oracle as O
@@ -22,7 +24,8 @@ from barlab.operators.quarterly import quarterly_history
 from barlab.plans.pipeline import run_preprocessing
 from barlab.plans.registry import FIXTURE_LABELS, register
 from barlab.sources import bars as B
-from barlab.session import cut_lineage
+from barlab.params import SCORING_LOOKBACK_BARS
+from barlab.session import cut_lineage, ensure_checkpoint_dir
 from barlab.sources import tables as T
 
 W = O.with_
@@ -172,14 +175,14 @@ def _j03(spark, sf):
 
 
 @register("j04_history_check", W(O.BARS) +
-          "SELECT ticker, count(*) AS history_days, CASE WHEN count(*) < 60 THEN printf('only %d trading days of history "
-          "available; need at least %d', count(*), 60) END AS reason FROM bars GROUP BY ticker")
+          "SELECT ticker, count(*) AS history_days, CASE WHEN count(*) < 60 THEN printf('history of %d bars is below the "
+          "minimum of %d', count(*), 60) END AS reason FROM bars GROUP BY ticker")
 def _j04(spark, sf):
     return J.history_check(T.bars(spark, sf))
 
 
 @register("j05_warmup_check", W(*FEAT) + "SELECT ticker, bar_date, CASE WHEN MA21 IS NULL OR RSI_14 IS NULL OR MACD_signal IS NULL "
-          "OR BB_width IS NULL THEN 'Not enough warm-up history to compute all indicators reliably.' END AS reason "
+          "OR BB_width IS NULL THEN 'an indicator has no value yet on the latest bar' END AS reason "
           "FROM feat QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY bar_date DESC) = 1")
 def _j05(spark, sf):
     f = compute_features(T.bars(spark, sf))
@@ -231,13 +234,13 @@ def _k01b(spark, sf):
 @register("k06_explanation_table", None)
 def _k06(spark, sf):
     ex, latest, cols = _explained(spark, sf)
-    return K.explanation_table(ex, latest, cols, top_n=5)
+    return K.explanation_table(ex, cols, top_n=5)
 
 
 @register("k07_narrative", None)
 def _k07(spark, sf):
     ex, latest, cols = _explained(spark, sf)
-    table = K.explanation_table(ex, latest, cols, top_n=5)
+    table = K.explanation_table(ex, cols, top_n=5)
     signals = J.recommend(_model(spark, sf, "rf"), latest, "rf").join(latest.select("ticker", "bar_date"), "ticker")
     return K.narrative(table, signals)
 
@@ -281,13 +284,13 @@ def _k0405(spark, sf):
 @register("k02_top_factors", None)
 def _k02(spark, sf):
     ex, latest, cols = _explained(spark, sf)
-    return K.explanation_table(ex, latest, cols, top_n=5).select("ticker", "bar_date", "rank", "feature", "shap_value")
+    return K.explanation_table(ex, cols, top_n=5).select("ticker", "bar_date", "rank", "feature", "shap_value")
 
 
 @register("k03_direction", None)
 def _k03(spark, sf):
     ex, latest, cols = _explained(spark, sf)
-    return K.explanation_table(ex, latest, cols, top_n=5).select("ticker", "bar_date", "feature", "pushes_toward")
+    return K.explanation_table(ex, cols, top_n=5).select("ticker", "bar_date", "feature", "pushes_toward")
 
 
 @register("g13_second_boosted_family", None)
@@ -295,3 +298,179 @@ def _g13(spark, sf):
     train, test = _split(spark, sf)
     m = G.fit(train, "gbt", **dict(GBT_CHECK, subsamplingRate=0.8))
     return G.predict(m, test)
+
+
+# ---------------------------------------------------------------- the same operators on rules that SQL can follow
+class _RuleModel:
+    """P(BUY) from one column: ``high`` above the cut, ``low`` otherwise."""
+
+    def __init__(self, col: str, cut: float, high: float, low: float):
+        self.col, self.cut, self.high, self.low = col, cut, high, low
+
+    def transform(self, df):
+        p = F.when(F.col(self.col) > self.cut, F.lit(self.high)).otherwise(F.lit(self.low))
+        return df.withColumn("probability", array_to_vector(F.array(1 - p, p))).withColumn("prediction", (p >= 0.5).cast("double"))
+
+    def sql(self) -> str:
+        return f"CASE WHEN {self.col} > {self.cut} THEN CAST({self.high} AS DOUBLE) ELSE CAST({self.low} AS DOUBLE) END"
+
+
+_RULES = {"Momentum": _RuleModel("RSI_14", 50.0, 0.75, 0.375), "Trend": _RuleModel("MACD_hist", 0.0, 0.875, 0.25)}
+_LATEST_SQL = "lt AS (SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY bar_date DESC) = 1)"
+
+
+def _signals_sql(cols: str = "ticker") -> str:
+    return " UNION ALL ".join(
+        f"SELECT {cols}, '{n}' AS model, CASE WHEN {m.sql()} >= 0.5 THEN 'BUY' ELSE 'SELL' END AS signal, "
+        f"greatest({m.sql()}, 1 - {m.sql()}) AS confidence FROM lt" for n, m in _RULES.items())
+
+
+def _latest_featured(spark, sf):
+    return J.latest_rows(run_feature_engineering(T.bars(spark, sf), labels=FIXTURE_LABELS))
+
+
+@register("j02_recommend_by_rules", W(*FEAT, _LATEST_SQL.format(src="featured")) + _signals_sql())
+def _j02r(spark, sf):
+    return J.recommend_all(_RULES, _latest_featured(spark, sf)).drop("error")
+
+
+@register("j03_recommendations_wide_by_rules", W(*FEAT, _LATEST_SQL.format(src="featured")) + "SELECT ticker, " + ", ".join(
+    f"CASE WHEN {m.sql()} >= 0.5 THEN 'BUY' ELSE 'SELL' END AS \"{n} Signal\", round(greatest({m.sql()}, 1 - {m.sql()}), 3) AS \"{n} Confidence\""
+    for n, m in _RULES.items()) + " FROM lt")
+def _j03r(spark, sf):
+    return J.recommendations_wide(J.recommend_all(_RULES, _latest_featured(spark, sf)), list(_RULES))
+
+
+@register("j06_score_tickers_by_rules", W(
+    O.BARS, f"recent AS (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY bar_date DESC) <= {SCORING_LOOKBACK_BARS})",
+    O.features_ctes("recent"), "nb AS (SELECT ticker, count(*) AS history_days FROM recent GROUP BY ticker)", _LATEST_SQL.format(src="feat"),
+    "bad AS (SELECT ticker, bar_date, history_days, CASE WHEN history_days < 60 THEN printf('history of %d bars is below the minimum of %d', history_days, 60) "
+    "WHEN MA21 IS NULL OR RSI_14 IS NULL OR MACD_signal IS NULL OR BB_width IS NULL THEN 'an indicator has no value yet on the latest bar' END AS reason "
+    "FROM lt JOIN nb USING (ticker))", f"sg AS ({_signals_sql()})")
+    + "SELECT b.ticker, history_days, bar_date AS as_of_date, model, signal, confidence, reason, CAST(NULL AS VARCHAR) AS error, "
+      "CAST(NULL AS VARCHAR) AS narrative FROM bad b LEFT JOIN sg ON b.ticker = sg.ticker AND reason IS NULL")
+def _j06r(spark, sf):
+    params = _pre(spark, sf).ratio_params
+    return J.score_tickers(T.bars(spark, sf), T.fundamentals(spark, sf), quarterly_history(T.quarterly_raw(spark, sf)), params, _RULES)
+
+
+@register("j07_failure_isolation_by_rules", W(*FEAT, _LATEST_SQL.format(src="featured"), f"sg AS ({_signals_sql()})")
+          + "SELECT ticker, model, signal, confidence, false AS has_error FROM sg WHERE model = 'Momentum' "
+            "UNION ALL SELECT ticker, 'Broken', 'ERROR', 0.0, true FROM lt")
+def _j07r(spark, sf):
+    r = J.recommend_all({"Momentum": _RULES["Momentum"], "Broken": _BrokenModel()}, _latest_featured(spark, sf))
+    return r.select("ticker", "model", "signal", "confidence", F.col("error").isNotNull().alias("has_error"))
+
+
+# contributions as a fixed multiple of each input, so that SQL can rank and word them
+def _coefficient(i: int) -> float:
+    return (-1.0) ** i / (8 * (i + 1))
+
+
+def _explained_by_rule(spark, sf):
+    lt = _latest_featured(spark, sf)
+    x = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in _TEXT_FEATURES]
+    return lt.select("ticker", "bar_date", F.array(*x).alias("inputs"),
+                     F.array(*[v * F.lit(_coefficient(i)) for i, v in enumerate(x)]).alias("contributions")), lt
+
+
+def _factors_ctes() -> tuple:
+    """Ranked factors of the latest row of each ticker."""
+    items = ", ".join(f"{{'pos': {i}, 'feature': '{c}', 'value': coalesce(CAST({c} AS DOUBLE), 0), 'shap': coalesce(CAST({c} AS DOUBLE), 0) * "
+                      f"CAST({_coefficient(i)!r} AS DOUBLE)}}" for i, c in enumerate(_TEXT_FEATURES))
+    names = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.DISPLAY_NAMES.items())
+    text = _text_sql()
+    hint = text[text.index("CASE WHEN b = 'RSI_14'"): text.index(" AS hint FROM ln")]
+    osc = "(contains(feature, 'RSI') OR contains(feature, 'Stoch') OR contains(feature, 'ADX'))"
+    return (*FEAT, _LATEST_SQL.format(src="featured"),
+            f"lg AS (SELECT ticker, bar_date, unnest([{items}], recursive := true) FROM lt)",
+            "rk AS (SELECT *, row_number() OVER (PARTITION BY ticker, bar_date ORDER BY abs(shap) DESC, pos) AS rank FROM lg QUALIFY rank <= 5)",
+            "lb AS (SELECT *, regexp_replace(feature, '_lag[123]$', '') AS b, regexp_extract(feature, '_lag([123])$', 1) AS lag FROM rk)",
+            f"ln AS (SELECT *, coalesce(CASE b {names} END, replace(feature, '_', ' ')) AS nm FROM lb)",
+            "fx AS (SELECT ticker, bar_date, CAST(rank AS INTEGER) AS rank, feature, value, shap AS shap_value, "
+            "CASE WHEN lag <> '' THEN nm || ' (' || lag || 'd ago)' ELSE nm END AS display_name, "
+            f"CASE WHEN {osc} THEN printf('%.1f', value) WHEN abs(value) < 10 THEN printf('%.3f', value) ELSE printf('%.2f', value) END AS value_display, "
+            f"CASE WHEN shap > 0 THEN 'BUY' ELSE 'SELL' END AS pushes_toward, {hint} AS hint FROM ln)")
+
+
+def _factor_query(name: str, cols: list[str]):
+    doubles = ("value", "shap_value")
+    sel = ", ".join(f"{O.rnd(c)} AS {c}" if c in doubles else c for c in cols)
+
+    def fn(spark, sf):
+        return K.explanation_table(_explained_by_rule(spark, sf)[0], list(_TEXT_FEATURES), top_n=5).select(*cols)
+    register(name, W(*_factors_ctes()) + f"SELECT {sel} FROM fx")(fn)
+
+
+_factor_query("k02_top_factors_by_rule", ["ticker", "bar_date", "rank", "feature", "shap_value"])
+_factor_query("k03_direction_by_rule", ["ticker", "bar_date", "feature", "pushes_toward"])
+_factor_query("k06_explanation_table_by_rule", ["ticker", "bar_date", "rank", "feature", "display_name", "value", "value_display", "shap_value",
+                                                "pushes_toward", "hint"])
+
+
+def _narrative_sql() -> str:
+    n = K.NARRATIVE_TEXT
+    before, after = n["head"].split("{}")
+    nl = "chr(10)"
+    contrary = n["contrary"].strip(chr(10))
+    return W(*_factors_ctes(), f"sg AS ({_signals_sql()})",
+             "tx AS (SELECT f.ticker, f.bar_date, f.rank, s.signal, pushes_toward = s.signal AS sup, "
+             f"'**' || display_name || '** = ' || value_display || coalesce(' (' || hint || ')', '') || '{n['push']}' AS line "
+             "FROM fx f JOIN sg s ON f.ticker = s.ticker AND s.model = 'Momentum')",
+             "nr AS (SELECT *, row_number() OVER (PARTITION BY ticker, bar_date, sup ORDER BY rank) AS k FROM tx)",
+             "ag AS (SELECT ticker, bar_date, signal, "
+             f"string_agg('{n['for']}' || line || signal, {nl} ORDER BY rank) FILTER (WHERE sup AND k <= 3) AS a, "
+             f"string_agg('{n['against']}' || line || CASE WHEN signal = 'BUY' THEN 'SELL' ELSE 'BUY' END, {nl} ORDER BY rank) FILTER (WHERE NOT sup AND k <= 2) AS c "
+             "FROM nr GROUP BY ALL)") + (
+        f"SELECT ticker, bar_date, signal, '{before}' || signal || '{after}' || coalesce({nl} || a, '') || "
+        f"coalesce({nl} || {nl} || '{contrary}' || {nl} || c, '') AS narrative FROM ag")
+
+
+@register("k07_narrative_by_rule", _narrative_sql())
+def _k07r(spark, sf):
+    ex, lt = _explained_by_rule(spark, sf)
+    signals = J.recommend(_RULES["Momentum"], lt, "Momentum").join(lt.select("ticker", "bar_date"), "ticker")
+    return K.narrative(K.explanation_table(ex, list(_TEXT_FEATURES), top_n=5), signals)
+
+
+# ---------------------------------------------------------------- what must hold of any fit
+_CUT_SQL = ("cut AS (SELECT bar_date AS cutoff FROM featured ORDER BY bar_date "
+            "LIMIT 1 OFFSET (SELECT CAST(floor(count(*) * CAST(0.7 AS DOUBLE)) AS BIGINT) FROM featured))")
+_TEST_SQL = W(*FEAT, _CUT_SQL) + "SELECT ticker, bar_date, label, true AS valid FROM featured, cut WHERE bar_date >= cutoff"
+
+
+def _valid_query(name: str, family: str):
+    def fn(spark, sf):
+        _, test = _split(spark, sf)
+        p = G.predict(_model(spark, sf, family), test)
+        return p.select("ticker", "bar_date", "label", (F.col("p").between(0, 1) & ((F.col("p") == 0.5) | (
+            (F.col("p") > 0.5) == (F.col("prediction") == 1)))).alias("valid"))
+    register(name, _TEST_SQL)(fn)
+
+
+_valid_query("g04_random_forest_properties", "rf")
+_valid_query("g05_boosted_trees_properties", "gbt")
+
+
+@register("g15_importance_properties", "SELECT true AS sums_to_one, true AS none_negative")
+def _g15p(spark, sf):
+    imp = G.feature_importance(_model(spark, sf, "rf"), G.present(_full(spark, sf)), top_n=None)
+    return imp.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"), (F.min("importance") >= 0).alias("none_negative"))
+
+
+@register("g17_saved_model_predicts_the_same", W(*FEAT, _CUT_SQL) + "SELECT ticker, bar_date, true AS same FROM featured, cut WHERE bar_date >= cutoff")
+def _g17p(spark, sf):
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    _, test = _split(spark, sf)
+    G.save_model(_model(spark, sf, "rf"), path)
+    was, now = G.predict(_model(spark, sf, "rf"), test), G.predict(G.load_models({"rf": path})["rf"], test)
+    return was.join(now.select("ticker", "bar_date", F.col("p").alias("p2")), ["ticker", "bar_date"]).select(
+        "ticker", "bar_date", (F.col("p") == F.col("p2")).alias("same"))
+
+
+@register("k01_contributions_add_up", W(*FEAT, _LATEST_SQL.format(src="featured")) + "SELECT ticker, bar_date, true AS adds_up FROM lt")
+def _k01p(spark, sf):
+    ex, latest, cols = _explained(spark, sf)
+    out = G.predict(_model(spark, sf, "rf"), latest).select("ticker", "bar_date", "p")
+    total = F.col("base_value") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
+    return ex.join(out, ["ticker", "bar_date"]).select("ticker", "bar_date", (F.abs(total - F.col("p")) < 1e-6).alias("adds_up"))
