@@ -53,6 +53,7 @@ KEY, TEXT_HASH = "__doc", "__text"
 SEGMENTS = V.struct("anchor long, seg long, doc long, th int, lo int, n int")
 ENTRIES = V.struct("anchor long, win long, doc long, th int, lo int, n int, multi boolean, bytes binary")
 LEVEL = V.struct("bucket long, level int, text binary, sa binary, start binary, lo binary, n binary, doc binary, th binary, multi binary")
+RANGES = V.struct("doc long, th int, s int, e int")
 SPANS = V.struct("span_doc binary, span_th binary, span_s binary, span_e binary")
 
 
@@ -202,7 +203,8 @@ class SuffixIndex:
     """Levels of suffix arrays, one row per bucket; level k holds 2^k batches."""
 
     def __init__(self, ws: Workspace, size: int = SIZE):
-        self.ws, self.size, self.levels = ws, size, {}
+        self.ws, self.size = ws, size
+        self.levels: dict[int, DataFrame] = {}
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Index a batch (bucket, bytes, doc, th, lo, n, multi) and return the byte ranges it makes repeats."""
@@ -225,21 +227,27 @@ class SuffixIndex:
 
         batch = batch.groupBy("bucket")
         old = None
-        for k, t in self.levels.items():
+        for t in self.levels.values():
+            t = t.select(*LEVEL.names).filter("text is not null")
             old = t if old is None else old.union(t)
         if old is None:
             done = batch.applyInPandas(lambda pdf: step(pdf, pd.DataFrame()), fields)
         else:
             done = batch.cogroup(old.groupBy("bucket")).applyInPandas(step, fields)
         done = self.ws.stage(done, f"level{target}")
-        for k in range(target):
-            del self.levels[k]
-        self.levels[target] = done.select(*LEVEL.names).filter("text is not null")
-        return done.select(*SPANS.names)
+        spans = self.ws.stage(done.select(*SPANS.names).mapInArrow(unpack_spans, RANGES), "level-matches")
+        self.ws.release(*[self.levels.pop(k) for k in range(target)])  # merged into the new level
+        self.levels[target] = done
+        return spans
+
+    def close(self) -> None:
+        """Delete the levels."""
+        self.ws.release(*self.levels.values())
+        self.levels.clear()
 
 
 def unpack_spans(batches):
-    schema = to_arrow_schema(V.struct("doc long, th int, s int, e int"))
+    schema = to_arrow_schema(RANGES)
     for b in batches:
         cols = [np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in b.column(c)] or [np.zeros(0, np.int64)]) for c in SPANS.names]
         yield V.record_batch(schema, doc=cols[0], th=cols[1].astype(np.int32), s=cols[2].astype(np.int32), e=cols[3].astype(np.int32))
@@ -299,10 +307,13 @@ def repeat_spans(ws: Workspace, keyed: DataFrame, size: int = SIZE, gram: int =
     index, found = SuffixIndex(ws, size), whole
     for k in range(n_batches if total else 0):
         batch = cold.filter(F.pmod(F.xxhash64("doc"), F.lit(n_batches)) == k).drop("anchor", "win")
-        found = found.union(index.add(batch).mapInArrow(unpack_spans, found.schema))
+        found = found.union(index.add(batch))
+    index.close()
     again = ws.stage(hot.groupBy("anchor", "win").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"), "hot-windows")
     found = found.union(hot.join(again, ["anchor", "win"]).select("doc", "th", F.col("lo").alias("s"), (F.col("lo") + size).alias("e")))
-    return ws.stage(found.groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("__spans")), "spans")
+    out = ws.stage(found.groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("__spans")), "spans")
+    ws.release(entries, whole)
+    return out
 
 
 def remove_repeats(ws: Workspace, docs: DataFrame, size: int = SIZE, n_batches: int = BATCHES) -> DataFrame:
