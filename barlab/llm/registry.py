@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import (fair_queue, jaccard_join, projection_forest, rule_cascade, site_templates, snapshots, substring_dedup,
+from barlab.llm import (fair_queue, jaccard_join, oracle, projection_forest, rule_cascade, site_templates, snapshots, substring_dedup,
                         suffix_levels, url_lm, vector_packing)
 from barlab.llm.workspace import Workspace
 
@@ -70,4 +70,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
