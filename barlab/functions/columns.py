@@ -33,9 +33,6 @@ def inf_to_null(c) -> Column:
     return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(x)
 
 
-POW10 = tuple(10.0 ** i for i in range(23))
-
-
 def round_compare(c, decimals: int = 6, digits: int = 8) -> Column:
     """Round to the coarser of ``decimals`` places and ``digits`` significant
     digits, as ``round(x * 10^k) / 10^k`` with exact power-of-ten literals.
@@ -48,7 +45,7 @@ def round_compare(c, decimals: int = 6, digits: int = 8) -> Column:
     x = col(c)
     e = F.floor(F.log10(F.abs(x)))
     k = F.least(F.lit(decimals), F.lit(digits - 1) - e)
-    p = F.element_at(F.array(*[F.lit(v) for v in POW10]), F.least(F.abs(k), F.lit(22)).cast("int") + 1)
+    p = F.pow(F.lit(10.0), F.least(F.abs(k), F.lit(22)).cast("double"))  # exact up to 10^22
     return (F.when(x.isNull() | (x == 0), x)
             .when(k >= 0, F.round(x * p) / p)
             .otherwise(F.round(x / p) * p))

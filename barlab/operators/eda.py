@@ -167,7 +167,7 @@ def box_stats(df: DataFrame, value: str = "MACD_hist", by: str = "label") -> Dat
     v = F.col(value)
     q = exact_quantiles(df.select(by, value), [value], [0.25, 0.5, 0.75], by=by)  # one row per group
     q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
-    j = df.select(by, value).filter(v.isNotNull()).join(F.broadcast(q), by)
+    j = df.select(by, value).filter(v.isNotNull()).join(q, by)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
     inside = (v >= lo_f) & (v <= hi_f)
@@ -208,41 +208,41 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by: str
     """Exact linearly interpolated quantiles (numpy / Spark ``percentile``
     semantics) without any unbounded aggregation buffer.
 
-    The columns are unpivoted to (column, value) rows and ranked with
-    ``global_rank`` (range-partitioned, distributed). Per (group, column) row
-    counts (a small table) give each value's rank inside its column; only the
-    two ranks around ``p * (n - 1)`` per probability are read back. Output: one
-    row per (group, column) with ``q`` = array of quantiles in ``probs`` order
-    (NULL for a column with no values).
+    The columns are unpivoted and counted by distinct value first (a partial
+    aggregate), so a value shared by a third of the rows is one row from there on.
+    The (column, value, count) rows are range partitioned; running counts inside
+    a partition plus the totals of the partitions before it (a small table) give
+    each value its ranks, and the values at the two ranks around ``p * (n - 1)``
+    are read off. Output: one row per (group, column) with ``q`` = array of
+    quantiles in ``probs`` order (NULL for a column with no values).
     """
     spark = df.sparkSession
-    grp = [by] if by else []
+    key = F.struct(F.col(by).alias("by")) if by else F.struct(F.lit(1).alias("by"))
     items = F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in cols])
-    long = df.select(*grp, F.explode(items).alias("_s")).select(*grp, "_s._col", "_s._v").filter(F.col("_v").isNotNull())
-    ranked = global_rank(long, [*grp, "_col", "_v"])
-    counts = ranked.groupBy(*grp, "_col").agg(F.count(F.lit(1)).alias("_n"), F.min("_rank").alias("_first"))
-    rows = counts.collect()  # one row per (group, column): bounded by groups x columns
-    need, plan = set(), []
-    for r in rows:
-        n, first = r["_n"], r["_first"]
-        pos = []
-        for p in probs:
-            h = p * (n - 1)
-            lo, hi = int(h // 1), int(-(-h // 1))
-            need.update((first + lo, first + hi))
-            pos.append((first + lo, first + hi, h - lo))
-        plan.append(([r[g] for g in grp], r["_col"], pos))
-    picked = {}
-    if need:
-        want = spark.createDataFrame([(int(x),) for x in sorted(need)], "_rank long")
-        for r in ranked.join(F.broadcast(want), "_rank").select("_rank", "_v").collect():  # 2 rows per quantile
-            picked[r["_rank"]] = r["_v"]
-    out = []
-    for gvals, col, pos in plan:
-        qs = [picked[lo] + frac * (picked[hi] - picked[lo]) for lo, hi, frac in pos]
-        out.append((*gvals, col, qs))
-    for c in cols:  # columns without values
-        if not any(pc == c for _, pc, _ in plan) and not grp:
-            out.append((c, None))
-    schema = ", ".join([f"{g} {df.schema[g].dataType.simpleString()}" for g in grp] + ["column string", "q array<double>"])
-    return spark.createDataFrame(out, schema)
+    long = df.select(key.alias("_g"), F.explode(items).alias("_s")).select("_g", "_s._col", "_s._v").filter(F.col("_v").isNotNull())
+    counts = long.groupBy("_g", "_col", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # stored, so that partition ids are the same for the totals and the rows
+    ranged = cut_lineage(counts.repartitionByRange(n, "_g", "_col", "_v").withColumn("_pid", F.spark_partition_id()))
+    parts = ranged.groupBy("_g", "_col", "_pid").agg(F.sum("_c").alias("_part"))
+    w = Window.partitionBy("_g", "_col")
+    parts = parts.select("_g", "_col", "_pid", F.sum("_part").over(w).alias("_n"), F.coalesce(F.sum("_part").over(
+        w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_g", "_col", "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ranged.withColumn("_upto", F.sum("_c").over(inside)).join(parts, ["_g", "_col", "_pid"])
+    last = F.col("_before") + F.col("_upto")
+    place = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+    ranks = F.array_distinct(F.array(*[f(x).cast("long") for x in place for f in (F.floor, F.ceil)]))
+    hit = F.filter(ranks, lambda r: (r >= last - F.col("_c")) & (r < last))
+    found = ranked.select("_g", "_col", "_n", "_v", F.explode(hit).alias("_r"))
+    values = found.groupBy("_g", "_col", "_n").agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m"))
+
+    def at(x):
+        lo, hi = F.element_at("_m", F.floor(x).cast("long")), F.element_at("_m", F.ceil(x).cast("long"))
+        return lo + (x - F.floor(x)) * (hi - lo)
+
+    q = values.select("_g", F.col("_col").alias("column"), F.array(*[at(x) for x in place]).alias("q"))
+    if by:
+        return q.select(F.col("_g.by").alias(by), "column", "q")
+    every = spark.createDataFrame([(c,) for c in cols], "column string")
+    return every.join(q.drop("_g"), "column", "left")

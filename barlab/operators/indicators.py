@@ -19,6 +19,7 @@ from barlab.operators.ewm import EwmSpec, add_ewm, depth, sub_rows_for
 from barlab.operators.series import NTOT, RN, _as_list, blocked, block_window, finish, full, rows
 from barlab.params import FeatureParams, LabelParams, SeriesLayout
 
+# Output and warm-up column names (fixed values).
 INDICATOR_COLS = (
     "daily_return", "MA7", "MA21", "MA_crossover", "RSI_14",
     "MACD", "MACD_signal", "MACD_hist",

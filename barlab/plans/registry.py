@@ -123,7 +123,7 @@ def _hits_sql(side: str) -> str:
     else:
         cols = ["candle_shooting_star", "candle_bearish_marubozu", "candle_bearish_engulfing", "candle_evening_star"]
         marker = "high * 1.015"
-    names = ", ".join(f"CASE WHEN {c} = 1 THEN '{C._title(c)}' END" for c in cols)
+    names = ", ".join(f"CASE WHEN {c} = 1 THEN '{C.PATTERN_NAMES[c]}' END" for c in cols)
     return (O.with_(O.BARS, O.features_ctes()) +
             f"SELECT ticker, bar_date, {O.rnd(marker)} AS marker, "
             f"array_to_string(list_filter([{names}], lambda x: x IS NOT NULL), ', ') AS patterns "

@@ -4,7 +4,7 @@ Model fits are Spark ML, so most of these are rows-only checks; where the
 output is data work (assembly, latest rows, checks) an SQL twin is given.
 Registered fits use moderate sizes (forest 100 x depth 6, boosting 40
 rounds) so the checks stay quick; the library defaults follow the reference.
-Fitted models are kept per (sf_dir, family) for the life of the process.
+Fitted models are kept per (session, sf_dir, family).
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ _CACHE: dict = {}
 
 
 def _pre(spark, sf):
-    key = ("pre", sf)
+    key = (spark.sparkContext.applicationId, "pre", sf)
     if key not in _CACHE:
         prices = B.join_index(T.bars(spark, sf), T.index_levels(spark, sf))
         _CACHE[key] = run_preprocessing(prices, T.fundamentals(spark, sf), quarterly_history(T.quarterly_raw(spark, sf)))
@@ -46,7 +46,7 @@ def _pre(spark, sf):
 def _full(spark, sf):
     """Featured rows with every model input (processed -> features -> labels),
     materialised once: every fit and check reads the stored rows."""
-    key = ("full", sf)
+    key = (spark.sparkContext.applicationId, "full", sf)
     if key not in _CACHE:
         _CACHE[key] = cut_lineage(run_feature_engineering(_pre(spark, sf).table, labels=FIXTURE_LABELS))
     return _CACHE[key]
@@ -57,7 +57,7 @@ def _split(spark, sf):
 
 
 def _model(spark, sf, family):
-    key = (family, sf)
+    key = (spark.sparkContext.applicationId, family, sf)
     if key not in _CACHE:
         train, _ = _split(spark, sf)
         _CACHE[key] = G.fit(train, family, **(RF_CHECK if family == "rf" else GBT_CHECK))
@@ -211,7 +211,7 @@ def _j07(spark, sf):
 
 # ---------------------------------------------------------------- K
 def _explained(spark, sf, family="rf"):
-    key = ("shap", family, sf)
+    key = (spark.sparkContext.applicationId, "shap", family, sf)
     if key not in _CACHE:
         latest = _latest_full(spark, sf)
         cols = G.present(latest)
@@ -296,7 +296,7 @@ def _k03(spark, sf):
 @register("g13_second_boosted_family", None)
 def _g13(spark, sf):
     train, test = _split(spark, sf)
-    m = G.fit(train, "gbt", **dict(GBT_CHECK, subsamplingRate=0.8))
+    m = G.fit(train, "gbt", weighted=False, **dict(GBT_CHECK, subsamplingRate=0.8))
     return G.predict(m, test)
 
 

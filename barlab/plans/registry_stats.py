@@ -27,8 +27,10 @@ CTX_SQL = ("ctx AS MATERIALIZED (SELECT f.*, i.vix, i.nifty, d.pe_ratio, d.eps,
 CTX = FEAT + (O.INDEX, O.FUND, CTX_SQL)
 
 
-def _featured(spark, sf):
-    return run_feature_engineering(T.bars(spark, sf), labels=FIXTURE_LABELS)
+def _featured(spark, sf, ticker=None):
+    """Featured rows; with a ticker, of that one alone: the filter reaches the scan."""
+    bars = T.bars(spark, sf)
+    return run_feature_engineering(bars.filter(F.col("ticker") == ticker) if ticker else bars, labels=FIXTURE_LABELS)
 
 
 def _ctx(spark, sf):
@@ -375,7 +377,7 @@ def _m03(spark, sf):
 @register("m04_feature_lookup", W(*FEAT) + "SELECT ticker, bar_date, " + O.r6("close", "RSI_14", "MACD_hist") +
           f", label FROM featured WHERE ticker = '{TICKER}' ORDER BY bar_date DESC LIMIT 50")
 def _m04(spark, sf):
-    return M.feature_lookup(_featured(spark, sf), TICKER, 50).select("ticker", "bar_date", "close", "RSI_14", "MACD_hist", "label")
+    return M.feature_lookup(_featured(spark, sf, TICKER), TICKER, 50).select("ticker", "bar_date", "close", "RSI_14", "MACD_hist", "label")
 
 
 @register("m05_row_counts", W(O.BARS, O.QUARTERLY_RAW, O.HIST, O.FUND) +
@@ -391,7 +393,7 @@ def _m05(spark, sf):
 @register("m06_last_n_history", W(*FEAT) + "SELECT * FROM (SELECT ticker, bar_date, " + O.r6("close", "MA21") +
           f" FROM featured WHERE ticker = '{TICKER}' ORDER BY bar_date DESC LIMIT 30) ORDER BY bar_date")
 def _m06(spark, sf):
-    return M.last_n_history(_featured(spark, sf), TICKER, 30).select("ticker", "bar_date", "close", "MA21")
+    return M.last_n_history(_featured(spark, sf, TICKER), TICKER, 30).select("ticker", "bar_date", "close", "MA21")
 
 
 @register("m07_latest_price", W(O.BARS) + "SELECT bar_date, " + O.r6("close", "volume") +
