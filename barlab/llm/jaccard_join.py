@@ -260,12 +260,14 @@ def link(ws: Workspace, keyed: DataFrame, sets: DataFrame, grams: DataFrame, siz
         if tested is not None:
             pairs = pairs.join(tested.select("u", "v"), ["u", "v"], "left_anti")
         pairs = ws.stage(pairs, "pairs")
+        if pairs.isEmpty() and roots is not None:
+            continue
         text = texts.of(pairs)
         ws.release()
         both = pairs.join(text.withColumnsRenamed({"id": "v", "text": "text_v"}), "v").join(
             text.withColumnsRenamed({"id": "u", "text": "text_u"}), "u").select("u", "v", "text_u", "text_v")
         done = ws.stage(both.mapInArrow(verify(size, percent), TESTED), "tested")
-        tested = done if tested is None else ws.stage(tested.union(done), "all-tested")
+        tested = done if tested is None else tested.union(done)
         ws.release(pairs)
         roots = components(ws, tested.filter("linked").select("u", "v"))
     return roots
