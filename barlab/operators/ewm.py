@@ -1,29 +1,27 @@
-"""Exponential smoothing ``y_t = (1-a) y_{t-1} + a x_t``, ``y_0 = x_0`` in plain columns.
-
-The recurrence forgets geometrically: a term ``k`` rows back weighs
-``(1-a)^k``. Once that is below 1e-17 of the current level the rest of the
-history cannot change a double. So the smoother only needs a bounded reach,
-``depth(a)`` rows, and runs inside the blocked layout of ``series`` like any
-rolling window: the block halo supplies the reach, and no scan across blocks
-or keys is needed.
-
-Inside a block the visible rows are split into sub-blocks of ``S`` rows:
-
-* ``L_t``  running sum of ``c_j q^-r_j`` in the sub-block (q = 1-a, r = row in sub-block),
-* ``E_s``  sub-block total ``sum c_j q^(S-1-r_j)`` = its contribution at its last row,
-* ``Y``    value at the end of the previous sub-block = ``sum_i q^(S(i-1)) E_(s-i)``
-           over the ``m`` previous sub-blocks (read with ``lag(E, i S)``),
-* ``y_t = q^r (L_t + q Y)``.
-
-``c_j = a x_j`` except at the first visible row, which gets weight 1: at the
-series start that is the pandas seed, elsewhere it stands in for the (already
-negligible) older history. Exponents stay within ``q^-(S-1)``, so nothing
-overflows.
-
-Leading NULLs (``leading_nulls=True``): output stays NULL up to the first
-non-null input, which then seeds the smoother (pandas ``adjust=False``).
-Inner NULLs after the seed are not supported by the column form; the
-``ewm_series_pandas`` reference implementation covers them and is used in tests.
+"""Exponential smoothing in plain columns, missing values included.
+
+At an observation ``g`` rows after the one before it, the old value weighs
+``q^g`` (q = 1 - a) against ``a`` for the new one, so
+
+    y_t = A_t y_(t-1) + (1 - A_t) x_t,   A_t = q^g / (q^g + a)
+
+which is ``q`` without a gap; a missing row keeps the value (A = 1), and the first
+observation seeds it. Every observation shrinks the weight of older ones to ``q``
+of it or less, so after ``depth(a)`` observations it is below 1e-17 and the
+smoother runs inside the blocked layout of ``series`` like any rolling window:
+the block halo supplies the reach.
+
+Inside a block the visible rows are split into sub-blocks of ``S`` rows, with
+``s_t`` the running sum of ``ln A`` in the sub-block:
+
+* ``L_t = e^s_t sum((1 - A_j) x_j e^-s_j)``, the part from the sub-block itself,
+* ``E`` and ``P = e^s`` at a sub-block's last row: value and weight it hands on,
+* ``Y``, the value at the end of the previous sub-block, from the ``E`` and ``P`` of
+  the ``m`` sub-blocks before (read with ``lag(E, i S)``),
+* ``y_t = L_t + e^s_t Y``.
+
+``s`` stays above ``S ln q``, so nothing overflows. A run of missing rows longer
+than the halo hides what precedes it; the halo counts rows, ``depth(a)`` at least.
 """
 
 from __future__ import annotations
@@ -45,11 +43,10 @@ class EwmSpec:
     out: str
     x: object              # column name or Column
     alpha: float
-    leading_nulls: bool = False
 
     @staticmethod
-    def span(out: str, x, span: float, leading_nulls: bool = False) -> "EwmSpec":
-        return EwmSpec(out, x, 2.0 / (span + 1.0), leading_nulls)
+    def span(out: str, x, span: float) -> "EwmSpec":
+        return EwmSpec(out, x, 2.0 / (span + 1.0))
 
 
 def sub_rows_for(alphas, cap: int = 256) -> int:
@@ -82,17 +79,21 @@ def _c(x) -> Column:
 
 
 def add_ewm(df: DataFrame, key, specs: list[EwmSpec], sub_rows: int) -> DataFrame:
-    """Add one smoothed column per spec to a blocked frame (see ``series.to_blocks``)."""
+    """Add one smoothed column per spec to a blocked frame (see ``series.to_blocks``);
+    NULL before the first observation."""
     S = sub_rows
     wb = "(PARTITION BY _skey, _blk ORDER BY _sub, _rn)"
-    ws_run = "(PARTITION BY _skey, _blk, _sub ORDER BY _rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    whole_block = "(PARTITION BY _skey, _blk)"
-    whole_sub = "(PARTITION BY _skey, _blk, _sub)"
-    r = f"(_u - _sub * {S})"
+    upto = "(PARTITION BY _skey, _blk ORDER BY _sub, _rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    before = "(PARTITION BY _skey, _blk ORDER BY _sub, _rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    run = "(PARTITION BY _skey, _blk, _sub ORDER BY _rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    whole = "(PARTITION BY _skey, _blk, _sub)"
 
     def D(v: float) -> str:  # exact double literal
         return f"{float(v)!r}D"
 
+    def add(frame: DataFrame, exprs: dict[str, str]) -> DataFrame:
+        return frame.withColumns({k: F.expr(v) for k, v in exprs.items()}) if exprs else frame
+
     stage = df
     names = {}
     for i, sp in enumerate(specs):
@@ -101,49 +102,34 @@ def add_ewm(df: DataFrame, key, specs: list[EwmSpec], sub_rows: int) -> DataFram
         else:  # a Column: give it a name first
             names[i] = f"_e{i}_in"
             stage = stage.withColumn(names[i], sp.x)
-
-    # stage 1: effective input (leading NULLs take the first value of the block)
-    firsts, inputs = {}, {}
-    for i, sp in enumerate(specs):
-        x = names[i]
-        if sp.leading_nulls:
-            firsts[f"_e{i}_fp"] = f"min(CASE WHEN {x} IS NOT NULL THEN _u END) OVER {whole_block}"
-            firsts[f"_e{i}_fv"] = f"min_by({x}, CASE WHEN {x} IS NOT NULL THEN _u END) OVER {whole_block}"
-            inputs[f"_e{i}_x"] = f"CAST(CASE WHEN _u < _e{i}_fp THEN _e{i}_fv ELSE {x} END AS DOUBLE)"
-        else:
-            inputs[f"_e{i}_x"] = f"CAST({x} AS DOUBLE)"
-    if firsts:
-        stage = stage.withColumns({k: F.expr(v) for k, v in firsts.items()})
-    stage = stage.withColumns({k: F.expr(v) for k, v in inputs.items()})
-
-    # stage 2: in-sub-block running sums and sub-block totals
-    sums = {}
-    for i, sp in enumerate(specs):
-        if sp.alpha >= 1.0:
-            continue
+    smooth = {i: sp for i, sp in enumerate(specs) if sp.alpha < 1.0}
+    stage = add(stage, {f"_e{i}_x": f"CAST({x} AS DOUBLE)" for i, x in names.items()})
+    stage = add(stage, {f"_e{i}_g": f"_u - last(CASE WHEN _e{i}_x IS NOT NULL THEN _u END, true) OVER {before}" for i in smooth})
+    weights = {}
+    for i, sp in smooth.items():
         a, q = sp.alpha, 1.0 - sp.alpha
-        c = f"(CASE WHEN _u = 0 THEN _e{i}_x ELSE {D(a)} * _e{i}_x END)"
-        sums[f"_e{i}_L"] = f"sum({c} * pow({D(q)}, -{r})) OVER {ws_run}"
-        sums[f"_e{i}_E"] = f"sum({c} * pow({D(q)}, {S - 1} - {r})) OVER {whole_sub}"
-    if sums:
-        stage = stage.withColumns({k: F.expr(v) for k, v in sums.items()})
-
-    # stage 3: carry from the previous sub-blocks and the result
+        old = f"CASE WHEN _e{i}_g = 1 THEN {D(q)} ELSE pow({D(q)}, _e{i}_g) / (pow({D(q)}, _e{i}_g) + {D(a)}) END"
+        weights[f"_e{i}_a"] = f"CASE WHEN _e{i}_x IS NOT NULL AND _e{i}_g IS NOT NULL THEN {old} END"
+    stage = add(stage, weights)
+    stage = add(stage, {f"_e{i}_s": f"coalesce(sum(ln(_e{i}_a)) OVER {run}, 0.0D)" for i in smooth})
+    stage = add(stage, {f"_e{i}_b": f"coalesce((1 - coalesce(_e{i}_a, 0.0D)) * _e{i}_x, 0.0D) * exp(-_e{i}_s)" for i in smooth})
+    sums = {}
+    for i in smooth:
+        sums[f"_e{i}_L"] = f"exp(_e{i}_s) * sum(_e{i}_b) OVER {run}"
+        sums[f"_e{i}_P"] = f"exp(min(_e{i}_s) OVER {whole})"  # ln A is never positive: the last is the least
+        sums[f"_e{i}_T"] = f"sum(_e{i}_b) OVER {whole}"
+    stage = add(stage, sums)
     outs = {}
     for i, sp in enumerate(specs):
         if sp.alpha >= 1.0:
-            y = f"_e{i}_x"
-        else:
-            q = 1.0 - sp.alpha
-            m = carries(sp.alpha, S)
-            prev = " + ".join(f"{D(q ** (S * (j - 1)))} * coalesce(lag(_e{i}_E, {j * S}) OVER {wb}, 0.0D)"
-                              for j in range(1, m + 1))
-            y = f"pow({D(q)}, {r}) * (_e{i}_L + {D(q)} * ({prev}))"
-        if sp.leading_nulls:
-            y = f"CASE WHEN _u >= _e{i}_fp THEN {y} END"
-        outs[sp.out] = y
-    stage = stage.withColumns({k: F.expr(v) for k, v in outs.items()})
-
+            outs[sp.out] = f"last(_e{i}_x, true) OVER {upto}"
+            continue
+        prev = "0.0D"
+        for j in range(carries(sp.alpha, S), 0, -1):
+            p, t = (f"coalesce(lag(_e{i}_{c}, {j * S}) OVER {wb}, 0.0D)" for c in "PT")
+            prev = f"{p} * ({t} + {prev})"
+        outs[sp.out] = f"CASE WHEN count(_e{i}_x) OVER {upto} > 0 THEN _e{i}_L + exp(_e{i}_s) * ({prev}) END"
+    stage = add(stage, outs)
     tmp = [c for c in stage.columns if c.startswith("_e") and c.split("_")[1][1:].isdigit()]
     return stage.drop(*tmp)
 
@@ -156,8 +142,7 @@ def ewm_series_pandas(values, alpha: float):
 
 
 def ewm_column(df: DataFrame, x: str, out: str, alpha: float | None = None, span: float | None = None,
-               key=("ticker",), order: str = "bar_date", block_rows: int = 16384, leading_nulls: bool = True,
-               segment: str = "year") -> DataFrame:
+               key=("ticker",), order: str = "bar_date", block_rows: int = 16384, segment: str = "year") -> DataFrame:
     """D6 as a stand-alone operator: smooth one column per key in row order."""
     from barlab.operators.series import blocked, finish
 
@@ -167,4 +152,4 @@ def ewm_column(df: DataFrame, x: str, out: str, alpha: float | None = None, span
         alpha = 2.0 / (span + 1.0)
     s = sub_rows_for([alpha])
     b = blocked(df, list(key), order, block_rows, back=depth(alpha, s), ahead=0, segment=segment, sub_rows=s)
-    return finish(add_ewm(b, list(key), [EwmSpec(out, x, alpha, leading_nulls)], s))
+    return finish(add_ewm(b, list(key), [EwmSpec(out, x, alpha)], s))

@@ -50,7 +50,7 @@ def _round1_specs(fp: FeatureParams) -> list[EwmSpec]:
 def _round2_specs(fp: FeatureParams) -> list[EwmSpec]:
     return [
         EwmSpec.span("MACD_signal", "MACD", fp.macd_signal),
-        EwmSpec("ADX_14", "DX", 1.0 / fp.adx, leading_nulls=True),
+        EwmSpec("ADX_14", "DX", 1.0 / fp.adx),
     ]
 
 
@@ -101,17 +101,20 @@ def compute_features(
         return df.withColumns({k: F.expr(v) for k, v in exprs.items()})
 
     # stage A: raw differences and bounded windows over OHLCV
-    b = add(b, {"_pc": f"lag(close, 1) OVER {W}", "_ph": f"lag(high, 1) OVER {W}",
-                "_pl": f"lag(low, 1) OVER {W}", "_pv": f"lag(volume, 1) OVER {W}"})
+    upto = "(PARTITION BY _skey, _blk ORDER BY _sub, _rn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    # changes are taken between padded values: a missing close or volume stands at the last one
+    b = add(b, {"_pc": f"lag(close, 1) OVER {W}", "_ph": f"lag(high, 1) OVER {W}", "_pl": f"lag(low, 1) OVER {W}",
+                "_cpad": f"last(close, true) OVER {upto}", "_vpad": f"last(volume, true) OVER {upto}"})
+    b = add(b, {"_pcpad": f"lag(_cpad, 1) OVER {W}", "_pvpad": f"lag(_vpad, 1) OVER {W}"})
     b = add(b, {
-        "daily_return": "try_divide(close, _pc) - 1",
+        "daily_return": "try_divide(_cpad, _pcpad) - 1",
         "MA7": full("avg", "close", fp.ma_short),
         "MA21": full("avg", "close", fp.ma_long),
         "_gain": "CASE WHEN close - _pc IS NOT NULL THEN greatest(close - _pc, 0.0D) END",
         "_loss": "CASE WHEN close - _pc IS NOT NULL THEN greatest(-(close - _pc), 0.0D) END",
         "_bb_mid": full("avg", "close", fp.bb_window),
         "_bb_std": full("stddev_samp", "close", fp.bb_window),
-        "volume_change": "try_divide(volume, _pv) - 1",
+        "volume_change": "try_divide(_vpad, _pvpad) - 1",
         "price_range": "try_divide(high - low, low)",
         "_ll": full("min", "low", fp.stoch_window),
         "_hh": full("max", "high", fp.stoch_window),
@@ -119,7 +122,7 @@ def compute_features(
         "_up": "high - _ph",
         "_down": "_pl - low",
         "_dir": "coalesce(signum(close - _pc), 0.0D)",
-        **candles.geometry_sql(W, fp.trend_window),
+        **candles.geometry_sql(W, fp.trend_window, "_cpad"),
     })
 
     # stage B: indicators over stage-A columns
@@ -214,9 +217,12 @@ def pct_change(bars: DataFrame, col: str, n: int = 1, pad: bool = True, out: str
 
 def candle_geometry(bars: DataFrame, fp: FeatureParams = FeatureParams(), layout: SeriesLayout = SeriesLayout()) -> DataFrame:
     """Body, range (flat -> NULL), upper / lower shadow, prior trend."""
+    from barlab.operators.scan import prefix_last
+
     key = _as_list(layout.key)
-    b = blocked(bars, key, layout.order, layout.block_rows, fp.trend_window, 0, layout.segment)
+    padded = prefix_last(bars.withColumn("_cpad", F.col("close")), key, layout.order, ["_cpad"], layout.block_rows)
+    b = blocked(padded, key, layout.order, layout.block_rows, fp.trend_window, 0, layout.segment)
     b = b.withColumns({k: F.expr(v) for k, v in candles.geometry_sql("(PARTITION BY _skey, _blk ORDER BY _sub, _rn)",
-                                                                       fp.trend_window).items()})
+                                                                       fp.trend_window, "_cpad").items()})
     b = b.select("*", *[F.col(c).alias(c[1:]) for c in ("_body", "_range", "_upper", "_lower", "_trend")])
-    return finish(b).drop(*candles.GEOMETRY_TMP)
+    return finish(b).drop(*candles.GEOMETRY_TMP, "_cpad")

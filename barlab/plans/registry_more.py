@@ -302,3 +302,33 @@ def _processed_sql() -> str:
 def _b18(spark, sf):
     pre = run_preprocessing(_with_index(spark, sf), T.fundamentals(spark, sf), _history(spark, sf))
     return pre.table.select(*_PROCESSED_OUT, "ticker_index")
+
+
+# ---------------------------------------------------------------- as-of join with missing keys and times, ties, and times of day
+_ODD_LEFT = ("lf AS (SELECT CASE WHEN CAST(volume AS BIGINT) % 5 <> 0 THEN ticker END AS ticker, "
+             "CASE WHEN CAST(volume AS BIGINT) % 7 <> 0 THEN bar_date END AS bar_date, close FROM bars)")
+_ODD_RIGHT = ("rg AS (SELECT CASE WHEN extract(month FROM quarter_end) = 6 AND ticker = 'Brand#11' THEN NULL ELSE ticker END AS ticker, "
+              "date_trunc('week', quarter_end) + INTERVAL 17 HOUR AS ts, revenue, n FROM quarterly_raw, (VALUES (9), (10)) v(n))")
+_ODD_SQL = W(O.BARS, O.QUARTERLY_RAW, _ODD_LEFT, _ODD_RIGHT,
+             "lr AS (SELECT row_number() OVER () AS r, * FROM lf)",
+             "mt AS (SELECT r, arg_max(revenue, (ts, n)) AS revenue, arg_max(n, (ts, n)) AS n FROM lr JOIN rg ON lr.ticker = rg.ticker "
+             "AND rg.ts <= CAST(lr.bar_date AS TIMESTAMP) GROUP BY r)") + \
+    "SELECT ticker, bar_date, " + O.rnd("close") + " AS close, " + O.rnd("revenue") + " AS revenue, n FROM lr LEFT JOIN mt USING (r)"
+
+
+def _asof_odd(strategy):
+    def fn(spark, sf):
+        v = F.col("volume").cast("long")
+        left = T.bars(spark, sf).select(F.when(v % 5 != 0, F.col("ticker")).alias("ticker"),
+                                        F.when(v % 7 != 0, F.col("bar_date")).alias("bar_date"), "close")
+        odd = (F.month("quarter_end") == 6) & (F.col("ticker") == "Brand#11")
+        right = T.quarterly_raw(spark, sf).select(
+            F.when(~odd, F.col("ticker")).alias("ticker"),
+            (F.date_trunc("week", "quarter_end") + F.expr("INTERVAL 17 HOURS")).alias("ts"), "revenue",
+            F.explode(F.array(F.lit(9), F.lit(10))).alias("n"))
+        return asof_backward(left, right, "ticker", "bar_date", "ts", ["revenue", "n"], right_tiebreak="n", strategy=strategy)
+    return fn
+
+
+register("b03_asof_odd_rows_scan", _ODD_SQL)(_asof_odd("scan"))
+register("b03_asof_odd_rows_range", _ODD_SQL)(_asof_odd("range"))

@@ -681,3 +681,63 @@ def _n01(spark, sf):
     N.append_run(spark, path, "r1", "random_forest", {"n_estimators": 100}, {"accuracy": first}, "stock_rf_classifier")
     N.append_run(spark, path, "r2", "xgboost", {"n_estimators": 200}, {"accuracy": first / 2}, "stock_xgb_classifier")
     return N.recent_runs(spark.read.parquet(path), 20)
+
+
+# ---------------------------------------------------------------- series with missing closes and volumes
+_GAPPY = ("gappy AS (SELECT * REPLACE (CASE WHEN CAST(volume AS BIGINT) % 9 IN (0, 4) THEN NULL ELSE close END AS close, "
+          "CASE WHEN CAST(volume AS BIGINT) % 11 = 0 THEN NULL ELSE volume END AS volume) FROM bars)")
+
+
+def _gappy(spark, sf):
+    v = F.col("volume").cast("long")
+    return T.bars(spark, sf).withColumns({"close": F.when(~(v % 9).isin(0, 4), F.col("close")), "volume": F.when(v % 11 != 0, F.col("volume"))})
+
+
+def _ewm_ctes(name: str, src: str, x: str, alpha: str) -> tuple:
+    """Row-by-row recursion: y, and the rows since the last observation."""
+    q = f"(1 - {alpha})"
+    return (f"{name}_n AS (SELECT ticker, bar_date, {x} AS x, row_number() OVER (PARTITION BY ticker ORDER BY bar_date) AS rn FROM {src})",
+            f"{name} AS (SELECT ticker, bar_date, rn, x AS y, 1 AS g FROM {name}_n WHERE rn = 1 UNION ALL "
+            f"SELECT n.ticker, n.bar_date, n.rn, CASE WHEN n.x IS NULL THEN e.y WHEN e.y IS NULL THEN n.x "
+            f"ELSE (pow({q}, e.g) * e.y + {alpha} * n.x) / (pow({q}, e.g) + {alpha}) END, CASE WHEN n.x IS NULL THEN e.g + 1 ELSE 1 END "
+            f"FROM {name} e JOIN {name}_n n ON n.ticker = e.ticker AND n.rn = e.rn + 1)")
+
+
+def WR(*ctes: str) -> str:
+    return W(*ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("d06_ewm_with_gaps", WR(O.BARS, _GAPPY, *_ewm_ctes("e", "gappy", "close", "(2.0 / 11)")) +
+          "SELECT ticker, bar_date, " + O.rnd("y") + " AS ewm FROM e")
+def _d06g(spark, sf):
+    return ewm_column(_gappy(spark, sf).select("ticker", "bar_date", "close"), "close", "ewm", span=10).drop("close")
+
+
+@register("d09_macd_with_gaps", WR(
+    O.BARS, _GAPPY, *_ewm_ctes("fast", "gappy", "close", "(2.0 / 13)"), *_ewm_ctes("slow", "gappy", "close", "(2.0 / 27)"),
+    "macd AS (SELECT f.ticker, f.bar_date, f.y - s.y AS m FROM fast f JOIN slow s ON f.ticker = s.ticker AND f.rn = s.rn)",
+    *_ewm_ctes("sig", "macd", "m", "(2.0 / 10)"))
+          + "SELECT m.ticker, m.bar_date, " + O.rnd("m.m") + " AS \"MACD\", " + O.rnd("s.y") + " AS \"MACD_signal\", "
+          + O.rnd("m.m - s.y") + " AS \"MACD_hist\" FROM macd m JOIN sig s ON m.ticker = s.ticker AND m.bar_date = s.bar_date")
+def _d09g(spark, sf):
+    return compute_features(_gappy(spark, sf)).select("ticker", "bar_date", "MACD", "MACD_signal", "MACD_hist")
+
+
+@register("d01_changes_with_gaps", W(O.BARS, _GAPPY, O.ffill_cte("pad", "gappy", ("close", "volume"))) + "SELECT ticker, bar_date, " + ", ".join(
+    f"{O.rnd(f'{c} / NULLIF(lag({c}, {n}) OVER (PARTITION BY ticker ORDER BY bar_date), 0) - 1')} AS {o}"
+    for c, n, o in (("close", 1, "daily_return"), ("volume", 1, "volume_change"))) + " FROM pad")
+def _d01g(spark, sf):
+    return compute_features(_gappy(spark, sf)).select("ticker", "bar_date", "daily_return", "volume_change")
+
+
+@register("e00_trend_with_gaps", W(O.BARS, _GAPPY, O.ffill_cte("pad", "gappy", ("close",))) + "SELECT ticker, bar_date, "
+          + O.rnd("close / NULLIF(lag(close, 5) OVER (PARTITION BY ticker ORDER BY bar_date), 0) - 1") + " AS trend FROM pad")
+def _e00g(spark, sf):
+    return candle_geometry(_gappy(spark, sf)).select("ticker", "bar_date", "trend")
+
+
+@register("d29_rows_without_a_date", W(O.BARS) + "SELECT count(*) AS rows, count(*) FILTER (WHERE CAST(volume AS BIGINT) % 7 = 0) AS undated FROM bars")
+def _d29n(spark, sf):
+    b = T.bars(spark, sf)
+    b = b.withColumn("bar_date", F.when(F.col("volume").cast("long") % 7 != 0, F.col("bar_date")))
+    return compute_features(b).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("bar_date").isNull()).alias("undated"))

@@ -40,7 +40,7 @@ def test_ewm_matches_pandas_across_blocks(spark):
     alphas = [0.2, 2 / 27, 1 / 14, 0.6]
     s = sub_rows_for(alphas)
     back = max(depth(a, s) for a in alphas)
-    specs = [EwmSpec(f"y{i}", "x", a, leading_nulls=True) for i, a in enumerate(alphas)]
+    specs = [EwmSpec(f"y{i}", "x", a) for i, a in enumerate(alphas)]
     b = blocked(df, ["ticker"], "bar_date", block_rows=500, back=back, ahead=0, segment="year", sub_rows=s)
     got = finish(add_ewm(b, ["ticker"], specs, s)).orderBy("bar_date").toPandas()
     for i, a in enumerate(alphas):
