@@ -228,8 +228,8 @@ class _Texts:
         want = self.ws.stage(self.rep.join(ids, "id").select("id", "at.doc", "at.th"), "text-ids")
         if want.count() <= BROADCAST_IDS:
             want = F.broadcast(want)
-        # equal rows come once
-        return self.ws.stage(self.docs.join(want, ["doc", "th"]).select("id", "text").dropDuplicates(["id"]), "texts")
+        # equal rows come once; both joins below reuse this exchange
+        return self.ws.stage(self.docs.join(want, ["doc", "th"]).select("id", "text"), "texts").dropDuplicates(["id"])
 
 
 def link(ws: Workspace, keyed: DataFrame, sets: DataFrame, grams: DataFrame, size: int, percent: int) -> DataFrame:
@@ -237,6 +237,7 @@ def link(ws: Workspace, keyed: DataFrame, sets: DataFrame, grams: DataFrame, siz
     w = Window.partitionBy("g")
     shared = grams.repartition("g").withColumns({"lo": F.min("id").over(w), "hi": F.max("id").over(w)})
     shared = ws.stage(shared.filter("lo < hi").select("g", "id", "n", "pos").distinct(), "prefix-shared")
+    ws.release()
     # shared shingles of the set before this one; a set that can't reach the threshold with any other goes
     before = F.row_number().over(Window.partitionBy("id").orderBy("pos")) - 1
     counted = shared.withColumn("before", before).filter(
@@ -264,7 +265,8 @@ def link(ws: Workspace, keyed: DataFrame, sets: DataFrame, grams: DataFrame, siz
             continue
         text = texts.of(pairs)
         ws.release()
-        both = pairs.join(text.withColumnsRenamed({"id": "v", "text": "text_v"}), "v").join(
+        # merge joins at every size: texts are never broadcast, and a pivot's rows stand together
+        both = pairs.hint("merge").join(text.withColumnsRenamed({"id": "v", "text": "text_v"}), "v").hint("merge").join(
             text.withColumnsRenamed({"id": "u", "text": "text_u"}), "u").select("u", "v", "text_u", "text_v")
         done = ws.stage(both.mapInArrow(verify(size, percent), TESTED), "tested")
         tested = done if tested is None else tested.union(done)
