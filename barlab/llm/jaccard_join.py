@@ -246,7 +246,8 @@ def link(ws: Workspace, keyed: DataFrame, sets: DataFrame, grams: DataFrame, siz
     ws.release(shared)
     shared = counted
     texts = _Texts(ws, keyed, sets)
-    rounds = [lambda s: star_pairs(s, [F.col("n"), F.col("id")], percent),
+    # first pivot: the member with the fewest shingles of its own, the likeliest origin of near copies
+    rounds = [lambda s: star_pairs(s, [F.col("pos") - F.col("before"), F.col("n"), F.col("id")], percent),
               lambda s: star_pairs(s, [F.xxhash64("id"), F.col("id")], percent),
               lambda s: cross_pairs(s, percent)]
     roots = tested = None
