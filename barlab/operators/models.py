@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import logging
 import random
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from barlab.operators import clean
 from barlab.operators.candles import CANDLE_COLS
 from barlab.operators.labels import walk_forward_folds
-from barlab.operators.metrics import binary_metrics
+from barlab.operators.metrics import binary_metrics, positive_weight
 from barlab.operators.quarterly import QUARTERLY_FEATURE_COLS
 
 log = logging.getLogger("barlab.models")
@@ -281,11 +282,44 @@ def load_models(paths: dict[str, str]) -> dict:
     return out
 
 
-def retrain(featured: DataFrame, ratio: float = 0.70, rf_params=None, gbt_params=None):
-    """Split the current table in time and refit both families (untuned path)."""
+RUN_NAMES = {"rf": ("random_forest", "stock_rf_classifier"), "gbt": ("boosted_trees", "stock_gbt_classifier")}
+
+
+def train_and_log(train: DataFrame, test: DataFrame, log_path: str | None = None, model_dir: str | None = None,
+                  tune: bool = True, rf_params=None, gbt_params=None, **search) -> dict:
+    """Train both families, tuned by ``random_search`` or with fixed parameters,
+    save the models and append a run with parameters, metrics, times and status
+    to the log; a failed fit is logged too, and raised. name -> (model, metrics)."""
+    from barlab.operators.runlog import append_run, now
+
+    spark, out = train.sparkSession, {}
+    fixed = {"rf": rf_params or dict(numTrees=100), "gbt": gbt_params or dict(maxIter=200, maxDepth=5, stepSize=0.05)}
+    for family, (name, registered) in RUN_NAMES.items():
+        run_id, start = uuid.uuid4().hex, now()
+        try:
+            if tune:
+                model, params, _ = random_search(train, family, **search)
+            else:
+                model, params = fit(train, family, **fixed[family]), fixed[family]
+            metrics = evaluate(model, test)
+            values = metrics.first().asDict()
+            if model_dir:
+                save_model(model, f"{model_dir.rstrip('/')}/{name}")
+        except Exception:
+            if log_path:
+                append_run(spark, log_path, run_id, name, {"tuned": tune}, {}, None, start_time=start, status="FAILED")
+            raise
+        if log_path:
+            weight = {"class_weight": "balanced"} if family == "rf" else {
+                "positive_weight": round(positive_weight(train).first()["pos_weight"], 3)}
+            append_run(spark, log_path, run_id, name, {**params, **weight, "tuned": tune}, values, registered, start_time=start)
+        out[name] = (model, metrics)
+    return out
+
+
+def retrain(featured: DataFrame, ratio: float = 0.70, rf_params=None, gbt_params=None, tune: bool = False, **kw):
+    """Split the current table in time and refit both families, logged as in ``train_and_log``."""
     from barlab.operators.labels import time_ordered_split
 
     train, test = time_ordered_split(featured, ratio)
-    rf = fit(train, "rf", **(rf_params or dict(numTrees=100)))
-    gbt = fit(train, "gbt", **(gbt_params or dict(maxIter=200, maxDepth=5, stepSize=0.05)))
-    return {"random_forest": (rf, evaluate(rf, test)), "boosted_trees": (gbt, evaluate(gbt, test))}
+    return train_and_log(train, test, tune=tune, rf_params=rf_params, gbt_params=gbt_params, **kw)

@@ -62,13 +62,19 @@ def run_preprocessing(prices: DataFrame, fund: DataFrame, history: DataFrame | N
 
 
 def run_pipeline(prices: DataFrame, fund: DataFrame, history: DataFrame | None, out_dir: str,
-                 params: PipelineParams = PipelineParams()) -> dict[str, str]:
-    """Preprocessing and features, each written as a parquet stage table.
-
-    Writes ``processed`` and ``featured`` (partitioned by nothing: the
-    per-ticker order is restored by the readers' windows) and the scaler
-    parameters; returns the paths.
+                 params: PipelineParams = PipelineParams(), train: bool = True, **training) -> dict[str, str]:
+    """The daily run on ingested tables: preprocess, features, EDA, training.
+
+    Every stage is written as a parquet table below ``out_dir`` and read from
+    there by the next: ``processed``, ``featured`` (partitioned by nothing: the
+    per-ticker order is restored by the readers' windows), the scaler
+    parameters, one table per exploratory result under ``eda``, the models and
+    the run log. ``training`` goes to ``models.train_and_log`` (tuned unless it
+    says otherwise); returns the paths.
     """
+    from barlab.operators.labels import time_ordered_split
+    from barlab.operators.models import train_and_log
+
     spark = prices.sparkSession
     pre = run_preprocessing(prices, fund, history, params)
     paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in ("processed", "featured", "price_params", "ratio_params")}
@@ -78,6 +84,13 @@ def run_pipeline(prices: DataFrame, fund: DataFrame, history: DataFrame | None,
     processed = spark.read.parquet(paths["processed"])
     featured = run_feature_engineering(processed, params.features, params.labels, params.layout)
     featured.write.mode("overwrite").parquet(paths["featured"])
+    featured = spark.read.parquet(paths["featured"])
+    for name, table in run_eda(featured).items():
+        paths[f"eda/{name}"] = f"{out_dir.rstrip('/')}/eda/{name}"
+        table.write.mode("overwrite").parquet(paths[f"eda/{name}"])
+    if train:
+        paths |= {"models": f"{out_dir.rstrip('/')}/models", "runs": f"{out_dir.rstrip('/')}/runs"}
+        train_and_log(*time_ordered_split(featured, 0.70), log_path=paths["runs"], model_dir=paths["models"], **training)
     return paths
 
 

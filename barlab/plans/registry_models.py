@@ -21,10 +21,10 @@ from barlab.operators import score as J
 from barlab.operators.indicators import compute_features, run_feature_engineering
 from barlab.operators.labels import time_ordered_split
 from barlab.operators.quarterly import quarterly_history
-from barlab.plans.pipeline import run_preprocessing
+from barlab.plans.pipeline import run_pipeline, run_preprocessing
 from barlab.plans.registry import FIXTURE_LABELS, register
 from barlab.sources import bars as B
-from barlab.params import SCORING_LOOKBACK_BARS
+from barlab.params import SCORING_LOOKBACK_BARS, PipelineParams
 from barlab.session import cut_lineage, ensure_checkpoint_dir
 from barlab.sources import tables as T
 
@@ -474,3 +474,17 @@ def _k01p(spark, sf):
     out = G.predict(_model(spark, sf, "rf"), latest).select("ticker", "bar_date", "p")
     total = F.col("base_value") + F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
     return ex.join(out, ["ticker", "bar_date"]).select("ticker", "bar_date", (F.abs(total - F.col("p")) < 1e-6).alias("adds_up"))
+
+
+@register("e1_daily_run", "SELECT * FROM (VALUES ('boosted_trees', 'FINISHED', 'stock_gbt_classifier', 'false', 4), "
+          "('random_forest', 'FINISHED', 'stock_rf_classifier', 'false', 4)) v(run_name, status, model_name, tuned, metrics)")
+def _e1(spark, sf):
+    """The log that a daily run wrote."""
+    prices = B.join_index(T.bars(spark, sf), T.index_levels(spark, sf))
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/daily-{uuid.uuid4().hex}"
+    paths = run_pipeline(prices, T.fundamentals(spark, sf), quarterly_history(T.quarterly_raw(spark, sf)), out,
+                         PipelineParams(labels=FIXTURE_LABELS), tune=False, rf_params=RF_CHECK, gbt_params=GBT_CHECK)
+    runs = spark.read.parquet(paths["runs"])
+    ended = F.when(F.col("end_time") >= F.col("start_time"), F.col("status"))
+    return runs.select("run_name", ended.alias("status"), "model_name", F.col("params")["tuned"].alias("tuned"),
+                       F.size("metrics").alias("metrics")).withColumn("tuned", F.lower("tuned"))

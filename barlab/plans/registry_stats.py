@@ -410,10 +410,13 @@ def _m08(spark, sf):
 
 
 # ---------------------------------------------------------------- N run log
-@register("n02_recent_runs", W(O.RUNS) + "SELECT run_name, run_id, start_time, " + O.r6("accuracy") +
+@register("n02_recent_runs", W(O.RUNS) + "SELECT CASE WHEN run_id % 3 = 0 THEN left(CAST(run_id AS VARCHAR), 8) ELSE run_name END AS run_name, "
+          "run_id, CASE WHEN accuracy IS NULL THEN 'FAILED' ELSE 'FINISHED' END AS status, start_time, " + O.r6("accuracy") +
           " FROM runs ORDER BY start_time DESC, run_id DESC LIMIT 20")
 def _n02(spark, sf):
-    return N.recent_runs(T.runs(spark, sf), 20, metrics=("accuracy",))
+    r = T.runs(spark, sf).withColumn("run_name", F.when(F.col("run_id") % 3 != 0, F.col("run_name")))
+    r = r.withColumn("status", F.when(F.col("accuracy").isNull(), "FAILED").otherwise("FINISHED"))
+    return N.recent_runs(r, 20, metrics=("accuracy",))
 
 
 _RUN_ID = 42
