@@ -35,7 +35,9 @@ from barlab.llm import vectors as V
 from barlab.llm.workspace import Workspace
 
 TREES = 8
-LEAF_ROWS = 64
+#: A leaf holds about n ** 0.6 / 2 rows of n: with a fixed size, the leaves that a share
+#: of the rows fills, and the (query, leaf) probes with them, would grow like n squared.
+LEAF_ROWS, LEAF_POWER, LEAF_FACTOR = 64, 0.6, 0.5
 MAX_DEPTH = 12
 FIT_ROWS = 32_768
 #: Rows to see, over all trees, as shares of the rows indexed.
@@ -138,7 +140,7 @@ def _cells(pdf: pd.DataFrame) -> np.ndarray:
 
 
 def neighbours(ws: Workspace, vectors: DataFrame, every: int = 50, k: int = 5, trees: int = TREES,
-               leaf_rows: int = LEAF_ROWS, goal: float = RECALL_GOAL) -> DataFrame:
+               leaf_rows: int | None = None, goal: float = RECALL_GOAL) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found of each vec_id divisible by ``every``."""
     spark = vectors.sparkSession
     rows = vectors.filter(usable() & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
@@ -157,6 +159,7 @@ def neighbours(ws: Workspace, vectors: DataFrame, every: int = 50, k: int = 5, t
     asked = ws.stage(asked.join(reps.select("embedding", "rep"), "embedding").select(F.col("vec_id").alias("query_id"), "rep"), "asked")
 
     n = reps.count()
+    leaf_rows = leaf_rows or max(LEAF_ROWS, LEAF_FACTOR * n ** LEAF_POWER)
     depth = max(0, min(MAX_DEPTH, int(np.log2(max(1, n / leaf_rows)))))
     sample = reps.select("embedding").sample(min(1.0, FIT_ROWS / n), seed=SEED).limit(FIT_ROWS).collect()
     sample = sample or reps.select("embedding").limit(1).collect()
