@@ -1,14 +1,10 @@
-import os
-import sys
+"""Fixtures of the operator tests."""
 
 import pytest
 
-HERE = os.path.dirname(os.path.abspath(__file__))
-sys.path[:0] = [os.path.dirname(os.path.dirname(HERE)), HERE]
-
 
 @pytest.fixture
-def ws(spark, request):
+def ws(spark):
     from barlab.llm.workspace import Workspace
 
     w = Workspace(spark, "test")

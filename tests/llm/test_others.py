@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from llm_fixtures import ws  # noqa: F401
 from pyspark.sql import functions as F
 
 from barlab.llm import projection_forest, site_templates, snapshots, url_lm

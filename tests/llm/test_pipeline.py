@@ -4,6 +4,7 @@ import hashlib
 
 import brute
 import corpus_pipeline
+from llm_fixtures import ws  # noqa: F401
 
 SF_SMALL = "/root/testdata/sf0.001"
 

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_fixtures import docs, ws  # noqa: F401
 from pyspark.sql import functions as F
 
 from barlab.llm import components as CC
