@@ -4,8 +4,9 @@ The reference refreshes its bars once a day in a batch job. Here new trade
 files are picked up by a Structured Streaming query (``trigger(availableNow)``
 for a scheduled run, or a processing-time trigger). Each micro-batch turns
 its trades into *partial* bars carrying the time of their first and last
-trade, and writes them under its epoch id with dynamic partition overwrite,
-so a replayed epoch replaces itself (exactly once). Reading merges the
+trade, and writes them under the query's id and its epoch with dynamic partition
+overwrite, so a replayed epoch replaces itself (exactly once). The query id lives
+in the checkpoint: a new checkpoint folder adds partials and replaces none. Reading merges the
 partials: ``min_by``/``max_by`` on the trade times, ``min``/``max``, ``sum``.
 No watermark: a late trade is merged into its bar, never dropped.
 """
@@ -30,7 +31,7 @@ def partial_bars(trades: DataFrame, key: str, ts: str, price: str, qty: str, gra
 
 
 def merged_bars(spark: SparkSession, partials_dir: str) -> DataFrame:
-    """Current bars: every epoch's partial bars merged per (ticker, bar_date)."""
+    """Current bars: every query's and epoch's partial bars merged per (ticker, bar_date)."""
     p = spark.read.parquet(partials_dir)
     return p.groupBy("ticker", "bar_date").agg(
         F.min_by("open", "open_key").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
@@ -44,9 +45,10 @@ def start_bar_stream(spark: SparkSession, landing_dir: str, schema: T.StructType
     trades = spark.readStream.schema(schema).parquet(landing_dir)
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        part = partial_bars(batch, key, ts, price, qty, grain, tiebreak).withColumn("epoch", F.lit(epoch_id))
+        part = partial_bars(batch, key, ts, price, qty, grain, tiebreak).withColumns(
+            {"query": F.lit(spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"), "epoch": F.lit(epoch_id)})
         (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("epoch").parquet(partials_dir))
+         .partitionBy("query", "epoch").parquet(partials_dir))
 
     writer = trades.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

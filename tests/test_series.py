@@ -1,11 +1,13 @@
 """Blocked layout: results must not depend on the block size, and the column
 EWM must equal the pandas recursion."""
 
+import datetime
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from barlab.operators.ewm import EwmSpec, add_ewm, carries, depth, ewm_series_pandas, sub_rows_for
+from barlab.operators.ewm import EwmSpec, add_ewm, carries, depth, ewm_column, ewm_series_pandas, sub_rows_for
 from barlab.operators.indicators import compute_features
 from barlab.operators.series import blocked, finish, number_rows
 from barlab.params import LabelParams, SeriesLayout
@@ -74,3 +76,32 @@ def test_hot_key_spreads_over_blocks(spark):
     small = compute_features(bars, layout=SeriesLayout(block_rows=400)).toPandas()
     one = compute_features(bars).toPandas()
     approx_equal_frames(one, small, ["ticker", "bar_date"], rel=1e-9, abs_=1e-7)
+
+
+def _series(spark, values):
+    rows = [("X", datetime.date(2000, 1, 1) + datetime.timedelta(days=i), v) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "ticker string, bar_date date, x double")
+
+
+def test_ewm_weighs_a_gap(spark):
+    got = ewm_column(_series(spark, [None, 1.0, 2.0, None, 4.0, 5.0]), "x", "y", alpha=0.5).orderBy("bar_date").collect()
+    want = [None, 1.0, 1.5, 1.5, 3.0 + 1 / 6, 4.0 + 1 / 12]
+    assert [r.y is None for r in got] == [w is None for w in want]
+    np.testing.assert_allclose([r.y for r in got[1:]], want[1:], rtol=1e-12)
+
+
+def test_ewm_with_gaps_matches_pandas_across_blocks(spark):
+    rng = np.random.default_rng(11)
+    vals = np.where(rng.random(2500) < 0.4, np.nan, np.cumsum(rng.normal(0, 1, 2500)) + 80)
+    df = _series(spark, [None if np.isnan(v) else float(v) for v in vals])
+    got = ewm_column(df, "x", "y", span=12, block_rows=500).orderBy("bar_date").toPandas()["y"].to_numpy(dtype=float)
+    np.testing.assert_allclose(got, ewm_series_pandas(vals, 2 / 13), rtol=1e-11)
+
+
+def test_rows_without_a_date_stay(spark):
+    rows = [("X", None, 5.0), ("X", datetime.date(2000, 1, 2), None), (None, None, 1.0), ("X", datetime.date(2000, 1, 1), 2.0)]
+    df = spark.createDataFrame(rows, "ticker string, bar_date date, x double")
+    from barlab.operators.clean import ffill
+
+    got = sorted((str(r.ticker), str(r.bar_date), r.x) for r in ffill(df, ["x"]).collect())
+    assert got == [("None", "None", 1.0), ("X", "2000-01-01", 2.0), ("X", "2000-01-02", 2.0), ("X", "None", 5.0)]
