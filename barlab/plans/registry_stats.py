@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import functions as F
 
 from barlab import oracle as O
@@ -222,8 +220,11 @@ def _r_sql(a: str, b: str) -> str:
 
 
 def _corr_sql() -> str:
-    items = ", ".join(f"{{'a': '{a}', 'b': '{b}', 'r': {_r_sql(a, b)}}}" for a, b in combinations(CORR_COLS, 2))
-    return W(*CTX) + f"SELECT a, b, {O.rnd('r')} AS r FROM (SELECT unnest([{items}], recursive := true) FROM ctx)"
+    cells = ", ".join(f"{{'c': '{c}', 'k': {i}, 'v': CAST({c} AS DOUBLE)}}" for i, c in enumerate(CORR_COLS))
+    return (W(*CTX, f"cells AS (SELECT ticker, bar_date, unnest([{cells}], recursive := true) FROM ctx)",
+              "pr AS (SELECT x.c AS a, y.c AS b, x.k AS i, y.k AS j, x.v AS u, y.v AS w FROM cells x JOIN cells y "
+              "ON x.ticker = y.ticker AND x.bar_date = y.bar_date AND x.k < y.k)")
+            + f"SELECT a, b, {O.rnd(_r_sql('u', 'w'))} AS r FROM pr GROUP BY a, b")
 
 
 @register("i01_correlation_matrix", _corr_sql())
