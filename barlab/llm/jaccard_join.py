@@ -226,10 +226,12 @@ class _Texts:
     def of(self, pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
         want = self.ws.stage(self.rep.join(ids, "id").select("id", "at.doc", "at.th"), "text-ids")
-        if want.count() <= BROADCAST_IDS:
+        n = want.count()
+        if n <= BROADCAST_IDS:
             want = F.broadcast(want)
-        # equal rows come once; both joins below reuse this exchange
-        return self.ws.stage(self.docs.join(want, ["doc", "th"]).select("id", "text"), "texts").dropDuplicates(["id"])
+        texts = self.ws.stage(self.docs.join(want, ["doc", "th"]).select("id", "text"), "texts")
+        # equal rows come once; a stored table, so that AQE can split the pairs of a frequent pivot
+        return texts if texts.count() == n else self.ws.stage(texts.dropDuplicates(["id"]), "texts-once")
 
 
 def link(ws: Workspace, keyed: DataFrame, sets: DataFrame, grams: DataFrame, size: int, percent: int) -> DataFrame:
