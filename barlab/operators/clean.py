@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,11 +203,12 @@ def apply_saved_scaler(df: DataFrame, params: DataFrame) -> DataFrame:
 
 def one_hot_index(df: DataFrame, col: str = "ticker") -> DataFrame:
     """Position of the value among the sorted distinct values (the one-hot
-    slot). ``one_hot`` turns it into a sparse vector with Spark ML."""
-    from pyspark.ml.feature import StringIndexer
+    slot), NULL for NULL. ``one_hot`` turns it into a sparse vector with Spark ML.
 
-    idx = StringIndexer(inputCol=col, outputCol=f"{col}_index", stringOrderType="alphabetAsc").fit(df)
-    return idx.transform(df).withColumn(f"{col}_index", F.col(f"{col}_index").cast("int"))
+    The values are numbered in one task, a row per distinct value."""
+    found = df.select(col).distinct().filter(F.col(col).isNotNull())
+    index = found.withColumn(f"{col}_index", (F.row_number().over(Window.orderBy(col)) - 1).cast("int"))
+    return df.join(index, col, "left").select(*df.columns, f"{col}_index")
 
 
 def one_hot(df: DataFrame, col: str = "ticker") -> DataFrame:
@@ -215,8 +216,9 @@ def one_hot(df: DataFrame, col: str = "ticker") -> DataFrame:
     from pyspark.ml.feature import OneHotEncoder
 
     indexed = one_hot_index(df, col)
-    enc = OneHotEncoder(inputCols=[f"{col}_index"], outputCols=[f"{col}_onehot"], dropLast=False).fit(indexed)
-    return enc.transform(indexed)
+    known = indexed.filter(F.col(f"{col}_index").isNotNull())
+    enc = OneHotEncoder(inputCols=[f"{col}_index"], outputCols=[f"{col}_onehot"], dropLast=False).fit(known)
+    return enc.transform(known).unionByName(indexed.filter(F.col(f"{col}_index").isNull()), allowMissingColumns=True)
 
 
 def sanitise(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -57,7 +57,7 @@ def run_preprocessing(prices: DataFrame, fund: DataFrame, history: DataFrame | N
     price_params = clean.minmax_fit(imputed)
     ratio_params = clean.standard_fit(imputed)
     scaled = clean.standard_transform(clean.minmax_transform(imputed, price_params), ratio_params)
-    table = clean.one_hot_index(scaled)
+    table = clean.one_hot(scaled)
     return Preprocessed(table, summary, missing, price_params, ratio_params)
 
 

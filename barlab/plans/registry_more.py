@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from barlab import oracle as O
@@ -58,11 +59,13 @@ def _a03(spark, sf):
 
 @register("a01_read_bars", W(O.BARS) + "SELECT ticker, bar_date, " + O.r6("open", "high", "low", "close", "volume") + " FROM bars")
 def _a01(spark, sf):
-    # download-style column names in, typed bars out
+    # a file with download-style column names in, typed bars out
     raw = T.bars(spark, sf).select(F.col("bar_date").cast("timestamp").alias("Date"), F.col("open").alias("Open"),
                                    F.col("high").alias("High"), F.col("low").alias("Low"),
                                    F.col("close").alias("Close"), F.col("volume").alias("Volume"), "ticker")
-    return B.normalise_bars(raw)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/download-{uuid.uuid4().hex}"
+    raw.write.option("header", True).csv(path)
+    return B.read_bars(spark, path, "csv")
 
 
 # ---------------------------------------------------------------- C
@@ -254,9 +257,14 @@ def _b14(spark, sf):
     return clean.apply_saved_scaler(imp, clean.load_scaler(spark, path)).select("ticker", "bar_date", *clean.RATIO_COLS)
 
 
-@register("b15_one_hot", W(O.BARS) + "SELECT ticker, bar_date, CAST(dense_rank() OVER (ORDER BY ticker) - 1 AS INTEGER) AS ticker_index FROM bars")
+@register("b15_one_hot", W(O.BARS, "ix AS (SELECT ticker, bar_date, CAST(dense_rank() OVER (ORDER BY ticker) - 1 AS INTEGER) AS ticker_index FROM bars)",
+                          "nt AS (SELECT max(ticker_index) AS top FROM ix)") +
+          "SELECT ticker, bar_date, ticker_index, array_to_string([CASE WHEN i = ticker_index THEN 1 ELSE 0 END FOR i IN range(0, top + 1)], '') "
+          "AS ticker_onehot FROM ix, nt")
 def _b15(spark, sf):
-    return clean.one_hot_index(T.bars(spark, sf).select("ticker", "bar_date"))
+    hot = clean.one_hot(T.bars(spark, sf).select("ticker", "bar_date"))
+    slots = F.transform(vector_to_array("ticker_onehot"), lambda x: x.cast("int").cast("string"))
+    return hot.select("ticker", "bar_date", "ticker_index", F.array_join(slots, "").alias("ticker_onehot"))
 
 
 _SANE_X = "CASE WHEN CAST(volume AS BIGINT) % 7 = 0 THEN {inf} WHEN CAST(volume AS BIGINT) % 11 = 0 THEN {nan} ELSE close END"
