@@ -1,24 +1,29 @@
 """HTML extraction by site template removal.
 
 Pages are parsed into element trees. In Spark, the hashes of their subtrees are
-counted per host, once per page; a subtree found on many pages of a host (at
-least ``MIN_PAGES`` and ``MIN_SHARE`` of them) is template and is deleted, along
+counted per host, once per distinct page; a subtree found on many pages of a host
+(at least ``MIN_PAGES`` and ``MIN_SHARE`` of them) is template and is deleted, along
 with elements that say themselves that they aren't the text: navigation, headers,
 footers, sidebars, forms, scripts, and blocks whose class or id names adverts,
 notices, comments and the like. What is left of the main element (article, else
 main, else body) is joined block by block.
 
+Rows of a host are one page if the texts of their main elements are equal: copies
+under other URLs, print views and repeated rows don't vote their text into a
+template. Near copies, with other words in the main element, are pages of their own.
+
 Text that many pages share inside a main element is still text (a common line of
 an article): there, only container subtrees (``CONTAINERS``) count as template.
 
 A host has at most pages-per-host * subtrees-per-page / threshold templates,
 that is, some hundred, so they travel as one list per host; a host's pages are
-counted by partial aggregates, and the lists are joined to pages by a stage
-table, broadcast when small and skew-split when not.
+counted by partial aggregates (first by host, subtree and page, so copies end
+where they are read), and the lists are joined to pages by a stage table, broadcast
+when small and skew-split when not.
 
 Edge cases: null html is empty; null or hostless URLs share the host ``""``;
 unclosed, stray and cut-off tags are tolerated, an unclosed element ends with its
-parent; repeated rows count as pages each; an empty table gives no rows; only
+parent; repeated rows count as one page; an empty table gives no rows; only
 page_id, url and html are read.
 """
 
@@ -63,7 +68,8 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=\s|/|\Z)""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
-HOST_SUBTREES = V.struct("host string, subtree long")
+#: A row without subtree stands for the page itself.
+HOST_SUBTREES = V.struct("host string, page long, subtree long")
 TEXTS = V.struct("page_id long, url string, text string, n_chars long")
 
 
@@ -235,12 +241,14 @@ def main_text(root: Element, templates: frozenset[int]) -> str:
 def page_subtrees(batches):
     schema = to_arrow_schema(HOST_SUBTREES)
     for b in batches:
-        hosts, hashes = [], []
+        hosts, pages, hashes = [], [], []
         for host, source in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
-            found = subtrees(parse(source)) if source else ()
+            root = parse(source)
+            found = [None, *subtrees(root)]
             hosts += [host] * len(found)
+            pages += [xxh64_intdigest(main_text(root, frozenset())) - (1 << 63)] * len(found)
             hashes += found
-        yield V.record_batch(schema, host=hosts, subtree=hashes)
+        yield V.record_batch(schema, host=hosts, page=pages, subtree=hashes)
 
 
 def page_texts(batches):
@@ -257,9 +265,9 @@ def extract(ws: Workspace, pages: DataFrame, min_pages: int = MIN_PAGES, min_sha
     """page_id, url, text and n_chars of every page."""
     host, _ = host_path(F.col("url"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
-    found = rows.select("host", "html").mapInArrow(page_subtrees, HOST_SUBTREES).groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
-    found = ws.stage(found.filter(F.col("n") >= min_pages), "subtrees")
-    of_host = ws.stage(rows.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "hosts")
-    common = found.join(of_host, "host").filter(F.col("n") >= min_share * F.col("pages"))
+    found = rows.select("host", "html").mapInArrow(page_subtrees, HOST_SUBTREES).groupBy("host", "subtree").agg(F.count_distinct("page").alias("n"))
+    found = ws.stage(found.filter(F.col("subtree").isNull() | (F.col("n") >= min_pages)), "subtrees")
+    of_host = found.filter(F.col("subtree").isNull()).select("host", F.col("n").alias("pages"))
+    common = found.filter(F.col("subtree").isNotNull()).join(of_host, "host").filter(F.col("n") >= min_share * F.col("pages"))
     lists = ws.stage(common.groupBy("host").agg(F.collect_list("subtree").alias("templates")), "templates")
     return rows.join(lists, "host", "left").select("page_id", "url", "html", "templates").mapInArrow(page_texts, TEXTS)

@@ -112,6 +112,23 @@ def test_templates_are_recurring_subtrees(spark, ws):
     assert got[64] == "A common line.\n4"  # text of an article isn't template
 
 
+def test_copies_of_a_page_are_one_witness(spark, ws):
+    def article(i):
+        return f"<div><article><h1>T{i}</h1><div><p>story {i}</p><ul><li>item {i}</li></ul></div></article></div>"
+
+    rows = [(i, f"https://copy.org/a?utm={i}", page(article(0), f"<link href='?utm={i}'>")) for i in range(12)]  # tracking parameters
+    rows += [(20 + i, f"https://copy.org/print/{i}", page("<nav>menu</nav>" + article(0))) for i in range(4)]
+    rows += [(30 + i, f"https://copy.org/{i}", page(article(i + 1))) for i in range(3)]
+    rows += [(40 + i, f"https://plain.org/{i}", page("<div><p>one page</p><p>many URLs</p></div>")) for i in range(9)]
+    # a block of all distinct pages is template, however many copies stand beside them
+    rows += [(50 + i, f"https://mixed.org/{i}", page(f"<div><p>Welcome</p></div><p>text {max(0, i - 40)}</p>")) for i in range(45)]
+    got = {r.page_id: r.text for r in site_templates.extract(ws, spark.createDataFrame(rows, PAGES)).collect()}
+    assert {got[i] for i in [*range(12), *range(20, 24)]} == {"T0\nstory 0\nitem 0"}
+    assert got[31] == "T2\nstory 2\nitem 2"
+    assert {got[40 + i] for i in range(9)} == {"one page\nmany URLs"}
+    assert got[50] == "text 0" and got[94] == "text 4"
+
+
 def test_deep_and_long_pages(spark, ws):
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     rows = [(1, "http://a.org/", page(deep)), (2, "http://a.org/", page("<p>" + "word " * 100_000)), (3, "http://a.org/", "<" * 5000)]
