@@ -4,9 +4,11 @@ Pages are parsed into element trees. In Spark, the hashes of their subtrees are
 counted per host, once per distinct page; a subtree found on many pages of a host
 (at least ``MIN_PAGES`` and ``MIN_SHARE`` of them) is template and is deleted, along
 with elements that say themselves that they aren't the text: navigation, headers,
-footers, sidebars, forms, scripts, and blocks whose class or id names adverts,
-notices, comments and the like. What is left of the main element (article, else
-main, else body) is joined block by block.
+footers, sidebars, forms, scripts, and containers with a class or id token that
+names nothing but adverts, notices, comments and the like (``ad-box``,
+``comment-5``; not ``related-work``). Headings, paragraphs and inline elements are
+never dropped by class or id, where slugs of their text are usual. What is left of
+the main element (article, else main, else body) is joined block by block.
 
 Rows of a host are one page if the texts of their main elements are equal: copies
 under other URLs, print views and repeated rows don't vote their text into a
@@ -55,18 +57,20 @@ CONTAINERS = frozenset("aside details div footer form header nav ol section tabl
 CLOSED_BY = {"p": BLOCKS - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
              "th": {"td", "th", "tr"}, "option": {"option"}}
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
-#: Words of class and id values that name what isn't main text.
+#: Words of class and id tokens that name what isn't main text.
 LABELS = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner
 cookie cookies consent gdpr notice notices notification alert popup modal overlay
 comment comments respond replies disqus sidebar aside widget widgets related recommended share sharing social
 nav navbar navigation menu breadcrumb breadcrumbs pagination pager header masthead footer
 newsletter subscribe subscription signup login search""".split())
+#: Words that may stand beside them in a token.
+LAYOUT = frozenset("area bar block box button buttons container inner item left link links list outer right slot wrap wrapper".split())
 
 _TOKEN = re.compile(
     r"""<!--(?:.*?-->|.*)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+)(?:>|\Z)"""
     r"""|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
-_ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=\s|/|\Z)""", re.I)
-_WORDS = re.compile(r"[a-z]+")
+_ATTR = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_WORDS = re.compile(r"[^\W\d_]+")
 
 #: A row without subtree stands for the page itself.
 HOST_SUBTREES = V.struct("host string, page long, subtree long")
@@ -80,18 +84,23 @@ class Element:
         self.tag, self.dropped, self.children, self.subtree = tag, dropped, [], 0
 
 
+def _names_other(token: str) -> bool:
+    """Whether the whole token names something else than main text."""
+    words = _WORDS.findall(token)
+    return not LABELS.isdisjoint(words) and all(w in LABELS or w in LAYOUT for w in words)
+
+
 def _labelled(tag: str, attrs: str) -> bool:
     if tag in DROPPED:
         return True
     if not attrs.strip() or tag in ("html", "body", "article", "main"):
         return False
+    of: dict[str, str] = {}
     for m in _ATTR.finditer(attrs):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
-            return True
-        if name in ("class", "id") and not LABELS.isdisjoint(_WORDS.findall(value)):
-            return True
-    return False
+        of.setdefault(m[1].lower(), entities.unescape(m[2] or m[3] or m[4] or "").lower())  # the first of a name holds
+    if "hidden" in of or of.get("aria-hidden") == "true" or of.get("role") in ROLES:
+        return True
+    return tag in CONTAINERS and any(_names_other(token) for name in ("class", "id") for token in of.get(name, "").split())
 
 
 def parse(source: str) -> Element:

@@ -112,6 +112,20 @@ def test_templates_are_recurring_subtrees(spark, ws):
     assert got[64] == "A common line.\n4"  # text of an article isn't template
 
 
+def test_labels_are_whole_names(spark, ws):
+    kept = ['p title="the hidden cost of things"', 'p data-id="comment-5"', "div data-class=ad", "div title='a class=ad b'", 'h2 id="search-engines"',
+            'h2 id="Social_policy"', 'h2 id="search"', 'p class="notice"', 'section class="related-work"', 'div class="article-header"', 'div class="has-sidebar"',
+            'div data-hidden', 'div aria-hidden="false"', 'div data-x="1"id="y" class="post"', 'div id="a" id="ad"', "div title='class=\"ad\"'", 'div class="ad-é"']
+    dropped = ['div class="ad"', "div class='post comments'", "div id=cookie-notice", 'section id="comment-5"', 'div CLASS = "x Ad-Box"', "p hidden", 'p hidden=""',
+               'p aria-hidden="true"', 'div title="x"class="sidebar_left"', "div role=navigation", 'p role="alert"', "ul class=share"]
+    tags = [(t, True) for t in kept] + [(t, False) for t in dropped]
+    for main in ("article", "div"):
+        rows = [(i, f"http://{main}{i}.org/", page(f"<{main}><p>a</p><{t}>text</{t.split()[0]}><p>b</p></{main}>")) for i, (t, _) in enumerate(tags)]
+        got = {r.page_id: r.text for r in site_templates.extract(ws, spark.createDataFrame(rows, PAGES)).collect()}
+        for i, (t, keep) in enumerate(tags):
+            assert got[i] == ("a\ntext\nb" if keep else "a\nb"), t
+
+
 def test_copies_of_a_page_are_one_witness(spark, ws):
     def article(i):
         return f"<div><article><h1>T{i}</h1><div><p>story {i}</p><ul><li>item {i}</li></ul></div></article></div>"
