@@ -149,13 +149,14 @@ def compute_features(
         **{f"RSI_14_lag{k}": f"lag(RSI_14, {k}) OVER {W}" for k in fp.lags},
         **candles.counts_sql(),
     })
-    b = add_ewm(b, key, _round1_specs(fp), s)
+    seen = layout.block_rows + back + ahead
+    b = add_ewm(b, key, _round1_specs(fp), s, layout.block_rows, seen)
     b = add(b, {"MACD": "_ema_fast - _ema_slow", "_pdi": "try_divide(100 * _pdm_w, _atr_w)",
                 "_mdi": "try_divide(100 * _mdm_w, _atr_w)"})
     b = add(b, {"DX": "try_divide(100 * abs(_pdi - _mdi), _pdi + _mdi)"})
 
     # stage D: second smoothing round
-    b = add_ewm(b, key, _round2_specs(fp), s)
+    b = add_ewm(b, key, _round2_specs(fp), s, layout.block_rows, seen)
     b = add(b, {"MACD_hist": "MACD - MACD_signal"})
 
     if labels is not None:

@@ -14,7 +14,8 @@ that small table, so numbering needs no key-wide sort either.
 Columns added: ``_rn`` row number in the series (0-based), ``_n`` series
 length, ``_blk`` block id, ``_native`` (row belongs to this block, not halo),
 ``_u`` position inside the block's visible range, ``_sub`` sub-block of ``_u``
-(used by the exponential smoother), ``_skey`` the key as one struct column.
+(used by the exponential smoother), ``_hand`` (the last row that the next block
+doesn't see), ``_skey`` the key as one struct column.
 
 All partitioning and joins use ``_skey``: a struct is never NULL and compares
 NULL fields as equal, so plain equi-joins keep rows with a NULL key and the
@@ -27,8 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RN, NTOT, BLK, NATIVE, POS, SUB, SKEY = "_rn", "_n", "_blk", "_native", "_u", "_sub", "_skey"
-HELPERS = (RN, NTOT, BLK, NATIVE, POS, SUB, SKEY)
+RN, NTOT, BLK, NATIVE, POS, SUB, SKEY, HAND = "_rn", "_n", "_blk", "_native", "_u", "_sub", "_skey", "_hand"
+HELPERS = (RN, NTOT, BLK, NATIVE, POS, SUB, SKEY, HAND)
 DEFAULT_SUB_ROWS = 256
 
 
@@ -73,7 +74,8 @@ def to_blocks(numbered: DataFrame, block_rows: int, back: int, ahead: int, sub_r
     pos = rn - F.greatest(F.lit(0).cast("long"), blk * F.lit(block_rows) - F.lit(back))
     exploded = numbered.select("*", F.explode(F.sequence(kmin, kmax)).alias(BLK))
     return exploded.select("*", (F.floor(rn / F.lit(block_rows)) == blk).alias(NATIVE), pos.alias(POS),
-                           F.floor(pos / F.lit(sub_rows)).alias(SUB))
+                           F.floor(pos / F.lit(sub_rows)).alias(SUB),
+                           (rn == (blk + 1) * F.lit(block_rows) - F.lit(back) - 1).alias(HAND))
 
 
 def block_window(key=None) -> Window:
@@ -110,7 +112,7 @@ def finish(blocked: DataFrame, keep_helpers: bool = False) -> DataFrame:
     """Keep each row once (its own block) and drop layout columns."""
     out = blocked.filter(F.col(NATIVE))
     if keep_helpers:
-        return out.drop(BLK, NATIVE, POS, SUB, SKEY)
+        return out.drop(BLK, NATIVE, POS, SUB, SKEY, HAND)
     return out.drop(*HELPERS)
 
 

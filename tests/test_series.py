@@ -105,3 +105,14 @@ def test_rows_without_a_date_stay(spark):
 
     got = sorted((str(r.ticker), str(r.bar_date), r.x) for r in ffill(df, ["x"]).collect())
     assert got == [("None", "None", 1.0), ("X", "2000-01-01", 2.0), ("X", "2000-01-02", 2.0), ("X", "None", 5.0)]
+
+
+def test_ewm_keeps_its_value_over_long_gaps(spark):
+    rng = np.random.default_rng(5)
+    n = 9000
+    vals = np.cumsum(rng.normal(0, 1, n)) + 60
+    vals[:3], vals[400:4700], vals[4701:5300], vals[5302:8900] = np.nan, np.nan, np.nan, np.nan  # thousands of rows, one and two observations between
+    df = _series(spark, [None if np.isnan(v) else float(v) for v in vals])
+    for span, block_rows in ((10, 16384), (12, 1000), (26, 300), (27, 2500)):
+        got = ewm_column(df, "x", "y", span=span, block_rows=block_rows).orderBy("bar_date").toPandas()["y"].to_numpy(dtype=float)
+        np.testing.assert_allclose(got, ewm_series_pandas(vals, 2 / (span + 1)), rtol=1e-11, err_msg=f"{span} {block_rows}")
