@@ -280,6 +280,11 @@ def link(ws: Workspace, keyed: DataFrame, sets: DataFrame, grams: DataFrame, siz
 
 def near_duplicates(ws: Workspace, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest linked doc_id) of every row."""
+    return rooted(ws, docs, size, percent).drop("root")
+
+
+def rooted(ws: Workspace, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``near_duplicates`` with the ``root`` of each row's component, which no other has."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc"), F.hash(F.coalesce("text", F.lit(""))).alias("th"), "text")
     # documents with a null id are told apart by their text alone
     keyed = keyed.withColumn("doc", F.coalesce("doc", F.lit((1 << 63) - 1)))
@@ -297,19 +302,22 @@ def near_duplicates(ws: Workspace, docs: DataFrame, size: int = SHINGLE, percent
     least = ws.stage(placed.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     out = placed.join(least.withColumnRenamed("root", "r"), (F.col("n") > 0) & (F.col("root") == F.col("r")), "left")
     return out.select("doc_id", F.col("th").alias("text_hash"), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "root")
 
 
 def keep_one(ws: Workspace, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` less all but the document of smallest id of each component.
+    """``docs`` less all but the document of smallest id of each component; among several
+    texts of that id, or in a component without ids, the one of smallest text hash.
 
     Rows without shingles stay. Repeated rows of the kept document are one document
     several times; the first of them, in no particular order, stays.
     """
     cols = docs.columns
-    found = near_duplicates(ws, docs, size, percent)
-    keep = found.filter((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = ws.stage(keep.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__th"), "n_shingles").distinct(), "keep")
+    found = rooted(ws, docs, size, percent)
+    first = found.filter((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("doc_id").alias("__doc"), F.min("text_hash").alias("__th"), F.min("n_shingles").alias("n_shingles"))
+    keep = found.filter("n_shingles = 0").select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__th"), "n_shingles").distinct()
+    keep = ws.stage(keep.unionByName(first.drop("root").distinct()), "keep")
     base = docs.withColumn("__th2", F.hash(F.coalesce("text", F.lit(""))))
     out = base.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__th2") == F.col("__th")))
     once = out.filter("n_shingles > 0").dropDuplicates(["__doc", "__th"]).select(*cols)

@@ -135,6 +135,15 @@ def test_keep_one(ws, docs):
     assert sum(r.doc_id == 0 for r in kept) == 1  # repeated rows of the kept document
 
 
+def test_keep_one_of_each_group_without_or_with_repeated_ids(ws, docs):
+    words = [prose(60, seed).split() for seed in (901, 902, 903)]
+    a, b, c = (" ".join(w) for w in words)
+    rows = [(None, a), (None, a + " end"), (None, a.replace("a", "A")), (None, a), (5, b), (5, b + " end"), (6, b), (None, c), (9, c + " end"), (None, "")]
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(ws, docs(rows)).collect()]
+    assert sorted(str(d) for d, _ in kept) == ["5", "9", "None", "None"]
+    assert sum(d is None and t.lower().startswith(a.lower()) for d, t in kept) == 1
+
+
 def test_components(ws, spark):
     r = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 300), (7, 7)] + [(r.randrange(1000, 1100), r.randrange(1000, 1100)) for _ in range(60)]
