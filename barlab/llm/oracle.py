@@ -90,5 +90,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+
+def _field(x: str) -> str:
+    return f"coalesce(strlen({x}) || ':' || {x}, '-')"
+
+
+MANIFEST = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS key, source, lang, n_chars, text FROM documents),
+crc AS (SELECT r, xor(4294967295, list_reduce(
+            flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+            lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, 4294967295)) AS crc
+        FROM d WHERE doc_id IS NOT NULL),
+s AS (SELECT r, doc_id, key, {_field('CAST(doc_id AS VARCHAR)')} || {_field('source')} || {_field('lang')} AS head, n_chars, {_field('text')} AS tail, coalesce(crc % 7 = 0, false) AS hit
+      FROM d LEFT JOIN crc USING (r)),
+leaf AS (SELECT r, doc_id, key, sha256(head || {_field('CAST(n_chars AS VARCHAR)')} || tail) AS leaf,
+                sha256(head || {_field('CAST(n_chars + CAST(hit AS INT) AS VARCHAR)')} || tail) AS new FROM s),
+num AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY key) AS m FROM leaf),
+up AS (SELECT key, 0 AS lvl, pos, m, leaf AS digest FROM num
+       UNION ALL SELECT key, lvl + 1, pos // 2, (m + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM up WHERE m > 1 GROUP BY key, lvl, pos // 2, m),
+sub AS (SELECT key, digest AS subroot, row_number() OVER (ORDER BY key) - 1 AS pos, count(*) OVER () AS m FROM up WHERE m = 1),
+top AS (SELECT 0 AS lvl, pos, m, subroot AS digest FROM sub
+        UNION ALL SELECT lvl + 1, pos // 2, (m + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM top WHERE m > 1 GROUP BY lvl, pos // 2, m),
+fold AS (SELECT r, key, 0 AS lvl, pos, m, new AS cur, '' AS proof FROM num
+         UNION ALL SELECT f.r, f.key, f.lvl + 1, f.pos // 2, (f.m + 1) // 2,
+                sha256(CASE WHEN f.pos % 2 = 1 THEN u.digest || f.cur ELSE f.cur || coalesce(u.digest, '') END), f.proof || coalesce(u.digest, '')
+         FROM fold f LEFT JOIN up u ON u.key = f.key AND u.lvl = f.lvl AND u.pos = xor(f.pos, 1) WHERE f.m > 1),
+fold2 AS (SELECT r, key, 0 AS lvl, sub.pos, sub.m, cur, proof, subroot FROM fold JOIN sub USING (key) WHERE fold.m = 1
+          UNION ALL SELECT f.r, f.key, f.lvl + 1, f.pos // 2, (f.m + 1) // 2,
+                sha256(CASE WHEN f.pos % 2 = 1 THEN u.digest || f.cur ELSE f.cur || coalesce(u.digest, '') END), f.proof || coalesce(u.digest, ''), subroot
+          FROM fold2 f LEFT JOIN top u ON u.lvl = f.lvl AND u.pos = xor(f.pos, 1) WHERE f.m > 1)
+SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = t.digest AS verified
+FROM num JOIN (SELECT * FROM fold2 WHERE m = 1) f USING (r), (SELECT digest FROM top WHERE m = 1) t
+"""
+
 SQL = {"op3_substring_doubling": SUBSTRINGS, "op5_suffix_levels": BYTES, "op7_fair_queue": MIX, "op8_jaccard_join": NEAR,
-       "op9_snapshot_collapse": SNAPSHOTS, "op10_rule_cascade": QUALITY}
+       "op9_snapshot_collapse": SNAPSHOTS, "op10_rule_cascade": QUALITY,
+       "op11_merkle_manifest": MANIFEST}
