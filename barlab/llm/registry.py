@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlab.llm import (fair_queue, jaccard_join, merkle_manifest, oracle, projection_forest, rule_cascade, site_templates, snapshots, substring_dedup,
-                        suffix_levels, url_lm, vector_packing)
+                        suffix_levels, token_alignment, url_lm, vector_packing)
 from barlab.llm.workspace import Workspace
 
 
@@ -63,10 +63,15 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle_manifest.verify(Workspace(spark, "op11"), merkle_manifest.leaves(docs, merkle_manifest.every_seventh(F.col("doc_id"))))
 
 
+def op13_token_alignment(spark, sf_dir):
+    return token_alignment.align(Workspace(spark, "op13"), _table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_language_ratio, op2_projection_forest, op3_substring_doubling, op4_site_templates, op5_suffix_levels, op6_vector_best_fit, op7_fair_queue,
-        op8_jaccard_join, op9_snapshot_collapse, op10_rule_cascade, op11_merkle_manifest)
+        op8_jaccard_join, op9_snapshot_collapse, op10_rule_cascade, op11_merkle_manifest,
+        op13_token_alignment)
 }
 
 
