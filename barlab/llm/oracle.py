@@ -123,6 +123,55 @@ SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, c
 FROM num JOIN (SELECT * FROM fold2 WHERE m = 1) f USING (r), (SELECT digest FROM top WHERE m = 1) t
 """
 
+
+def _cased(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_ASSIGN = "(" + "|".join(map(_cased, ("password", "passwd", "secret", "token", "api_?key"))) + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _gram_order(k: int) -> str:
+    """Witten-Bell step from p{k} to p{k + 1}: order k over the orders below it, for both classes."""
+    key, ctx = f"substr(gram, {4 - k}, {k + 1})", f"substr(gram, {4 - k}, {k})"
+    mixed = ", ".join(f"CASE WHEN n_{x} > 0 THEN (coalesce(g_{x}, 0) + d_{x} * p_{x}) / (n_{x} + d_{x}) ELSE p_{x} END AS p_{x}" for x in "ro")
+    return f"""g{k} AS (SELECT {key} AS g, {ctx} AS c, sum(r) AS g_r, sum(o) AS g_o FROM counts GROUP BY ALL),
+c{k} AS (SELECT c, sum(g_r) AS n_r, sum(g_o) AS n_o, count(*) FILTER (g_r > 0) AS d_r, count(*) FILTER (g_o > 0) AS d_o FROM g{k} GROUP BY c),
+p{k + 1} AS (SELECT gram, {mixed} FROM p{k} LEFT JOIN g{k} ON {key} = g{k}.g LEFT JOIN c{k} ON {ctx} = c{k}.c)"""
+
+
+SECRETS = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+rules(kind, name, p) AS (VALUES (0, 'assign', '{_ASSIGN}'), (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]+'),
+                                (3, 'random', '[A-Za-z0-9+/_-]{{16,}}={{0,2}}')),
+m AS (SELECT r, kind, name, regexp_extract_all(text, p) AS fs, regexp_split_to_array(text, p) AS gaps FROM d, rules),
+each AS (SELECT r, kind, name, fs[i] AS f, sum(length(gaps[i]) + length(fs[i])) OVER (PARTITION BY r, kind ORDER BY i) AS e
+         FROM m, unnest(range(1, len(fs) + 1)) t(i)),
+value AS (SELECT r, kind, name, e - length(f) AS s, e, CASE WHEN kind = 0 THEN regexp_extract(f, '{_ASSIGN}', 2) ELSE f END AS v FROM each),
+spans AS (SELECT * FROM value WHERE CASE kind WHEN 0 THEN length(v) >= 6 WHEN 1 THEN length(v) >= 20 WHEN 2 THEN length(v) >= 24
+                                    ELSE regexp_matches(v, '[A-Za-z]') END),
+cand AS (SELECT * FROM spans c WHERE kind = 3 AND NOT EXISTS (SELECT 1 FROM spans b WHERE b.r = c.r AND b.kind < 3 AND b.s < c.e AND b.e > c.s)),
+digest AS (SELECT sha256(CAST(i AS VARCHAR)) AS x FROM range(0, 4096) t(i)),
+b64 AS (SELECT replace(base64(unhex(x)), '=', '') AS b FROM digest),
+random AS (SELECT x AS s FROM digest UNION SELECT b FROM b64 UNION SELECT upper(b) FROM b64 UNION SELECT lower(b) FROM b64
+           UNION SELECT v FROM spans WHERE kind < 3),
+ordinary AS (SELECT DISTINCT s FROM (SELECT unnest(regexp_extract_all(regexp_replace(text, '{_ASSIGN}', ' ', 'g'), '[A-Za-z0-9+/_-]{{8,}}')) AS s FROM d)
+             WHERE length(s) < 16),
+both_kinds AS (SELECT s, 1 AS r FROM random UNION ALL SELECT s, 0 FROM ordinary),
+counts AS (SELECT substr('^^^' || s, i, 4) AS gram, sum(r) AS r, sum(1 - r) AS o FROM both_kinds, unnest(range(1, length(s) + 1)) t(i) GROUP BY ALL),
+wanted AS (SELECT v, substr('^^^' || rtrim(v, '='), i, 4) AS gram FROM (SELECT DISTINCT v FROM cand), unnest(range(1, length(rtrim(v, '=')) + 1)) t(i)),
+p0 AS (SELECT DISTINCT gram, CAST(1 AS DOUBLE) / 68 AS p_r, CAST(1 AS DOUBLE) / 68 AS p_o FROM wanted),
+{", ".join(map(_gram_order, range(4)))},
+secret AS (SELECT v FROM wanted JOIN p4 USING (gram) GROUP BY v HAVING sum(ln(p_r) - ln(p_o)) >= ln(1000000)),
+found AS (SELECT * FROM spans WHERE kind < 3 UNION ALL SELECT * FROM cand WHERE v IN (SELECT v FROM secret)),
+per AS (SELECT r, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS k, count(*) FILTER (kind = 2) AS h,
+               string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER (kind < 3) AS base,
+               string_agg(name || ':' || s || ':' || e, ',' ORDER BY s, kind) AS every FROM found GROUP BY r)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(every, '') AS spans
+FROM d LEFT JOIN per USING (r)
+"""
+
 SQL = {"op3_substring_doubling": SUBSTRINGS, "op5_suffix_levels": BYTES, "op7_fair_queue": MIX, "op8_jaccard_join": NEAR,
        "op9_snapshot_collapse": SNAPSHOTS, "op10_rule_cascade": QUALITY,
-       "op11_merkle_manifest": MANIFEST}
+       "op11_merkle_manifest": MANIFEST, "op12_secret_models": SECRETS}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import (fair_queue, jaccard_join, merkle_manifest, oracle, projection_forest, rule_cascade, site_templates, snapshots, substring_dedup,
-                        suffix_levels, token_alignment, url_lm, vector_packing)
+from barlab.llm import (fair_queue, jaccard_join, merkle_manifest, oracle, projection_forest, rule_cascade, secret_scan, site_templates,
+                        snapshots, substring_dedup, suffix_levels, token_alignment, url_lm, vector_packing)
 from barlab.llm.workspace import Workspace
 
 
@@ -63,6 +63,10 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle_manifest.verify(Workspace(spark, "op11"), merkle_manifest.leaves(docs, merkle_manifest.every_seventh(F.col("doc_id"))))
 
 
+def op12_secret_models(spark, sf_dir):
+    return secret_scan.report(Workspace(spark, "op12"), _table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark, sf_dir):
     return token_alignment.align(Workspace(spark, "op13"), _table(spark, sf_dir, "documents"))
 
@@ -71,7 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_language_ratio, op2_projection_forest, op3_substring_doubling, op4_site_templates, op5_suffix_levels, op6_vector_best_fit, op7_fair_queue,
         op8_jaccard_join, op9_snapshot_collapse, op10_rule_cascade, op11_merkle_manifest,
-        op13_token_alignment)
+        op12_secret_models, op13_token_alignment)
 }
 
 
