@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlab.llm.workspace import Workspace, shuffle_partitions
+from barlab.llm.workspace import Workspace, shuffle_partitions, text_key
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -32,10 +32,11 @@ BLOCK_DOCS = 2_000
 
 def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and the shuffle key ``k`` of every row."""
+    th, tk = text_key(F.col("doc_id"), F.col("text"))
+    k = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     return docs.select(
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary")).alias("k"),
-        F.hash(F.coalesce("text", F.lit(""))).alias("text_hash"))
+        F.md5(k.cast("binary")).alias("k"), th.alias("text_hash"), tk.alias("text_hash2"))
 
 
 def targets(ws: Workspace, rows: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -68,7 +69,7 @@ def queue(ws: Workspace, rows: DataFrame, tgt: DataFrame, block_docs: int = BLOC
     blocks = F.ceil(F.col("n_docs") / block_docs)
     spread = F.conv(F.substring("k", 1, 8), 16, 10).cast("long")
     q = rows.join(tgt, rows["source"].eqNullSafe(tgt["source"])).select(
-        rows["doc_id"], rows["source"], "size", "k", "text_hash", "source_size", "target", "total",
+        rows["doc_id"], rows["source"], "size", "k", "text_hash", "text_hash2", "source_size", "target", "total",
         F.floor(spread * blocks / F.lit(1 << 32)).cast("long").alias("block"))
     q = ws.stage(q, "queued")
     parts = q.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
@@ -100,7 +101,7 @@ def cut(ws: Workspace, events: DataFrame, budget: int):
 
 
 def mix(ws: Workspace, docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
-    """doc_id, source, text_hash, size, source_size, target and ``taken`` of every document row.
+    """doc_id, source, text hashes, size, source_size, target and ``taken`` of every document row.
 
     ``taken`` counts words with repeats. The document at the cut gives only the
     words that are left of the budget, so the words taken add up to all sizes.
@@ -130,7 +131,7 @@ def mix(ws: Workspace, docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_R
 
         total = sum((take(e) for e in range(1, max_repeat)), take(0))
         taken = F.when((F.col("size") > 0) & (F.col("target") > 0), total).otherwise(0).cast("long")
-    return q.select("doc_id", "source", "text_hash", "size", "source_size", "target", taken.alias("taken"))
+    return q.select("doc_id", "source", "text_hash", "text_hash2", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(ws: Workspace, docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -140,12 +141,13 @@ def mixed_documents(ws: Workspace, docs: DataFrame, weights=WEIGHTS, max_repeat:
     of them carry the columns of one of them. ``n_chars`` follows a cut text.
     """
     cols = docs.columns
-    taken = mix(ws, docs, weights, max_repeat).groupBy("doc_id", "source", "text_hash").agg(
+    taken = mix(ws, docs, weights, max_repeat).groupBy("doc_id", "source", "text_hash", "text_hash2").agg(
         F.sum("taken").alias("__taken"), F.max("size").alias("__size")).filter("__taken > 0")
-    taken = ws.stage(taken.withColumnsRenamed({"doc_id": "__d", "source": "__s", "text_hash": "__t"}), "taken")
-    key = F.hash(F.coalesce("text", F.lit("")))
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("source").eqNullSafe(F.col("__s")) & (key == F.col("__t")))
-    rows = rows.dropDuplicates(["__d", "__s", "__t"])
+    taken = ws.stage(taken.withColumnsRenamed({"doc_id": "__d", "source": "__s", "text_hash": "__t", "text_hash2": "__u"}), "taken")
+    th, tk = text_key(F.col("doc_id"), F.col("text"))
+    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("source").eqNullSafe(F.col("__s")) & (th == F.col("__t"))
+                     & (tk == F.col("__u")))
+    rows = rows.dropDuplicates(["__d", "__s", "__t", "__u"])
     rows = rows.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.ceil(F.col("__taken") / F.col("__size")).cast("int"))))
     rest = (F.col("__taken") - (F.col("__nth") - 1) * F.col("__size")).cast("int")
     cut_text = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, rest), " ")

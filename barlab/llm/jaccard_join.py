@@ -34,7 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from barlab.llm import vectors as V
 from barlab.llm.components import components
-from barlab.llm.workspace import Workspace
+from barlab.llm.workspace import Workspace, join_by_share, text_key
 
 SHINGLE = 5
 PERCENT = 80
@@ -45,7 +45,7 @@ CELL_ROWS = 256
 BROADCAST_IDS = 1 << 20
 SUFFIX_CELLS = 64
 
-SETS = V.struct("doc long, th int, a long, b long, n long, chunk int, counts binary")
+SETS = V.struct("doc long, th long, tk long, a long, b long, n long, chunk int, counts binary")
 GRAMS = V.struct("g long, id long, n int, pos int")
 TESTED = V.struct("u long, v long, linked boolean")
 
@@ -80,18 +80,18 @@ def set_rows(size: int):
     def run(batches):
         counts = np.zeros(CELLS, np.uint32)
         for b in batches:
-            docs, hashes = b.column("doc"), b.column("th")
+            docs, hashes, more = (b.column(c) for c in ("doc", "th", "tk"))
             for i, j, buf, offs in V.text_chunks(b.column("text")):
                 sets = shingle_sets(buf, offs, size)
                 every = np.concatenate(sets)
                 counts += np.bincount((every & V.U(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
                 none = [None] * (j - i)
-                yield V.record_batch(schema, doc=docs.slice(i, j - i), th=hashes.slice(i, j - i), a=_ids(sets, 1), b=_ids(sets, 2),
+                yield V.record_batch(schema, doc=docs.slice(i, j - i), th=hashes.slice(i, j - i), tk=more.slice(i, j - i), a=_ids(sets, 1), b=_ids(sets, 2),
                                      n=np.array([len(s) for s in sets], np.int64), chunk=none, counts=none)
         width = CELLS // CELL_ROWS
         rows = [k for k in range(CELL_ROWS) if counts[k * width: (k + 1) * width].any()]
         none = [None] * len(rows)
-        yield V.record_batch(schema, doc=none, th=none, a=none, b=none, n=none, chunk=rows,
+        yield V.record_batch(schema, doc=none, th=none, tk=none, a=none, b=none, n=none, chunk=rows,
                              counts=[counts[k * width: (k + 1) * width].tobytes() for k in rows])
     return run
 
@@ -221,15 +221,15 @@ class _Texts:
 
     def __init__(self, ws: Workspace, docs: DataFrame, sets: DataFrame):
         self.ws, self.docs = ws, docs
-        self.rep = sets.groupBy("id").agg(F.min(F.struct("doc", "th")).alias("at"))
+        self.rep = sets.groupBy("id").agg(F.min(F.struct("doc", "th", "tk")).alias("at"))
 
     def of(self, pairs: DataFrame) -> DataFrame:
         ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-        want = self.ws.stage(self.rep.join(ids, "id").select("id", "at.doc", "at.th"), "text-ids")
+        want = self.ws.stage(self.rep.join(ids, "id").select("id", "at.doc", "at.th", "at.tk"), "text-ids")
         n = want.count()
         if n <= BROADCAST_IDS:
             want = F.broadcast(want)
-        texts = self.ws.stage(self.docs.join(want, ["doc", "th"]).select("id", "text"), "texts")
+        texts = self.ws.stage(self.docs.join(want, ["doc", "th", "tk"]).select("id", "text"), "texts")
         # equal rows come once; a stored table, so that AQE can split the pairs of a frequent pivot
         return texts if texts.count() == n else self.ws.stage(texts.dropDuplicates(["id"]), "texts-once")
 
@@ -285,24 +285,25 @@ def near_duplicates(ws: Workspace, docs: DataFrame, size: int = SHINGLE, percent
 
 def rooted(ws: Workspace, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``near_duplicates`` with the ``root`` of each row's component, which no other has."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc"), F.hash(F.coalesce("text", F.lit(""))).alias("th"), "text")
     # documents with a null id are told apart by their text alone
-    keyed = keyed.withColumn("doc", F.coalesce("doc", F.lit((1 << 63) - 1)))
+    th, tk = text_key(F.col("doc_id"), F.col("text"))
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), th.alias("th"), tk.alias("tk"), "text")
     rows = ws.stage(keyed.mapInArrow(set_rows(size), SETS), "sets")
     classes = docs.sparkSession.sparkContext.broadcast(rarity(rows))
     sets = rows.filter("chunk is null")
     # one 64-bit hash names a class unless two sets share it; then the other hash does
     clash = sets.groupBy("a").agg(F.min("b").alias("b0"), F.max("b").alias("b1")).filter("b0 != b1").limit(1).count()
-    sets = sets.select("doc", "th", F.col("b" if clash else "a").alias("id"), "n")
+    sets = sets.select("doc", "th", "tk", F.col("b" if clash else "a").alias("id"), "n")
     grams = keyed.select("text").mapInArrow(prefix_grams(size, percent, classes, not clash), GRAMS)
     roots = link(ws, keyed.filter("text is not null"), sets.filter("n > 0"), grams, size, percent)
     placed = sets.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
-    known = F.when(F.col("doc") != (1 << 63) - 1, F.col("doc"))
-    placed = ws.stage(placed.select(known.alias("doc_id"), "th", "n", "root"), "placed")
-    least = ws.stage(placed.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
-    out = placed.join(least.withColumnRenamed("root", "r"), (F.col("n") > 0) & (F.col("root") == F.col("r")), "left")
-    return out.select("doc_id", F.col("th").alias("text_hash"), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "root")
+    known = F.when(F.col("tk") % 2 == 0, F.col("doc"))
+    placed = ws.stage(placed.select(known.alias("doc_id"), "th", "tk", "n", "root"), "placed")
+    least = ws.stage(placed.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("weight")), "least")
+    out = join_by_share(placed.filter("n > 0"), least, "root", placed.count())
+    out = out.unionByName(placed.filter("n = 0").withColumn("component_id", F.col("doc_id")))
+    return out.select("doc_id", F.col("th").alias("text_hash"), F.col("tk").alias("text_hash2"), F.col("n").alias("n_shingles"), "component_id",
+                      "root")
 
 
 def keep_one(ws: Workspace, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -314,11 +315,14 @@ def keep_one(ws: Workspace, docs: DataFrame, size: int = SHINGLE, percent: int =
     """
     cols = docs.columns
     found = rooted(ws, docs, size, percent)
+    at = ["doc_id", "text_hash", "text_hash2"]
     first = found.filter((F.col("n_shingles") > 0) & F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
-        F.min("doc_id").alias("__doc"), F.min("text_hash").alias("__th"), F.min("n_shingles").alias("n_shingles"))
-    keep = found.filter("n_shingles = 0").select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__th"), "n_shingles").distinct()
-    keep = ws.stage(keep.unionByName(first.drop("root").distinct()), "keep")
-    base = docs.withColumn("__th2", F.hash(F.coalesce("text", F.lit(""))))
-    out = base.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__th2") == F.col("__th")))
-    once = out.filter("n_shingles > 0").dropDuplicates(["__doc", "__th"]).select(*cols)
-    return once.union(out.filter("n_shingles = 0").select(*cols))
+        F.min(F.struct(*at, "n_shingles")).alias("first")).select("first.*")
+    keep = found.filter("n_shingles = 0").select(*at, "n_shingles").distinct().union(first.distinct())
+    keep = ws.stage(keep.toDF("__doc", "__th", "__tk", "__n"), "keep")
+    th, tk = text_key(F.col("doc_id"), F.col("text"))
+    base = docs.withColumns({"__th2": th, "__tk2": tk})
+    out = base.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__th2") == F.col("__th"))
+                    & (F.col("__tk2") == F.col("__tk")))
+    once = out.filter("__n > 0").dropDuplicates(["__doc", "__th", "__tk"]).select(*cols)
+    return once.union(out.filter("__n = 0").select(*cols))

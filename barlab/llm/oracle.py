@@ -32,7 +32,7 @@ FROM d LEFT JOIN per USING (r) LEFT JOIN kept USING (r)
 """
 
 MIX = rf"""
-WITH s AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k FROM documents),
+WITH s AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size, md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(coalesce(text, ''))) AS k FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
         FROM s GROUP BY source),
 lv AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER o1, 0)) / sum(weight) OVER o2 AS level, sum(source_size) OVER () AS total

@@ -17,7 +17,7 @@ task. Driver and broadcasts hold the trees and the leaf sizes alone
 
 Edge cases: vectors that are null, empty, zero, or hold null or non-finite
 components take no part, nor do null ids or vectors of another length than most
-of the sample; repeated rows of an id count once; ties go to the smaller id; with fewer candidates than
+of the sample; rows of one id are one, with the smallest of their vectors; ties go to the smaller id; with fewer candidates than
 asked for, all are returned; an empty table gives no rows; only vec_id and
 embedding are read.
 """
@@ -150,12 +150,13 @@ def neighbours(ws: Workspace, vectors: DataFrame, every: int = 50, k: int = 5, t
     if not sizes:
         return empty
     (dim, total), = sizes.items()
-    rows = rows.filter(F.size("embedding") == dim)
+    # one vector an id: the smallest of those that its rows give
+    rows = rows.filter(F.size("embedding") == dim).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     first = Window.partitionBy("embedding").orderBy("vec_id")
-    reps = (rows.dropDuplicates(["vec_id", "embedding"]).withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= k + 1)
+    reps = (rows.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= k + 1)
             .groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
     reps = ws.stage(reps.withColumn("rep", F.col("ids")[0]), "distinct")
-    asked = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "embedding"])
+    asked = rows.filter(F.col("vec_id") % every == 0)
     asked = ws.stage(asked.join(reps.select("embedding", "rep"), "embedding").select(F.col("vec_id").alias("query_id"), "rep"), "asked")
 
     n = reps.count()

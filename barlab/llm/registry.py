@@ -43,11 +43,11 @@ def op6_vector_best_fit(spark, sf_dir):
 
 
 def op7_fair_queue(spark, sf_dir):
-    return fair_queue.mix(Workspace(spark, "op7"), _table(spark, sf_dir, "documents")).drop("source", "text_hash")
+    return fair_queue.mix(Workspace(spark, "op7"), _table(spark, sf_dir, "documents")).drop("source", "text_hash", "text_hash2")
 
 
 def op8_jaccard_join(spark, sf_dir):
-    return jaccard_join.near_duplicates(Workspace(spark, "op8"), _table(spark, sf_dir, "documents")).drop("text_hash")
+    return jaccard_join.near_duplicates(Workspace(spark, "op8"), _table(spark, sf_dir, "documents")).drop("text_hash", "text_hash2")
 
 
 def op9_snapshot_collapse(spark, sf_dir):

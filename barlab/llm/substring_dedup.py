@@ -35,14 +35,15 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from barlab.llm import vectors as V
-from barlab.llm.workspace import Workspace
+from barlab.llm.workspace import Workspace, text_key
 
 MIN_WORDS = 50
 LAST = (1 << 63) - 1
-KEY, TEXT_HASH = "__doc", "__text"
+#: A row: its id as a number, null as the largest, and two hashes of its text.
+ROW = ["__doc", "__text", "__text2"]
 
-SHORT = V.struct("anchor long, seg long, doc long, th int, lo int, n int")
-LONG = V.struct("anchor long, win long, doc long, th int, pos int")
+SHORT = V.struct("anchor long, seg long, doc long, th long, tk long, lo int, n int")
+LONG = V.struct("anchor long, win long, doc long, th long, tk long, pos int")
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
@@ -61,7 +62,7 @@ def short_windows(min_words: int):
 
     def run(batches):
         for b in batches:
-            docs, hashes = b.column(KEY).to_numpy(), b.column(TEXT_HASH).to_numpy()
+            docs, hashes, more = (b.column(c).to_numpy() for c in ROW)
             for i, j, buf, offs in V.text_chunks(b.column("text")):
                 starts, ends, doc, first = _document_words(buf, offs)
                 n = len(starts)
@@ -77,7 +78,8 @@ def short_windows(min_words: int):
                 seg = V.mix(roll.runs(lo, hi + min_words) + (a - lo).astype(V.U) * V.U(0x9E3779B97F4A7C15))
                 d = doc[lo]
                 yield V.record_batch(schema, anchor=short[a].view(np.int64), seg=seg.view(np.int64), doc=docs[i + d],
-                                     th=hashes[i + d], lo=(lo - first[d]).astype(np.int32), n=(hi - lo + 1).astype(np.int32))
+                                     th=hashes[i + d], tk=more[i + d],
+                                     lo=(lo - first[d]).astype(np.int32), n=(hi - lo + 1).astype(np.int32))
     return run
 
 
@@ -87,7 +89,7 @@ def long_windows(min_words: int):
 
     def run(batches):
         for b in batches:
-            docs, hashes, wanted = b.column(KEY).to_numpy(), b.column(TEXT_HASH).to_numpy(), b.column("wanted")
+            (docs, hashes, more), wanted = (b.column(c).to_numpy() for c in ROW), b.column("wanted")
             for i, j, buf, offs in V.text_chunks(b.column("text")):
                 starts, ends, doc, first = _document_words(buf, offs)
                 row, f = V.list_column(wanted, i, j)
@@ -96,7 +98,7 @@ def long_windows(min_words: int):
                 roll = V.Rolling(V.word_hashes(buf, starts, ends))
                 row, (at, off) = np.repeat(row, f["n"]), V.word_bytes(f["lo"].astype(np.int64), f["n"].astype(np.int64))
                 lo = first[row] + at
-                yield V.record_batch(schema, anchor=np.repeat(f["anchor"], f["n"]), doc=docs[i + row], th=hashes[i + row],
+                yield V.record_batch(schema, anchor=np.repeat(f["anchor"], f["n"]), doc=docs[i + row], th=hashes[i + row], tk=more[i + row],
                                      win=roll.runs(lo, lo + min_words).view(np.int64), pos=at.astype(np.int32))
     return run
 
@@ -143,7 +145,7 @@ def removed(text_col: str, schema: T.StructType, keep_layout: bool):
 
 
 def repeat_spans(ws: Workspace, keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, th, spans) of every document with repeats; spans are word ranges [s, e)."""
+    """(doc, th, tk, spans) of every document with repeats; spans are word ranges [s, e)."""
     short = ws.stage(keyed.mapInArrow(short_windows(min_words), SHORT), "short")
     repeated = short.groupBy("anchor").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1"),
                                            F.min("seg").alias("s0"), F.max("seg").alias("s1"))
@@ -152,17 +154,17 @@ def repeat_spans(ws: Workspace, keyed: DataFrame, min_words: int = MIN_WORDS) ->
     ws.release(short, repeated)
     classes = ws.stage(kept.groupBy("anchor", "seg").agg(F.min("doc").alias("first")), "classes")
     judged = ws.stage(kept.join(classes, ["anchor", "seg"]).filter("mixed or doc > first")
-                      .select("doc", "th", "lo", "n", "anchor", (F.col("doc") > F.col("first")).alias("whole")), "judged")
+                      .select("doc", "th", "tk", "lo", "n", "anchor", (F.col("doc") > F.col("first")).alias("whole")), "judged")
     ws.release(kept, classes)
-    wanted = judged.filter("not whole").groupBy("doc", "th").agg(F.collect_set(F.struct("lo", "n", "anchor")).alias("wanted"))
-    wanted = keyed.join(wanted.withColumnsRenamed({"doc": KEY, "th": TEXT_HASH}), [KEY, TEXT_HASH])
+    wanted = judged.filter("not whole").groupBy("doc", "th", "tk").agg(F.collect_set(F.struct("lo", "n", "anchor")).alias("wanted"))
+    wanted = keyed.join(wanted.withColumnsRenamed(dict(zip(("doc", "th", "tk"), ROW))), ROW)
     windows = ws.stage(wanted.mapInArrow(long_windows(min_words), LONG), "long")
     first = windows.groupBy("anchor", "win").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     first = ws.stage(first.filter("first < last").drop("last"), "repeated-long")
     single = windows.join(first, ["anchor", "win"]).filter("doc > first").select(
-        "doc", "th", F.col("pos").alias("s"), (F.col("pos") + min_words).alias("e"))
-    whole = judged.filter("whole").select("doc", "th", F.col("lo").alias("s"), (F.col("lo") + F.col("n") + (min_words - 1)).alias("e"))
-    spans = whole.union(single).groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("__spans"))
+        "doc", "th", "tk", F.col("pos").alias("s"), (F.col("pos") + min_words).alias("e"))
+    whole = judged.filter("whole").select("doc", "th", "tk", F.col("lo").alias("s"), (F.col("lo") + F.col("n") + (min_words - 1)).alias("e"))
+    spans = whole.union(single).groupBy("doc", "th", "tk").agg(F.collect_set(F.struct("s", "e")).alias("__spans"))
     out = ws.stage(spans, "spans")
     ws.release(windows, first, judged)
     return out
@@ -174,10 +176,10 @@ def remove_repeats(ws: Workspace, docs: DataFrame, min_words: int = MIN_WORDS, k
     Kept words are joined by one space; ``keep_layout`` leaves texts without
     repeats as they are (null becomes empty).
     """
-    docs = docs.drop("n_words", "n_removed", KEY, TEXT_HASH)
-    base = docs.withColumn(KEY, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn(
-        TEXT_HASH, F.hash(F.coalesce("text", F.lit(""))))
-    spans = repeat_spans(ws, base.select(KEY, TEXT_HASH, "text"), min_words)
-    joined = base.join(spans.withColumnsRenamed({"doc": KEY, "th": TEXT_HASH}), [KEY, TEXT_HASH], "left").select(*docs.columns, "__spans")
+    docs = docs.drop("n_words", "n_removed", *ROW)
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
+    base = docs.withColumns(dict(zip(ROW, (key, *text_key(F.col("doc_id"), F.col("text"))))))
+    spans = repeat_spans(ws, base.select(*ROW, "text"), min_words)
+    joined = base.join(spans.withColumnsRenamed(dict(zip(("doc", "th", "tk"), ROW))), ROW, "left").select(*docs.columns, "__spans")
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     return joined.mapInArrow(removed("text", schema, keep_layout), schema)

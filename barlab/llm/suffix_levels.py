@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from barlab.llm import vectors as V
-from barlab.llm.workspace import Workspace
+from barlab.llm.workspace import Workspace, text_key
 
 SIZE = 200
 GRAM = 24
@@ -48,13 +48,14 @@ BATCHES = 4
 BUCKET_BYTES = 1 << 18
 HOT = 2048
 CHUNK = 1 << 18
-KEY, TEXT_HASH = "__doc", "__text"
+#: A row: its id as a number, null as the largest, and two hashes of its text.
+ROW = ["__doc", "__text", "__text2"]
 
-SEGMENTS = V.struct("anchor long, seg long, doc long, th int, lo int, n int")
-ENTRIES = V.struct("anchor long, win long, doc long, th int, lo int, n int, multi boolean, bytes binary")
-LEVEL = V.struct("bucket long, level int, text binary, sa binary, start binary, lo binary, n binary, doc binary, th binary, multi binary")
-RANGES = V.struct("doc long, th int, s int, e int")
-SPANS = V.struct("span_doc binary, span_th binary, span_s binary, span_e binary")
+SEGMENTS = V.struct("anchor long, seg long, doc long, th long, tk long, lo int, n int")
+ENTRIES = V.struct("anchor long, win long, doc long, th long, tk long, lo int, n int, multi boolean, bytes binary")
+LEVEL = V.struct("bucket long, level int, text binary, sa binary, start binary, lo binary, n binary, doc binary, th binary, tk binary, multi binary")
+RANGES = V.struct("doc long, th long, tk long, s int, e int")
+SPANS = V.struct("span_doc binary, span_th binary, span_tk binary, span_s binary, span_e binary")
 
 
 def byte_segments(size: int, gram: int):
@@ -63,7 +64,7 @@ def byte_segments(size: int, gram: int):
 
     def run(batches):
         for b in batches:
-            docs, hashes = b.column(KEY).to_numpy(), b.column(TEXT_HASH).to_numpy()
+            docs, hashes, more = (b.column(c).to_numpy() for c in ROW)
             for i, _, buf, offs in V.text_chunks(b.column("text"), CHUNK):
                 n = len(buf)
                 if n < size:
@@ -77,7 +78,7 @@ def byte_segments(size: int, gram: int):
                     continue
                 seg = V.mix(roll.runs(lo, hi + size) + (a - lo).astype(V.U) * V.U(0x9E3779B97F4A7C15))
                 d = np.searchsorted(offs, lo, side="right") - 1
-                yield V.record_batch(schema, anchor=grams[a].view(np.int64), seg=seg.view(np.int64), doc=docs[i + d], th=hashes[i + d],
+                yield V.record_batch(schema, anchor=grams[a].view(np.int64), seg=seg.view(np.int64), doc=docs[i + d], th=hashes[i + d], tk=more[i + d],
                                      lo=(lo - offs[d]).astype(np.int32), n=(hi - lo + 1).astype(np.int32))
     return run
 
@@ -88,7 +89,7 @@ def wanted_bytes(size: int):
 
     def run(batches):
         for b in batches:
-            docs, hashes, wanted = b.column(KEY).to_numpy(), b.column(TEXT_HASH).to_numpy(), b.column("wanted")
+            (docs, hashes, more), wanted = (b.column(c).to_numpy() for c in ROW), b.column("wanted")
             for i, j, buf, offs in V.text_chunks(b.column("text"), CHUNK):
                 row, f = V.list_column(wanted, i, j)
                 if not len(row):
@@ -99,7 +100,7 @@ def wanted_bytes(size: int):
                     at, _ = V.word_bytes(offs[r] + lo, n + size - 1)
                     ends = np.concatenate(([0], np.cumsum(n + size - 1))).astype(np.int32)
                     data = pa.Array.from_buffers(pa.binary(), len(r), [None, pa.py_buffer(ends), pa.py_buffer(buf[at])])
-                    yield V.record_batch(schema, anchor=f["anchor"][~hot], win=np.zeros(len(r), np.int64), doc=docs[i + r], th=hashes[i + r],
+                    yield V.record_batch(schema, anchor=f["anchor"][~hot], win=np.zeros(len(r), np.int64), doc=docs[i + r], th=hashes[i + r], tk=more[i + r],
                                          lo=lo.astype(np.int32), n=n.astype(np.int32), multi=f["multi"][~hot].astype(bool), bytes=data)
                 r, lo, n = row[hot], f["lo"][hot].astype(np.int64), f["n"][hot].astype(np.int64)
                 if len(r):
@@ -109,7 +110,7 @@ def wanted_bytes(size: int):
                     for k in range(0, len(r), 1 << 16):
                         s = slice(k, k + (1 << 16))
                         yield V.record_batch(schema, anchor=np.repeat(f["anchor"][hot], n)[s], win=win[s].view(np.int64),
-                                             doc=docs[i + r[s]], th=hashes[i + r[s]], lo=at[s].astype(np.int32), n=np.ones(len(r[s]), np.int32),
+                                             doc=docs[i + r[s]], th=hashes[i + r[s]], tk=more[i + r[s]], lo=at[s].astype(np.int32), n=np.ones(len(r[s]), np.int32),
                                              multi=np.zeros(len(r[s]), bool), bytes=[None] * len(r[s]))
     return run
 
@@ -125,9 +126,10 @@ class SuffixArray:
     n: np.ndarray
     doc: np.ndarray
     th: np.ndarray
+    tk: np.ndarray
     multi: np.ndarray
 
-    KINDS = {"text": np.uint8, "sa": np.int32, "start": np.int32, "lo": np.int32, "n": np.int32, "doc": np.int64, "th": np.int32,
+    KINDS = {"text": np.uint8, "sa": np.int32, "start": np.int32, "lo": np.int32, "n": np.int32, "doc": np.int64, "th": np.int64, "tk": np.int64,
              "multi": np.bool_}
 
     @classmethod
@@ -136,7 +138,7 @@ class SuffixArray:
         start = np.cumsum(n + size - 1) - (n + size - 1)
         at, _ = V.word_bytes(start, n)
         out = cls(np.frombuffer(b"".join(pdf["bytes"]), np.uint8), at.astype(np.int32), start.astype(np.int32),
-                  *(pdf[c].to_numpy(cls.KINDS[c]) for c in ("lo", "n", "doc", "th", "multi")))
+                  *(pdf[c].to_numpy(cls.KINDS[c]) for c in ("lo", "n", "doc", "th", "tk", "multi")))
         out.sa = out.sa[np.argsort(out.keys(size), kind="stable")]
         return out
 
@@ -161,18 +163,18 @@ class SuffixArray:
         return out
 
     def spans(self, hit: np.ndarray, size: int) -> list[np.ndarray]:
-        """Byte ranges (doc, th, s, e) of the matching windows, runs joined, classes of two or more left out."""
+        """Byte ranges (doc, th, tk, s, e) of the matching windows, runs joined, classes of two or more left out."""
         p = np.sort(self.sa[hit].astype(np.int64))
         seg = np.searchsorted(self.start, p, side="right") - 1
         p, seg = p[~self.multi[seg]], seg[~self.multi[seg]]
         if not len(p):
-            return [np.zeros(0, np.int64)] * 4
+            return [np.zeros(0, np.int64)] * 5
         new = np.append(True, (np.diff(p) != 1) | (np.diff(seg) != 0))
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(p)) - 1
         g = seg[first]
         off = self.lo[g].astype(np.int64) - self.start[g]
-        return [self.doc[g], self.th[g].astype(np.int64), p[first] + off, p[last] + off + size]
+        return [self.doc[g], self.th[g], self.tk[g], p[first] + off, p[last] + off + size]
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -196,7 +198,7 @@ def merge_scan(new: SuffixArray | None, old: dict[int, SuffixArray], size: int)
             hit |= _common(keys, theirs)
             found.append(level.spans(_common(theirs, keys), size))
         found.append(new.spans(hit, size))
-    return [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 4
+    return [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 5
 
 
 class SuffixIndex:
@@ -207,7 +209,7 @@ class SuffixIndex:
         self.levels: dict[int, DataFrame] = {}
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """Index a batch (bucket, bytes, doc, th, lo, n, multi) and return the byte ranges it makes repeats."""
+        """Index a batch (bucket, bytes, doc, th, tk, lo, n, multi) and return the byte ranges it makes repeats."""
         size, target = self.size, 0
         while target in self.levels:
             target += 1
@@ -250,7 +252,7 @@ def unpack_spans(batches):
     schema = to_arrow_schema(RANGES)
     for b in batches:
         cols = [np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in b.column(c)] or [np.zeros(0, np.int64)]) for c in SPANS.names]
-        yield V.record_batch(schema, doc=cols[0], th=cols[1].astype(np.int32), s=cols[2].astype(np.int32), e=cols[3].astype(np.int32))
+        yield V.record_batch(schema, doc=cols[0], th=cols[1], tk=cols[2], s=cols[3].astype(np.int32), e=cols[4].astype(np.int32))
 
 
 def removed(schema: T.StructType):
@@ -281,22 +283,22 @@ def removed(schema: T.StructType):
 
 
 def repeat_spans(ws: Workspace, keyed: DataFrame, size: int = SIZE, gram: int = GRAM, n_batches: int = BATCHES) -> DataFrame:
-    """(doc, th, spans) of every document with repeated bytes; spans are byte ranges [s, e)."""
+    """(doc, th, tk, spans) of every document with repeated bytes; spans are byte ranges [s, e)."""
     segs = ws.stage(keyed.mapInArrow(byte_segments(size, gram), SEGMENTS), "segments")
     twice = segs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.min("seg").alias("s0"), F.max("seg").alias("s1"))
     twice = ws.stage(twice.filter("c > 1").select("anchor", (F.col("s0") != F.col("s1")).alias("mixed")), "anchors")
     kept = ws.stage(segs.join(twice, "anchor"), "candidates")
     ws.release(segs, twice)
-    classes = kept.groupBy("anchor", "seg", "mixed").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc", "th", "lo")).alias("at"),
+    classes = kept.groupBy("anchor", "seg", "mixed").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc", "th", "tk", "lo")).alias("at"),
                                                          F.min("n").alias("n"))
     classes = ws.stage(classes, "classes")
     whole = ws.stage(kept.join(classes.filter("c > 1").select("anchor", "seg"), ["anchor", "seg"])
-                     .select("doc", "th", F.col("lo").alias("s"), (F.col("lo") + F.col("n") + (size - 1)).alias("e")), "whole")
+                     .select("doc", "th", "tk", F.col("lo").alias("s"), (F.col("lo") + F.col("n") + (size - 1)).alias("e")), "whole")
     mixed = classes.filter("mixed").select("anchor", "at.*", "n", (F.col("c") > 1).alias("multi"))
     crowd = ws.stage(mixed.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > HOT).select("anchor", F.lit(True).alias("h")), "hot")
     mixed = mixed.join(crowd, "anchor", "left").withColumn("hot", F.coalesce("h", F.lit(False)))
-    wanted = mixed.groupBy("doc", "th").agg(F.collect_list(F.struct("anchor", "lo", "n", "multi", "hot")).alias("wanted"))
-    wanted = keyed.join(wanted.withColumnsRenamed({"doc": KEY, "th": TEXT_HASH}), [KEY, TEXT_HASH])
+    wanted = mixed.groupBy("doc", "th", "tk").agg(F.collect_list(F.struct("anchor", "lo", "n", "multi", "hot")).alias("wanted"))
+    wanted = keyed.join(wanted.withColumnsRenamed(dict(zip(("doc", "th", "tk"), ROW))), ROW)
     entries = ws.stage(wanted.mapInArrow(wanted_bytes(size), ENTRIES), "entries")
     ws.release(kept, classes, crowd)
 
@@ -310,19 +312,19 @@ def repeat_spans(ws: Workspace, keyed: DataFrame, size: int = SIZE, gram: int =
         found = found.union(index.add(batch))
     index.close()
     again = ws.stage(hot.groupBy("anchor", "win").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"), "hot-windows")
-    found = found.union(hot.join(again, ["anchor", "win"]).select("doc", "th", F.col("lo").alias("s"), (F.col("lo") + size).alias("e")))
-    out = ws.stage(found.groupBy("doc", "th").agg(F.collect_set(F.struct("s", "e")).alias("__spans")), "spans")
+    found = found.union(hot.join(again, ["anchor", "win"]).select("doc", "th", "tk", F.col("lo").alias("s"), (F.col("lo") + size).alias("e")))
+    out = ws.stage(found.groupBy("doc", "th", "tk").agg(F.collect_set(F.struct("s", "e")).alias("__spans")), "spans")
     ws.release(entries, whole)
     return out
 
 
 def remove_repeats(ws: Workspace, docs: DataFrame, size: int = SIZE, n_batches: int = BATCHES) -> DataFrame:
     """``docs`` with ``kept`` (the bytes left) in place of ``text``, and n_bytes, n_removed and n_spans."""
-    docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept", KEY, TEXT_HASH)
-    base = docs.withColumn(KEY, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn(
-        TEXT_HASH, F.hash(F.coalesce("text", F.lit(""))))
-    spans = repeat_spans(ws, base.select(KEY, TEXT_HASH, "text"), size, n_batches=n_batches)
-    joined = base.join(spans.withColumnsRenamed({"doc": KEY, "th": TEXT_HASH}), [KEY, TEXT_HASH], "left").select(*docs.columns, "__spans")
+    docs = docs.drop("n_bytes", "n_removed", "n_spans", "kept", *ROW)
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
+    base = docs.withColumns(dict(zip(ROW, (key, *text_key(F.col("doc_id"), F.col("text"))))))
+    spans = repeat_spans(ws, base.select(*ROW, "text"), size, n_batches=n_batches)
+    joined = base.join(spans.withColumnsRenamed(dict(zip(("doc", "th", "tk"), ROW))), ROW, "left").select(*docs.columns, "__spans")
     schema = T.StructType([*[f for f in docs.schema.fields if f.name != "text"], *V.struct(
         "n_bytes long, n_removed long, n_spans long, kept binary").fields])
     return joined.mapInArrow(removed(schema), schema)

@@ -60,3 +60,28 @@ def let(value: Column, body) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def text_key(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a text with different seeds, to tell rows of null or equal id apart.
+
+    The last bit of the second one says whether the id is null, so the number that
+    stands for a null id where ids are compared may also be a real one.
+    """
+    t = F.coalesce(text, F.lit(""))
+    return F.xxhash64(t), F.shiftleft(F.shiftright(F.xxhash64(F.lit(1), t), 1), 1).bitwiseOR(doc_id.isNull().cast("long"))
+
+
+#: Keys that hold one row in this many of all; there can be no more such keys than that.
+SHARE = 1 << 14
+
+
+def join_by_share(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has every key once and its number of rows as ``weight``.
+
+    Frequent keys, at most SHARE, are broadcast, so what is shuffled has no large key.
+    """
+    frequent = F.col("weight") * SHARE >= total
+    near = rows.join(F.broadcast(table.filter(frequent)), key, "left")
+    rare = near.filter(F.col("weight").isNull()).select(*rows.columns).join(table.filter(~frequent), key)
+    return near.filter(F.col("weight").isNotNull()).unionByName(rare).drop("weight")

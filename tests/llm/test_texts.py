@@ -90,8 +90,8 @@ def test_suffix_levels_merge_geometrically(ws, spark):
     seen = []
     for i, text in enumerate([b"abcdefgh", b"xxabcdyy", b"12345678", b"zz2345zz", b"abcd"]):
         n = len(text) - 3
-        rows = pd.DataFrame({"bucket": [0], "doc": [i], "th": [0], "lo": [0], "n": [n], "multi": [False], "bytes": [text]})
-        batch = spark.createDataFrame(rows, V.struct("bucket long, doc long, th int, lo int, n int, multi boolean, bytes binary"))
+        rows = pd.DataFrame({"bucket": [0], "doc": [i], "th": [0], "tk": [0], "lo": [0], "n": [n], "multi": [False], "bytes": [text]})
+        batch = spark.createDataFrame(rows, V.struct("bucket long, doc long, th long, tk long, lo int, n int, multi boolean, bytes binary"))
         found = index.add(batch).collect()
         seen.append(({(r.doc, r.s, r.e) for r in found}, sorted(index.levels)))
     assert seen == [(set(), [0]), ({(0, 0, 4), (1, 2, 6)}, [1]), (set(), [0, 1]), ({(2, 1, 5), (3, 2, 6)}, [2]),
