@@ -17,6 +17,7 @@ expressions over the long (row, feature) table.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -73,12 +74,21 @@ def _tree_from_nodes(nodes: pd.DataFrame, kind: str) -> TreeArrays:
 
 
 def ensemble_of(model, spark: SparkSession | None = None) -> Ensemble:
-    """Decode a Spark RandomForestClassificationModel or GBTClassificationModel."""
+    """Arrays of a ``trees.TreeModel``, or of a Spark RandomForestClassificationModel or GBTClassificationModel."""
     from pyspark.ml.classification import GBTClassificationModel
 
+    from barlab.operators.trees import TreeModel
+
+    if isinstance(model, TreeModel):
+        found = []
+        for _, t in model.nodes.groupby("tree"):
+            left = t["left"].to_numpy()
+            found.append(TreeArrays(left, np.where(left >= 0, left + 1, -1), *(t[c].to_numpy() for c in ("feature", "threshold", "value", "cover"))))
+        forest = model.kind == "forest"
+        return Ensemble("forest" if forest else "boosted", found, np.full(len(found), 1.0 / max(1, len(found)) if forest else 1.0), model.n_features)
     spark = spark or SparkSession.getActiveSession()
     root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/explain-model-{model.uid}"
+    path = f"{root.rstrip('/')}/explain-model-{uuid.uuid4().hex}"
     model.write().overwrite().save(path)
     data = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").toPandas()  # model-sized
     kind = "boosted" if isinstance(model, GBTClassificationModel) else "forest"

@@ -1,9 +1,8 @@
-"""Model jobs on Spark ML.
+"""Model jobs.
 
-Algorithms are Spark's (random forest, gradient-boosted trees, logistic
-regression, multilayer perceptron), so scores differ from scikit-learn /
-XGBoost by design. Data work stays in Spark: assembly, class weights,
-time-ordered folds, metrics. The driver only loops over parameter draws.
+Forests and boosting are those of ``trees``; the linear model and the net are in
+``gradients``. Scores differ from other libraries' by design. Data work stays in
+Spark: assembly, class weights, time-ordered folds, metrics.
 """
 
 from __future__ import annotations
@@ -11,20 +10,19 @@ from __future__ import annotations
 import logging
 import random
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.operators import clean
+from barlab.operators import clean, trees
 from barlab.operators.candles import CANDLE_COLS
 from barlab.operators.labels import walk_forward_folds
 from barlab.operators.metrics import binary_metrics, positive_weight
 from barlab.operators.quarterly import QUARTERLY_FEATURE_COLS
+from barlab.session import cut_lineage
 
 log = logging.getLogger("barlab.models")
 
@@ -49,19 +47,19 @@ FEATURE_COLS = TECH_COLS + FUND_COLS + CANDLE_FEATURES + QUARTERLY_FEATURE_COLS
 assert set(CANDLE_FEATURES) == set(CANDLE_COLS)
 EDA_IMPORTANCE_COLS = TECH_COLS[:11] + FUND_COLS
 
-# Search spaces (reference grid) in Spark ML names.
+# Search spaces in the terms of trees.Spec: fixed values.
 RF_GRID = {
-    "numTrees": [100, 200, 300],
-    "maxDepth": [4, 6, 8, 30],                 # unlimited -> Spark's maximum depth
-    "minInstancesPerNode": [1, 5, 10, 20],
-    "featureSubsetStrategy": ["sqrt", "log2", "0.5"],
+    "trees": [100, 200, 300],
+    "depth": [4, 6, 8, trees.NO_DEPTH],
+    "min_rows": [1, 5, 10, 20],
+    "node_features": ["sqrt", "log2", 0.5],
 }
 GBT_GRID = {
-    "maxIter": [100, 200, 300],
-    "maxDepth": [3, 4, 5, 6],
-    "stepSize": [0.01, 0.03, 0.05, 0.1],
-    "subsamplingRate": [0.7, 0.85, 1.0],
-    "featureSubsetStrategy": ["0.7", "0.85", "all"],  # per node, not per tree
+    "trees": [100, 200, 300],
+    "depth": [3, 4, 5, 6],
+    "rate": [0.01, 0.03, 0.05, 0.1],
+    "rows": [0.7, 0.85, 1.0],
+    "tree_features": [0.7, 0.85, 1.0],
 }
 SEED = 42
 
@@ -92,26 +90,9 @@ def add_positive_weight(df: DataFrame, label: str = "label", out: str = "weight"
         out, F.when(F.col(label) == 1, F.col("_pw")).otherwise(F.lit(1.0))).drop("_pw")
 
 
-def random_forest(**params) -> RandomForestClassifier:
-    """Balanced random forest (rows carry the weight), seed 42."""
-    base = dict(numTrees=100, maxDepth=30, minInstancesPerNode=1, featureSubsetStrategy="sqrt", seed=SEED)
-    base.update(params)
-    return RandomForestClassifier(labelCol="label", featuresCol="features", weightCol="weight", **base)
-
-
-def boosted_trees(**params) -> GBTClassifier:
-    """Gradient-boosted trees on log loss, positive class re-weighted."""
-    base = dict(maxIter=200, maxDepth=5, stepSize=0.05, seed=SEED)
-    base.update(params)
-    return GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", **base)
-
-
-def prepare(df: DataFrame, family: str, cols=FEATURE_COLS, weighted: bool = True) -> DataFrame:
-    """Assemble inputs and attach the family's class weights (1 if not ``weighted``)."""
-    a = assemble(df, cols)
-    if not weighted:
-        return a.withColumn("weight", F.lit(1.0))
-    return add_positive_weight(a) if family == "gbt" else add_balanced_weight(a)
+def spec(family: str = "rf", **params) -> trees.Spec:
+    """Balanced forest; G5: second-order boosting on log loss; G13: leaf-wise boosting."""
+    return {"rf": trees.Spec, "gbt": trees.boosted, "leafwise": trees.leafwise}[family](**{"seed": SEED, **params})
 
 
 def with_probability(pred: DataFrame) -> DataFrame:
@@ -119,11 +100,11 @@ def with_probability(pred: DataFrame) -> DataFrame:
     return pred.withColumn("p", vector_to_array("probability")[1])
 
 
-def fit(df: DataFrame, family: str = "rf", cols=FEATURE_COLS, weighted: bool = True, **params):
-    """Fixed-parameter training of one family."""
-    data = prepare(df, family, cols, weighted)
-    est = random_forest(**params) if family == "rf" else boosted_trees(**params)
-    return est.fit(data)
+def fit(df: DataFrame, family: str = "rf", cols=FEATURE_COLS, weighted: bool = True, **params) -> trees.TreeModel:
+    """Fixed-parameter training of one family; missing inputs are 0. A forest's classes are
+    balanced, a boosted run's positive class weighs n0 / n1, unless not ``weighted``."""
+    cols = present(df, cols)
+    return trees.fit(df, cols, spec(family, **params), "default" if weighted else None)
 
 
 def predict(model, df: DataFrame, cols=FEATURE_COLS, keep=("ticker", "bar_date", "label")) -> DataFrame:
@@ -146,50 +127,32 @@ def _draws(grid: dict, n_iter: int, seed: int) -> list[dict]:
     return combos if n_iter >= len(combos) else rng.sample(combos, n_iter)
 
 
+def search_draws(family: str = "rf", grid: dict | None = None, n_iter: int = 15, seed: int = SEED) -> list[dict]:
+    """The seeded draws of a search."""
+    return _draws(grid or (RF_GRID if family == "rf" else GBT_GRID), n_iter, seed)
+
+
 def random_search(train: DataFrame, family: str = "rf", grid: dict | None = None, n_iter: int = 15,
-                  n_folds: int = 5, seed: int = SEED, parallelism: int = 4, cols=FEATURE_COLS,
-                  align: str = "date"):
+                  n_folds: int = 5, seed: int = SEED, cols=FEATURE_COLS, align: str = "date"):
     """Seeded random draws from the grid, each scored by mean F1 over
     walk-forward folds; the best draw is refit on all training rows.
 
-    Folds come from the date-count table (no global row sort); the training
-    rows are assembled and cached once; (draw, fold) fits run concurrently.
+    Folds come from the date-count table (no global row sort). The rows are binned
+    once and all (draw, fold) fits run as one job (``trees.search``).
     Returns (best model, best params, table of per-draw scores).
     """
-    grid = grid or (RF_GRID if family == "rf" else GBT_GRID)
-    draws = _draws(grid, n_iter, seed)
+    draws, cols = search_draws(family, grid, n_iter, seed), present(train, cols)
     folded = walk_forward_folds(train, n_folds, align=align)
-    anchor = "_pos"
-    starts = folded.filter(F.col("fold").isNotNull()).groupBy("fold").agg(F.min(anchor).alias("start"))
-    data = assemble(folded, cols).cache()
-    weigh = add_positive_weight if family == "gbt" else add_balanced_weight
+    folded = cut_lineage(folded.select("bar_date", "ticker", "label", "_pos", "fold", *[F.col(c).cast("double").alias(c) for c in cols]))
+    starts = folded.filter(F.col("fold").isNotNull()).groupBy("fold").agg(F.min("_pos").alias("start"))
     bounds = {r["fold"]: r["start"] for r in starts.collect()}  # n_folds small numbers
-
-    def run(job):
-        i, params, fold = job
-        start = bounds[fold]
-        tr = weigh(data.filter(F.col(anchor) < start))  # class weights of this fit's rows
-        te = data.filter(F.col("fold") == fold)
-        est = random_forest(**params) if family == "rf" else boosted_trees(**params)
-        m = est.fit(tr)
-        f1 = binary_metrics(with_probability(m.transform(te))).first()["f1_score"]
-        return i, fold, f1
-
-    jobs = [(i, p, f) for i, p in enumerate(draws) for f in sorted(bounds)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(run, jobs))
-    spark = train.sparkSession
-    scores = spark.createDataFrame([(i, str(draws[i]), fold, float(f1)) for i, fold, f1 in results],
-                                   "draw int, params string, fold int, f1 double")
-    means = {}
-    for i, _, f1 in results:
-        means.setdefault(i, []).append(f1)
-    best = max(means, key=lambda i: (sum(means[i]) / len(means[i]), -i))
-    best_params = draws[best]
-    log.info("draw %d wins with mean F1 %.4f: %s", best, sum(means[best]) / len(means[best]), best_params)
-    model = (random_forest(**best_params) if family == "rf" else boosted_trees(**best_params)).fit(weigh(data))
-    data.unpersist()
-    return model, best_params, scores
+    found = trees.search(folded, cols, [spec(family, **d) for d in draws], bounds)
+    names = F.element_at(F.array(*[F.lit(str(d)) for d in draws]), F.col("draw") + 1)
+    scores = found.withColumn("params", names).select("draw", "params", "fold", "test_rows", "tp", "fp", "fn", "tn", "f1")
+    best = scores.groupBy("draw").agg(F.avg("f1").alias("f1")).orderBy(F.desc("f1"), "draw").first()
+    best_params = draws[best["draw"]]
+    log.info("draw %d wins with mean F1 %.4f: %s", best["draw"], best["f1"], best_params)
+    return fit(train, family, cols, **best_params), best_params, scores
 
 
 def _standardised(train: DataFrame, test: DataFrame, cols):
@@ -224,15 +187,14 @@ def compare_models(train: DataFrame, test: DataFrame, cols=FEATURE_COLS, include
                    rf_params=None, gbt_params=None, gbt2_params=None, mlp_iter: int = 500) -> DataFrame:
     """G14 (+ G13): several families on one split; one metrics row per family."""
     rows = []
-    rf = fit(train, "rf", cols, **(rf_params or dict(numTrees=200, maxDepth=6)))
+    rf = fit(train, "rf", cols, **(rf_params or dict(trees=200, depth=6)))
     rows.append(evaluate(rf, test, cols).select(F.lit("RandomForest").alias("model"), "*"))
     # the boosted families are compared without a class weight
-    gbt = fit(train, "gbt", cols, weighted=False, **(gbt_params or dict(maxIter=200, maxDepth=5, stepSize=0.05)))
+    gbt = fit(train, "gbt", cols, weighted=False, **(gbt_params or dict(trees=200, depth=5, rate=0.05)))
     rows.append(evaluate(gbt, test, cols).select(F.lit("BoostedTrees").alias("model"), "*"))
     if include_second_boosting:
-        gbt2 = fit(train, "gbt", cols, weighted=False, **(gbt2_params or dict(maxIter=200, maxDepth=5, stepSize=0.05,
-                                                               subsamplingRate=0.8)))
-        rows.append(evaluate(gbt2, test, cols).select(F.lit("BoostedTrees2").alias("model"), "*"))
+        gbt2 = fit(train, "leafwise", cols, weighted=False, **(gbt2_params or dict(trees=200, depth=5, rate=0.05)))
+        rows.append(evaluate(gbt2, test, cols).select(F.lit("LeafwiseTrees").alias("model"), "*"))
     lr, te = logistic_regression(train, test, cols)
     rows.append(evaluate(lr, te, cols).select(F.lit("LogisticRegression").alias("model"), "*"))
     mlp, te = neural_net(train, test, cols, mlp_iter)
@@ -245,8 +207,6 @@ def compare_models(train: DataFrame, test: DataFrame, cols=FEATURE_COLS, include
 
 def feature_importance(model, cols, top_n: int | None = 15) -> DataFrame:
     """Importances zipped to input names, largest first."""
-    from pyspark.sql import SparkSession
-
     spark = SparkSession.getActiveSession()
     imp = model.featureImportances.toArray().tolist()
     rows = sorted(zip(cols, imp), key=lambda t: (-t[1], t[0]))
@@ -258,31 +218,27 @@ def feature_importance(model, cols, top_n: int | None = 15) -> DataFrame:
 def standalone_importance(df: DataFrame, cols=EDA_IMPORTANCE_COLS, **params) -> DataFrame:
     """Balanced 100-tree forest on the EDA inputs, all importances sorted."""
     cols = present(df, cols)
-    m = fit(df, "rf", cols, **{"numTrees": 100, **params})
+    m = fit(df, "rf", cols, **{"trees": 100, **params})
     return feature_importance(m, cols, top_n=None)
 
 
-def save_model(model, path: str) -> None:
-    """Spark ML format, overwritten."""
-    model.write().overwrite().save(path)
+def save_model(model: trees.TreeModel, path: str) -> None:
+    """The node table as parquet, overwritten."""
+    model.save(SparkSession.getActiveSession(), path)
 
 
-def load_models(paths: dict[str, str]) -> dict:
+def load_models(paths: dict[str, str]) -> dict[str, trees.TreeModel]:
     """Load the models that exist; missing or unreadable ones are skipped."""
-    from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
-
     out = {}
     for name, path in paths.items():
-        for cls in (RandomForestClassificationModel, GBTClassificationModel):
-            try:
-                out[name] = cls.load(path)
-                break
-            except Exception:
-                continue
+        try:
+            out[name] = trees.TreeModel.load(SparkSession.getActiveSession(), path)
+        except Exception as e:
+            log.info("no model at %s: %s", path, (str(e).splitlines() or [""])[0])
     return out
 
 
-RUN_NAMES = {"rf": ("random_forest", "stock_rf_classifier"), "gbt": ("boosted_trees", "stock_gbt_classifier")}
+RUN_NAMES = {"rf": ("random_forest", "barlab_forest"), "gbt": ("boosted_trees", "barlab_boosting")}
 
 
 def train_and_log(train: DataFrame, test: DataFrame, log_path: str | None = None, model_dir: str | None = None,
@@ -293,7 +249,7 @@ def train_and_log(train: DataFrame, test: DataFrame, log_path: str | None = None
     from barlab.operators.runlog import append_run, now
 
     spark, out = train.sparkSession, {}
-    fixed = {"rf": rf_params or dict(numTrees=100), "gbt": gbt_params or dict(maxIter=200, maxDepth=5, stepSize=0.05)}
+    fixed = {"rf": rf_params or dict(trees=100), "gbt": gbt_params or dict(trees=200, depth=5, rate=0.05)}
     for family, (name, registered) in RUN_NAMES.items():
         run_id, start = uuid.uuid4().hex, now()
         try:

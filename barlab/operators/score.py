@@ -140,11 +140,12 @@ def narratives(models: dict, latest: DataFrame, recs: DataFrame, cols=FEATURE_CO
     from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 
     from barlab.operators import explain
+    from barlab.operators.trees import TreeModel
 
     out = latest.sparkSession.createDataFrame([], "ticker string, model string, narrative string")
     cols = [c for c in cols if c in latest.columns]
     for name, model in models.items():
-        if isinstance(model, (GBTClassificationModel, RandomForestClassificationModel)):
+        if isinstance(model, (TreeModel, GBTClassificationModel, RandomForestClassificationModel)):
             table = explain.explanation_table(explain.explain_rows(latest, model, cols), cols, top_n)
             signals = recs.filter(F.col("model") == name).join(latest.select("ticker", "bar_date"), "ticker")
             told = explain.narrative(table, signals.filter(F.col("signal") != "ERROR"))

@@ -134,7 +134,7 @@ def _g17(spark, sf):
     G.save_model(_model(spark, sf, "rf"), paths["rf"])
     G.save_model(_model(spark, sf, "gbt"), paths["gbt"])
     loaded = G.load_models(paths)
-    rows = [(name, int(m.getNumTrees if hasattr(m, "getNumTrees") else len(m.trees))) for name, m in sorted(loaded.items())]
+    rows = [(name, int(m.getNumTrees)) for name, m in sorted(loaded.items())]
     return spark.createDataFrame(rows, "model string, trees int")
 
 
@@ -293,7 +293,7 @@ def _k03(spark, sf):
 @register("g13_second_boosted_family", None)
 def _g13(spark, sf):
     train, test = _split(spark, sf)
-    m = G.fit(train, "gbt", weighted=False, subsamplingRate=0.8)
+    m = G.fit(train, "leafwise")
     return G.predict(m, test)
 
 
@@ -485,8 +485,8 @@ def _daily_run(spark, sf, tune: bool):
                        F.size("metrics").alias("metrics")).withColumn("tuned", F.lower("tuned"))
 
 
-@register("e1_daily_run", "SELECT * FROM (VALUES ('boosted_trees', 'FINISHED', 'stock_gbt_classifier', 'false', 4), "
-          "('random_forest', 'FINISHED', 'stock_rf_classifier', 'false', 4)) v(run_name, status, model_name, tuned, metrics)")
+@register("e1_daily_run", "SELECT * FROM (VALUES ('boosted_trees', 'FINISHED', 'barlab_boosting', 'false', 4), "
+          "('random_forest', 'FINISHED', 'barlab_forest', 'false', 4)) v(run_name, status, model_name, tuned, metrics)")
 def _e1(spark, sf):
     return _daily_run(spark, sf, tune=False)
 

@@ -16,7 +16,7 @@ FAMILIES = {"g04_random_forest": "rf", "g05_boosted_trees": "gbt", "g07_fixed_tr
             "j02_batch_recommend": "rf", "k01_tree_shap": "rf", "k01_tree_shap_boosted": "gbt", "k07_narrative": "rf"}
 CALLS = {q: ("fit", ("train", f), {}) for q, f in FAMILIES.items()} | {
     "g06_random_search": ("random_search", ("train", "rf"), {}), "g12_neural_net": ("neural_net", ("train", "test"), {}),
-    "g13_second_boosted_family": ("fit", ("train", "gbt"), {"weighted": False, "subsamplingRate": 0.8}),
+    "g13_second_boosted_family": ("fit", ("train", "leafwise"), {}),
     "g14_compare_models": ("compare_models", ("train", "test"), {}), "g16_standalone_importance": ("standalone_importance", ("full",), {}),
     "g18_retrain": ("retrain", ("full",), {})}
 
