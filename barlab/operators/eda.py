@@ -36,53 +36,60 @@ def correlation_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Pearson r for every column pair (a before b in column order) over the
     rows where both are present; a constant column gives NULL.
 
-    One aggregation gives the column means. Then every partition computes the
-    pairwise-complete moment matrices of the mean-centred values with numpy
-    (``Xz' M``, ``Xz'^2 M``, ``Xz' Xz``, ``M' M`` with ``Xz`` the centred values,
-    0 where missing, ``M`` the presence mask): O(rows x k^2) vectorised work,
-    emitted as k^2 rows per partition and summed by ``groupBy(i, j)``. The
-    output is bounded by k^2, not by the data.
+    The table is read once. Each task keeps a mergeable state per pair: rows, both
+    means, and the centred moments around them, joined batch by batch by the
+    parallel update; a task hands on k^2 rows. Their moments are moved to the
+    means over all tasks and added up. State and output are bounded by k^2.
     """
     cols = cols if cols is not None else numeric_feature_columns(df)
     k = len(cols)
     x = df.select(*[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(cols)])
-    stats = x.agg(*[F.avg(f"_c{i}").alias(f"_m{i}") for i in range(k)],
-                  *[(F.min(f"_c{i}") == F.max(f"_c{i}")).alias(f"_k{i}") for i in range(k)])
-    means = stats.select(*[f"_m{i}" for i in range(k)])
-    constant = stats.select(F.array(*[F.coalesce(F.col(f"_k{i}"), F.lit(True)) for i in range(k)]).alias("_const"))
-    centred = x.crossJoin(F.broadcast(means)).select(
-        *[(F.col(f"_c{i}") - F.coalesce(F.col(f"_m{i}"), F.lit(0.0))).alias(f"_c{i}") for i in range(k)])
-    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    schema = "i int, j int, n double, mx double, my double, cxx double, cyy double, cxy double, xlo double, xhi double, ylo double, yhi double"
 
     def moments(batches):
         import numpy as np
         import pandas as pd
 
-        acc = None
-        for pdf in batches:
-            v = pdf.to_numpy(dtype=float)
+        def state(v):
+            """Of one batch, for every ordered pair: rows, mean of the first, its moment, and the co-moment."""
             m = ~np.isnan(v)
-            z = np.where(m, v, 0.0)
             mf = m.astype(float)
-            part = (mf.T @ mf, z.T @ mf, (z * z).T @ mf, z.T @ z)
-            acc = part if acc is None else tuple(a + b for a, b in zip(acc, part))
+            shift = np.where(m.any(axis=0), np.where(m, v, 0.0).sum(axis=0) / np.maximum(mf.sum(axis=0), 1), 0.0)
+            z = np.where(m, v - shift, 0.0)
+            n = mf.T @ mf
+            d = (z.T @ mf) / np.maximum(n, 1)
+            lo, hi = (f(np.where(m, v, e), axis=0, initial=e) for f, e in ((np.min, np.inf), (np.max, -np.inf)))
+            return n, d + shift[:, None], (z * z).T @ mf - n * d * d, z.T @ z - n * d * d.T, lo, hi
+
+        def merged(a, b):
+            n = a[0] + b[0]
+            step = b[1] - a[1]
+            both = a[0] * b[0] / np.maximum(n, 1)
+            return (n, a[1] + step * b[0] / np.maximum(n, 1), a[2] + b[2] + step * step * both, a[3] + b[3] + step * step.T * both,
+                    np.minimum(a[4], b[4]), np.maximum(a[5], b[5]))
+
+        acc = None
+        for pdf in batches:
+            part = state(pdf.to_numpy(dtype=float))
+            acc = part if acc is None else merged(acc, part)
         if acc is None:
             return
-        n, sx, sxx, sxy = acc
-        ii, jj = np.triu_indices(k, 1)
-        yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "n": n[ii, jj], "sx": sx[ii, jj],
-                            "sy": sx[jj, ii], "sxx": sxx[ii, jj], "syy": sxx[jj, ii], "sxy": sxy[ii, jj]})
-
-    parts = centred.mapInPandas(moments, schema)
-    tot = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
-    n, sx, sy, sxx, syy, sxy = (F.col(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy"))
-    cov = sxy - sx * sy / n
-    vx = sxx - sx * sx / n
-    vy = syy - sy * sy / n
+        n, mean, var, co, lo, hi = acc
+        i, j = np.triu_indices(k, 1)
+        yield pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "n": n[i, j], "mx": mean[i, j], "my": mean[j, i], "cxx": var[i, j],
+                            "cyy": var[j, i], "cxy": co[i, j], "xlo": lo[i], "xhi": hi[i], "ylo": lo[j], "yhi": hi[j]})
+
+    parts = cut_lineage(x.mapInPandas(moments, schema))
+    n = F.sum("n")
+    means = parts.groupBy("i", "j").agg(tdiv(F.sum(F.col("n") * F.col("mx")), n).alias("ax"), tdiv(F.sum(F.col("n") * F.col("my")), n).alias("ay"))
+    dx, dy = F.col("mx") - F.col("ax"), F.col("my") - F.col("ay")
+    tot = parts.join(means, ["i", "j"]).groupBy("i", "j").agg(
+        n.alias("n"), F.sum(F.col("cxx") + F.col("n") * dx * dx).alias("vx"), F.sum(F.col("cyy") + F.col("n") * dy * dy).alias("vy"),
+        F.sum(F.col("cxy") + F.col("n") * dx * dy).alias("cov"), F.min("xlo").alias("xlo"), F.max("xhi").alias("xhi"),
+        F.min("ylo").alias("ylo"), F.max("yhi").alias("yhi"))
     # a column with one distinct value has no correlation (centring may leave a residue)
-    tot = tot.crossJoin(F.broadcast(constant))
-    flat = F.element_at("_const", F.col("i") + 1) | F.element_at("_const", F.col("j") + 1)
-    r = F.when((n > 1) & (vx > 0) & (vy > 0) & ~flat, cov / F.sqrt(vx * vy))
+    flat = (F.col("xlo") >= F.col("xhi")) | (F.col("ylo") >= F.col("yhi"))
+    r = F.when((F.col("n") > 1) & (F.col("vx") > 0) & (F.col("vy") > 0) & ~flat, F.col("cov") / F.sqrt(F.col("vx") * F.col("vy")))
     names = F.array(*[F.lit(c) for c in cols])
     return tot.select(F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"),
                       r.alias("r"))

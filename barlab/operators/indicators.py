@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from barlab.functions.columns import tdiv
 from barlab.operators import candles
 from barlab.operators.ewm import EwmSpec, add_ewm, depth, sub_rows_for
-from barlab.operators.series import NTOT, RN, _as_list, blocked, block_window, finish, full, rows
+from barlab.operators.series import NTOT, RN, _as_list, block_window, blocked, carried, finish, full, number_rows, rows, to_blocks
 from barlab.params import FeatureParams, LabelParams, SeriesLayout
+from barlab.session import cut_lineage
 
 # Output and warm-up column names (fixed values).
 INDICATOR_COLS = (
@@ -71,11 +72,14 @@ def compute_features(
     labels: LabelParams | None = None,
     drop_unlabelled: bool = True,
     extra: tuple[str, ...] = (),
+    store: bool = False,
 ) -> DataFrame:
     """D29 (+ E candles, + F1-F3 when ``labels`` is given). Never drops rows
     unless labels are requested (then: tail rows and neutral rows go, F3,
     unless ``drop_unlabelled`` is False). ``extra`` keeps intermediate columns
-    (true range ``_tr``, directional moves ``_pdm``/``_mdm``, ``_pdi``/``_mdi``, ``DX``)."""
+    (true range ``_tr``, directional moves ``_pdm``/``_mdm``, ``_pdi``/``_mdi``, ``DX``).
+    ``store`` checkpoints the rows before either smoothing round, which reads them
+    twice; without it the plan stays one, and columns nobody selects cost nothing."""
     key = _as_list(layout.key)
     back, s = halo_back(fp)
     if layout.back is not None:
@@ -85,7 +89,9 @@ def compute_features(
         ahead = max(ahead, layout.ahead)
     if layout.order != "bar_date":
         bars = bars.withColumnRenamed(layout.order, "bar_date")
-    b = blocked(bars, key, "bar_date", layout.block_rows, back, ahead, layout.segment, s)
+    # bars are built and numbered once; windows, carries and smoothers read the stored rows
+    numbered = cut_lineage(number_rows(cut_lineage(bars), key, "bar_date", layout.segment))
+    b = to_blocks(numbered, layout.block_rows, back, ahead, s)
     # Expressions are SQL text: one call per expression instead of one per
     # function node, which keeps building this plan cheap. W is the block
     # window (own rows + halo, row order); R(n) its frame of n rows.
@@ -105,6 +111,7 @@ def compute_features(
     # changes are taken between padded values: a missing close or volume stands at the last one
     b = add(b, {"_pc": f"lag(close, 1) OVER {W}", "_ph": f"lag(high, 1) OVER {W}", "_pl": f"lag(low, 1) OVER {W}",
                 "_cpad": f"last(close, true) OVER {upto}", "_vpad": f"last(volume, true) OVER {upto}"})
+    b = carried(b, ["_cpad", "_vpad"])
     b = add(b, {"_pcpad": f"lag(_cpad, 1) OVER {W}", "_pvpad": f"lag(_vpad, 1) OVER {W}"})
     b = add(b, {
         "daily_return": "try_divide(_cpad, _pcpad) - 1",
@@ -150,12 +157,14 @@ def compute_features(
         **candles.counts_sql(),
     })
     seen = layout.block_rows + back + ahead
+    b = cut_lineage(b) if store else b
     b = add_ewm(b, key, _round1_specs(fp), s, layout.block_rows, seen)
     b = add(b, {"MACD": "_ema_fast - _ema_slow", "_pdi": "try_divide(100 * _pdm_w, _atr_w)",
                 "_mdi": "try_divide(100 * _mdm_w, _atr_w)"})
     b = add(b, {"DX": "try_divide(100 * abs(_pdi - _mdi), _pdi + _mdi)"})
 
     # stage D: second smoothing round
+    b = cut_lineage(b) if store else b
     b = add_ewm(b, key, _round2_specs(fp), s, layout.block_rows, seen)
     b = add(b, {"MACD_hist": "MACD - MACD_signal"})
 
@@ -181,7 +190,7 @@ def run_feature_engineering(
     layout: SeriesLayout = SeriesLayout(),
 ) -> DataFrame:
     """features -> labels -> drop tail/neutral rows -> drop warm-up rows."""
-    df = compute_features(bars, fp, layout, labels)
+    df = compute_features(bars, fp, layout, labels, store=True)
     return df.na.drop(subset=list(WARMUP_COLS))
 
 

@@ -119,3 +119,16 @@ def finish(blocked: DataFrame, keep_helpers: bool = False) -> DataFrame:
 def blocked(df: DataFrame, key, order, block_rows: int, back: int, ahead: int,
             segment: str = "year", sub_rows: int = DEFAULT_SUB_ROWS) -> DataFrame:
     return to_blocks(number_rows(df, key, order, segment), block_rows, back, ahead, sub_rows)
+
+
+def carried(b: DataFrame, cols: list[str]) -> DataFrame:
+    """Columns that are running last values inside a block (halo included), with what precedes the block filled in.
+
+    Each block hands on its value at the last row that the next block doesn't see; these
+    rows tile the series, so the last of them that isn't missing is the value before a block.
+    """
+    hand = b.filter(F.col(HAND)).select(SKEY, BLK, *cols)
+    earlier = Window.partitionBy(SKEY).orderBy(BLK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carry = hand.select(SKEY, (F.col(BLK) + 1).alias(BLK), *[F.last(c, ignorenulls=True).over(earlier).alias(f"_before_{c}") for c in cols])
+    out = b.join(carry, [SKEY, BLK], "left").withColumns({c: F.coalesce(c, f"_before_{c}") for c in cols})
+    return out.drop(*[f"_before_{c}" for c in cols])

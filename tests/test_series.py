@@ -116,3 +116,27 @@ def test_ewm_keeps_its_value_over_long_gaps(spark):
     for span, block_rows in ((10, 16384), (12, 1000), (26, 300), (27, 2500)):
         got = ewm_column(df, "x", "y", span=span, block_rows=block_rows).orderBy("bar_date").toPandas()["y"].to_numpy(dtype=float)
         np.testing.assert_allclose(got, ewm_series_pandas(vals, 2 / (span + 1)), rtol=1e-11, err_msg=f"{span} {block_rows}")
+
+
+def test_padded_changes_over_a_long_gap(spark):
+    """Changes between padded values and the candle trend don't depend on where blocks end, however long a gap is."""
+    import pandas as pd
+
+    n = 7000
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"ticker": "T", "bar_date": pd.date_range("2000-01-01", periods=n), "open": 100 + rng.normal(0, 1, n)})
+    pdf["close"] = pdf["open"] + rng.normal(0, 1, n)
+    pdf["high"], pdf["low"], pdf["volume"] = pdf[["open", "close"]].max(axis=1) + 1, pdf[["open", "close"]].min(axis=1) - 1, rng.integers(1, 99, n) * 1.0
+    pdf.loc[900:5900, ["close", "volume"]] = np.nan
+    pdf["bar_date"] = pdf["bar_date"].dt.date
+    bars = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None),
+                                 "ticker string, bar_date date, open double, close double, high double, low double, volume double")
+    want = {c: pdf[s].ffill().pct_change(fill_method=None).to_numpy() for c, s in (("daily_return", "close"), ("volume_change", "volume"))}
+    seen = []
+    for block_rows in (512, 1024, 16384):
+        out = compute_features(bars, layout=SeriesLayout(block_rows=block_rows)).select(
+            "bar_date", "daily_return", "volume_change", "candle_hammer", "candle_inverted_hammer", "candle_shooting_star").orderBy("bar_date").toPandas()
+        for c, w in want.items():
+            np.testing.assert_allclose(out[c].to_numpy(dtype=float), w, rtol=1e-12, err_msg=f"{c} {block_rows}")
+        seen.append(out.drop(columns=["daily_return", "volume_change"]).to_numpy().tolist())
+    assert seen[0] == seen[1] == seen[2]
