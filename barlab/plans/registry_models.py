@@ -1,10 +1,10 @@
 """Registered queries for model jobs (G), scoring (J) and explanations (K).
 
-Model fits are Spark ML, so most of these are rows-only checks; where the
-output is data work (assembly, latest rows, checks) an SQL twin is given.
+Where the output is data work (assembly, latest rows, folds, gains, coefficients) an SQL twin is given;
+what SQL can't fit is held by properties and by tests against plain learners.
 Registered fits are the operators at their defaults, which follow the reference:
 forest 100 x depth 30, boosting 200 x depth 5, a search of 15 draws x 5 folds on the
-full grid, nets of up to 500 iterations.
+full grid, nets of up to 500 epochs.
 Fitted models are kept per (session, sf_dir, family).
 """
 
@@ -16,14 +16,17 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from barlab import oracle as O
+from barlab.functions.columns import round_compare
 from barlab.operators import explain as K
 from barlab.operators import models as G
 from barlab.operators import score as J
+from barlab.operators import trees as X
 from barlab.operators.indicators import compute_features, run_feature_engineering
 from barlab.operators.labels import time_ordered_split
 from barlab.operators.quarterly import quarterly_history
 from barlab.plans.pipeline import run_pipeline, run_preprocessing
 from barlab.plans.registry import FIXTURE_LABELS, register
+from barlab.plans.registry_stats import _FOLDS
 from barlab.sources import bars as B
 from barlab.params import SCORING_LOOKBACK_BARS, PipelineParams
 from barlab.session import cut_lineage, ensure_checkpoint_dir
@@ -32,6 +35,8 @@ from barlab.sources import tables as T
 W = O.with_
 FEAT = (O.BARS, O.features_ctes())
 _CACHE: dict = {}
+_CUT_SQL = ("cut AS (SELECT bar_date AS cutoff FROM featured ORDER BY bar_date "
+            "LIMIT 1 OFFSET (SELECT CAST(floor(count(*) * CAST(0.7 AS DOUBLE)) AS BIGINT) FROM featured))")
 
 
 def _pre(spark, sf):
@@ -82,11 +87,28 @@ def _g05(spark, sf):
     return G.predict(_model(spark, sf, "gbt"), test)
 
 
-@register("g06_random_search", None)
-def _g06(spark, sf):
-    train, _ = _split(spark, sf)
-    _, _, scores = G.random_search(train, "rf")
-    return scores
+def _search_sql(family: str) -> str:
+    """Draws by folds, with what a fold's test rows are; the share of right verdicts must follow from the counts."""
+    draws = ", ".join(f"({i}, $${d}$$)" for i, d in enumerate(G.search_draws(family)))
+    return W(*FEAT, _CUT_SQL, *_FOLDS, "pf AS (SELECT CAST(fd.fold AS INTEGER) AS fold, count(*) AS test_rows, CAST(sum(tr.label) AS BIGINT) AS positives "
+             "FROM fd JOIN tr ON fd.ticker = tr.ticker AND fd.bar_date = tr.bar_date WHERE fd.fold IS NOT NULL GROUP BY fd.fold)") + (
+        f"SELECT CAST(draw AS INTEGER) AS draw, params, fold, test_rows, positives, true AS f1_follows FROM (VALUES {draws}) d(draw, params), pf")
+
+
+def _search_query(name: str, family: str):
+    def fn(spark, sf):
+        key = (spark.sparkContext.applicationId, "search", family, sf)
+        if key not in _CACHE:
+            _CACHE[key] = G.random_search(_split(spark, sf)[0], family)[2]
+        hits, misses = F.col("tp"), F.col("fp") + F.col("fn")
+        follows = F.abs(F.col("f1") * (2 * hits + misses) - 2 * hits) < 1e-6
+        whole = hits + misses + F.col("tn") == F.col("test_rows")
+        return _CACHE[key].select("draw", "params", "fold", "test_rows", (hits + F.col("fn")).alias("positives"), (follows & whole).alias("f1_follows"))
+    register(name, _search_sql(family))(fn)
+
+
+_search_query("g06_random_search", "rf")
+_search_query("g06_random_search_boosted", "gbt")
 
 
 @register("g07_fixed_training", None)
@@ -292,9 +314,8 @@ def _k03(spark, sf):
 
 @register("g13_second_boosted_family", None)
 def _g13(spark, sf):
-    train, test = _split(spark, sf)
-    m = G.fit(train, "leafwise")
-    return G.predict(m, test)
+    _, test = _split(spark, sf)
+    return G.predict(_model(spark, sf, "leafwise"), test)
 
 
 # ---------------------------------------------------------------- the same operators on rules that SQL can follow
@@ -431,8 +452,6 @@ def _k07r(spark, sf):
 
 
 # ---------------------------------------------------------------- what must hold of any fit
-_CUT_SQL = ("cut AS (SELECT bar_date AS cutoff FROM featured ORDER BY bar_date "
-            "LIMIT 1 OFFSET (SELECT CAST(floor(count(*) * CAST(0.7 AS DOUBLE)) AS BIGINT) FROM featured))")
 _TEST_SQL = W(*FEAT, _CUT_SQL) + "SELECT ticker, bar_date, label, true AS valid FROM featured, cut WHERE bar_date >= cutoff"
 
 
@@ -447,6 +466,64 @@ def _valid_query(name: str, family: str):
 
 _valid_query("g04_random_forest_properties", "rf")
 _valid_query("g05_boosted_trees_properties", "gbt")
+_valid_query("g13_leafwise_trees_properties", "leafwise")
+
+
+_FLAGS = ("candle_doji", "candle_bullish_engulfing", "candle_bearish_engulfing", "candle_net_signal", "MA_crossover")
+
+
+def _gain_sql() -> str:
+    """Gains of all first splits on the flag columns: gradient and curvature of the log loss at even odds, one unit of l2."""
+    long = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS v, g, h FROM gh" for c in _FLAGS)
+    rounded = "round(({}) * 1048576) / 1048576"
+    sc = "({g}) * ({g}) / (({h}) + 1)".format
+    return W(*FEAT, _CUT_SQL, "tr AS (SELECT * FROM featured, cut WHERE bar_date < cutoff)",
+             "pw AS (SELECT count(*) FILTER (label = 0) / CAST(greatest(count(*) FILTER (label = 1), 1) AS DOUBLE) AS p FROM tr)",
+             f"gh AS (SELECT tr.*, {rounded.format('CASE WHEN label = 1 THEN p * 0.5 ELSE -0.5 END')} AS g, "
+             f"{rounded.format('CASE WHEN label = 1 THEN p * 0.25 ELSE 0.25 END')} AS h FROM tr, pw)",
+             f"lg AS ({long})", "ct AS (SELECT feature, v, sum(g) AS g, sum(h) AS h FROM lg GROUP BY feature, v)",
+             "rn AS (SELECT feature, v, sum(g) OVER (PARTITION BY feature ORDER BY v) AS gl, sum(h) OVER (PARTITION BY feature ORDER BY v) AS hl, "
+             "sum(g) OVER (PARTITION BY feature) AS g, sum(h) OVER (PARTITION BY feature) AS h FROM ct)",
+             f"gn AS (SELECT feature, v AS cut_value, {sc(g='gl', h='hl')} + {sc(g='g - gl', h='h - hl')} - {sc(g='g', h='h')} AS gain, hl, h - hl AS hr FROM rn)"
+             ) + f"SELECT feature, cut_value, {O.rnd('gain')} AS gain FROM gn WHERE gain > 1e-7 AND hl >= 1 AND hr >= 1"
+
+
+@register("g05_first_split_gains", _gain_sql())
+def _g05gains(spark, sf):
+    train, _ = time_ordered_split(run_feature_engineering(T.bars(spark, sf), labels=FIXTURE_LABELS), 0.70)
+    train = cut_lineage(X.with_rows(train).select("row", "label", *[F.col(c).cast("double").alias(c) for c in _FLAGS]))
+    values = train.select(*[F.array_sort(F.collect_set(c)).alias(c) for c in _FLAGS]).first()  # few values a flag
+    table = X.binned(train, list(_FLAGS), [list(values[c]) for c in _FLAGS], ["label"])
+    n = table.agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1")).first()
+    w = F.when(F.col("label") == 1, n["n0"] / max(n["n1"], 1)).otherwise(1.0)
+    rows = table.select(F.lit(0).alias("tree"), F.lit(1).cast("long").alias("path"), "bins", (F.rint(w * (F.col("label") - 0.5) * X.GRAIN) / X.GRAIN).alias("g"),
+                        (F.rint(w * 0.25 * X.GRAIN) / X.GRAIN).alias("h"))
+    total = rows.groupBy("tree", "path").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
+    gains = X.split_gains(rows, total, X.boosted(), len(_FLAGS))
+    at = F.array(*[F.array(*[F.lit(float(v)) for v in values[c]]) for c in _FLAGS])
+    return gains.select(F.element_at(F.array(*map(F.lit, _FLAGS)), F.col("feature") + 1).alias("feature"),
+                        F.get(F.get(at, F.col("feature")), F.col("bin").cast("int")).alias("cut_value"), round_compare(F.col("gain")).alias("gain"))
+
+
+def _newton_sql() -> str:
+    """Newton steps for an intercept and one standardised input, both classes weighing alike, one unit of l2 on the slope."""
+    det = "(haa * hbb - hab * hab)"
+    return W(*FEAT, _CUT_SQL, "tr AS (SELECT RSI_14 AS v, CAST(label AS DOUBLE) AS y FROM featured, cut WHERE bar_date < cutoff)",
+             "st AS (SELECT avg(v) AS m, stddev_pop(v) AS s, count(*) AS n, sum(y) AS n1 FROM tr)",
+             "z AS (SELECT (v - m) / s AS x, y, CASE WHEN y = 1 THEN n / (2 * n1) ELSE n / (2 * (n - n1)) END AS w FROM tr, st)",
+             "it AS (SELECT 0 AS i, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b UNION ALL "
+             f"SELECT i + 1, a + (hbb * ga - hab * gb) / {det}, b + (haa * gb - hab * ga) / {det} FROM (SELECT i, a, b, sum(w * (y - p)) AS ga, "
+             "sum(w * (y - p) * x) - b AS gb, sum(w * p * (1 - p)) AS haa, sum(w * p * (1 - p) * x) AS hab, sum(w * p * (1 - p) * x * x) + 1 AS hbb "
+             "FROM (SELECT i, a, b, x, y, w, 1 / (1 + exp(-(a + b * x))) AS p FROM it, z WHERE i < 12) GROUP BY i, a, b))").replace("WITH ", "WITH RECURSIVE ", 1) + (
+        f"SELECT 'intercept' AS term, {O.rnd('a')} AS value FROM it WHERE i = 12 UNION ALL SELECT 'RSI_14', {O.rnd('b')} FROM it WHERE i = 12")
+
+
+@register("g11_logistic_coefficients", _newton_sql())
+def _g11c(spark, sf):
+    train, test = time_ordered_split(cut_lineage(run_feature_engineering(T.bars(spark, sf), labels=FIXTURE_LABELS)), 0.70)
+    m, _ = G.logistic_regression(train, test, ["RSI_14"])
+    rows = spark.createDataFrame([("intercept", float(m.intercept)), ("RSI_14", float(m.coefficients[0]))], "term string, value double")
+    return rows.select("term", round_compare(F.col("value")).alias("value"))
 
 
 @register("g15_importance_properties", "SELECT true AS sums_to_one, true AS none_negative")
@@ -485,12 +562,18 @@ def _daily_run(spark, sf, tune: bool):
                        F.size("metrics").alias("metrics")).withColumn("tuned", F.lower("tuned"))
 
 
-@register("e1_daily_run", "SELECT * FROM (VALUES ('boosted_trees', 'FINISHED', 'barlab_boosting', 'false', 4), "
-          "('random_forest', 'FINISHED', 'barlab_forest', 'false', 4)) v(run_name, status, model_name, tuned, metrics)")
+def _runs_sql(tuned: bool) -> str:
+    """The two runs that a daily run logs, if there are rows to train on."""
+    rows = ", ".join(f"('{name}', 'FINISHED', '{model}', '{str(tuned).lower()}', 4)" for name, model in sorted(G.RUN_NAMES.values()))
+    return W(*FEAT, _CUT_SQL) + (f"SELECT v.* FROM (VALUES {rows}) v(run_name, status, model_name, tuned, metrics) "
+                                 "WHERE EXISTS (SELECT 1 FROM featured, cut WHERE bar_date < cutoff)")
+
+
+@register("e1_daily_run", _runs_sql(False))
 def _e1(spark, sf):
     return _daily_run(spark, sf, tune=False)
 
 
-@register("e1_daily_run_tuned", None)
+@register("e1_daily_run_tuned", _runs_sql(True))
 def _e1t(spark, sf):
     return _daily_run(spark, sf, tune=True)
