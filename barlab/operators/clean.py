@@ -118,6 +118,23 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                       F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
 
+def date_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+
+
+def describe_dates(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Count, mean, min, quartiles and max per date or timestamp column, as timestamps; dates have no std.
+
+    They go through ``describe`` as days since 1970."""
+    cols = cols if cols is not None else date_columns(df)
+    names = {f"_d{i}": c for i, c in enumerate(cols)}
+    days = df.select(*[(F.unix_micros(F.col(c).cast("timestamp")) / 86_400_000_000).alias(d) for d, c in names.items()])
+    found = describe(days, list(names))
+    back = F.element_at(F.create_map(*[F.lit(x) for d, c in names.items() for x in (d, c)]), F.col("column"))
+    when = [F.timestamp_micros(F.rint(F.col(c) * 86_400_000_000).cast("long")).alias(c) for c in ("mean", "min", "q25", "q50", "q75", "max")]
+    return found.select(back.alias("column"), "count", *when)
+
+
 def missing_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """NULL count per column, only columns with NULLs, most first."""
     cols = cols if cols is not None else df.columns

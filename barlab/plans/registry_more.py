@@ -201,6 +201,23 @@ def _b09(spark, sf):
     return clean.describe(_merged(spark, sf), list(O.MERGED_NUMERIC))
 
 
+_DATE_STATS = ("mean", "min", "q25", "q50", "q75", "max")
+
+
+def _dates_sql() -> str:
+    quartiles = ", ".join(f"{O.rnd(f'quantile_cont(d, CAST({p} AS DOUBLE))')} AS q{int(100 * p)}" for p in (0.25, 0.5, 0.75))
+    parts = [f"SELECT '{c}' AS column, count(d) AS count, {O.rnd('avg(d)')} AS mean, CAST(min(d) AS DOUBLE) AS min, {quartiles}, CAST(max(d) AS DOUBLE) AS max "
+             f"FROM (SELECT CAST(date_diff('day', DATE '1970-01-01', {c}) AS DOUBLE) AS d FROM {t})"
+             for c, t in (("bar_date", "bars"), ("quarter_end", "quarterly_raw"))]
+    return W(O.BARS, O.QUARTERLY_RAW) + " UNION ALL ".join(parts)
+
+
+@register("b09_describe_dates", _dates_sql())
+def _b09d(spark, sf):
+    both = clean.describe_dates(T.bars(spark, sf)).union(clean.describe_dates(T.quarterly_raw(spark, sf), ["quarter_end"]))
+    return both.select("column", "count", *[(F.unix_micros(c) / 86_400_000_000).alias(c) for c in _DATE_STATS])
+
+
 def _missing_sql() -> str:
     cols = ["ticker", "bar_date", *O.MERGED_NUMERIC]
     parts = [f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS missing FROM merged" for c in cols]

@@ -589,6 +589,21 @@ def _a10(spark, sf):
     return spark.read.parquet(path).select("ticker", "bar_date", "open", "high", "low", "close", "volume")
 
 
+@register("a11_replace_table", _BAR_SQL)
+def _a11(spark, sf):
+    """Replaced twice, the second time by all bars; a third write breaks on its way."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables-{uuid.uuid4().hex}"
+    bars = T.bars(spark, sf)
+    S.replace_table(bars.filter("volume > 1000"), root, "raw_prices")
+    S.replace_table(bars, root, "raw_prices")
+    try:
+        S.replace_table(bars.withColumn("close", F.raise_error(F.lit("broken")).cast("double")), root, "raw_prices")
+    except Exception as e:
+        if "broken" not in str(e):
+            raise
+    return S.read_replaced(spark, root, "raw_prices").select("ticker", "bar_date", "open", "high", "low", "close", "volume")
+
+
 @register("a12_relational_source", W(O.BARS) + "SELECT DISTINCT ticker FROM bars")
 def _a12(spark, sf):
     return S.sql_source(spark, "SELECT DISTINCT ticker FROM raw_prices ORDER BY ticker", {"raw_prices": T.bars(spark, sf)})

@@ -7,7 +7,10 @@ tables live in the session catalog, so the same SQL runs against them.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barlab.sources.bars import BAR_SCHEMA
 
@@ -50,6 +53,36 @@ def write_raw_tables(prices: DataFrame, fund: DataFrame, quarterly: DataFrame |
     return written
 
 
+VERSIONS = "version string, path string, written_at timestamp"
+
+
+def replace_table(df: DataFrame, root: str, name: str) -> str:
+    """Replace a table whole. The rows go to a folder of their own; the table becomes them by one
+    more row in its list of versions, which Spark's committer adds at once or not at all. A write
+    that fails leaves the table as it was. Returns the version."""
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    base = f"{root.rstrip('/')}/{name}"
+    df.write.parquet(f"{base}/data/{version}")
+    row = spark.createDataFrame([(version, f"data/{version}")], "version string, path string").withColumn("written_at", F.current_timestamp())
+    row.coalesce(1).write.mode("append").parquet(f"{base}/versions")
+    return version
+
+
+def table_versions(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """Every version written, the one that counts last."""
+    return spark.read.schema(VERSIONS).parquet(f"{root.rstrip('/')}/{name}/versions").orderBy("written_at", "version")
+
+
+def read_replaced(spark: SparkSession, root: str, name: str, version: str | None = None) -> DataFrame:
+    """The newest version of a table, or the one named."""
+    found = table_versions(spark, root, name)
+    found = found.filter(F.col("version") == version) if version else found
+    last = found.orderBy(F.desc("written_at"), F.desc("version")).first()
+    if last is None:
+        raise ValueError(f"no version {version} of {name}")
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}/{last['path']}")
+
+
 def read_table(spark: SparkSession, name: str, url: str | None = None, properties: dict | None = None) -> DataFrame:
     """One relational table."""
     if url:

@@ -259,3 +259,31 @@ def test_row_counts_isolate_errors(spark):
     out = {r["table"]: r for r in lookup.row_counts(spark, {"ok": lambda: _bars(spark, [1.0, 2.0]), "bad": broken}).collect()}
     assert out["ok"]["rows"] == 2 and out["ok"]["error"] is None
     assert out["bad"]["rows"] is None and out["bad"]["error"].startswith("error:")
+
+
+def test_replaced_table_survives_a_broken_write(spark, tmp_path):
+    from barlab.sources import sinks
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "i int, s string")
+    with pytest.raises(Exception):
+        sinks.read_replaced(spark, str(tmp_path), "t")
+    first = sinks.replace_table(df, str(tmp_path), "t")
+    second = sinks.replace_table(df.filter("i = 2"), str(tmp_path), "t")
+    with pytest.raises(Exception, match="broken"):
+        sinks.replace_table(df.withColumn("s", F.raise_error(F.lit("broken")).cast("string")), str(tmp_path), "t")
+    assert [tuple(r) for r in sinks.read_replaced(spark, str(tmp_path), "t").collect()] == [(2, "b")]
+    assert sinks.read_replaced(spark, str(tmp_path), "t", first).count() == 2
+    assert [r.version for r in sinks.table_versions(spark, str(tmp_path), "t").collect()] == [first, second]
+    sinks.replace_table(df.limit(0), str(tmp_path), "t")
+    assert sinks.read_replaced(spark, str(tmp_path), "t").count() == 0
+
+
+def test_describe_dates(spark):
+    import datetime as dt
+
+    rows = [(dt.date(2020, 1, d), None) for d in (1, 2, 4, 9)] + [(None, None)]
+    got = {r["column"]: r for r in clean.describe_dates(spark.createDataFrame(rows, "a date, b timestamp")).collect()}
+    a = got["a"]
+    assert (a["count"], a["min"], a["q50"], a["mean"], a["max"]) == (4, dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 3), dt.datetime(2020, 1, 4),
+                                                                    dt.datetime(2020, 1, 9))
+    assert got["b"]["count"] == 0 and got["b"]["q50"] is None
