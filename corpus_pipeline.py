@@ -5,6 +5,13 @@ but the last, which returns the packed pieces. Stages leave clean documents as
 they are: the quality rules only drop rows, near-duplicate removal keeps the
 document of smallest id of each group, substring dedup rewrites only texts that
 hold a repeat, and the mix repeats whole documents.
+
+Edge cases: null and empty texts fail the quality rules (fewer than 50 words); given to
+another stage they stay, but in the mix, where they have no words to take. Null ids are
+documents of their own, told apart by their texts, and larger than any other id; of rows
+that share an id and a text one stays. Ties go to the smaller id, then to the text's hash.
+Empty tables give empty tables; columns beside doc_id, text, source and n_chars pass
+through whatever their names, and a stage's helper columns don't clash with them.
 """
 
 from __future__ import annotations
