@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from barlab.operators import clean
 from barlab.operators.asof import attach_quarterly
-from barlab.operators.indicators import compute_features
+from barlab.operators.indicators import compute_features, run_feature_engineering
 from barlab.operators.models import FEATURE_COLS, assemble
 from barlab.operators.series import NTOT, RN, SKEY, number_rows
 from barlab.session import cut_lineage
-from barlab.params import MIN_HISTORY_BARS, SCORING_LOOKBACK_BARS, FeatureParams, SeriesLayout
+from barlab.params import MIN_HISTORY_BARS, SCORING_LOOKBACK_BARS, FeatureParams, LabelParams, SeriesLayout
 
 log = logging.getLogger("barlab.score")
 WARMUP_CHECK = ("MA21", "RSI_14", "MACD_signal", "BB_width")
@@ -68,6 +68,16 @@ def recommend_all(models: dict, latest: DataFrame, cols=FEATURE_COLS) -> DataFra
     return out
 
 
+def recommend_latest(models: dict, bars: DataFrame, labels: LabelParams = LabelParams(), parity: bool = False,
+                     fp: FeatureParams = FeatureParams(), layout: SeriesLayout = SeriesLayout(), cols=FEATURE_COLS) -> DataFrame:
+    """J2 from bars: each ticker's newest bar. With ``parity`` the newest bar of the labelled table instead, which
+    lacks the last ``labels.horizon`` bars of a ticker and those in the neutral zone."""
+    table = run_feature_engineering(bars, fp, labels, layout) if parity else compute_features(bars, fp, layout)
+    latest = cut_lineage(latest_rows(table))
+    recs = recommend_all(models, latest, cols)
+    return recs.join(latest.select("ticker", "bar_date"), "ticker")
+
+
 def recommendations_wide(recs: DataFrame, model_names: list[str]) -> DataFrame:
     """One row per ticker, ``<model> Signal`` and ``<model> Confidence`` (3 decimals)."""
     piv = recs.groupBy("ticker").pivot("model", model_names).agg(

@@ -352,6 +352,16 @@ def _j02r(spark, sf):
     return J.recommend_all(_RULES, _latest_featured(spark, sf)).drop("error")
 
 
+def _latest_query(name: str, src: str, parity: bool):
+    def fn(spark, sf):
+        return J.recommend_latest(_RULES, T.bars(spark, sf), FIXTURE_LABELS, parity).drop("error")
+    register(name, W(*FEAT, _LATEST_SQL.format(src=src)) + _signals_sql("ticker, bar_date"))(fn)
+
+
+_latest_query("j02_recommend_newest_by_rules", "feat", False)
+_latest_query("j02_recommend_labelled_by_rules", "featured", True)
+
+
 @register("j03_recommendations_wide_by_rules", W(*FEAT, _LATEST_SQL.format(src="featured")) + "SELECT ticker, " + ", ".join(
     f"CASE WHEN {m.sql()} >= 0.5 THEN 'BUY' ELSE 'SELL' END AS \"{n} Signal\", round(greatest({m.sql()}, 1 - {m.sql()}), 3) AS \"{n} Confidence\""
     for n, m in _RULES.items()) + " FROM lt")
