@@ -305,9 +305,12 @@ def format_value(feature: Column, value: Column) -> Column:
             .when(a < 10, F.format_string("%.3f", value)).otherwise(F.format_string("%.2f", value)))
 
 
-def explanation_table(explained: DataFrame, cols: list[str], top_n: int = 5, keys=("ticker", "bar_date")) -> DataFrame:
+def explanation_table(explained: DataFrame, cols: list[str], top_n: int = 5, keys=("ticker", "bar_date"),
+                      scaling: DataFrame | None = None) -> DataFrame:
     """K2-K6: the top ``top_n`` inputs by |contribution| per row (input order
-    breaks ties), with value, display name, formatted value, direction and hint."""
+    breaks ties), with value, display name, formatted value, direction and hint.
+    With the saved ``scaling`` (column, a, b) values are shown as they were before
+    it; ranks and directions stay those of the model's inputs."""
     keys = list(keys)
     names = F.array(*[F.lit(c) for c in cols])
     each = F.transform("contributions", lambda c, i: F.struct(
@@ -316,6 +319,10 @@ def explanation_table(explained: DataFrame, cols: list[str], top_n: int = 5, key
     # a row's own arrays are ranked in place: no shuffle
     best = explained.select(*keys, F.posexplode(F.slice(F.sort_array(each), 1, top_n)).alias("at", "e"))
     top = best.select(*keys, (F.col("at") + 1).alias("rank"), "e.shap_value", "e.value", "e.feature")
+    if scaling is not None:  # one row per scaled column
+        known = scaling.filter("kind = 'standard'").select(F.col("column").alias("feature"), "a", "b")
+        shown = F.coalesce(F.col("value") * F.col("b") + F.col("a"), F.col("value"))
+        top = top.join(F.broadcast(known), "feature", "left").withColumn("value", shown).drop("a", "b")
     f, v = F.col("feature"), F.col("value")
     return top.select(*keys, "rank", "feature", display_name(f).alias("display_name"), "value",
                       format_value(f, v).alias("value_display"), "shap_value",

@@ -74,3 +74,20 @@ def test_text_columns(spark):
     assert got["Stoch_D"] == ("Stoch D", None, "12.3")
     assert got["candle_net_signal"][1] is None
     assert got["revenue"][2] == "123"
+
+
+def test_explanations_in_units_before_scaling(spark):
+    from barlab.operators import clean
+
+    rows = spark.createDataFrame([("A", 1, 10.0, 2e12), ("B", 1, 30.0, 4e12)], "ticker string, bar_date int, pe_ratio double, market_cap double")
+    cols = ["pe_ratio", "market_cap", "RSI_14"]
+    params = clean.standard_fit(rows, cols)
+    scaled = clean.standard_transform(rows, params, cols).withColumn("RSI_14", F.lit(71.0))
+    each = scaled.select("ticker", "bar_date", F.array(*cols).alias("inputs"), F.array(F.lit(0.3), F.lit(-0.2), F.lit(0.1)).alias("contributions"))
+    got = {(r.ticker, r.feature): r for r in K.explanation_table(each, cols, scaling=params).collect()}
+    plain = {(r.ticker, r.feature): r for r in K.explanation_table(each, cols).collect()}
+    assert got["A", "pe_ratio"].value_display == "10.00" and got["B", "market_cap"].value_display == "4.00T"
+    assert plain["A", "pe_ratio"].value_display == "-1.000"
+    for k, r in got.items():
+        assert (r["rank"], r.pushes_toward, r.shap_value) == (plain[k]["rank"], plain[k].pushes_toward, plain[k].shap_value)
+    assert got["A", "RSI_14"].value == 71.0
