@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from barlab.operators.quarterly import QUARTERLY_FEATURE_COLS
 from barlab.operators.scan import prefix_last
+from barlab.session import cut_lineage
 
 
 def _matchable(right: DataFrame, by: list[str], right_on: str) -> DataFrame:
@@ -48,6 +49,8 @@ def asof_backward(left: DataFrame, right: DataFrame, by, left_on: str, right_on:
                   right_cols: list[str], right_tiebreak: str | None = None, strategy: str = "auto",
                   max_broadcast_rows: int = 2_000_000, block_rows: int = 16384) -> DataFrame:
     by = [by] if isinstance(by, str) else list(by)
+    if strategy in ("auto", "range"):
+        right = cut_lineage(right)  # counted, then joined: made once
     if strategy in ("auto", "range") and right.count() > max_broadcast_rows:
         strategy = "scan"  # too many rows to broadcast
     elif strategy == "auto":

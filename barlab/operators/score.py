@@ -123,7 +123,8 @@ def score_tickers(bars: DataFrame, fund: DataFrame, history: DataFrame | None, r
     Output: ticker, history_days, as_of_date, model, signal, confidence, reason,
     error, narrative.
     """
-    recent = last_n_bars(bars, lookback)
+    # bars are numbered by their counts, and the newest are checked and scored: either is made once
+    recent = cut_lineage(last_n_bars(cut_lineage(bars), lookback))
     hist = history_check(recent, min_bars)
     df = clean.join_snapshot(recent, fund)
     df = attach_quarterly(df, history)

@@ -39,11 +39,20 @@ _CUT_SQL = ("cut AS (SELECT bar_date AS cutoff FROM featured ORDER BY bar_date "
             "LIMIT 1 OFFSET (SELECT CAST(floor(count(*) * CAST(0.7 AS DOUBLE)) AS BIGINT) FROM featured))")
 
 
+def _ingested(spark, sf):
+    """Bars and quarterly history, made in one pass over the lines and stored."""
+    key = (spark.sparkContext.applicationId, "ingested", sf)
+    if key not in _CACHE:
+        bars, quarters = T.bars_and_quarters(spark, sf)
+        _CACHE[key] = cut_lineage(bars), cut_lineage(quarterly_history(quarters))
+    return _CACHE[key]
+
+
 def _pre(spark, sf):
     key = (spark.sparkContext.applicationId, "pre", sf)
     if key not in _CACHE:
-        prices = B.join_index(T.bars(spark, sf), T.index_levels(spark, sf))
-        _CACHE[key] = run_preprocessing(prices, T.fundamentals(spark, sf), quarterly_history(T.quarterly_raw(spark, sf)))
+        bars, history = _ingested(spark, sf)
+        _CACHE[key] = run_preprocessing(B.join_index(bars, T.index_levels(spark, sf)), T.fundamentals(spark, sf), history)
     return _CACHE[key]
 
 
@@ -212,8 +221,8 @@ def _j05(spark, sf):
 def _j06(spark, sf):
     pre = _pre(spark, sf)
     models = {"Random Forest": _model(spark, sf, "rf"), "Boosted Trees": _model(spark, sf, "gbt")}
-    return J.score_tickers(T.bars(spark, sf), T.fundamentals(spark, sf), quarterly_history(T.quarterly_raw(spark, sf)),
-                           pre.ratio_params, models)
+    bars, history = _ingested(spark, sf)
+    return J.score_tickers(bars, T.fundamentals(spark, sf), history, pre.ratio_params, models)
 
 
 class _BrokenModel:
@@ -379,7 +388,8 @@ def _j03r(spark, sf):
       "CAST(NULL AS VARCHAR) AS narrative FROM bad b LEFT JOIN sg ON b.ticker = sg.ticker AND reason IS NULL")
 def _j06r(spark, sf):
     params = _pre(spark, sf).ratio_params
-    return J.score_tickers(T.bars(spark, sf), T.fundamentals(spark, sf), quarterly_history(T.quarterly_raw(spark, sf)), params, _RULES)
+    bars, history = _ingested(spark, sf)
+    return J.score_tickers(bars, T.fundamentals(spark, sf), history, params, _RULES)
 
 
 @register("j07_failure_isolation_by_rules", W(*FEAT, _LATEST_SQL.format(src="featured"), f"sg AS ({_signals_sql()})")
@@ -562,9 +572,10 @@ def _k01p(spark, sf):
 
 def _daily_run(spark, sf, tune: bool):
     """The log that a daily run wrote."""
-    prices = B.join_index(T.bars(spark, sf), T.index_levels(spark, sf))
+    bars, history = _ingested(spark, sf)
+    prices = B.join_index(bars, T.index_levels(spark, sf))
     out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/daily-{uuid.uuid4().hex}"
-    paths = run_pipeline(prices, T.fundamentals(spark, sf), quarterly_history(T.quarterly_raw(spark, sf)), out,
+    paths = run_pipeline(prices, T.fundamentals(spark, sf), history, out,
                          PipelineParams(labels=FIXTURE_LABELS), tune=tune)
     runs = spark.read.parquet(paths["runs"])
     ended = F.when(F.col("end_time") >= F.col("start_time"), F.col("status"))

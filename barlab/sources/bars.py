@@ -56,19 +56,31 @@ def build_bars(trades: DataFrame, key: str, ts: str, price: Column | str, qty: s
     aggregation runs map-side first (partial aggregates), so a hot key is
     combined before the shuffle.
     """
+    sums = trade_sums(trades, key, ts, price, qty, grain, tiebreak)
+    return sums.select("ticker", "bar_date", F.col("first.price").alias("open"), "high", "low", F.col("last.price").alias("close"),
+                       F.col("volume").cast("double").alias("volume"))
+
+
+def trade_sums(trades: DataFrame, key: str, ts: str, price: Column | str, qty: str, grain: str = "day",
+               tiebreak: tuple[str, ...] = (), within: tuple[Column, ...] = (), also: tuple[Column, ...] = ()) -> DataFrame:
+    """What a bar is made of, per key, period and the further groups ``within``: first and last trade as ordered
+    structs, high, low, volume, and the aggregates ``also``. ``bars_of`` puts the groups of a period together."""
     p = F.col(price) if isinstance(price, str) else price
-    order = F.struct(F.col(ts), *[F.col(t) for t in tiebreak], p)
+    trade = F.struct(F.col(ts), *[F.col(t) for t in tiebreak], p.alias("price"))
     period = F.to_date(F.date_trunc(grain, F.col(ts)))
-    return (
-        trades.groupBy(F.col(key).alias("ticker"), period.alias("bar_date"))
-        .agg(
-            F.min_by(p, order).alias("open"),
-            F.max(p).alias("high"),
-            F.min(p).alias("low"),
-            F.max_by(p, order).alias("close"),
-            F.sum(F.col(qty)).cast("double").alias("volume"),
-        )
-    )
+    # the period leads: rows are sorted by the groups, and a date tells more of them apart than a name's start
+    return trades.groupBy(period.alias("bar_date"), F.col(key).alias("ticker"), *within).agg(
+        F.min(trade).alias("first"), F.max(p).alias("high"), F.min(p).alias("low"), F.max(trade).alias("last"),
+        F.sum(F.col(qty)).alias("volume"), *also)
+
+
+def bars_of(sums: DataFrame) -> DataFrame:
+    """The bars of ``build_bars`` from finer ``trade_sums``."""
+    whole = sums.groupBy("ticker", "bar_date").agg(
+        F.min("first").alias("first"), F.max("high").alias("high"), F.min("low").alias("low"), F.max("last").alias("last"),
+        F.sum("volume").alias("volume"))
+    return whole.select("ticker", "bar_date", F.col("first.price").alias("open"), "high", "low", F.col("last.price").alias("close"),
+                        F.col("volume").cast("double").alias("volume"))
 
 
 def union_series(frames: list[DataFrame]) -> DataFrame:

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.sources.bars import build_bars
+from barlab.session import cut_lineage
+from barlab.sources.bars import bars_of, build_bars, trade_sums
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -28,23 +29,39 @@ def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "price", F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")))
 
 
+_WEEKLY = {"key": "p_brand", "ts": "l_shipdate", "price": "price", "qty": "l_quantity", "grain": "week",
+           "tiebreak": ("l_orderkey", "l_linenumber")}
+
+
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly bars per brand (ticker = p_brand); open/close by (ship date, order, line, price)."""
-    return build_bars(priced_lines(spark, sf_dir), key="p_brand", ts="l_shipdate", price="price",
-                      qty="l_quantity", grain="week", tiebreak=("l_orderkey", "l_linenumber"))
+    return build_bars(priced_lines(spark, sf_dir), **_WEEKLY)
+
+
+def _quarter_end():
+    return F.date_sub(F.add_months(F.to_date(F.date_trunc("quarter", F.col("l_shipdate"))), 3), 1).alias("quarter_end")
+
+
+def _incomes():
+    """Exact decimal sums of revenue and net income."""
+    ext = F.col("l_extendedprice").cast("decimal(18,2)")
+    return (F.sum(ext * (F.lit(1) - F.col("l_discount")).cast("decimal(4,2)")).alias("revenue"),
+            F.sum(ext * (F.lit(0.05) - F.col("l_discount")).cast("decimal(4,2)")).alias("net_income"))
 
 
 def quarterly_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarterly revenue / net income per brand with exact decimal sums."""
-    li = priced_lines(spark, sf_dir)
-    ext = F.col("l_extendedprice").cast("decimal(18,2)")
-    return li.groupBy(
-        F.col("p_brand").alias("ticker"),
-        F.date_sub(F.add_months(F.to_date(F.date_trunc("quarter", F.col("l_shipdate"))), 3), 1).alias("quarter_end"),
-    ).agg(
-        F.sum(ext * (F.lit(1) - F.col("l_discount")).cast("decimal(4,2)")).cast("double").alias("revenue"),
-        F.sum(ext * (F.lit(0.05) - F.col("l_discount")).cast("decimal(4,2)")).cast("double").alias("net_income"),
-    )
+    sums = priced_lines(spark, sf_dir).groupBy(F.col("p_brand").alias("ticker"), _quarter_end()).agg(*_incomes())
+    return sums.select("ticker", "quarter_end", F.col("revenue").cast("double"), F.col("net_income").cast("double"))
+
+
+def bars_and_quarters(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``bars`` and ``quarterly_raw`` from one pass over the lines: sums per brand, week and quarter are
+    stored (their number is bounded by brands and calendar), and both tables are put together from them."""
+    sums = cut_lineage(trade_sums(priced_lines(spark, sf_dir), **_WEEKLY, within=(_quarter_end(),), also=_incomes()))
+    quarters = sums.groupBy("ticker", "quarter_end").agg(F.sum("revenue").cast("double").alias("revenue"),
+                                                         F.sum("net_income").cast("double").alias("net_income"))
+    return bars_of(sums), quarters
 
 
 def index_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
