@@ -2,7 +2,7 @@
 
 K1 is path-dependent TreeSHAP (Lundberg, Erion, Lee, "Consistent
 individualized feature attribution for tree ensembles", 2018), computed for a
-whole batch of rows from per-leaf path tables,
+whole batch of rows from path tables of the nodes,
 over the trees of a Spark model. The node tables are read from the model's
 saved form (size bound: the model, not the data), broadcast, and each
 partition of rows is explained in ``mapInPandas``. Forests are explained in
@@ -102,41 +102,59 @@ def ensemble_of(model, spark: SparkSession | None = None) -> Ensemble:
 
 # ------------------------------------------------------------------ TreeSHAP
 @dataclass
-class LeafPaths:
-    """Leaves of one tree; a row per leaf, a column per distinct feature on its path.
+class TreePaths:
+    """Nodes of one tree, level by level, children side by side; for each what its path says of its parent's split feature.
 
-    A row reaches the leaf if ``lo < x <= hi`` for all its features; ``share`` is the
-    product of the cover ratios of the splits on a feature. Unused places hold
-    share 1 and an open interval, which contribute nothing.
+    A row stays on the path if ``lo < x <= hi``; ``share`` is the product of the cover
+    ratios of the path's splits on the feature, and ``above`` the last node before this
+    one whose parent splits on it too (the root, if none). The root asks nothing.
     """
 
     feature: np.ndarray
     lo: np.ndarray
     hi: np.ndarray
     share: np.ndarray
-    value: np.ndarray
-
-
-def leaf_paths(t: TreeArrays) -> LeafPaths:
-    rows, todo = [], [(0, {})]
-    while todo:
-        node, path = todo.pop()
-        if t.left[node] < 0:
-            rows.append((path, t.value[node]))
-            continue
-        f, cut = int(t.feature[node]), t.threshold[node]
-        lo, hi, share = path.get(f, (-np.inf, np.inf, 1.0))
-        for child, bounds in ((t.left[node], (lo, min(hi, cut))), (t.right[node], (max(lo, cut), hi))):
-            ratio = t.cover[child] / t.cover[node] if t.cover[node] > 0 else 0.0
-            todo.append((child, path | {f: (*bounds, share * ratio)}))
-    width = max(1, max(len(p) for p, _ in rows))
-    shape = (len(rows), width)
-    out = LeafPaths(np.zeros(shape, np.int64), np.full(shape, -np.inf), np.full(shape, np.inf), np.ones(shape),
-                    np.array([v for _, v in rows]))
-    for i, (path, _) in enumerate(rows):
-        for j, (f, (lo, hi, share)) in enumerate(path.items()):
-            out.feature[i, j], out.lo[i, j], out.hi[i, j], out.share[i, j] = f, lo, hi, share
-    return out
+    above: np.ndarray
+    parent: np.ndarray
+    value: np.ndarray       # of a leaf, else 0
+    levels: list            # (start, end) of each level
+    width: int              # most distinct features on a path
+
+
+def tree_paths(t: TreeArrays) -> TreePaths:
+    some = np.unique(t.feature[t.left >= 0])
+    at = np.array([0])                                # node numbers of a level
+    last = np.zeros((1, len(some)), np.int64)         # by feature, the last place on the path that was split on it
+    count = np.zeros(1, np.int64)
+    feature, lo, hi, share, above, parent = (np.array([x]) for x in (0, -np.inf, np.inf, 1.0, 0, 0))
+    order, levels, width = [at], [(0, 1)], 1
+    while True:
+        split = np.flatnonzero(t.left[at] >= 0)
+        if not len(split):
+            break
+        up, place = at[split], levels[-1][0] + split
+        f, rows = t.feature[up], np.arange(len(split))
+        was = last[split, np.searchsorted(some, f)]
+        at = np.stack([t.left[up], t.right[up]], axis=1)
+        cover = t.cover[up][:, None]
+        ratio = np.divide(t.cover[at], cover, out=np.zeros(at.shape), where=cover > 0)
+        cut = t.threshold[up]
+        # the root's bounds and share are open, so they stand for "none above"
+        lows = np.stack([lo[was], np.maximum(lo[was], cut)], axis=1)
+        highs = np.stack([np.minimum(hi[was], cut), hi[was]], axis=1)
+        count = np.repeat(count[split] + (was == 0), 2)
+        width = max(width, int(count.max()))
+        start, n = levels[-1][1], 2 * len(split)
+        levels.append((start, start + n))
+        last = np.repeat(last[split], 2, axis=0)
+        last[np.arange(n), np.repeat(np.searchsorted(some, f), 2)] = start + np.arange(n)
+        feature, lo, hi = (np.concatenate(x) for x in ((feature, np.repeat(f, 2)), (lo, lows.ravel()), (hi, highs.ravel())))
+        share = np.concatenate([share, (share[was][:, None] * ratio).ravel()])
+        above, parent = np.concatenate([above, np.repeat(was, 2)]), np.concatenate([parent, np.repeat(place, 2)])
+        at = at.ravel()
+        order.append(at)
+    order = np.concatenate(order)
+    return TreePaths(feature, lo, hi, share, above, parent, np.where(t.left[order] < 0, t.value[order], 0.0), levels, width)
 
 
 def _expected(t: TreeArrays) -> float:
@@ -144,33 +162,48 @@ def _expected(t: TreeArrays) -> float:
     return float((t.value[leaves] * t.cover[leaves]).sum() / t.cover[0]) if t.cover[0] > 0 else 0.0
 
 
-def shap_batch(ens: Ensemble, xs: np.ndarray, max_cells: int = 2_000_000) -> tuple[np.ndarray, float]:
+def shap_batch(ens: Ensemble, xs: np.ndarray, max_cells: int = 200_000) -> tuple[np.ndarray, float]:
     """Contributions (rows x features) and the base value.
 
     A leaf pays its value if all its features hold; a feature outside the
     coalition holds with its share. The Shapley sum of such a product game is the
     integral over t in [0, 1] of the other features' ``share (1 - t) + holds t``,
     a polynomial of degree below the path length, so Gauss-Legendre nodes give it
-    exactly, for all rows and leaves of a tree at once.
+    exactly. Leaves share what their paths share: the products go down a tree, the
+    sums over the leaves below a node come up, and a node gives its feature the
+    leaves below it, less those whose path splits on the feature again.
     """
     phi = np.zeros((len(xs), ens.n_features))
     base = sum(w * _expected(t) for t, w in zip(ens.trees, ens.weights))
     for t, w in zip(ens.trees, ens.weights):
-        p = leaf_paths(t)
-        node, weight = np.polynomial.legendre.leggauss(p.feature.shape[1] // 2 + 1)
-        node, weight = (node + 1) / 2, weight / 2
-        step = max(1, max_cells // p.feature.size)
+        p = tree_paths(t)
+        if len(p.levels) == 1:
+            continue
+        at, weight = np.polynomial.legendre.leggauss(p.width // 2 + 1)
+        at, weight = (at + 1) / 2, weight / 2
+        by_feature = np.argsort(p.feature[1:], kind="stable") + 1
+        used, runs = np.unique(p.feature[by_feature], return_index=True)
+        n, again = len(p.feature), np.flatnonzero(p.above)
+        step = max(1, max_cells // (n * len(at)))
         for k in range(0, len(xs), step):
-            x = xs[k:k + step][:, p.feature]
-            holds = ((x > p.lo) & (x <= p.hi)).astype(float)
-            integral = np.zeros_like(holds)
-            for at, q in zip(node, weight):
-                term = p.share * (1 - at) + holds * at
-                integral += q * term.prod(axis=2, keepdims=True) / np.where(term == 0, 1, term)
-            gain = (w * p.value[:, None]) * (holds - p.share) * integral
-            flat = p.feature.ravel()
-            for r in range(len(gain)):
-                phi[k + r] += np.bincount(flat, weights=gain[r].ravel(), minlength=ens.n_features)
+            x = xs[k:k + step].T[p.feature]
+            holds = ((x > p.lo[:, None]) & (x <= p.hi[:, None])).astype(float)
+            holds[0] = 1.0
+            rest = holds - p.share[:, None]
+            term = p.share[:, None, None] * (1 - at) + holds[:, :, None] * at
+            term[term == 0] = 1
+            product = np.ones_like(term)
+            for start, end in p.levels[1:]:
+                change = term[start:end] / term[p.above[start:end]]
+                gone = (p.share[start:end, None] == 0) & (holds[start:end] == 0)
+                change[gone] = 0
+                product[start:end] = product[p.parent[start:end]] * change
+            below = product * p.value[:, None, None]
+            for start, end in p.levels[:0:-1]:
+                below[p.parent[start:end:2]] = below[start:end:2] + below[start + 1:end:2]
+            gain = rest * ((below / term) @ weight)
+            gain[again] -= rest[p.above[again]] * ((below[again] / term[p.above[again]]) @ weight)
+            phi[k:k + step, used] += w * np.add.reduceat(gain[by_feature], runs, axis=0).T
     return phi, float(base)
 
 
@@ -193,7 +226,10 @@ def model_output(ens: Ensemble, x: np.ndarray) -> float:
 
 def explain_rows(df: DataFrame, model, cols: list[str], keep=("ticker", "bar_date")) -> DataFrame:
     """K1: one row per input row with ``base_value``, ``contributions`` and ``inputs``
-    (arrays aligned with ``cols``); missing inputs are 0 as in scoring."""
+    (arrays aligned with ``cols``); missing inputs are 0 as in scoring.
+
+    A row costs a walk through every tree, far more than its bytes tell, so the
+    rows are spread over all cores."""
     spark = df.sparkSession
     ens = ensemble_of(model, spark)
     bc = spark.sparkContext.broadcast(ens)
@@ -211,7 +247,7 @@ def explain_rows(df: DataFrame, model, cols: list[str], keep=("ticker", "bar_dat
             phi, base = shap_batch(e, xs)
             yield pdf[keep].assign(base_value=base, contributions=phi.tolist(), inputs=xs.tolist())
 
-    return inp.mapInPandas(explain, out_schema)
+    return inp.repartition(spark.sparkContext.defaultParallelism).mapInPandas(explain, out_schema)
 
 
 # ------------------------------------------------------------------ K2-K7

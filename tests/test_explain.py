@@ -1,5 +1,6 @@
 """TreeSHAP over Spark trees: base + contributions equals the model output."""
 
+import itertools
 import math
 
 import numpy as np
@@ -91,3 +92,57 @@ def test_explanations_in_units_before_scaling(spark):
     for k, r in got.items():
         assert (r["rank"], r.pushes_toward, r.shap_value) == (plain[k]["rank"], plain[k].pushes_toward, plain[k].shap_value)
     assert got["A", "RSI_14"].value == 71.0
+
+
+def _odd_tree(seed, n_features=5, splits=14):
+    """A tree that splits again on features of its paths; one split leaves a side without cover."""
+    rng = np.random.default_rng(seed)
+    left, feature, threshold, cover = [-1], [-1], [0.0], [64.0]
+    for i in range(splits):
+        at = int(rng.choice([n for n, x in enumerate(left) if x < 0]))
+        left[at], feature[at], threshold[at] = len(left), int(rng.integers(n_features - 1)), float(rng.integers(6))
+        part = 0.0 if i == 9 else cover[at] * rng.choice([0.25, 0.5, 0.625])
+        left, feature, threshold, cover = left + [-1, -1], feature + [-1, -1], threshold + [0.0, 0.0], cover + [part, cover[at] - part]
+    left = np.array(left)
+    return K.TreeArrays(left, np.where(left >= 0, left + 1, -1), np.array(feature), np.array(threshold), np.where(left < 0, rng.random(len(left)), 9.0), np.array(cover))
+
+
+def _paid(t, x, coalition, node=0):
+    """What a tree pays a coalition: other features go either way by cover."""
+    if t.left[node] < 0:
+        return t.value[node]
+    f, kids = t.feature[node], (t.left[node], t.right[node])
+    if f in coalition:
+        return _paid(t, x, coalition, kids[int(x[f] > t.threshold[node])])
+    return sum(_paid(t, x, coalition, k) * t.cover[k] / t.cover[node] for k in kids if t.cover[k])
+
+
+def test_contributions_are_the_shapley_sums():
+    n = 5
+    for seed in range(6):
+        trees = [_odd_tree(seed), _odd_tree(seed + 50, splits=seed)]
+        ens = K.Ensemble("boosted", trees, np.array([0.5, 2.0]), n)
+        xs = np.random.default_rng(seed).integers(-1, 7, (30, n)).astype(float)
+        phi, base = K.shap_batch(ens, xs, max_cells=200)
+        assert math.isclose(base, sum(w * _paid(t, xs[0], ()) for t, w in zip(trees, ens.weights)), abs_tol=1e-12)
+        assert not phi[:, n - 1].any()
+        for x, got in zip(xs, phi):
+            for f in range(n):
+                others = [g for g in range(n) if g != f]
+                want = sum(math.factorial(k) * math.factorial(n - 1 - k) / math.factorial(n) * w * (_paid(t, x, {*c, f}) - _paid(t, x, c))
+                           for k in range(n) for c in itertools.combinations(others, k) for t, w in zip(trees, ens.weights))
+                assert math.isclose(got[f], want, abs_tol=1e-12)
+
+
+def test_rows_are_explained_by_several_tasks(spark, monkeypatch):
+    """A few hundred rows are small in bytes and arrive in one partition; each is a walk through all trees."""
+    rows = spark.range(200).coalesce(1).select(F.concat(F.lit("T"), "id").alias("ticker"), F.col("id").cast("int").alias("bar_date"),
+                                               *[(F.col("id") * k % 7).cast("double").alias(f"x{k}") for k in range(1, 6)])
+    ens = K.Ensemble("boosted", [_odd_tree(3)], np.array([1.0]), 5)
+    cols = [f"x{k}" for k in range(1, 6)]
+    monkeypatch.setattr(K, "ensemble_of", lambda *a: ens)
+    out = K.explain_rows(rows, None, cols).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r.ticker for r in out) == sorted(f"T{i}" for i in range(200))
+    assert len({r.task for r in out}) > 1
+    for r in out:
+        assert math.isclose(r.base_value + sum(r.contributions), K.model_output(ens, np.array(r.inputs)), abs_tol=1e-12)
