@@ -6,13 +6,14 @@ leaf is worth G / (H + l2). With g = weight * label and l2 = 0 that is the Gini
 gain and the class-1 share of a forest; with the gradient and curvature of the log
 loss it is regularised second-order boosting.
 
-Two ways of growing give the same trees. ``grow_wide`` is DataFrame work: every
-level is one partial aggregate over (model, tree, node, feature, bin), all open
-nodes of all trees at once, a window for the running sums, and a join that moves
-rows to the children; nothing but the node tables is small. ``grow`` works on the
-arrays of a bounded table (``MAX_ROWS`` binned rows, about 50 bytes each, the only
-thing that is broadcast): tasks then take whole trees or boosting runs. g and h
-are multiples of 2^-20, so sums are exact and independent of partitioning.
+Two ways of growing give the same trees, on all labelled rows. ``grow`` works on
+the arrays of a table of up to ``ARRAY_ROWS`` rows (about 70 bytes each, broadcast):
+tasks then take whole trees or boosting runs. Larger tables stay tables: with
+``grow_wide`` a level is one partial aggregate over (tree, node, feature, bin), all
+open nodes of all trees at once, a window for the running sums, and a join that
+moves rows to the children; the rows of a node that has become small enough meet in
+one task, which grows the rest of its tree on arrays. g and h are multiples of
+2^-20, so sums are exact and independent of partitioning.
 
 Choices by chance (bootstrap, rows and columns of a tree) come from a hash of
 (seed, tree, row or node, feature), so a smaller forest, fewer rounds and a
@@ -21,6 +22,7 @@ smaller depth are prefixes of a larger fit; ``search`` grows only the largest.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import math
 from dataclasses import dataclass, field, replace
@@ -35,13 +37,12 @@ from pyspark.sql import functions as F
 from barlab.operators import clean
 from barlab.session import cut_lineage
 
-#: Labelled rows of a fit on arrays; larger tables are thinned by a hash of their rows to about this many.
-MAX_ROWS = 200_000
+#: Rows that a task may hold as arrays; no row is left out of a larger table, which is grown on as a table.
+ARRAY_ROWS = 1 << 20
 BINS = 64
 GRAIN = float(1 << 20)
 MIN_GAIN = 1e-7
 PRIME = (1 << 31) - 1
-ROW_BITS = 20
 NO_DEPTH = 30
 
 
@@ -175,15 +176,19 @@ def best_splits(node: np.ndarray, bins: np.ndarray, feats: np.ndarray, g, h, tot
     """
     n, k = feats.shape
     mine = bins if k == bins.shape[1] else np.take_along_axis(bins, feats[node], axis=1)
-    key = ((node[:, None] * k + np.arange(k)) * BINS + mine).ravel()
     size = np.bincount(node, minlength=n)
-    if n * k * BINS <= len(key):
-        each = [np.bincount(key, x, n * k * BINS) for x in (np.repeat(g, k), np.repeat(h, k), None)]
-        gl, hl, nl = (np.cumsum(x.reshape(-1, BINS), axis=1).ravel() for x in each)
+    if n * BINS <= len(node):
+        each = np.empty((3, n, k, BINS))
+        for j in range(k):
+            key = node * BINS + mine[:, j]
+            for out, x in zip(each, (g, h, None)):
+                out[:, j] = np.bincount(key, x, n * BINS).reshape(n, BINS)
+        gl, hl, nl = (np.cumsum(x, axis=2).ravel() for x in each)
         cell = np.arange(n * k * BINS)
     else:
-        packed = np.sort((key << ROW_BITS) | np.repeat(np.arange(len(node)), k))
-        key, row = packed >> ROW_BITS, packed & ((1 << ROW_BITS) - 1)
+        key, bits = ((node[:, None] * k + np.arange(k)) * BINS + mine).ravel(), len(node).bit_length()
+        packed = np.sort((key << bits) | np.repeat(np.arange(len(node)), k))
+        key, row = packed >> bits, packed & ((1 << bits) - 1)
         start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         cell = key[start]
         seg = cell // BINS
@@ -204,13 +209,13 @@ def best_splits(node: np.ndarray, bins: np.ndarray, feats: np.ndarray, g, h, tot
     return gain[first], feats[at[first], cell[first] // BINS % k], cell[first] % BINS
 
 
-def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, spec: Spec, tree: int) -> Grown:
-    """A tree over the rows given, level by level."""
+def grow(bins: np.ndarray, g: np.ndarray, h: np.ndarray, spec: Spec, tree: int, path: int = 1, top: int = 0) -> Grown:
+    """A tree over the rows given, level by level, or what is below its node ``path`` of level ``top``."""
     out, mine = Grown(), tree_draw(spec, tree, bins.shape[1])
     bins = bins if len(mine) == bins.shape[1] else bins[:, mine]
-    node, paths, ids = np.zeros(len(g), np.int64), np.array([1], np.int64), np.array([0])
-    out.add([g.sum()], [h.sum()], 0)
-    for level in range(spec.depth):
+    node, paths, ids = np.zeros(len(g), np.int64), np.array([path], np.int64), np.array([0])
+    out.add([g.sum()], [h.sum()], top)
+    for level in range(top, spec.depth):
         if not len(ids):
             break
         tg, th = (np.bincount(node, weights=x, minlength=len(ids)) for x in (g, h))
@@ -328,7 +333,7 @@ def with_rows(df: DataFrame, order=("bar_date", "ticker")) -> DataFrame:
 
 @dataclass
 class Sample:
-    """The binned rows of a fit as arrays, in the order of ``pos`` and ``row``."""
+    """The binned rows of a fit as arrays, all of them, in the order of ``pos`` and ``row``."""
 
     bins: np.ndarray
     y: np.ndarray
@@ -336,18 +341,19 @@ class Sample:
     pos: np.ndarray
 
     @classmethod
-    def take(cls, table: DataFrame, max_rows: int = MAX_ROWS) -> "Sample":
-        """Of a binned table with label, row and pos; at most about ``max_rows`` rows."""
-        n = table.count()
-        if n > max_rows:
-            table = table.filter(F.pmod(F.xxhash64(F.lit(17), "row"), F.lit(1 << 20)) < int(max_rows / n * (1 << 20)))
-        pdf = table.select("bins", "label", "row", "pos").toPandas().sort_values(["pos", "row"], ignore_index=True)
-        if not len(pdf):
+    def take(cls, table: DataFrame) -> "Sample":
+        """All rows of a binned table with label, row and pos."""
+        got = table.select("bins", "label", "row", "pos").toArrow()
+        if not got.num_rows:
             raise ValueError("no labelled rows")
-        if len(pdf) >= 1 << ROW_BITS:
-            raise ValueError(f"{len(pdf)} rows don't fit {ROW_BITS} bits")
-        return cls(np.array(pdf["bins"].tolist(), np.int16).reshape(len(pdf), -1), pdf["label"].to_numpy(float), pdf["row"].to_numpy(np.int64),
-                   pdf["pos"].to_numpy(np.int64))
+        pos, row, y = (got[c].to_numpy().astype(kind) for c, kind in (("pos", np.int64), ("row", np.int64), ("label", float)))
+        order = np.lexsort((row, pos))
+        return cls(array_of(got["bins"])[order], y[order], row[order], pos[order])
+
+
+def array_of(bins) -> np.ndarray:
+    """Rows of an Arrow column of bins."""
+    return bins.combine_chunks().flatten().to_numpy().reshape(len(bins), -1)
 
 
 def class_weights(y: np.ndarray, how: str | None) -> np.ndarray:
@@ -398,6 +404,10 @@ class TreeModel:
 
     def raw(self, x: np.ndarray) -> np.ndarray:
         """Class-1 probability of a forest, log odds of boosting."""
+        return self.total(x) / max(1, len(self.roots)) if self.kind == "forest" else self.total(x)
+
+    def total(self, x: np.ndarray) -> np.ndarray:
+        """Sum of the leaves that each row ends in."""
         feature, threshold, value = (self.nodes[c].to_numpy() for c in ("feature", "threshold", "value"))
         left = self.nodes["left"].to_numpy() + np.repeat(self.roots, np.diff(np.append(self.roots, len(self.nodes))))
         out = np.zeros(len(x))
@@ -411,7 +421,7 @@ class TreeModel:
                     break
                 at = np.where(inner, left[at] + (x[rows, np.maximum(f, 0)] > threshold[at]), at)
             out += value[at]
-        return out / max(1, len(self.roots)) if self.kind == "forest" else out
+        return out
 
     def transform(self, df: DataFrame) -> DataFrame:
         shared = df.sparkSession.sparkContext.broadcast(self)
@@ -436,20 +446,31 @@ class TreeModel:
         return cls(pdf.drop(columns=["kind", "n_features"]), pdf["kind"].iloc[0], int(pdf["n_features"].iloc[0]))
 
 
-#: Trees of a forest that one task grows in a row.
+#: Trees of a forest that one task grows in a row, or that grow together on a table.
 BLOCK_TREES = 25
 
 
-def fit(df: DataFrame, cols: list[str], spec: Spec, weights: str | None = "default", max_rows: int = MAX_ROWS,
-        wide: bool = False) -> TreeModel:
-    """A model of ``label`` on ``cols``; ``wide`` grows on all rows, level by level, instead of on a bounded table."""
+def is_wide(table: DataFrame, spec: Spec) -> bool:
+    """Whether a table has too many rows for arrays."""
+    return spec.kind != "leafwise" and table.count() > ARRAY_ROWS
+
+
+def fit(df: DataFrame, cols: list[str], spec: Spec, weights: str | None = "default", max_rows: int | None = None,
+        wide: bool | None = None) -> TreeModel:
+    """A model of ``label`` on ``cols``, from all rows; ``max_rows``, if a caller gives it, thins them to about so many.
+
+    ``wide`` grows on the table instead of on arrays: by default if it has over ``ARRAY_ROWS`` rows. Leaf-wise
+    trees only grow on arrays, of as many rows as there are.
+    """
     weights = WEIGHTS[spec.kind] if weights == "default" else weights
     df = cut_lineage(clean.fill_zero(with_rows(df).select("row", "label", *[F.col(c).cast("double").alias(c) for c in cols]), cols))
     cuts = edges(df, cols)
     table = binned(df, cols, cuts, ["row", F.col("label").cast("double").alias("label"), F.lit(0).alias("pos")])
-    if wide:
+    if max_rows is not None and (n := df.count()) > max_rows:
+        table = table.filter(F.pmod(F.xxhash64(F.lit(17), "row"), F.lit(1 << 20)) < int(max_rows / n * (1 << 20)))
+    if is_wide(table, spec) if wide is None else wide:
         return TreeModel(fit_wide(table, spec, weights, cuts), spec.kind, len(cols))
-    sample = Sample.take(table, max_rows)
+    sample = Sample.take(table)
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(sample)
 
@@ -470,20 +491,22 @@ def fit(df: DataFrame, cols: list[str], spec: Spec, weights: str | None = "defau
 
 
 # ---------------------------------------------------------------- search
-def search(df: DataFrame, cols: list[str], specs: list[Spec], bounds: dict[int, int], weights: str | None = "default",
-           max_rows: int = MAX_ROWS) -> DataFrame:
+def search(df: DataFrame, cols: list[str], specs: list[Spec], bounds: dict[int, int], weights: str | None = "default") -> DataFrame:
     """draw, fold, test_rows, tp, fp, fn, tn and f1 of every spec on every walk-forward fold, in one pass over all fits.
 
-    ``df`` has label, ``_pos`` and ``fold``; a fold trains on the positions below its
-    bound. Specs that differ in trees or depth alone are one fit, read at several sizes.
+    ``df`` has label, ``_pos`` and ``fold``; a fold trains on all positions below its
+    bound. Specs that differ in trees or depth alone are one fit, read at several sizes;
+    a table of over ``ARRAY_ROWS`` rows is fitted spec by spec and fold by fold.
     """
     spark = df.sparkSession
     weights = WEIGHTS[specs[0].kind] if weights == "default" else weights
     df = cut_lineage(clean.fill_zero(with_rows(df).select("row", "label", "_pos", *[F.col(c).cast("double").alias(c) for c in cols]), cols))
     cuts = edges(df, cols)
     table = binned(df, cols, cuts, ["row", F.col("label").cast("double").alias("label"), F.col("_pos").alias("pos")])
-    shared = spark.sparkContext.broadcast((Sample.take(table, max_rows), bounds))
     forest = specs[0].kind == "forest"
+    if is_wide(table, specs[0]):
+        return _search_scores(search_wide(table, specs, bounds, weights, cuts), specs)
+    shared = spark.sparkContext.broadcast((Sample.take(table), bounds))
     alike: dict[Spec, list[int]] = {}
     for i, s in enumerate(specs):
         alike.setdefault(replace(s, trees=0, depth=s.depth if not forest else 0), []).append(i)
@@ -518,7 +541,15 @@ def search(df: DataFrame, cols: list[str], specs: list[Spec], bounds: dict[int,
     step = BLOCK_TREES if forest else 1 << 30
     jobs = [(k, fold, i, min(step, spec.trees - i)) for k, (spec, _) in enumerate(fits) for fold in bounds for i in range(0, spec.trees, step)]
     jobs = spark.createDataFrame(jobs, "fit int, fold int, first int, n int").repartition(min(len(jobs), 256))
-    raw = jobs.mapInPandas(run, "draw int, fold int, row long, pos long, label double, raw double")
+    return _search_scores(jobs.mapInPandas(run, RAW), specs)
+
+
+RAW = "draw int, fold int, row long, pos long, label double, raw double"
+
+
+def _search_scores(raw: DataFrame, specs: list[Spec]) -> DataFrame:
+    """The table of ``search`` from the leaf values of every test row, in one part or several."""
+    forest = specs[0].kind == "forest"
     per_row = raw.groupBy("draw", "fold", "pos", "row").agg(F.sum("raw").alias("raw"), F.first("label").alias("label"))
     size = F.element_at(F.array(*[F.lit(float(s.trees)) for s in specs]), F.col("draw") + 1)
     said = F.col("raw") / size > 0.5 if forest else F.col("raw") > 0
@@ -539,9 +570,13 @@ def _score(g: str, h: str, l2: float) -> Column:
 def split_gains(rows: DataFrame, total: DataFrame, spec: Spec, n_features: int) -> DataFrame:
     """tree, path, feature, bin and gain of every split that the open nodes in ``total`` may make."""
     at = ["tree", "path"]
-    cells = rows.select(*at, "g", "h", F.posexplode("bins").alias("feature", "bin")).groupBy(*at, "feature", "bin").agg(
-        F.sum("g").alias("cg"), F.sum("h").alias("ch"), F.count(F.lit(1)).alias("cn"))
-    cells = _open_features(cells, spec, n_features)
+    names = _open_features(total.select(*at), spec, n_features)
+    if names is None:
+        each = rows.select(*at, "g", "h", F.posexplode("bins").alias("feature", "bin"))
+    else:
+        each = rows.join(names.groupBy(*at).agg(F.collect_list("feature").alias("names")), at).select(
+            *at, "g", "h", "bins", F.explode("names").alias("feature")).withColumn("bin", F.get("bins", F.col("feature")))
+    cells = each.groupBy(*at, "feature", "bin").agg(F.sum("g").alias("cg"), F.sum("h").alias("ch"), F.count(F.lit(1)).alias("cn"))
     run = Window.partitionBy(*at, "feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cells = cells.withColumns({c: F.sum(x).over(run) for c, x in (("gl", "cg"), ("hl", "ch"), ("nl", "cn"))}).join(total, at)
     cells = cells.withColumns({"gr": F.col("g") - F.col("gl"), "hr": F.col("h") - F.col("hl"), "nr": F.col("n") - F.col("nl")})
@@ -555,47 +590,70 @@ def grow_wide(rows: DataFrame, spec: Spec, n_features: int) -> DataFrame:
     """Nodes (tree, path, level, g, h, feature, cut, gain) of the trees of ``rows`` (tree, bins, g, h), all at once.
 
     ``path`` is 1 at the root, twice the parent's to the left and one more to the right.
+    What is below a node of at most ``ARRAY_ROWS`` rows is grown in one task.
     """
     at = ["tree", "path"]
-    rows = cut_lineage(rows.withColumn("path", F.lit(1).cast("long")))
-    done = None
+    rows, done = rows.withColumn("path", F.lit(1).cast("long")), []
     for level in range(spec.depth + 1):
+        rows = cut_lineage(rows) if level else rows  # bags are cheaper to draw again than to store
         total = rows.groupBy(*at).agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
         total = cut_lineage(total.withColumn("level", F.lit(level)))
+        small = F.col("n") <= ARRAY_ROWS
+        done.append(rows.join(total.filter(small).select(*at), at).groupBy(*at).applyInArrow(_grow_below(spec, level), NODE_PATHS))
+        # those left have over ARRAY_ROWS rows each, so they are few
+        total = total.filter(~small)
+        if total.isEmpty():
+            break
+        big = rows.join(F.broadcast(total.select(*at)), at)
         if level < spec.depth:
-            cells = split_gains(rows, total, spec, n_features)
+            cells = split_gains(big, total, spec, n_features)
             pick = F.max(F.struct("gain", (-F.col("feature")).alias("f"), (-F.col("bin")).alias("b"))).alias("s")
             best = cells.groupBy(*at).agg(pick).select(*at, (-F.col("s.f")).cast("int").alias("feature"), (-F.col("s.b")).cast("int").alias("cut"), "s.gain")
             nodes = cut_lineage(total.join(best, at, "left"))
         else:
             nodes = total.withColumns({"feature": F.lit(None).cast("int"), "cut": F.lit(None).cast("int"), "gain": F.lit(None).cast("double")})
-        nodes = nodes.drop("n")
-        done = nodes if done is None else done.unionByName(nodes)
+        done.append(nodes.select(*at, "level", "g", "h", F.coalesce("feature", F.lit(-1)).alias("feature"), F.coalesce("cut", F.lit(-1)).alias("cut"),
+                                 F.coalesce("gain", F.lit(0.0)).alias("gain")))
         best = nodes.filter("feature is not null").select(*at, "feature", "cut")
-        if best.isEmpty():
-            break
         step = F.col("path") * 2 + (F.element_at("bins", F.col("feature") + 1) > F.col("cut")).cast("int")
-        rows = cut_lineage(rows.join(best, at).withColumn("path", step).drop("feature", "cut"))
-    return done.withColumns({"feature": F.coalesce("feature", F.lit(-1)), "cut": F.coalesce("cut", F.lit(-1)), "gain": F.coalesce("gain", F.lit(0.0))})
+        rows = big.join(F.broadcast(best), at).withColumn("path", step).drop("feature", "cut")
+    return functools.reduce(DataFrame.union, done)
+
+
+NODE_PATHS = "tree int, path long, level int, g double, h double, feature int, cut int, gain double"
+
+
+def _grow_below(spec: Spec, level: int):
+    """Task: the nodes at and below one node, from its rows."""
+    def run(rows):
+        import pyarrow as pa
+
+        tree, path = rows["tree"][0].as_py(), rows["path"][0].as_py()
+        t = grow(array_of(rows["bins"]), rows["g"].to_numpy(), rows["h"].to_numpy(), spec, tree, path, level)
+        paths = np.full(len(t.g), path, np.int64)
+        for i in np.flatnonzero(t.feature >= 0):  # parents first
+            paths[t.left[i]:t.left[i] + 2] = 2 * paths[i], 2 * paths[i] + 1
+        cols = (np.full(len(t.g), tree, np.int32), paths, t.level.astype(np.int32), t.g, t.h, t.feature.astype(np.int32), t.cut.astype(np.int32), t.gain)
+        return pa.table(dict(zip((c.split()[0] for c in NODE_PATHS.split(", ")), cols)))
+    return run
 
 
-def _open_features(cells: DataFrame, spec: Spec, n: int) -> DataFrame:
-    """Cells of the features that their tree, and of these their node, drew."""
+def _open_features(nodes: DataFrame, spec: Spec, n: int) -> DataFrame | None:
+    """tree, path and feature of the features that each node's tree, and of these the node, drew; None if all are open."""
     names, drawn, seed = None, n, spec.seed
     for share, key, parts in ((spec.tree_features, ["tree"], (seed, F.col("tree"), 3, F.col("feature"))),
                               (spec.node_features, ["tree", "path"], (seed, F.col("tree"), F.col("path") % PRIME, F.col("feature")))):
         k = n_drawn(share, drawn)
         if k < drawn:
-            every = cells.select(*key).distinct()
+            every = nodes.select(*key).distinct()
             every = every.join(names, "tree") if names is not None else every.withColumn("feature", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
             nth = F.row_number().over(Window.partitionBy(*key).orderBy("_r", "feature"))
-            names = scatter_column(every, "_r", *parts).withColumn("_n", nth).filter(F.col("_n") <= k).select(*key, "feature")
-            cells, drawn = cells.join(names, [*key, "feature"], "left_semi"), k
-    return cells
+            names, drawn = scatter_column(every, "_r", *parts).withColumn("_n", nth).filter(F.col("_n") <= k).select(*key, "feature"), k
+    return names if names is None or "path" in names.columns else nodes.join(names, "tree")
 
 
 def fit_wide(table: DataFrame, spec: Spec, weights: str | None, cuts: list[list[float]]) -> pd.DataFrame:
-    """Node rows of a fit on every row of a binned table; a forest's trees grow together, rounds follow one another."""
+    """Node rows of a fit on every row of a binned table; ``BLOCK_TREES`` of a forest grow together, rounds follow one another."""
     if spec.kind == "leafwise":
         raise ValueError("leaf-wise trees grow one leaf at a time, on arrays")
     n = table.agg(F.sum("label").alias("p"), F.count(F.lit(1)).alias("n")).first()
@@ -612,10 +670,14 @@ def fit_wide(table: DataFrame, spec: Spec, weights: str | None, cuts: list[list[
         return scatter_column(df, "_u", spec.seed, tree, F.col("row") % PRIME).withColumn("_u", F.col("_u") / PRIME)
 
     if spec.kind == "forest":
-        each = bag(table.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(spec.trees - 1)))), F.col("tree"))
         copies = sum(((F.col("_u") >= float(c)).cast("int") for c in COPIES[1:]), (F.col("_u") >= float(COPIES[0])).cast("int"))
-        each = each.withColumn("h", rounded(w) * copies).filter("h > 0").select("tree", "bins", (F.col("h") * F.col("label")).alias("g"), "h")
-        return _wide_rows(grow_wide(each, spec, len(cuts)), spec, cuts)
+        table, found = cut_lineage(table), []
+        for first in range(0, spec.trees, BLOCK_TREES):  # so that only these trees' bags are shuffled at a time
+            some = F.sequence(F.lit(first), F.lit(min(first + BLOCK_TREES, spec.trees) - 1))
+            each = bag(table.withColumn("tree", F.explode(some)), F.col("tree")).withColumn("h", rounded(w) * copies).filter("h > 0")
+            each = each.select("tree", "bins", (F.col("h") * F.col("label")).alias("g"), "h")
+            found.append(_wide_rows(grow_wide(each, spec, len(cuts)), spec, cuts))
+        return pd.concat(found)
     f = table.withColumn("f", F.lit(0.0))
     found = []
     for tree in range(spec.trees):
@@ -627,15 +689,33 @@ def fit_wide(table: DataFrame, spec: Spec, weights: str | None, cuts: list[list[
                            rounded(w * F.col("_p") * (1 - F.col("_p"))).alias("h"))
         nodes = _wide_rows(grow_wide(rows, spec, len(cuts)), spec, cuts)
         found.append(nodes)
-        step = TreeModel(nodes.assign(tree=0), spec.kind, len(cuts))
-        bounds = [[*c, math.inf] for c in cuts]
+        f = f.withColumn("f", F.col("f") + leaves_of(TreeModel(nodes.assign(tree=0), spec.kind, len(cuts)), cuts)("bins"))
+    return pd.concat(found)
 
-        @F.pandas_udf("double")
-        def move(b: pd.Series) -> pd.Series:  # a bin's upper bound lies on the side of all its values
-            return pd.Series(step.raw(np.array([[bounds[j][k] for j, k in enumerate(r)] for r in b]))) if len(b) else pd.Series([], dtype=float)
 
-        f = f.withColumn("f", F.col("f") + move("bins"))
-    return pd.concat(found)
+def leaves_of(model: TreeModel, cuts: list[list[float]]):
+    """Sum of the leaves of a row of bins, as a function of columns."""
+    bounds = [[*c, math.inf] for c in cuts]  # a bin's upper bound lies on the side of all its values
+
+    @F.pandas_udf("double")
+    def total(b: pd.Series) -> pd.Series:
+        return pd.Series(model.total(np.array([[bounds[j][k] for j, k in enumerate(r)] for r in b]))) if len(b) else pd.Series([], dtype=float)
+
+    return total
+
+
+def search_wide(table: DataFrame, specs: list[Spec], bounds: dict[int, int], weights: str | None, cuts: list[list[float]]) -> DataFrame:
+    """The leaf values of every draw's and fold's test rows, fitted on tables one by one."""
+    starts, out = sorted(bounds.items(), key=lambda x: x[1]), []
+    for (fold, start), end in zip(starts, [s for _, s in starts[1:]] + [np.iinfo(np.int64).max]):
+        train, test = table.filter(F.col("pos") < start), table.filter((F.col("pos") >= start) & (F.col("pos") < int(end)))
+        if train.isEmpty() or test.isEmpty():
+            continue
+        for i, spec in enumerate(specs):
+            model = TreeModel(fit_wide(train, spec, weights, cuts), spec.kind, len(cuts))
+            out.append(cut_lineage(test.select(F.lit(i).alias("draw"), F.lit(fold).alias("fold"), "row", "pos", "label",
+                                               leaves_of(model, cuts)("bins").alias("raw"))))
+    return functools.reduce(DataFrame.union, out, table.sparkSession.createDataFrame([], RAW))
 
 
 def _wide_rows(nodes: DataFrame, spec: Spec, cuts: list[list[float]]) -> pd.DataFrame:

@@ -216,3 +216,37 @@ def test_hash_is_the_same_on_columns(spark):
     df = T.scatter_column(spark.createDataFrame(rows, "a long, b long"), "h", 42, F.col("a"), F.col("b"))
     for r in df.collect():
         assert r.h == T.scatter(42, r.a, r.b) == T.scatter(np.array([42]), r.a, np.array([r.b]))[0]
+
+
+def test_a_fit_takes_all_rows(spark):
+    n = 230_000
+    df = spark.range(n).selectExpr("concat('T', id % 7) AS ticker", "date_add(DATE'1970-01-01', CAST(id DIV 7 AS INT)) AS bar_date",
+                                   "CAST(id * 7919 % 101 AS DOUBLE) AS a", "CAST(id * 104729 % 89 AS DOUBLE) AS b", "CAST(id * 31 % 5 < 2 AS INT) AS label")
+    spec = T.Spec(trees=2, depth=2)
+    row = T.with_rows(df).select("row").toArrow()["row"].to_numpy()
+    m = T.fit(df, ["a", "b"], spec, weights=None)
+    assert m.nodes.loc[m.nodes["id"] == 0, "cover"].tolist() == [T.in_bag(spec, t, row).sum() for t in range(2)]
+    assert len(T.Sample.take(T.binned(T.with_rows(df), ["a", "b"], [[50.0], [40.0]], ["row", "label", F.lit(0).alias("pos")])).row) == n
+
+
+@pytest.mark.parametrize("spec", [T.Spec(trees=2, depth=5), T.Spec(trees=2, depth=4, min_rows=3, node_features=0.5, tree_features=0.75),
+                                  T.boosted(trees=2, depth=3, rows=0.8, tree_features=0.5)])
+@pytest.mark.parametrize("most", [60, 15])
+def test_tables_too_large_for_arrays_give_the_same_trees(spark, monkeypatch, spec, most):
+    df = frame(spark, 130, seed=2)
+    want = T.fit(df, list("abcd"), spec).nodes
+    monkeypatch.setattr(T, "ARRAY_ROWS", most)
+    grown = []
+    monkeypatch.setattr(T, "fit_wide", lambda *a, f=T.fit_wide: grown.append(1) or f(*a))
+    same_nodes(want, T.fit(df.repartition(5), list("abcd"), spec).nodes)
+    assert grown
+
+
+@pytest.mark.parametrize("make", [T.Spec, T.boosted])
+def test_search_on_a_table_too_large_for_arrays(spark, monkeypatch, make):
+    df = frame(spark, 150).withColumn("_pos", F.datediff("bar_date", F.lit("2020-01-01")).cast("long"))
+    folds = df.withColumn("fold", F.when(F.col("_pos") >= 100, 1).when(F.col("_pos") >= 60, 0))
+    args = folds, list("abcd"), [make(trees=3, depth=3), make(trees=2, depth=2)], {0: 60, 1: 100}
+    want = sorted(T.search(*args).collect())
+    monkeypatch.setattr(T, "ARRAY_ROWS", 40)
+    assert sorted(T.search(*args).collect()) == want and len(want) == 4
